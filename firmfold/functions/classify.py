@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmfold.functions.rules import DEFAULT_RULES, PrefixRule, RuleSet, keyword_pattern
+from firmfold.functions.rules import (DEFAULT_RULES, PrefixRule, RuleSet, folded_keywords,
+                                      word_pattern)
 from firmfold.functions.text import fold_text
 
 # First group of exactly four digits, as a word of its own.
 POSTCODE = r"(?<![A-Za-z0-9_])([0-9]{4})(?![A-Za-z0-9_])"
 
 
+# Up to here a plain substring search per keyword beats one expression for all.
+PLAIN_SEARCHES = 24
+
+
+def mentions(hay: Column, stems=(), words=()) -> Column:
+    """Does folded text hold a stem anywhere, or a word on its own?
+
+    The costly whole-word match runs only where one of the words occurs at all.
+    """
+    stems, words = folded_keywords(stems), folded_keywords(words)
+
+    def holds(keywords: list[str]) -> Column:
+        if len(keywords) > PLAIN_SEARCHES:
+            return hay.rlike("|".join(re.escape(k) for k in keywords))
+        return reduce(lambda a, b: a | b, [hay.contains(k) for k in keywords])
+
+    out = holds(stems) if stems else F.lit(False)
+    return out | (holds(words) & hay.rlike(word_pattern(words))) if words else out
+
+
 def _present(candidates: list[Column]) -> Column:
     """The non-null ones, in order (no higher-order function involved)."""
     if not candidates:
@@ -22,11 +46,8 @@ def _present(candidates: list[Column]) -> Column:
 def classify_text(c: Column, rules: RuleSet = DEFAULT_RULES, folded: bool = False) -> Column:
     """Ids of all categories whose keywords occur in the text, in rule order."""
     hay = F.coalesce(c if folded else fold_text(c), F.lit(""))
-    hits = []
-    for cat in rules.categories:
-        pattern = keyword_pattern(cat.stems, cat.words)
-        if pattern:
-            hits.append(F.when(hay.rlike(pattern), F.lit(cat.id)))
+    hits = [F.when(mentions(hay, cat.stems, cat.words), F.lit(cat.id)) for cat in rules.categories
+            if cat.stems or cat.words]
     return _present(hits)
 
 
@@ -63,12 +84,11 @@ def detect_region(address: Column, rules: RuleSet = DEFAULT_RULES, match: str =
     """
     hay = fold_text(address)
 
-    def mentions(keywords) -> Column:
-        pattern = keyword_pattern(keywords) if match == "substring" else keyword_pattern(words=keywords)
-        return hay.rlike(pattern) if pattern else F.lit(False)
+    def named(keywords) -> Column:
+        return mentions(hay, keywords) if match == "substring" else mentions(hay, words=keywords)
 
     out = F.when(F.regexp_extract(hay, POSTCODE, 1).startswith("1"), F.lit(rules.capital))
     ordered = sorted(rules.regions, key=lambda r: r.id != rules.capital)
     for region in ordered:
-        out = out.when(mentions(region.keywords), F.lit(region.id))
+        out = out.when(named(region.keywords), F.lit(region.id))
     return out

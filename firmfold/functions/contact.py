@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from firmfold.functions.punycode import ascii_host
 from firmfold.functions.text import BLANK_CLASS, empty_to_null, js_trim, strip_tags
 
-EMAIL_SHAPE = rf"^[^@{BLANK_CLASS}]+@[^@{BLANK_CLASS}]+\.[^@{BLANK_CLASS}]+\z"
+# One @, no blanks, a dot after it. Nearly all addresses are printable ASCII,
+# whose character class is a plain bit set; only the others need all blanks.
+EMAIL_ASCII = r"^[!-?A-~]++@[!-?A-~]+\.[!-?A-~]++\z"
+EMAIL_SHAPE = rf"^[^@{BLANK_CLASS}]++@[^@{BLANK_CLASS}]+\.[^@{BLANK_CLASS}]++\z"
 
 # What counts as an e-mail or a Hungarian phone candidate in text.
 EMAIL_IN_TEXT = r"(?i)[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}"
 PHONE_IN_TEXT = (rf"(?:\+?36|06)[{BLANK_CLASS}\-/().]*[0-9]"
                  rf"[0-9{BLANK_CLASS}\-/().]{{5,}}")
 
-# Authority part of a web address: user info and port are dropped, and a
-# character that no host may hold makes the whole address unusable.
-HOST_IN_URL = (r"^https?://[/\\]*(?:[^/?#\\]*@)?([^/?#\\:@\x00-\x20\x7F<>\[\]^|%]+)"
-               r"(?::[0-9]{0,5})?(?:[/?#\\]|\z)")
+# Authority part of a web address, scheme optional: user info, port and a
+# leading "www." are dropped, the host must hold a dot, and a character that no
+# host may hold makes the whole address unusable.
+_NOT_IN_HOST = r"/?#\\:@\x00-\x20\x7F<>\[\]^|%"
+HOST_IN_URL = (r"^(?:https?://)?+[/\\]*+(?:[^/?#\\]*@)?+(?:www\.)?+"
+               rf"([^{_NOT_IN_HOST}.]*\.[^{_NOT_IN_HOST}]*)(?::[0-9]{{0,5}})?(?:[/?#\\]|\z)")
 
 
 def norm_email(c: Column) -> Column:
     e = F.lower(js_trim(c))
-    return F.when(e.rlike(EMAIL_SHAPE), e)
+    return F.when(e.contains("@") & (e.rlike(EMAIL_ASCII) | e.rlike(EMAIL_SHAPE)), e)
 
 
 def norm_phone_hu(c: Column) -> Column:
@@ -39,10 +44,8 @@ def norm_phone_hu(c: Column) -> Column:
 
 def url_domain(c: Column) -> Column:
     """Host of a web address without ``www.``; null where there is no dot."""
-    s = F.regexp_replace(F.lower(js_trim(c)), r"[\t\n\r]", "")
-    full = F.when(s.rlike("^https?://"), s).otherwise(F.concat(F.lit("http://"), s))
-    host = F.regexp_replace(empty_to_null(F.regexp_extract(full, HOST_IN_URL, 1)), r"^www\.", "")
-    return F.when(host.contains("."), ascii_host(host))
+    s = F.translate(F.lower(js_trim(c)), "\t\n\r", "")
+    return ascii_host(empty_to_null(F.regexp_extract(s, HOST_IN_URL, 1)))
 
 
 def emails_in(text: Column) -> Column:

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmfold.functions.text import (NOT_AFTER_WORD, NOT_BEFORE_WORD, collapse_blanks, has_text,
-                                     js_trim)
+from firmfold.functions.text import (NOT_AFTER_WORD, NOT_BEFORE_WORD, has_text, js_trim)
 
 # Legal forms cut from a name before names are compared. The
 # groups are removed one after the other; accents are significant.
@@ -48,7 +47,7 @@ def norm_company_name(c: Column) -> Column:
     s = js_trim(F.lower(F.coalesce(c, F.lit(""))))
     for group in LEGAL_FORMS:
         s = F.regexp_replace(s, _form_pattern(group), " ")
-    return collapse_blanks(F.regexp_replace(s, r"[^\p{L}\p{N}]+", " "))
+    return js_trim(F.regexp_replace(s, r"[^\p{L}\p{N}]+", " "))
 
 
 def digits_only(c: Column) -> Column:

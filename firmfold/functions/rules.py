@@ -53,17 +53,15 @@ class RuleSet:
         object.__setattr__(self, "category_ids", tuple(c.id for c in self.categories))
 
 
-def keyword_pattern(stems=(), words=()) -> str | None:
-    """One expression for all folded keywords of a category."""
-    stems = sorted({fold_str(s) for s in stems if fold_str(s)})
-    words = sorted({fold_str(w).strip() for w in words if fold_str(w).strip()})
-    parts = []
-    if stems:
-        parts.append("(?:" + "|".join(re.escape(s) for s in stems) + ")")
-    if words:
-        alternatives = "|".join(re.escape(w) for w in words)
-        parts.append(r"(?<![\p{L}\p{N}])(?:" + alternatives + r")(?![\p{L}\p{N}])")
-    return "|".join(parts) if parts else None
+def folded_keywords(keywords) -> list[str]:
+    """Distinct keywords without case and accents, blanks around them cut."""
+    return sorted({fold_str(k) for k in keywords if fold_str(k).strip()})
+
+
+def word_pattern(words: list[str]) -> str:
+    """Any of the words, between characters that are no letters or digits."""
+    alternatives = "|".join(re.escape(w.strip()) for w in words)
+    return r"(?<![\p{L}\p{N}])(?:" + alternatives + r")(?![\p{L}\p{N}])"
 
 
 CATEGORIES = (

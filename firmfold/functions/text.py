@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from typing import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 _BLANK_POINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B),
                  0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
 BLANKS = "".join(map(chr, _BLANK_POINTS))
-BLANK_CLASS = "".join(rf"\x{{{p:X}}}" for p in _BLANK_POINTS)  # inside [...], Java and RE2
+# The same set for use inside [...]; Java's \s covers the ASCII ones.
+BLANK_CLASS = r"\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 
 # ASCII word boundaries (Java's \b also looks at letters outside ASCII).
 NOT_AFTER_WORD = r"(?<![A-Za-z0-9_])"
@@ -37,6 +39,15 @@ def collapse_blanks(c: Column) -> Column:
     return js_trim(F.regexp_replace(c, f"[{BLANK_CLASS}]+", " "))
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often it is used.
+
+    For deep expressions with repeated operands, where common subexpressions
+    are not found (inside lambdas and conditional branches).
+    """
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def has_text(c: Column) -> Column:
     """True where the value is neither null nor empty."""
     return F.coalesce(c, F.lit("")) != ""
@@ -82,11 +93,14 @@ def _char_of(code_point: Column, original: Column) -> Column:
 
 
 def _replace_tokens(c: Column, pattern: str, to_text) -> Column:
-    pieces = F.split(c, pattern, -1)
     tokens = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    tails = F.slice(pieces, F.lit(2), F.size(tokens))
-    joined = F.zip_with(F.transform(tokens, to_text), tails, lambda t, p: F.concat(t, p))
-    return F.concat(F.get(pieces, F.lit(0)), F.array_join(joined, ""))
+
+    def put_together(pieces: Column) -> Column:
+        tails = F.slice(pieces, F.lit(2), F.size(pieces) - 1)
+        joined = F.zip_with(F.transform(tokens, to_text), tails, lambda t, p: F.concat(t, p))
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(joined, ""))
+
+    return let(F.split(c, pattern, -1), put_together)
 
 
 def decode_entities(c: Column) -> Column:
@@ -102,16 +116,19 @@ def decode_entities(c: Column) -> Column:
         value = F.regexp_replace(token, "[^0-9]", "").try_cast("bigint")
         return F.coalesce(_char_of(value, token), token)
 
-    def step(text: Column, pattern: str, to_text) -> Column:
-        return F.when(text.contains("&#"), _replace_tokens(text, pattern, to_text)).otherwise(text)
+    def numeric(text: Column) -> Column:
+        hexed = _replace_tokens(text, r"(?i)&#x[0-9a-f]+;", from_hex)
+        both = let(hexed, lambda t: _replace_tokens(t, r"&#[0-9]+;", from_dec))
+        return F.when(text.contains("&#"), both).otherwise(text)
+
+    def named(text: Column) -> Column:
+        # The ampersand comes last so that what it uncovers is not decoded again.
+        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+                             ("&nbsp;", " "), ("&amp;", "&")):
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
 
-    numeric = step(step(c, r"(?i)&#x[0-9a-f]+;", from_hex), r"&#[0-9]+;", from_dec)
-    # The ampersand comes last so that what it uncovers is not decoded again.
-    out = numeric
-    for entity, text in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                         ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(text))
-    return out
+    return let(c, lambda t: F.when(t.contains("&"), named(numeric(t))).otherwise(t))
 
 
 def strip_tags(c: Column) -> Column:

@@ -68,8 +68,9 @@ def keep_prefix(pages: DataFrame, prefix: DataFrame) -> DataFrame:
 def record_limit(rows: DataFrame, limit: int | None, region: str = "crawl_region") -> DataFrame:
     """First N records per source and region, in page order.
 
-    A record beyond position N of its own page cannot be among them and goes
-    before the shuffle; Spark's group limit cuts the rest on the map side.
+    ``pos`` counts the records of a page from 0, so one beyond position N of
+    its own page cannot be among the first N and goes before the shuffle;
+    Spark's group limit cuts the rest on the map side.
     """
     if limit is None:
         return rows

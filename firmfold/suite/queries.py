@@ -27,6 +27,8 @@ from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
 from firmfold.session import configure
+from firmfold.sources.pages import explode_records, parse_pages
+from firmfold.sources.registry import get_source
 from firmfold.suite import frames as W
 from firmfold.suite import oracle as O
 from firmfold.suite import staging as S
@@ -244,9 +246,6 @@ _TEXT = "trim(concat(coalesce({0}, ''), ' ', trim(legal_name)))"
 
 
 def _parsed(spark, sf, source: str, pages: DataFrame, *columns: str) -> DataFrame:
-    from firmfold.sources.pages import explode_records, parse_pages
-    from firmfold.sources.registry import get_source
-
     rows = explode_records(parse_pages(pages, get_source(source)))
     return rows.select(F.col("crawl_region").alias("region_id"), "page", "pos", "legal_name",
                        "classification_text", "source_url", *columns)
@@ -256,10 +255,14 @@ def _parsed(spark, sf, source: str, pages: DataFrame, *columns: str) -> DataFram
   concat('https://directory.example/biz/', k) AS source_url, email, phone, website, address, vat_number
   FROM raw WHERE k % 29 <> 0""", "raw"))
 def parse_directory_pages(spark, sf):
+    pages = _directory_pages(spark, sf)
+    return _parsed(spark, sf, "directory", pages, "email", "phone", "website", "address", "vat_number")
+
+
+def _directory_pages(spark, sf) -> DataFrame:
     record = F.to_json(F.struct(F.col("k").alias("id"), _NAMED.alias("name"), "email", "phone", "website",
                                 "address", F.col("vat_number").alias("vat"), "activity"))
-    pages = _page_rows(spark, sf, "directory", record)
-    return _parsed(spark, sf, "directory", pages, "email", "phone", "website", "address", "vat_number")
+    return _page_rows(spark, sf, "directory", record)
 
 
 _CODE_LIST = O.joined(O.by_prefix("activity_code", 4, DEFAULT_RULES.activity_codes))
@@ -449,10 +452,13 @@ def save_cursor(spark, sf):
     return P.save_cursor(S.cursors(spark, sf), seen, W.NOW).drop("last_run_at")
 
 
-@query(O.sql("""SELECT source, crawl_region, page, pos FROM (SELECT *, row_number() OVER (
-  PARTITION BY source, crawl_region ORDER BY page, pos) AS rn FROM raw) r WHERE rn <= 25""", "raw"))
+@query(O.sql("""SELECT region_id, page, pos FROM (SELECT concat(source, '/', crawl_region) AS region_id, page,
+    cast(row_number() OVER (PARTITION BY source, crawl_region, page ORDER BY pos, k) - 1 AS int) AS pos,
+    row_number() OVER (PARTITION BY source, crawl_region ORDER BY page, pos, k) AS rn FROM raw WHERE k % 29 <> 0) r
+  WHERE rn <= 25""", "raw"))
 def record_limit(spark, sf):
-    return P.record_limit(S.raw_business(spark, sf), 25).select("source", "crawl_region", "page", "pos")
+    rows = explode_records(parse_pages(_directory_pages(spark, sf), get_source("directory")))
+    return P.record_limit(rows, 25).select(F.col("crawl_region").alias("region_id"), "page", "pos")
 
 
 @query(O.sql("SELECT source, region_id, last_page, total_seen FROM cur", "cur"))
@@ -578,3 +584,376 @@ def refresh_summary(spark, sf):
     batch = U.flag_suppressed(W.batch(spark, sf), S.suppression(spark, sf))
     kept = M.dedupe_batch(batch.filter(~F.col("suppressed")), seq="seqno").withColumn("known", F.lit(False))
     return R.batch_by_source(batch, kept)
+
+
+# -- read side ---------------------------------------------------------------------------
+
+@query(O.sql("SELECT dedupe_key, quality_score FROM lead", "lead"))
+def quality_score(spark, sf):
+    return W.lead(spark, sf).select("dedupe_key", "quality_score")
+
+
+@query(O.sql("""SELECT count(*) AS total, count(email) AS with_email, count(CASE WHEN is_personal_data THEN 1 END) AS personal_data,
+  count(CASE WHEN review_status = 'PENDING' THEN 1 END) AS pending, count(CASE WHEN review_status = 'APPROVED' THEN 1 END) AS approved,
+  count(CASE WHEN review_status = 'REJECTED' THEN 1 END) AS rejected, count(last_verified_at) AS vies_verified,
+  count(nav_checked_at) AS nav_checked, count(contact_checked_at) AS contact_checked, count(places_checked_at) AS places_checked,
+  count(CASE WHEN quality_score >= 70 THEN 1 END) AS quality_high,
+  count(CASE WHEN quality_score < 70 AND quality_score >= 40 THEN 1 END) AS quality_medium,
+  count(CASE WHEN quality_score < 40 THEN 1 END) AS quality_low FROM lead""", "lead"))
+def coverage_report(spark, sf):
+    return R.coverage_report(W.lead(spark, sf))
+
+
+@query(O.sql("SELECT source, count(*) AS n FROM merged GROUP BY source", "merged"))
+def coverage_by_source(spark, sf):
+    return R.coverage_by_source(W.merged(spark, sf))
+
+
+@query(O.sql("""SELECT count(*) AS total, count(email) AS with_email, count(CASE WHEN is_personal_data THEN 1 END) AS personal_data,
+  count(CASE WHEN review_status = 'PENDING' THEN 1 END) AS pending, count(CASE WHEN review_status = 'APPROVED' THEN 1 END) AS approved,
+  count(CASE WHEN review_status = 'REJECTED' THEN 1 END) AS rejected, count(nav_checked_at) AS nav_checked,
+  count(CASE WHEN tax_status = 'ACTIVE' THEN 1 END) AS active, count(CASE WHEN debt_free THEN 1 END) AS debt_free,
+  (SELECT count(*) FROM sup) AS suppression_entries FROM lead""", "lead", "sup"))
+def lead_stats(spark, sf):
+    return R.lead_stats(W.lead(spark, sf), S.suppression(spark, sf))
+
+
+def _labels(items) -> str:
+    rows = ", ".join(f"({i}, {O.quoted(x.id)}, {O.quoted(x.name)})" for i, x in enumerate(items))
+    return f"SELECT * FROM (VALUES {rows}) v(ord, id, name)"
+
+
+@query(O.sql("""SELECT ord, id, name, n FROM labels_ JOIN (SELECT region_id, count(*) AS n FROM merged GROUP BY region_id) c
+  ON c.region_id = id""", "merged", labels_=_labels(DEFAULT_RULES.regions)))
+def stats_by_region(spark, sf):
+    return R.stats_by_region(W.merged(spark, sf))
+
+
+@query(O.sql("""SELECT ord, id, name, n FROM labels_ JOIN (SELECT c, count(*) AS n FROM
+  (SELECT unnest(categories) AS c FROM merged) u GROUP BY c) x ON x.c = id""", "merged",
+             labels_=_labels(DEFAULT_RULES.categories)))
+def stats_by_category(spark, sf):
+    return R.stats_by_category(W.merged(spark, sf))
+
+
+@query(O.sql("""SELECT source, source_license, count(*) AS n_rows, count(CASE WHEN is_personal_data THEN 1 END) AS n_personal
+  FROM merged GROUP BY source, source_license""", "merged"))
+def source_register(spark, sf):
+    return R.source_register(W.merged(spark, sf))
+
+
+# A category is filtered after the cut to the best 200.
+@query(O.sql(f"""SELECT lead_id, quality_score, legal_name, region_id, {O.joined('categories')} AS categories,
+  coalesce(email, phone) AS contact, is_personal_data FROM (
+  SELECT * FROM lead WHERE region_id = 'pest' AND quality_score >= 30 ORDER BY quality_score DESC, lead_id LIMIT 200) t
+  WHERE list_contains(categories, 'cleaning')""", "lead"))
+def list_leads(spark, sf):
+    out = V.list_leads(W.lead(spark, sf), region="pest", category="cleaning", min_quality=30, limit=200)
+    return out.withColumn("categories", joined("categories"))
+
+
+def _reasons_sql() -> str:
+    items = [f"CASE WHEN is_personal_data THEN {O.quoted(Q.PERSONAL)} END",
+             f"CASE WHEN coalesce(email, '') = '' AND coalesce(phone, '') = '' THEN {O.quoted(Q.NO_CHANNEL)} END",
+             f"CASE WHEN len(categories) = 0 THEN {O.quoted(Q.UNCATEGORISED)} END",
+             f"CASE WHEN quality_score < 40 THEN {O.quoted(Q.LOW)} END"]
+    return f"array_to_string(list_filter([{', '.join(items)}], lambda x: x IS NOT NULL), '; ')"
+
+
+@query(O.sql(f"""SELECT lead_id, legal_name, region_id, {O.joined('categories')} AS categories, quality_score,
+  is_personal_data, coalesce(email, phone) AS contact, {_reasons_sql()} AS reasons
+  FROM lead WHERE review_status = 'PENDING'""", "lead"))
+def review_queue(spark, sf):
+    out = V.review_queue(W.lead(spark, sf))
+    return out.withColumn("categories", joined("categories")).withColumn("reasons", F.array_join("reasons", "; "))
+
+
+@query(O.sql("""SELECT lead_id, quality_score FROM lead WHERE review_status = 'PENDING' AND region_id = 'budapest'
+  AND list_contains(categories, 'security') ORDER BY is_personal_data, quality_score DESC, lead_id LIMIT 20""", "lead"))
+def queue_order(spark, sf):
+    return V.review_queue(W.lead(spark, sf), region="budapest", category="security", limit=20).select(
+        "lead_id", "quality_score")
+
+
+@query(O.sql("""SELECT lead_id, CASE WHEN tax_status = 'CANCELLED' AND NOT debt_free THEN 'tax number cancelled; has tax debt'
+  WHEN tax_status = 'CANCELLED' THEN 'tax number cancelled' WHEN NOT debt_free THEN 'has tax debt' ELSE '' END AS reasons
+  FROM lead""", "lead"))
+def tax_risk_reasons(spark, sf):
+    reasons = Q.tax_risk_reasons(F.col("tax_status"), F.col("debt_free"))
+    return W.lead(spark, sf).select("lead_id", F.array_join(reasons, "; ").alias("reasons"))
+
+
+@query(O.sql(f"""SELECT lead_id AS "externalId", legal_name AS "legalName", vat_number AS "vatNumber",
+  registration_number AS "registrationNumber", region_id AS "regionId", {O.joined('categories')} AS categories, email, phone,
+  website, quality_score AS "qualityScore", tax_status AS "taxStatus", debt_free AS "debtFree", source
+  FROM lead WHERE quality_score >= 40 AND review_status <> 'REJECTED' AND NOT is_personal_data""", "lead"))
+def export_record(spark, sf):
+    rows = X.export_filter(W.lead(spark, sf), min_quality=40)
+    return X.export_record(rows).withColumn("categories", joined("categories"))
+
+
+_DECISIONS = """SELECT dedupe_key, CASE WHEN quality_score >= 50 THEN 'approve' ELSE 'reject' END AS action,
+  CASE WHEN quality_score < 30 THEN 'weak' END AS note FROM {0} WHERE quality_score % 20 = 0"""
+
+
+@query(O.sql("""SELECT l.lead_id, CASE WHEN d.action = 'approve' THEN 'APPROVED' WHEN d.action = 'reject' THEN 'REJECTED'
+  ELSE review_status END AS review_status, d.note AS review_note,
+  CASE WHEN d.action IS NOT NULL THEN '1999-06-01T12:00:00.000Z' END AS reviewed_at
+  FROM lead l LEFT JOIN d ON d.dedupe_key = l.dedupe_key""", "lead", d=_DECISIONS.format("lead")))
+def set_review(spark, sf):
+    lead = W.lead(spark, sf)
+    action = F.when(F.col("quality_score") >= 50, "approve").otherwise("reject")
+    decisions = lead.filter(F.col("quality_score") % 20 == 0).select(
+        "lead_id", action.alias("action"), F.when(F.col("quality_score") < 30, "weak").alias("note"),
+        F.lit(1).alias("ord"))
+    out = E.apply_outcome(lead, V.set_review(lead, decisions, W.NOW), V.REVIEW_COLUMNS)
+    return out.select("lead_id", "review_status", "review_note", stamp("reviewed_at"))
+
+
+# -- enrichment ---------------------------------------------------------------------------
+
+def _after(columns: str, patched: str, joins: str, condition: str) -> str:
+    return f"SELECT l.lead_id, {columns} FROM lead l LEFT JOIN ({patched}) p ON {joins} AND {condition}"
+
+
+_VAT_CANDIDATE = f"l.vat_number IS NOT NULL AND l.last_verified_at IS NULL"
+_VAT_JOIN = f"p.core = {O.vat_core('l.vat_number')}"
+_NEW = "CASE WHEN p.{0} THEN '1999-06-01T12:00:00.000Z' ELSE " + O.iso("l.{1}") + " END AS {1}"
+
+_VERIFIED = f"""SELECT l.* REPLACE (CASE WHEN p.valid AND coalesce(l.address, '') = '' AND p.address IS NOT NULL THEN p.address
+    ELSE l.address END AS address), l.quality_score AS old_score, p.core AS hit, p.valid,
+    p.valid AND coalesce(l.address, '') = '' AND p.address IS NOT NULL AS changed, {_VAT_CANDIDATE} AS candidate
+  FROM lead l LEFT JOIN vat_register p ON {_VAT_JOIN} AND {_VAT_CANDIDATE}"""
+
+
+@query(O.sql(f"""SELECT lead_id, address, CASE WHEN changed THEN {O.score()} ELSE old_score END AS quality_score,
+  CASE WHEN hit IS NOT NULL THEN '1999-06-01T12:00:00.000Z' ELSE {O.iso('last_verified_at')} END AS last_verified_at
+  FROM v""", "lead", "vat_register", v=_VERIFIED))
+def verify_vat(spark, sf):
+    lead = W.lead(spark, sf)
+    outcome = E.verify_vat(lead, W.vat_register(spark, sf), W.NOW)
+    return E.apply_outcome(lead, outcome, E.VAT_COLUMNS).select(
+        "lead_id", "address", "quality_score", stamp("last_verified_at"))
+
+
+@query(O.sql("""SELECT count(CASE WHEN candidate THEN 1 END) AS scanned, count(CASE WHEN valid THEN 1 END) AS valid,
+  count(CASE WHEN hit IS NOT NULL AND NOT valid THEN 1 END) AS invalid, count(CASE WHEN changed THEN 1 END) AS enriched,
+  count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "vat_register", v=_VERIFIED))
+def vat_stats(spark, sf):
+    return E.vat_stats(E.verify_vat(W.lead(spark, sf), W.vat_register(spark, sf), W.NOW))
+
+
+_TAX_CANDIDATE = "l.vat_number IS NOT NULL AND l.nav_checked_at IS NULL"
+_TAXED = f"""SELECT l.lead_id, p.core AS hit, {_TAX_CANDIDATE} AS candidate, l.nav_checked_at AS old_check,
+    CASE WHEN p.core IS NULL THEN l.tax_status ELSE p.tax_status END AS tax_status,
+    CASE WHEN p.core IS NULL THEN l.debt_free ELSE p.debt_free END AS debt_free, p.employee_count,
+    p.tax_status AS new_status, p.debt_free AS new_debt
+  FROM lead l LEFT JOIN tax_signals p ON {_VAT_JOIN} AND {_TAX_CANDIDATE}"""
+
+
+@query(O.sql(f"""SELECT lead_id, tax_status, debt_free, employee_count,
+  CASE WHEN hit IS NOT NULL THEN '1999-06-01T12:00:00.000Z' ELSE {O.iso('old_check')} END AS nav_checked_at FROM v""",
+             "lead", "tax_signals", v=_TAXED))
+def check_tax(spark, sf):
+    lead = W.lead(spark, sf)
+    outcome = E.check_tax(lead, W.tax_signals(spark, sf), W.NOW)
+    return E.apply_outcome(lead, outcome, E.TAX_COLUMNS).select(
+        "lead_id", "tax_status", "debt_free", "employee_count", stamp("nav_checked_at"))
+
+
+@query(O.sql("""SELECT count(CASE WHEN candidate THEN 1 END) AS scanned, count(hit) AS checked,
+  count(CASE WHEN new_status = 'ACTIVE' THEN 1 END) AS active, count(CASE WHEN new_status = 'SUSPENDED' THEN 1 END) AS suspended,
+  count(CASE WHEN new_status = 'CANCELLED' THEN 1 END) AS cancelled, count(CASE WHEN new_debt THEN 1 END) AS debt_free,
+  count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "tax_signals", v=_TAXED))
+def tax_stats(spark, sf):
+    return E.tax_stats(E.check_tax(W.lead(spark, sf), W.tax_signals(spark, sf), W.NOW))
+
+
+_CONTACT_CANDIDATE = "l.domain IS NOT NULL AND (l.email IS NULL OR l.phone IS NULL) AND l.contact_checked_at IS NULL"
+_CONTACTED = f"""SELECT l.* REPLACE (coalesce(l.email, p.email) AS email, coalesce(l.phone, p.phone) AS phone),
+    l.quality_score AS old_score, p.domain AS hit, {_CONTACT_CANDIDATE} AS candidate,
+    l.email IS NULL AND p.email IS NOT NULL AS new_email, l.phone IS NULL AND p.phone IS NOT NULL AS new_phone
+  FROM lead l LEFT JOIN contacts p ON p.domain = l.domain AND {_CONTACT_CANDIDATE}"""
+
+
+@query(O.sql(f"""SELECT lead_id, email, phone,
+  CASE WHEN new_email OR new_phone THEN {O.score()} ELSE old_score END AS quality_score,
+  CASE WHEN hit IS NOT NULL THEN '1999-06-01T12:00:00.000Z' ELSE {O.iso('contact_checked_at')} END AS contact_checked_at
+  FROM v""", "lead", "contacts", v=_CONTACTED))
+def enrich_contacts(spark, sf):
+    lead = W.lead(spark, sf)
+    outcome = E.enrich_contacts(lead, W.contacts(spark, sf), W.NOW)
+    return E.apply_outcome(lead, outcome, E.CONTACT_COLUMNS).select(
+        "lead_id", "email", "phone", "quality_score", stamp("contact_checked_at"))
+
+
+@query(O.sql("""SELECT count(CASE WHEN candidate THEN 1 END) AS scanned, count(CASE WHEN new_email OR new_phone THEN 1 END) AS enriched,
+  count(CASE WHEN new_email THEN 1 END) AS emails_added, count(CASE WHEN new_phone THEN 1 END) AS phones_added,
+  count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "contacts", v=_CONTACTED))
+def contact_stats(spark, sf):
+    return E.contact_stats(E.enrich_contacts(W.lead(spark, sf), W.contacts(spark, sf), W.NOW))
+
+
+_PLACE_CANDIDATE = "(l.phone IS NULL OR l.website IS NULL) AND l.places_checked_at IS NULL"
+_PLACED = f"""SELECT l.* REPLACE (coalesce(l.phone, p.phone) AS phone, coalesce(l.website, p.website) AS website,
+    CASE WHEN l.website IS NULL AND p.website IS NOT NULL THEN p.domain ELSE l.domain END AS domain,
+    coalesce(l.address, p.address) AS address), l.quality_score AS old_score, p.name AS hit, candidate,
+    l.phone IS NULL AND p.phone IS NOT NULL AS new_phone, l.website IS NULL AND p.website IS NOT NULL AS new_website,
+    l.address IS NULL AND p.address IS NOT NULL AS new_address
+  FROM (SELECT l.*, candidate, coalesce(a.name, b.name) AS place FROM
+        (SELECT l.*, {_PLACE_CANDIDATE} AS candidate, {O.company_name('l.legal_name')} AS norm_name FROM lead l) l
+        LEFT JOIN places a ON a.name = l.legal_name AND candidate LEFT JOIN places b ON b.name = l.norm_name AND candidate) l
+  LEFT JOIN places p ON p.name = l.place"""
+
+
+@query(O.sql(f"""SELECT lead_id, phone, website, domain, address,
+  CASE WHEN new_phone OR new_website OR new_address THEN {O.score()} ELSE old_score END AS quality_score,
+  CASE WHEN hit IS NOT NULL THEN '1999-06-01T12:00:00.000Z' ELSE {O.iso('places_checked_at')} END AS places_checked_at
+  FROM v""", "lead", "places", v=_PLACED))
+def enrich_places(spark, sf):
+    lead = W.lead(spark, sf)
+    outcome = E.enrich_places(lead, W.places(spark, sf), W.NOW)
+    return E.apply_outcome(lead, outcome, E.PLACE_COLUMNS).select(
+        "lead_id", "phone", "website", "domain", "address", "quality_score", stamp("places_checked_at"))
+
+
+@query(O.sql("""SELECT count(CASE WHEN candidate THEN 1 END) AS scanned,
+  count(CASE WHEN new_phone OR new_website OR new_address THEN 1 END) AS enriched, count(CASE WHEN new_phone THEN 1 END) AS phones_added,
+  count(CASE WHEN new_website THEN 1 END) AS websites_added, count(CASE WHEN new_address THEN 1 END) AS addresses_added,
+  count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "places", v=_PLACED))
+def places_stats(spark, sf):
+    return E.places_stats(E.enrich_places(W.lead(spark, sf), W.places(spark, sf), W.NOW))
+
+
+@query(O.sql(f"SELECT l.lead_id FROM lead l WHERE {_VAT_CANDIDATE} ORDER BY lead_id LIMIT 100", "lead"))
+def candidate_limit(spark, sf):
+    return E.candidates_vat_check(W.lead(spark, sf), limit=100).select("lead_id")
+
+
+@query(O.sql(f"""SELECT count(CASE WHEN vat_number IS NOT NULL THEN 1 END) AS revalidated,
+  count(CASE WHEN {_VAT_CANDIDATE} THEN 1 END) AS vat_check, count(CASE WHEN {_TAX_CANDIDATE} THEN 1 END) AS tax_check,
+  count(CASE WHEN {_CONTACT_CANDIDATE} THEN 1 END) AS contact, count(CASE WHEN {_PLACE_CANDIDATE} THEN 1 END) AS places
+  FROM lead l""", "lead"))
+def candidates(spark, sf):
+    lead = W.lead(spark, sf)
+    kinds = [("revalidated", E.candidates_vat_check(lead, revalidate=True)), ("vat_check", E.candidates_vat_check(lead)),
+             ("tax_check", E.candidates_tax_check(lead)), ("contact", E.candidates_contact(lead)),
+             ("places", E.candidates_places(lead))]
+    marked = None
+    for kind, rows in kinds:
+        one = rows.select(F.lit(kind).alias("kind"))
+        marked = one if marked is None else marked.unionByName(one)
+    return marked.agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind, _ in kinds])
+
+
+# -- governance ---------------------------------------------------------------------------
+
+_DECIDED = """SELECT l.*, CASE
+    WHEN coalesce(email IN (SELECT value FROM sup), false) OR coalesce(split_part(email, '@', 2) IN (SELECT value FROM sup), false)
+         OR coalesce(domain IN (SELECT value FROM sup), false) THEN 'SUPPRESSED'
+    WHEN is_personal_data AND lifecycle = 'NEW'
+         AND epoch_ms(TIMESTAMP '1999-06-01 12:00:00') - epoch_ms(collected_at) >= cast(365 AS bigint) * 86400000 THEN 'PERSONAL_DATA_EXPIRED'
+    END AS reason FROM lead l"""
+
+
+def _decided(spark, sf) -> tuple[DataFrame, DataFrame]:
+    lead = W.lead(spark, sf)
+    return lead, G.purge_candidates(lead, S.suppression(spark, sf), W.NOW)
+
+
+@query(O.sql("SELECT lead_id, reason FROM v", "lead", "sup", v=_DECIDED))
+def purge_decision(spark, sf):
+    return _decided(spark, sf)[1].select("lead_id", "reason")
+
+
+@query(O.sql("""SELECT count(*) AS scanned, count(CASE WHEN reason = 'SUPPRESSED' THEN 1 END) AS suppressed,
+  count(CASE WHEN reason = 'PERSONAL_DATA_EXPIRED' THEN 1 END) AS expired FROM v""", "lead", "sup", v=_DECIDED))
+def purge_stats(spark, sf):
+    return G.purge_stats(_decided(spark, sf)[1])
+
+
+@query(O.sql("SELECT lead_id, dedupe_key, source, quality_score FROM v WHERE reason IS NULL", "lead", "sup", v=_DECIDED))
+def erase_leads(spark, sf):
+    lead, decided = _decided(spark, sf)
+    return G.erase_leads(lead, decided.filter("reason is not null")).select(
+        "lead_id", "dedupe_key", "source", "quality_score")
+
+
+_AUDIT = """SELECT cast(event_id AS varchar) AS event_id, CASE WHEN event_type <> 'signup' THEN sha256(dedupe_key) END AS lead_id,
+  upper(event_type) AS type, props AS meta, ts AS created_at
+  FROM events LEFT JOIN (SELECT k, dedupe_key FROM keyed WHERE source = 'ebeszamolo') r ON r.k = user_id"""
+
+
+@query(O.sql("""SELECT event_id, a.lead_id, type FROM audit a WHERE a.lead_id IS NULL
+  OR a.lead_id NOT IN (SELECT lead_id FROM v WHERE reason IS NOT NULL)""", "lead", "sup", audit=_AUDIT, v=_DECIDED))
+def erase_events(spark, sf):
+    _, decided = _decided(spark, sf)
+    events = W.audit_events(spark, sf)
+    return G.erase_events(events, decided.filter("reason is not null")).select("event_id", "lead_id", "type")
+
+
+@query(O.sql("""SELECT cast(NULL AS varchar) AS lead_id, 'PURGED' AS type, concat('{"leadId":"', lead_id, '","source":"', source,
+  '","regionId":"', region_id, '","reason":"', reason, '"}') AS meta FROM v WHERE reason IS NOT NULL""",
+             "lead", "sup", v=_DECIDED))
+def erasure_events(spark, sf):
+    doomed = _decided(spark, sf)[1].filter("reason is not null")
+    return G.erasure_events(doomed, "PURGED", W.NOW, "run", reason=F.col("reason")).select("lead_id", "type", "meta")
+
+
+@query(O.sql(f"""SELECT email AS subject, l.lead_id, legal_name, quality_score, type, meta, {O.iso('a.created_at')} AS created_at
+  FROM lead l JOIN audit a ON a.lead_id = l.lead_id WHERE email IS NOT NULL""", "lead", audit=_AUDIT))
+def dsar_export(spark, sf):
+    """Access requests of all subjects at once, flat."""
+    lead = W.lead(spark, sf)
+    report = G.dsar_export(lead, W.audit_events(spark, sf), lead.filter("email is not null").select("email"))
+    records = report.records.select("lead_id", "legal_name", "quality_score")
+    return report.trail.join(records, "lead_id").select(
+        "subject", "lead_id", "legal_name", "quality_score", "type", "meta", "created_at")
+
+
+@query(O.sql(f"""SELECT l.lead_id, email AS subject, {O.iso('collected_at')} AS collected_at, count(a.event_id) AS trail_events,
+  coalesce(string_agg(type || ' ' || {O.iso('a.created_at')}, ',' ORDER BY a.created_at, a.event_id), '') AS audit_trail
+  FROM lead l LEFT JOIN audit a ON a.lead_id = l.lead_id WHERE email IS NOT NULL GROUP BY ALL""", "lead", audit=_AUDIT))
+def dsar_documents(spark, sf):
+    lead = W.lead(spark, sf)
+    report = G.dsar_export(lead, W.audit_events(spark, sf), lead.filter("email is not null").select("email"))
+    trail = F.array_join(F.transform("audit_trail", lambda e: F.concat(e["type"], F.lit(" "), e["created_at"])), ",")
+    return G.dsar_documents(report).select("lead_id", "subject", "collected_at", "trail_events",
+                                           trail.alias("audit_trail"))
+
+
+@query(O.sql("""SELECT l.lead_id FROM lead l WHERE email IS NULL OR email NOT IN (SELECT email FROM keyed
+  WHERE email IS NOT NULL AND k % 3 = 0)""", "lead"))
+def dsar_erase(spark, sf):
+    """Master table after erasing every third record's subject."""
+    lead = W.lead(spark, sf)
+    subjects = W.batch(spark, sf).filter("email is not null and k % 3 = 0").select("email")
+    held = lead.join(subjects.select(G.require_email(F.col("email")).alias("email")).distinct(), "email", "left_semi")
+    return G.erase_leads(lead, held).select("lead_id")
+
+
+# Newer rules: one category lost, one gained, for records and for documents.
+_NEWER = RuleSet(
+    categories=tuple(c for c in DEFAULT_RULES.categories if c.id != "hvac")
+    + (Category("food", "food", ("pékség",), ("minta",)),), regions=DEFAULT_RULES.regions)
+_RECAT = f"SELECT lead_id, categories AS previous, {O.classify(O.fold('classification_text'), _NEWER)} AS next FROM lead"
+
+
+@query(O.sql(f"SELECT lead_id, {O.joined('previous')} AS previous, {O.joined('next')} AS categories, "
+             "list_sort(previous) <> list_sort(next) AS changed FROM v", "lead", v=_RECAT))
+def recategorize(spark, sf):
+    out = G.recategorize(W.lead(spark, sf), _NEWER)
+    return out.select("lead_id", joined("previous").alias("previous"), joined("categories").alias("categories"),
+                      F.col("answered").alias("changed"))
+
+
+@query(O.sql("""SELECT count(*) AS scanned, count(CASE WHEN list_sort(previous) <> list_sort(next) THEN 1 END) AS changed,
+  count(CASE WHEN len(previous) > 0 AND len(next) = 0 THEN 1 END) AS cleared, cast(0 AS bigint) AS fallback FROM v""",
+             "lead", v=_RECAT))
+def recategorize_stats(spark, sf):
+    return G.recategorize_stats(G.recategorize(W.lead(spark, sf), _NEWER))
+
+
+@query(O.sql("SELECT type, count(*) AS n_events, count(lead_id) AS n_attached FROM audit GROUP BY type", "keyed", audit=_AUDIT))
+def audit_rollup(spark, sf):
+    return rollup(W.audit_events(spark, sf))
