@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmfold.functions.rules import (DEFAULT_RULES, PrefixRule, RuleSet, folded_keywords,
                                       word_pattern)
-from firmfold.functions.text import fold_text
+from firmfold.functions.text import fold_text, let
 
 # First group of exactly four digits, as a word of its own.
 POSTCODE = r"(?<![A-Za-z0-9_])([0-9]{4})(?![A-Za-z0-9_])"
@@ -44,11 +44,16 @@ def _present(candidates: list[Column]) -> Column:
 
 
 def classify_text(c: Column, rules: RuleSet = DEFAULT_RULES, folded: bool = False) -> Column:
-    """Ids of all categories whose keywords occur in the text, in rule order."""
-    hay = F.coalesce(c if folded else fold_text(c), F.lit(""))
-    hits = [F.when(mentions(hay, cat.stems, cat.words), F.lit(cat.id)) for cat in rules.categories
-            if cat.stems or cat.words]
-    return _present(hits)
+    """Ids of all categories whose keywords occur in the text, in rule order.
+
+    ``folded``: the column holds folded text already. Project that first where
+    the whole classification is to stay inside generated code.
+    """
+    def ids(hay: Column) -> Column:
+        return _present([F.when(mentions(hay, cat.stems, cat.words), F.lit(cat.id))
+                         for cat in rules.categories if cat.stems or cat.words])
+
+    return ids(F.coalesce(c, F.lit(""))) if folded else let(F.coalesce(fold_text(c), F.lit("")), ids)
 
 
 def classify_by_prefix(codes: Column, digits: int, prefix_rules: tuple[PrefixRule, ...],
@@ -76,19 +81,18 @@ def activity_to_categories(codes: Column, rules: RuleSet = DEFAULT_RULES) -> Col
     return classify_by_prefix(codes, 4, rules.activity_codes, rules.category_ids)
 
 
-def detect_region(address: Column, rules: RuleSet = DEFAULT_RULES, match: str = "substring") -> Column:
+def detect_region(address: Column, rules: RuleSet = DEFAULT_RULES, match: str = "substring",
+                  folded: bool = False) -> Column:
     """Region of an address: 1xxx postcode, capital by name, then rule order.
 
     ``match='word'`` takes only whole words, so that a town whose name holds
     another county's keyword keeps its own county.
     """
-    hay = fold_text(address)
-
-    def named(keywords) -> Column:
-        return mentions(hay, keywords) if match == "substring" else mentions(hay, words=keywords)
-
-    out = F.when(F.regexp_extract(hay, POSTCODE, 1).startswith("1"), F.lit(rules.capital))
-    ordered = sorted(rules.regions, key=lambda r: r.id != rules.capital)
-    for region in ordered:
-        out = out.when(named(region.keywords), F.lit(region.id))
-    return out
+    def region(hay: Column) -> Column:
+        out = F.when(F.regexp_extract(hay, POSTCODE, 1).startswith("1"), F.lit(rules.capital))
+        for r in sorted(rules.regions, key=lambda r: r.id != rules.capital):
+            named = mentions(hay, r.keywords) if match == "substring" else mentions(hay, words=r.keywords)
+            out = out.when(named, F.lit(r.id))
+        return out
+
+    return region(address) if folded else let(fold_text(address), region)

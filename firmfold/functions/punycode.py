@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from firmfold.functions.text import let
+
 # Parameters of RFC 3492, section 5.
 BASE, TMIN, TMAX, SKEW, DAMP, INITIAL_BIAS, INITIAL_N = 36, 1, 26, 38, 700, 72, 128
 DIGITS = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -23,18 +25,20 @@ def _idiv(a: Column, b) -> Column:
 
 def _adapt(delta: Column, points: Column, first: Column) -> Column:
     """Bias after one delta: scale, then count divisions by base - tmin."""
-    scaled = F.when(first, _idiv(delta, DAMP)).otherwise(_idiv(delta, 2))
-    scaled = scaled + _idiv(scaled, points)
     limit = ((BASE - TMIN) * TMAX) // 2
-    start = F.struct(scaled.alias("d"), F.lit(0).cast("bigint").alias("k"))
-    end = F.aggregate(
-        F.sequence(F.lit(1), F.lit(8)), start,
-        lambda acc, _: F.when(
-            acc["d"] > limit,
-            F.struct(_idiv(acc["d"], BASE - TMIN).alias("d"), (acc["k"] + BASE).alias("k")),
-        ).otherwise(acc),
-        lambda acc: acc["k"] + _idiv((BASE - TMIN + 1) * acc["d"], acc["d"] + SKEW))
-    return end
+    damped = _idiv(delta, F.when(first, F.lit(DAMP)).otherwise(F.lit(2)))
+
+    def bias(scaled: Column) -> Column:
+        start = F.struct(scaled.alias("d"), F.lit(0).cast("bigint").alias("k"))
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(8)), start,
+            lambda acc, _: F.when(
+                acc["d"] > limit,
+                F.struct(_idiv(acc["d"], BASE - TMIN).alias("d"), (acc["k"] + BASE).alias("k")),
+            ).otherwise(acc),
+            lambda acc: acc["k"] + _idiv((BASE - TMIN + 1) * acc["d"], acc["d"] + SKEW))
+
+    return let(let(damped, lambda d: d + _idiv(d, points)), bias)
 
 
 def _varint(delta: Column, bias: Column) -> Column:
@@ -45,16 +49,15 @@ def _varint(delta: Column, bias: Column) -> Column:
         return F.substring(F.lit(DIGITS), d.cast("int") + 1, F.lit(1))
 
     def step(acc: Column, k: Column) -> Column:
-        t = F.greatest(F.lit(TMIN).cast("bigint"), F.least(F.lit(TMAX).cast("bigint"), k - bias))
-        last = acc["q"] < t
-        return F.when(acc["done"], acc).when(
-            last,
+        threshold = F.greatest(F.lit(TMIN).cast("bigint"), F.least(F.lit(TMAX).cast("bigint"), k - bias))
+        return let(threshold, lambda t: F.when(acc["done"], acc).when(
+            acc["q"] < t,
             F.struct(acc["q"].alias("q"), F.concat(acc["out"], digit(acc["q"])).alias("out"),
                      F.lit(True).alias("done")),
         ).otherwise(F.struct(
             _idiv(acc["q"] - t, F.lit(BASE) - t).alias("q"),
             F.concat(acc["out"], digit(t + F.pmod(acc["q"] - t, F.lit(BASE) - t))).alias("out"),
-            F.lit(False).alias("done")))
+            F.lit(False).alias("done"))))
 
     steps = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: (i * BASE).cast("bigint"))
     return F.aggregate(steps, start, step, lambda acc: acc["out"])
@@ -66,31 +69,40 @@ def _encode_label(label: Column) -> Column:
         chars, lambda x, i: F.struct(F.conv(F.hex(F.encode(x, "UTF-32")), 16, 10)
                                      .cast("bigint").alias("cp"),
                                      i.cast("bigint").alias("at")))
-    plain = F.filter(points, lambda p: p["cp"] < INITIAL_N)
-    special = F.array_sort(F.filter(points, lambda p: p["cp"] >= INITIAL_N))
-    n_plain = F.size(plain).cast("bigint")
     basic = F.regexp_replace(label, NON_ASCII, "")
-    prefix = F.when(n_plain > 0, F.concat(basic, F.lit("-"))).otherwise("")
-    start = F.struct(
-        F.lit(INITIAL_N).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("i"),
-        n_plain.alias("h"), F.lit(INITIAL_BIAS).cast("bigint").alias("bias"), prefix.alias("out"))
+    prefix = F.when(basic != "", F.concat(basic, F.lit("-"))).otherwise("")
+
+    def insert_all(points: Column, n_plain: Column) -> Column:
+        start = F.struct(
+            F.lit(INITIAL_N).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("i"),
+            n_plain.alias("h"), F.lit(INITIAL_BIAS).cast("bigint").alias("bias"), prefix.alias("out"))
 
-    def insert(acc: Column, p: Column) -> Column:
-        # Where the character goes in the string of all smaller ones.
-        spot = F.size(F.filter(points, lambda o: (o["cp"] <= p["cp"])
-                               & (o["at"] < p["at"]))).cast("bigint")
-        delta = (p["cp"] - acc["n"]) * (acc["h"] + 1) + spot - acc["i"]
-        return F.struct(
-            p["cp"].alias("n"), (spot + 1).alias("i"), (acc["h"] + 1).alias("h"),
-            _adapt(delta, acc["h"] + 1, acc["h"] == n_plain).alias("bias"),
-            F.concat(acc["out"], _varint(delta, acc["bias"])).alias("out"))
+        def insert(acc: Column, p: Column) -> Column:
+            # Where the character goes in the string of all smaller ones.
+            spot = F.size(F.filter(points, lambda o: (o["cp"] <= p["cp"])
+                                   & (o["at"] < p["at"]))).cast("bigint")
 
-    return F.concat(F.lit("xn--"), F.aggregate(special, start, insert, lambda acc: acc["out"]))
+            def place(spot: Column, delta: Column) -> Column:
+                return F.struct(
+                    p["cp"].alias("n"), (spot + 1).alias("i"), (acc["h"] + 1).alias("h"),
+                    _adapt(delta, acc["h"] + 1, acc["h"] == n_plain).alias("bias"),
+                    F.concat(acc["out"], _varint(delta, acc["bias"])).alias("out"))
+
+            return let(spot, lambda at: let(
+                (p["cp"] - acc["n"]) * (acc["h"] + 1) + at - acc["i"], lambda d: place(at, d)))
+
+        special = F.array_sort(F.filter(points, lambda p: p["cp"] >= INITIAL_N))
+        return F.aggregate(special, start, insert, lambda acc: acc["out"])
+
+    return let(points, lambda ps: F.concat(
+        F.lit("xn--"), insert_all(ps, F.length(basic).cast("bigint"))))
 
 
 def ascii_host(host: Column) -> Column:
     """Host with every non-ASCII label in its ``xn--`` form."""
-    encoded = F.array_join(F.transform(
-        F.split(host, r"\."),
-        lambda label: F.when(label.rlike(NON_ASCII), _encode_label(label)).otherwise(label)), ".")
-    return F.when(host.rlike(NON_ASCII), encoded).otherwise(host)
+    def encoded(h: Column) -> Column:
+        return F.array_join(F.transform(
+            F.split(h, r"\."),
+            lambda label: F.when(label.rlike(NON_ASCII), _encode_label(label)).otherwise(label)), ".")
+
+    return let(host, lambda h: F.when(h.rlike(NON_ASCII), encoded(h)).otherwise(h))

@@ -78,9 +78,12 @@ def fold_str(text: str) -> str:
 def fold_text(c: Column) -> Column:
     """Lower case without accents. ASCII-only text skips the translation."""
     src, dst = _fold_pairs()
-    low = F.lower(c)
-    folded = F.regexp_replace(F.translate(low, src, dst), r"[\u0300-\u036f]+", "")
-    return F.when(low.rlike(r"[^\x00-\x7F]"), folded).otherwise(low)
+
+    def fold(low: Column) -> Column:
+        bare = F.regexp_replace(F.translate(low, src, dst), r"[\u0300-\u036f]+", "")
+        return F.when(low.rlike(r"[^\x00-\x7F]"), bare).otherwise(low)
+
+    return fold(F.lower(c))
 
 
 def _char_of(code_point: Column, original: Column) -> Column:

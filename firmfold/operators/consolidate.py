@@ -78,7 +78,9 @@ def match_existing(merged: DataFrame, lead: DataFrame) -> DataFrame:
 
 
 def lead_id_of(key: Column) -> Column:
-    return F.sha2(key, 256)
+    """The same id for a key in every run. Stated as never null, so that joins
+    on it do not test the whole expression behind it for null at the scan."""
+    return F.coalesce(F.sha2(key, 256), F.lit(""))
 
 
 def merge_lead(old: str, new: str) -> list[Column]:

@@ -9,7 +9,7 @@ from firmfold.functions.classify import classify_text, detect_region
 from firmfold.functions.contact import norm_email, norm_phone_hu, url_domain
 from firmfold.functions.identity import dedupe_key, looks_personal
 from firmfold.functions.rules import DEFAULT_RULES, RuleSet
-from firmfold.functions.text import blank_to_null, empty_to_null, js_trim
+from firmfold.functions.text import blank_to_null, empty_to_null, fold_text, js_trim
 from firmfold.schemas import LEAD_INPUT_COLUMNS
 
 
@@ -19,8 +19,10 @@ def normalize_businesses(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Data
     text = empty_to_null(F.concat_ws(" ", *[empty_to_null(c(n)) for n in (
         "classification_text", "legal_name", "brand_name")]))
     extra = [n for n in raw.columns if n not in LEAD_INPUT_COLUMNS]
-    prepared = raw.select(
-        "*", norm_email(c("email")).alias("_email"), text.alias("_text"))
+    # What several outputs are made from becomes a column first: computed once,
+    # and the classification above it stays one generated function.
+    prepared = raw.select("*", norm_email(c("email")).alias("_email"), text.alias("_text"),
+                          fold_text(text).alias("_hay"), fold_text(c("address")).alias("_place"))
     given = F.coalesce(c("categories"), F.array().cast("array<string>"))
     return prepared.select(
         js_trim(c("legal_name")).alias("legal_name"),
@@ -32,8 +34,8 @@ def normalize_businesses(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Data
         blank_to_null(c("address")).alias("address"),
         blank_to_null(c("vat_number")).alias("vat_number"),
         blank_to_null(c("registration_number")).alias("registration_number"),
-        detect_region(c("address"), rules).alias("region_id"),
-        F.array_union(classify_text(c("_text"), rules), given).alias("categories"),
+        detect_region(c("_place"), rules, folded=True).alias("region_id"),
+        F.array_union(classify_text(c("_hay"), rules, folded=True), given).alias("categories"),
         c("_text").alias("classification_text"),
         c("source"), c("source_url"), c("source_license"),
         (F.coalesce(c("is_personal_data"), F.lit(False))
