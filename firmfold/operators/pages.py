@@ -65,19 +65,28 @@ def keep_prefix(pages: DataFrame, prefix: DataFrame) -> DataFrame:
             .drop("start_page", "last_page"))
 
 
-def record_limit(rows: DataFrame, limit: int | None, region: str = "crawl_region") -> DataFrame:
-    """First N records per source and region, in page order.
+def record_limit(parsed: DataFrame, page_counts: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Cut the pages of limited sources to their first N records per region.
 
-    ``pos`` counts the records of a page from 0, so one beyond position N of
-    its own page cannot be among the first N and goes before the shuffle;
-    Spark's group limit cuts the rest on the map side.
+    Which records of a page are among the first N follows from how many the
+    pages before it hold. So only page counts are ordered (a region has as
+    many as the page cap allows) and records neither move nor get sorted; other
+    sources pass.
     """
-    if limit is None:
-        return rows
-    order = Window.partitionBy("source", region).orderBy("page", "pos")
-    return (rows.filter(F.col("pos") < limit)
-            .withColumn("_rank", F.row_number().over(order))
-            .filter(F.col("_rank") <= limit).drop("_rank"))
+    if not limits:
+        return parsed
+    source = F.col("source")
+    limit = None
+    for source_id, n in limits.items():
+        own = source == source_id
+        limit = F.when(own, F.lit(n)) if limit is None else limit.when(own, F.lit(n))
+    before = Window.partitionBy(*REGION_KEY).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    takes = page_counts.filter(source.isin(list(limits))).select(
+        *REGION_KEY, "page",
+        F.greatest(limit - F.coalesce(F.sum("n_rows").over(before), F.lit(0)), F.lit(0)).cast("int").alias("_take"))
+    cut = F.when(F.col("_take").isNull(), F.col("records")).otherwise(
+        F.slice("records", F.lit(1), F.col("_take")))
+    return parsed.join(takes, [*REGION_KEY, "page"], "left").withColumn("records", cut).drop("_take")
 
 
 def save_cursor(crawl_state: DataFrame, seen: DataFrame, now: Column) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +22,10 @@ from firmfold.operators.pages import keep_prefix, landed_range, page_prefix, rec
 from firmfold.operators.report import batch_by_source
 from firmfold.operators.suppress import flag_suppressed
 from firmfold.plans.store import Store
-from firmfold.sources.pages import explode_records, latest_pages, parse_pages, union_sources, with_row_counts
-from firmfold.sources.registry import SourceSpec, gate_sensitive_sources
+from firmfold.sources.pages import explode_records, latest_pages, row_counts, union_sources
+from firmfold.sources.registry import gate_sensitive_sources
 
-STAGED = ["prefix", "batch", "matched"]
+STAGED = ["parsed", "prefix", "batch", "matched"]
 
 
 @dataclass
@@ -39,16 +38,6 @@ class IngestStats:
     per_source: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
-def harvest(pages: DataFrame, prefix: DataFrame, specs: list[SourceSpec], rules: RuleSet,
-            limit: int | None) -> DataFrame:
-    """Raw rows of the pages inside their runs, cut to each source's limit."""
-    parts = []
-    for spec in specs:
-        rows = explode_records(parse_pages(keep_prefix(pages, prefix), spec, rules), rules)
-        parts.append(record_limit(rows, limit if limit is not None else spec.default_limit))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def merge_events(batch: DataFrame, matched: DataFrame, now, run_id: str) -> DataFrame:
     """COLLECTED per new identity; MERGED per identity and source that met it
     as a stored one, be it from before this run or from an earlier source."""
@@ -96,11 +85,15 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
     paginated = [s.id for s in specs if s.paginated]
     state = store.read("crawl_state")
     starts = resume_cursor(wanted, state.filter(F.col("source").isin(paginated)), full)
-    counts = with_row_counts(union_sources(pages, specs, rules))
+    # Bodies are heavy and parsing them is work: that happens once.
+    parsed = store.stage(run_id, "parsed", union_sources(pages, specs, rules))
+    counts = row_counts(parsed)
     runs = landed_range(counts) if all_pages else page_prefix(counts, starts, max_pages)
     prefix = store.stage(run_id, "prefix", runs)
 
-    rows = harvest(pages, prefix, specs, rules, limit)
+    limits = {s.id: limit or s.default_limit for s in specs if limit or s.default_limit}
+    inside = record_limit(keep_prefix(parsed, prefix), keep_prefix(counts, prefix), limits)
+    rows = explode_records(inside, rules, regions)
     leads = with_dedupe_key(region_fallback(normalize_businesses(rows, rules)))
     batch = store.stage(run_id, "batch", flag_suppressed(leads, store.read("suppression")))
 

@@ -1,9 +1,7 @@
-"""Landing table -> parsed pages -> raw rows, for one or all sources."""
+"""Landing table -> parsed pages -> raw rows, for one source or many."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,41 +25,54 @@ def latest_pages(pages: DataFrame) -> DataFrame:
             .select("source", "region_id", "page", "newest.body", "newest.fetched_at"))
 
 
-def parse_pages(pages: DataFrame, spec: SourceSpec, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """Pages of one source with their records: narrow, no shuffle."""
-    parsed = spec.parse(F.col("body"), spec.provenance, rules)
-    own = pages.filter(F.col("source") == spec.id)
-    return own.select("source", "region_id", "page",
-                      parsed.records.alias("records"), parsed.malformed.alias("malformed"),
-                      F.lit(source_ordinal(spec.id)).alias("source_ord"))
+def union_sources(pages: DataFrame, specs: list[SourceSpec], rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Pages of all sources of a run with their records, in one narrow pass.
 
+    Each page goes through the parser of its own source (a CASE, evaluated row
+    by row), so the landing table is scanned once however many sources it holds.
+    """
+    records, malformed, order = None, None, None
+    for spec in specs:
+        own = F.col("source") == spec.id
+        parsed = spec.parse(F.col("body"), spec.provenance, rules)
+        ordinal = F.lit(source_ordinal(spec.id))
+        records = F.when(own, parsed.records) if records is None else records.when(own, parsed.records)
+        malformed = F.when(own, parsed.malformed) if malformed is None else malformed.when(own, parsed.malformed)
+        order = F.when(own, ordinal) if order is None else order.when(own, ordinal)
+    wanted = pages.filter(F.col("source").isin([s.id for s in specs]))
+    parsed = wanted.select("source", "region_id", "page", records.alias("records"),
+                           F.coalesce(malformed, F.lit(True)).alias("malformed"), order.alias("source_ord"))
+    return parsed.withColumn("n_rows", F.size("records"))
 
-def union_sources(pages: DataFrame, specs: list[SourceSpec], rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """Parsed pages of all sources of a run. The source filter of each branch
-    reaches the scan, so a landing table partitioned by source is read once."""
-    return reduce(DataFrame.unionByName, [parse_pages(pages, s, rules) for s in specs])
+
+def parse_pages(pages: DataFrame, spec: SourceSpec, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    return union_sources(pages, [spec], rules)
 
 
 def bad_pages(parsed: DataFrame) -> DataFrame:
     return parsed.filter("malformed").select("source", "region_id", "page")
 
 
-def with_row_counts(parsed: DataFrame) -> DataFrame:
-    """Page-level counts; only what the parser needs for names is evaluated."""
-    return parsed.select("source", "region_id", "page", "malformed",
-                         F.size("records").alias("n_rows"))
+def row_counts(parsed: DataFrame) -> DataFrame:
+    """The page-level table: no records."""
+    return parsed.select("source", "region_id", "page", "malformed", "n_rows")
 
 
-def region_order(rules: RuleSet = DEFAULT_RULES):
-    """Ordinal of a page's region: rule order, unknown regions last."""
-    known = F.array_position(F.array(*[F.lit(r.id) for r in rules.regions]), F.col("region_id"))
-    return F.when(known > 0, known).otherwise(F.lit(len(rules.regions) + 1)).cast("int")
+def region_order(regions: list[str]):
+    """Ordinal of a page's region in a run; regions not named come last."""
+    known = F.array_position(F.array(*[F.lit(r) for r in regions]), F.col("region_id"))
+    return F.when(known > 0, known).otherwise(F.lit(len(regions) + 1)).cast("int")
 
 
-def explode_records(parsed: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """One row per record, with its place in the order of arrival (``seq``)."""
+def explode_records(parsed: DataFrame, rules: RuleSet = DEFAULT_RULES,
+                    regions: list[str] | None = None) -> DataFrame:
+    """One row per record, with its place in the order of arrival (``seq``).
+
+    Regions count in the order of the request, by default that of the rules.
+    """
+    regions = regions if regions is not None else [r.id for r in rules.regions]
     rows = parsed.select("source_ord", F.col("region_id").alias("crawl_region"), "page",
-                         region_order(rules).alias("region_ord"),
+                         region_order(regions).alias("region_ord"),
                          F.posexplode("records").alias("pos", "r"))
     seq = F.struct("source_ord", "region_ord", "page", "pos").cast(SEQ)
     return rows.select("r.*", "crawl_region", "page", "pos", seq.alias("seq"))

@@ -47,20 +47,19 @@ def lead(spark: SparkSession, sf: str) -> DataFrame:
         return F.when(F.col("k") % n == 0, F.col("at"))
 
     checked = F.col("k") % 17 == 0
-    filled = (rows.withColumn("lead_id", lead_id_of(F.col("dedupe_key")))
-              .withColumn("quality_score", score_of_row())
-              .withColumn("gdpr_basis", F.lit("legitimate_interest"))
-              .withColumn("lifecycle", F.when(F.col("k") % 4 == 1, "CONTACTED").otherwise("NEW"))
-              .withColumn("review_status", F.when(F.col("quality") == 1, "APPROVED")
-                          .when(F.col("quality") == 0, "REJECTED").otherwise("PENDING"))
-              .withColumn("collected_at", F.col("at"))
-              .withColumn("last_verified_at", at(13)).withColumn("nav_checked_at", at(17))
-              .withColumn("contact_checked_at", at(19)).withColumn("places_checked_at", at(23))
-              .withColumn("tax_status", F.when(checked, F.when(F.col("k") % 2 == 0, "ACTIVE").otherwise("CANCELLED")))
-              .withColumn("debt_free", F.when(checked, F.col("k") % 3 == 0)))
+    filled = rows.withColumns({
+        "lead_id": lead_id_of(F.col("dedupe_key")), "quality_score": score_of_row(),
+        "gdpr_basis": F.lit("legitimate_interest"),
+        "lifecycle": F.when(F.col("k") % 4 == 1, "CONTACTED").otherwise("NEW"),
+        "review_status": F.when(F.col("quality") == 1, "APPROVED")
+        .when(F.col("quality") == 0, "REJECTED").otherwise("PENDING"),
+        "collected_at": F.col("at"), "last_verified_at": at(13), "nav_checked_at": at(17),
+        "contact_checked_at": at(19), "places_checked_at": at(23),
+        "tax_status": F.when(checked, F.when(F.col("k") % 2 == 0, "ACTIVE").otherwise("CANCELLED")),
+        "debt_free": F.when(checked, F.col("k") % 3 == 0)})
     types = dict(part.split() for part in LEAD.split(","))
-    missing = [n for n in LEAD_COLUMNS if n not in filled.columns]
-    return as_lead(filled.select("*", *[F.lit(None).cast(types[n]).alias(n) for n in missing]))
+    missing = {n: F.lit(None).cast(types[n]) for n in LEAD_COLUMNS if n not in filled.columns}
+    return as_lead(filled.withColumns(missing))
 
 
 def _answers(spark: SparkSession, sf: str, key: str, body: str) -> DataFrame:

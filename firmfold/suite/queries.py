@@ -27,7 +27,7 @@ from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
 from firmfold.session import configure
-from firmfold.sources.pages import explode_records, parse_pages
+from firmfold.sources.pages import explode_records, parse_pages, row_counts
 from firmfold.sources.registry import get_source
 from firmfold.suite import frames as W
 from firmfold.suite import oracle as O
@@ -457,8 +457,9 @@ def save_cursor(spark, sf):
     row_number() OVER (PARTITION BY source, crawl_region ORDER BY page, pos, k) AS rn FROM raw WHERE k % 29 <> 0) r
   WHERE rn <= 25""", "raw"))
 def record_limit(spark, sf):
-    rows = explode_records(parse_pages(_directory_pages(spark, sf), get_source("directory")))
-    return P.record_limit(rows, 25).select(F.col("crawl_region").alias("region_id"), "page", "pos")
+    parsed = parse_pages(_directory_pages(spark, sf), get_source("directory"))
+    cut = P.record_limit(parsed, row_counts(parsed), {"directory": 25})
+    return explode_records(cut).select(F.col("crawl_region").alias("region_id"), "page", "pos")
 
 
 @query(O.sql("SELECT source, region_id, last_page, total_seen FROM cur", "cur"))
