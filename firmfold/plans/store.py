@@ -49,8 +49,10 @@ class Store:
         return None if entries is None else entries.orderBy(F.desc("version")).first()
 
     def _record(self, name: str, version: int, run_id: str) -> None:
-        row = self.spark.createDataFrame([(name, version, run_id, self.buckets)], LEDGER)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_ledger")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(name).alias("name"), F.lit(version).cast("bigint").alias("version"),
+            F.lit(run_id).alias("run_id"), F.lit(self.buckets).alias("buckets"))
+        row.write.mode("append").parquet(f"{self.root}/_ledger")
 
     def done(self, name: str, run_id: str) -> bool:
         entries = self._entries(name)

@@ -33,7 +33,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "firmfold", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    # Without a recorded call site per Column call, large plans build faster.
+    builder = SparkSession.builder.appName(app).config(
+        "spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmfold.functions.classify import activity_to_categories
@@ -14,7 +14,9 @@ from firmfold.sources.contact_pages import merge_contact_pages
 from firmfold.sources.lookups import parse_places, parse_tax_signals, parse_vat_register
 from firmfold.suite import staging as S
 
-NOW = F.lit("1999-06-01 12:00:00").cast("timestamp")
+
+def now() -> Column:
+    return F.lit("1999-06-01 12:00:00").cast("timestamp")
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:

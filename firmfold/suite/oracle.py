@@ -237,8 +237,11 @@ _NEEDS = {"norm": ["raw"], "keyed": ["norm"], "flagged": ["keyed", "sup"], "merg
           "places": ["lk"]}
 
 
-def sql(select: str, *names: str, **extra: str) -> str:
-    """``select`` under the common tables it names and what those need."""
+def sql(select: str, *names: str, raw: str | None = None, **extra: str) -> str:
+    """``select`` under the common tables it names and what those need.
+
+    ``raw`` puts other text in the place of the staged records.
+    """
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -249,6 +252,6 @@ def sql(select: str, *names: str, **extra: str) -> str:
 
     for name in names:
         add(name)
-    known = _ctes()
+    known = _ctes() | ({"raw": raw} if raw else {})
     parts = [f"{n} AS ({known[n]})" for n in ordered] + [f"{n} AS ({t})" for n, t in extra.items()]
     return (f"WITH {', '.join(parts)}\n" if parts else "") + select

@@ -6,6 +6,7 @@ frame, ``ORACLES[name]`` the SQL text; a query without text is checked by tests.
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +27,15 @@ from firmfold.operators import report as R
 from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
-from firmfold.session import configure
-from firmfold.sources.pages import explode_records, parse_pages, row_counts
+from firmfold.plans.ingest import ingest as ingest_job
+from firmfold.plans.store import Store
+from firmfold.session import configure, scratch_dir
+from firmfold.sources.pages import explode_records, parse_pages, read_pages, row_counts
 from firmfold.sources.registry import get_source
 from firmfold.suite import frames as W
 from firmfold.suite import oracle as O
 from firmfold.suite import staging as S
+from firmfold.streaming.ingest_stream import ingest_stream as run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,7 +243,11 @@ def _page_rows(spark, sf, source: str, record: Column) -> DataFrame:
         F.lit(source).alias("source"), F.concat_ws("/", "source", "crawl_region").alias("region_id"), "page", "body")
 
 
-_NAMED = F.expr("CASE WHEN k % 29 = 0 THEN '  ' ELSE legal_name END")
+def _named() -> Column:
+    """Some records have no name."""
+    return F.expr("CASE WHEN k % 29 = 0 THEN '  ' ELSE legal_name END")
+
+
 _POS = ("cast(row_number() OVER (PARTITION BY source, crawl_region, page ORDER BY pos, k) - 1 AS int) AS pos, "
         "concat(source, '/', crawl_region) AS region_id, page")
 _TEXT = "trim(concat(coalesce({0}, ''), ' ', trim(legal_name)))"
@@ -260,7 +268,7 @@ def parse_directory_pages(spark, sf):
 
 
 def _directory_pages(spark, sf) -> DataFrame:
-    record = F.to_json(F.struct(F.col("k").alias("id"), _NAMED.alias("name"), "email", "phone", "website",
+    record = F.to_json(F.struct(F.col("k").alias("id"), _named().alias("name"), "email", "phone", "website",
                                 "address", F.col("vat_number").alias("vat"), "activity"))
     return _page_rows(spark, sf, "directory", record)
 
@@ -270,7 +278,7 @@ _CODE_LIST = O.joined(O.by_prefix("activity_code", 4, DEFAULT_RULES.activity_cod
 
 def _register_record(name: str) -> Column:
     return F.to_json(F.struct(
-        F.col("k").cast("string").alias("id"), _NAMED.alias(name), F.col("vat_number").alias("taxNumber"),
+        F.col("k").cast("string").alias("id"), _named().alias(name), F.col("vat_number").alias("taxNumber"),
         F.col("registration_number").alias("registrationNumber"), F.col("address").alias("seat"),
         F.col("activity_code").alias("teaorCode"), F.col("activity").alias("teaorText"), "website", "email", "phone"))
 
@@ -308,7 +316,7 @@ _AWARD_CODES = "CASE k % 4 WHEN 0 THEN '90919200-4' WHEN 1 THEN '72500000-0' WHE
   AS category_list FROM raw WHERE k % 29 <> 0""", "raw"))
 def parse_award_pages(spark, sf):
     codes = F.expr(f"CASE WHEN k % 4 <> 3 THEN array({_AWARD_CODES}, '79713000-5', 'n/a') END")
-    record = F.to_json(F.struct(F.col("k").alias("id"), _NAMED.alias("supplierName"),
+    record = F.to_json(F.struct(F.col("k").alias("id"), _named().alias("supplierName"),
                                 F.col("vat_number").alias("supplierVat"),
                                 F.col("address").alias("supplierAddress"), codes.alias("cpvCodes"),
                                 F.col("activity").alias("title")))
@@ -449,7 +457,7 @@ def pages_in_prefix(spark, sf):
 def save_cursor(spark, sf):
     seen = _prefix(spark, sf).select("source", "region_id", "last_page",
                                      (F.col("last_page") - F.col("start_page") + 1).alias("n_seen"))
-    return P.save_cursor(S.cursors(spark, sf), seen, W.NOW).drop("last_run_at")
+    return P.save_cursor(S.cursors(spark, sf), seen, W.now()).drop("last_run_at")
 
 
 @query(O.sql("""SELECT region_id, page, pos FROM (SELECT concat(source, '/', crawl_region) AS region_id, page,
@@ -510,7 +518,7 @@ _ENTRIES = """SELECT concat('https://www.CEG', cast(s_suppkey * 4 AS varchar(20)
   GROUP BY value""", "sup", entries=_ENTRIES.format("supplier")))
 def add_suppression(spark, sf):
     entries = spark.sql(_ENTRIES.format(S.at(sf, "supplier")))
-    return U.add_suppression(S.suppression(spark, sf), entries, W.NOW).drop("created_at")
+    return U.add_suppression(S.suppression(spark, sf), entries, W.now()).drop("created_at")
 
 
 # -- consolidation -----------------------------------------------------------------------
@@ -535,7 +543,7 @@ def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame]:
     rows = W.batch(spark, sf)
     first = M.dedupe_batch(rows.filter("source = 'ebeszamolo'"), seq="seqno")
     second = M.dedupe_batch(rows.filter("source = 'directory'"), seq="seqno")
-    return M.upsert_lead(spark.createDataFrame([], M.LEAD), first, W.NOW), second
+    return M.upsert_lead(spark.createDataFrame([], M.LEAD), first, W.now()), second
 
 
 @query(O.sql("""SELECT count(CASE WHEN m1.dedupe_key IS NULL THEN 1 END) AS created,
@@ -571,7 +579,7 @@ _UPSERT = f"""SELECT coalesce(m1.dedupe_key, m2.dedupe_key) AS dedupe_key,
   '1999-06-01T12:00:00.000Z' AS collected_at FROM up""", "keyed", **_TWO, up=_UPSERT))
 def upsert_lead(spark, sf):
     lead, second = _two_batches(spark, sf)
-    out = M.upsert_lead(lead, second, W.NOW)
+    out = M.upsert_lead(lead, second, W.now())
     return out.select("lead_id", *_MERGED_COLUMNS, joined("categories").alias("categories"), "quality_score",
                       "review_status", "lifecycle", stamp("collected_at"))
 
@@ -707,7 +715,7 @@ def set_review(spark, sf):
     decisions = lead.filter(F.col("quality_score") % 20 == 0).select(
         "lead_id", action.alias("action"), F.when(F.col("quality_score") < 30, "weak").alias("note"),
         F.lit(1).alias("ord"))
-    out = E.apply_outcome(lead, V.set_review(lead, decisions, W.NOW), V.REVIEW_COLUMNS)
+    out = E.apply_outcome(lead, V.set_review(lead, decisions, W.now()), V.REVIEW_COLUMNS)
     return out.select("lead_id", "review_status", "review_note", stamp("reviewed_at"))
 
 
@@ -732,7 +740,7 @@ _VERIFIED = f"""SELECT l.* REPLACE (CASE WHEN p.valid AND coalesce(l.address, ''
   FROM v""", "lead", "vat_register", v=_VERIFIED))
 def verify_vat(spark, sf):
     lead = W.lead(spark, sf)
-    outcome = E.verify_vat(lead, W.vat_register(spark, sf), W.NOW)
+    outcome = E.verify_vat(lead, W.vat_register(spark, sf), W.now())
     return E.apply_outcome(lead, outcome, E.VAT_COLUMNS).select(
         "lead_id", "address", "quality_score", stamp("last_verified_at"))
 
@@ -741,7 +749,7 @@ def verify_vat(spark, sf):
   count(CASE WHEN hit IS NOT NULL AND NOT valid THEN 1 END) AS invalid, count(CASE WHEN changed THEN 1 END) AS enriched,
   count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "vat_register", v=_VERIFIED))
 def vat_stats(spark, sf):
-    return E.vat_stats(E.verify_vat(W.lead(spark, sf), W.vat_register(spark, sf), W.NOW))
+    return E.vat_stats(E.verify_vat(W.lead(spark, sf), W.vat_register(spark, sf), W.now()))
 
 
 _TAX_CANDIDATE = "l.vat_number IS NOT NULL AND l.nav_checked_at IS NULL"
@@ -757,7 +765,7 @@ _TAXED = f"""SELECT l.lead_id, p.core AS hit, {_TAX_CANDIDATE} AS candidate, l.n
              "lead", "tax_signals", v=_TAXED))
 def check_tax(spark, sf):
     lead = W.lead(spark, sf)
-    outcome = E.check_tax(lead, W.tax_signals(spark, sf), W.NOW)
+    outcome = E.check_tax(lead, W.tax_signals(spark, sf), W.now())
     return E.apply_outcome(lead, outcome, E.TAX_COLUMNS).select(
         "lead_id", "tax_status", "debt_free", "employee_count", stamp("nav_checked_at"))
 
@@ -767,7 +775,7 @@ def check_tax(spark, sf):
   count(CASE WHEN new_status = 'CANCELLED' THEN 1 END) AS cancelled, count(CASE WHEN new_debt THEN 1 END) AS debt_free,
   count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "tax_signals", v=_TAXED))
 def tax_stats(spark, sf):
-    return E.tax_stats(E.check_tax(W.lead(spark, sf), W.tax_signals(spark, sf), W.NOW))
+    return E.tax_stats(E.check_tax(W.lead(spark, sf), W.tax_signals(spark, sf), W.now()))
 
 
 _CONTACT_CANDIDATE = "l.domain IS NOT NULL AND (l.email IS NULL OR l.phone IS NULL) AND l.contact_checked_at IS NULL"
@@ -783,7 +791,7 @@ _CONTACTED = f"""SELECT l.* REPLACE (coalesce(l.email, p.email) AS email, coales
   FROM v""", "lead", "contacts", v=_CONTACTED))
 def enrich_contacts(spark, sf):
     lead = W.lead(spark, sf)
-    outcome = E.enrich_contacts(lead, W.contacts(spark, sf), W.NOW)
+    outcome = E.enrich_contacts(lead, W.contacts(spark, sf), W.now())
     return E.apply_outcome(lead, outcome, E.CONTACT_COLUMNS).select(
         "lead_id", "email", "phone", "quality_score", stamp("contact_checked_at"))
 
@@ -792,7 +800,7 @@ def enrich_contacts(spark, sf):
   count(CASE WHEN new_email THEN 1 END) AS emails_added, count(CASE WHEN new_phone THEN 1 END) AS phones_added,
   count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "contacts", v=_CONTACTED))
 def contact_stats(spark, sf):
-    return E.contact_stats(E.enrich_contacts(W.lead(spark, sf), W.contacts(spark, sf), W.NOW))
+    return E.contact_stats(E.enrich_contacts(W.lead(spark, sf), W.contacts(spark, sf), W.now()))
 
 
 _PLACE_CANDIDATE = "(l.phone IS NULL OR l.website IS NULL) AND l.places_checked_at IS NULL"
@@ -813,7 +821,7 @@ _PLACED = f"""SELECT l.* REPLACE (coalesce(l.phone, p.phone) AS phone, coalesce(
   FROM v""", "lead", "places", v=_PLACED))
 def enrich_places(spark, sf):
     lead = W.lead(spark, sf)
-    outcome = E.enrich_places(lead, W.places(spark, sf), W.NOW)
+    outcome = E.enrich_places(lead, W.places(spark, sf), W.now())
     return E.apply_outcome(lead, outcome, E.PLACE_COLUMNS).select(
         "lead_id", "phone", "website", "domain", "address", "quality_score", stamp("places_checked_at"))
 
@@ -823,7 +831,7 @@ def enrich_places(spark, sf):
   count(CASE WHEN new_website THEN 1 END) AS websites_added, count(CASE WHEN new_address THEN 1 END) AS addresses_added,
   count(CASE WHEN candidate AND hit IS NULL THEN 1 END) AS skipped FROM v""", "lead", "places", v=_PLACED))
 def places_stats(spark, sf):
-    return E.places_stats(E.enrich_places(W.lead(spark, sf), W.places(spark, sf), W.NOW))
+    return E.places_stats(E.enrich_places(W.lead(spark, sf), W.places(spark, sf), W.now()))
 
 
 @query(O.sql(f"SELECT l.lead_id FROM lead l WHERE {_VAT_CANDIDATE} ORDER BY lead_id LIMIT 100", "lead"))
@@ -859,7 +867,7 @@ _DECIDED = """SELECT l.*, CASE
 
 def _decided(spark, sf) -> tuple[DataFrame, DataFrame]:
     lead = W.lead(spark, sf)
-    return lead, G.purge_candidates(lead, S.suppression(spark, sf), W.NOW)
+    return lead, G.purge_candidates(lead, S.suppression(spark, sf), W.now())
 
 
 @query(O.sql("SELECT lead_id, reason FROM v", "lead", "sup", v=_DECIDED))
@@ -898,7 +906,7 @@ def erase_events(spark, sf):
              "lead", "sup", v=_DECIDED))
 def erasure_events(spark, sf):
     doomed = _decided(spark, sf)[1].filter("reason is not null")
-    return G.erasure_events(doomed, "PURGED", W.NOW, "run", reason=F.col("reason")).select("lead_id", "type", "meta")
+    return G.erasure_events(doomed, "PURGED", W.now(), "run", reason=F.col("reason")).select("lead_id", "type", "meta")
 
 
 @query(O.sql(f"""SELECT email AS subject, l.lead_id, legal_name, quality_score, type, meta, {O.iso('a.created_at')} AS created_at
@@ -958,3 +966,55 @@ def recategorize_stats(spark, sf):
 @query(O.sql("SELECT type, count(*) AS n_events, count(lead_id) AS n_attached FROM audit GROUP BY type", "keyed", audit=_AUDIT))
 def audit_rollup(spark, sf):
     return rollup(W.audit_events(spark, sf))
+
+
+# -- whole jobs -----------------------------------------------------------------------------
+
+# What survives the landing: a listing knows no registration number and no code,
+# neither source states a brand or a flag, nameless records go, provenance is the source's.
+_LANDED = f"""SELECT * REPLACE (
+    CASE WHEN source = 'directory' THEN NULL ELSE registration_number END AS registration_number,
+    CASE WHEN source = 'directory' THEN NULL ELSE activity_code END AS activity_code,
+    cast(NULL AS boolean) AS is_personal_data, cast(NULL AS varchar) AS brand_name,
+    CASE WHEN source = 'directory' THEN concat('https://directory.example/biz/', k)
+         ELSE concat('https://companies.example/cegadat/', k) END AS source_url, trim(legal_name) AS legal_name)
+  FROM ({S.raw_business_sql()}) z WHERE k % 29 <> 0"""
+
+_JOB_COLUMNS = ["lead_id", *_MERGED_COLUMNS, "quality_score"]
+_JOB_SQL = O.sql(f"""SELECT sha256(dedupe_key) AS lead_id, {', '.join(_MERGED_COLUMNS)}, {O.joined('categories')} AS categories,
+  {O.score()} AS quality_score FROM merged""", "merged", raw=_LANDED)
+
+
+def _land(spark, sf) -> DataFrame:
+    """Customers as registry pages, suppliers as directory pages."""
+    parts = []
+    for source, record in (("directory", F.to_json(F.struct(
+            F.col("k").alias("id"), _named().alias("name"), "email", "phone", "website", "address",
+            F.col("vat_number").alias("vat"), "activity"))), ("ebeszamolo", _register_record("companyName"))):
+        pages = _page_rows(spark, sf, source, record).filter(F.col("region_id").startswith(source))
+        parts.append(pages.withColumn("region_id", F.substring_index("region_id", "/", -1)))
+    return parts[0].unionByName(parts[1]).withColumn("fetched_at", W.now())
+
+
+def _stored(store: Store) -> DataFrame:
+    return store.read("lead").withColumn("categories", joined("categories")).select(*_JOB_COLUMNS, "categories")
+
+
+@query(_JOB_SQL)
+def ingest(spark, sf):
+    """Pages -> parse -> normalise -> collapse -> upsert, through a store."""
+    root = scratch_dir(spark, "ingest")
+    _land(spark, sf).write.parquet(f"{root}/pages")
+    store = Store(spark, f"{root}/store")
+    ingest_job(store, read_pages(spark, f"{root}/pages"), "run", datetime(1999, 6, 1), all_pages=True)
+    return _stored(store)
+
+
+@query(_JOB_SQL)
+def ingest_stream(spark, sf):
+    """The same result by Structured Streaming over the landing folder."""
+    root = scratch_dir(spark, "ingest-stream")
+    _land(spark, sf).write.parquet(f"{root}/pages")
+    stream = run_stream(spark, f"{root}/pages", f"{root}/store", f"{root}/checkpoint", now=datetime(1999, 6, 1))
+    stream.awaitTermination()
+    return _stored(Store(spark, f"{root}/store"))
