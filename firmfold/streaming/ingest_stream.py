@@ -19,8 +19,10 @@ def ingest_stream(spark: SparkSession, landing: str, store_root: str, checkpoint
     """Ingest every page file not seen yet, then stop (availableNow).
 
     The checkpoint is the cursor of the stream. A micro-batch may be run again
-    after a failure: its run id comes from the batch number, and the store
-    does nothing twice for one run, so rows, events and counts stay the same.
+    after a failure: its run id is made of the stream's id, which the checkpoint
+    keeps, and the batch number; the store does nothing twice for one run, so
+    rows, events and counts stay the same. With a new checkpoint all pages are
+    ingested again, which leaves the master table as it is.
     """
     reader = spark.readStream.schema(RAW_PAGES)
     if max_files_per_batch:
@@ -29,7 +31,8 @@ def ingest_stream(spark: SparkSession, landing: str, store_root: str, checkpoint
     def one_batch(pages: DataFrame, batch_id: int) -> None:
         store = Store(pages.sparkSession, store_root, buckets)
         stamp = now or datetime.now(timezone.utc)
-        ingest(store, pages, f"stream-{batch_id:012d}", stamp, all_pages=True, **options)
+        stream_id = pages.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        ingest(store, pages, f"{stream_id}-{batch_id:012d}", stamp, all_pages=True, **options)
 
     return (reader.parquet(landing).writeStream.foreachBatch(one_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
