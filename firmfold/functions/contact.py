@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from firmfold.functions.punycode import ascii_host
-from firmfold.functions.text import BLANK_CLASS, empty_to_null, js_trim, strip_tags
+from firmfold.functions.text import BLANK_CLASS, empty_to_null, js_trim, let, strip_tags
 
 # One @, no blanks, a dot after it. Nearly all addresses are printable ASCII,
 # whose character class is a plain bit set; only the others need all blanks.
@@ -50,7 +50,8 @@ def url_domain(c: Column) -> Column:
 
 def emails_in(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(EMAIL_IN_TEXT), F.lit(0))
-    return F.array_distinct(F.transform(found, F.lower))
+    none = F.array().cast("array<string>")
+    return F.when(text.contains("@"), F.array_distinct(F.transform(found, F.lower))).otherwise(none)
 
 
 def phones_in(text: Column) -> Column:
@@ -60,5 +61,5 @@ def phones_in(text: Column) -> Column:
 
 def extract_contacts(html: Column) -> Column:
     """Ordered distinct e-mails and phones in the visible text of a page."""
-    text = strip_tags(html)
-    return F.struct(emails_in(text).alias("emails"), phones_in(text).alias("phones"))
+    return let(strip_tags(html), lambda text: F.struct(
+        emails_in(text).alias("emails"), phones_in(text).alias("phones")))

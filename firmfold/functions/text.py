@@ -35,8 +35,12 @@ def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# Blanks that are not a single space already: in running text, few.
+_BLANK_RUN = f"[{BLANK_CLASS}&&[^ ]][{BLANK_CLASS}]*| [{BLANK_CLASS}]+"
+
+
 def collapse_blanks(c: Column) -> Column:
-    return js_trim(F.regexp_replace(c, f"[{BLANK_CLASS}]+", " "))
+    return js_trim(F.regexp_replace(c, _BLANK_RUN, " "))
 
 
 def let(c: Column, body: Callable[[Column], Column]) -> Column:
@@ -136,7 +140,8 @@ def decode_entities(c: Column) -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Visible text: tags become blanks; script and style text is kept."""
-    return collapse_blanks(decode_entities(F.regexp_replace(c, "<[^>]*>", " ")))
+    bare = F.when(c.contains("<"), F.regexp_replace(c, "<[^>]*>", " ")).otherwise(c)
+    return collapse_blanks(decode_entities(bare))
 
 
 def iso_timestamp(c: Column) -> Column:
