@@ -6,9 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from firmfold.functions.rules import DEFAULT_RULES, RuleSet
+
 REGION_KEY = ["source", "region_id"]
 
 
+def region_expand(spec: str | None, rules: RuleSet = DEFAULT_RULES) -> list[str]:
+    """``all`` or a comma-separated list, as the regions of a run, in order."""
+    if not spec:
+        raise ValueError("a region, a comma-separated list of regions, or 'all' is required")
+    if spec == "all":
+        return [r.id for r in rules.regions]
+    return [part.strip() for part in spec.split(",") if part.strip()]
+
+
 def resume_cursor(wanted: DataFrame, crawl_state: DataFrame, full: bool = False) -> DataFrame:
     """(source, region_id) -> start_page: the saved page again, or 1.
 

@@ -18,6 +18,9 @@ SETTINGS = {
     # even where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Buckets of the master table are written as one sorted file each: joins on
+    # its key need not sort it again.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # The ordered merge aggregates run as object-hash or sort aggregates; keep
     # a useful number of groups hashed before they fall back to sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",

@@ -28,6 +28,7 @@ from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
 from firmfold.plans.ingest import ingest as ingest_job
+from firmfold.plans.ingest import merge_events
 from firmfold.plans.store import Store
 from firmfold.session import configure, scratch_dir
 from firmfold.sources.pages import explode_records, parse_pages, read_pages, row_counts
@@ -35,6 +36,7 @@ from firmfold.sources.registry import get_source
 from firmfold.suite import frames as W
 from firmfold.suite import oracle as O
 from firmfold.suite import staging as S
+from firmfold.streaming.ingest_stream import audit_stream as stream_counts
 from firmfold.streaming.ingest_stream import ingest_stream as run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1018,3 +1020,34 @@ def ingest_stream(spark, sf):
     stream = run_stream(spark, f"{root}/pages", f"{root}/store", f"{root}/checkpoint", now=datetime(1999, 6, 1))
     stream.awaitTermination()
     return _stored(Store(spark, f"{root}/store"))
+
+
+@query(O.sql("SELECT type, count(*) AS n_events FROM audit GROUP BY type", "keyed", audit=_AUDIT))
+def audit_stream(spark, sf):
+    """Events landed as files, counted by a stream; its last state."""
+    root = scratch_dir(spark, "audit-stream")
+    W.audit_events(spark, sf).write.parquet(f"{root}/events")
+
+    def keep(counts: DataFrame, _: int) -> None:
+        counts.write.mode("overwrite").parquet(f"{root}/counts")
+
+    stream = (stream_counts(spark, f"{root}/events").writeStream.outputMode("complete").foreachBatch(keep)
+              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    stream.awaitTermination()
+    return spark.read.parquet(f"{root}/counts")
+
+
+@query(O.sql("""SELECT l.lead_id, l.type, l.meta FROM (
+    SELECT sha256(m2.dedupe_key) AS lead_id, 'MERGED' AS type,
+           concat('{"source":"directory","count":', m2.input_count, '}') AS meta
+    FROM m2 JOIN m1 ON m1.dedupe_key = m2.dedupe_key
+    UNION ALL
+    SELECT sha256(m2.dedupe_key), 'COLLECTED', concat('{"source":"', m2.source, '","sourceUrl":"', m2.source_url,
+           '","license":"', m2.source_license, '"}')
+    FROM m2 WHERE m2.dedupe_key NOT IN (SELECT dedupe_key FROM m1)) l""", "keyed", **_TWO))
+def append_audit(spark, sf):
+    """Events of a second batch over a stored first one."""
+    lead, second = _two_batches(spark, sf)
+    matched = M.match_existing(second, lead).withColumn("lead_id", M.lead_id_of(F.col("dedupe_key")))
+    rows = W.batch(spark, sf).filter("source = 'directory'").withColumn("suppressed", F.lit(False))
+    return merge_events(rows, matched, W.now(), "run").select("lead_id", "type", "meta")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmfold.operators import consolidate as M
+from firmfold.operators import enrich as E
 from firmfold.operators import govern as G
 from firmfold.operators import pages as P
 from firmfold.operators import suppress as U
@@ -240,3 +241,39 @@ def test_long_trails_stay_flat(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "r" / "long_trails")).count() == 25
     subject, = spark.read.json(str(tmp_path / "r" / "subjects")).collect()
     assert (subject["subject"], subject["lead_count"], subject["generated_at"]) == ("a@x.hu", 2, "2024-06-01T00:00:00.000Z")
+
+
+def test_region_expand():
+    assert P.region_expand(" pest, zala,") == ["pest", "zala"] and len(P.region_expand("all")) == 20
+    with pytest.raises(ValueError):
+        P.region_expand(None)
+
+
+def test_a_hot_lookup_key_is_split(spark):
+    """A third of all leads on one site, a lookup too large to broadcast."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 6000
+        base = spark.range(0, n, 1, 8).select(
+            F.col("id").cast("string").alias("lead_id"), F.concat(F.lit("k"), F.col("id")).alias("dedupe_key"),
+            F.when(F.col("id") % 3 == 0, "hot.hu").otherwise(F.concat(F.lit("d"), F.col("id"))).alias("domain"),
+            F.sha2(F.col("id").cast("string"), 512).alias("address"))
+        types = dict(p.split() for p in M.LEAD.split(","))
+        lead = base.select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items() if c not in base.columns])
+        contacts = spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") == 0, "hot.hu").otherwise(F.concat(F.lit("d"), F.col("id"))).alias("domain"),
+            F.array(F.concat(F.lit("a@d"), F.col("id"))).alias("emails"), F.array().cast("array<string>").alias("phones"))
+        out = E.enrich_contacts(lead, contacts, now())
+        assert out.filter("answered").count() == n
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == n and "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
