@@ -64,6 +64,8 @@ def word_pattern(words: list[str]) -> str:
     return r"(?<![\p{L}\p{N}])(?:" + alternatives + r")(?![\p{L}\p{N}])"
 
 
+# Ids, names and order of the categories and regions. Keywords are
+# a short list of common terms, and the larger towns of each county.
 CATEGORIES = (
     Category("cleaning", "Takarítás", ("takarít", "tisztít", "higién", "ablakmos"),
              ("cleaning", "cleaners", "clean")),
@@ -84,42 +86,44 @@ CATEGORIES = (
              ("it", "support", "server", "network", "laptop")),
 )
 
-# The capital and the 19 counties, with their larger towns.
 REGIONS = (
     Region("budapest", "Budapest", ("budapest", "főváros", "bp")),
     Region("pest", "Pest vármegye",
-           ("pest vármegye", "pest megye", "érd", "gödöllő", "vác", "cegléd", "szentendre",
-            "dunakeszi", "budaörs")),
-    Region("bacs-kiskun", "Bács-Kiskun", ("kecskemét", "baja", "kiskunfélegyháza")),
-    Region("baranya", "Baranya", ("pécs", "mohács", "komló")),
-    Region("bekes", "Békés", ("békéscsaba", "gyula", "orosháza")),
-    Region("borsod-abauj-zemplen", "Borsod-Abaúj-Zemplén", ("miskolc", "ózd", "kazincbarcika")),
+           ("pest vármegye", "pest megye", "érd", "dunakeszi", "szigetszentmiklós", "cegléd", "vác", "gödöllő", "budaörs", "szentendre")),
+    Region("bacs-kiskun", "Bács-Kiskun", ("kecskemét", "baja", "kiskunfélegyháza", "kiskunhalas")),
+    Region("baranya", "Baranya", ("pécs", "komló", "mohács")),
+    Region("bekes", "Békés", ("békéscsaba", "orosháza", "gyula")),
+    Region("borsod-abauj-zemplen", "Borsod-Abaúj-Zemplén", ("miskolc", "ózd", "kazincbarcika", "mezőkövesd")),
     Region("csongrad-csanad", "Csongrád-Csanád", ("szeged", "hódmezővásárhely", "szentes")),
     Region("fejer", "Fejér", ("székesfehérvár", "dunaújváros")),
     Region("gyor-moson-sopron", "Győr-Moson-Sopron", ("győr", "sopron", "mosonmagyaróvár")),
-    Region("hajdu-bihar", "Hajdú-Bihar", ("debrecen", "hajdúszoboszló")),
+    Region("hajdu-bihar", "Hajdú-Bihar", ("debrecen", "hajdúböszörmény", "hajdúszoboszló")),
     Region("heves", "Heves", ("eger", "gyöngyös", "hatvan")),
-    Region("jasz-nagykun-szolnok", "Jász-Nagykun-Szolnok", ("szolnok", "jászberény")),
-    Region("komarom-esztergom", "Komárom-Esztergom", ("tatabánya", "esztergom", "komárom", "tata")),
+    Region("jasz-nagykun-szolnok", "Jász-Nagykun-Szolnok", ("szolnok", "jászberény", "törökszentmiklós")),
+    Region("komarom-esztergom", "Komárom-Esztergom", ("tatabánya", "esztergom", "tata", "komárom")),
     Region("nograd", "Nógrád", ("salgótarján", "balassagyarmat")),
-    Region("somogy", "Somogy", ("kaposvár", "siófok")),
-    Region("szabolcs-szatmar-bereg", "Szabolcs-Szatmár-Bereg", ("nyíregyháza", "mátészalka")),
-    Region("tolna", "Tolna", ("szekszárd", "paks")),
-    Region("vas", "Vas", ("szombathely", "sárvár", "kőszeg")),
+    Region("somogy", "Somogy", ("kaposvár", "siófok", "marcali")),
+    Region("szabolcs-szatmar-bereg", "Szabolcs-Szatmár-Bereg", ("nyíregyháza", "mátészalka", "kisvárda")),
+    Region("tolna", "Tolna", ("szekszárd", "paks", "dombóvár")),
+    Region("vas", "Vas", ("szombathely", "sárvár", "celldömölk", "kőszeg")),
     Region("veszprem", "Veszprém", ("veszprém", "pápa", "ajka", "balatonfüred")),
     Region("zala", "Zala", ("zalaegerszeg", "nagykanizsa", "keszthely")),
 )
 
 # Prefixes of the EU procurement vocabulary (CPV).
 AWARD_CODES = (
-    PrefixRule("9091", "cleaning"), PrefixRule("90919", "cleaning"),
-    PrefixRule("45331", "hvac"), PrefixRule("5073", "hvac"), PrefixRule("4251", "hvac"),
-    PrefixRule("4250", "hvac"),
-    PrefixRule("7971", "security"),
-    PrefixRule("71317", "occupational-safety"), PrefixRule("85147", "occupational-safety"),
-    PrefixRule("35111", "fire-safety"), PrefixRule("75251", "fire-safety"),
-    PrefixRule("72", "it-support"), PrefixRule("5031", "it-support"),
-    PrefixRule("302", "it-support"),
+    PrefixRule("9091", "cleaning"),                # cleaning services
+    PrefixRule("45331", "hvac"),                   # installing heating, ventilation, air conditioning
+    PrefixRule("5073", "hvac"),                    # repair of cooling groups
+    PrefixRule("425", "hvac"),                     # cooling and ventilation equipment
+    PrefixRule("7971", "security"),                # security services
+    PrefixRule("71317", "occupational-safety"),    # hazard protection consultancy
+    PrefixRule("85147", "occupational-safety"),    # company health services
+    PrefixRule("35111", "fire-safety"),            # firefighting equipment
+    PrefixRule("75251", "fire-safety"),            # fire-brigade services
+    PrefixRule("72", "it-support"),                # IT services
+    PrefixRule("50312", "it-support"),             # maintenance of computer equipment
+    PrefixRule("302", "it-support"),               # computer equipment
 )
 
 # Prefixes of the NACE rev. 2 activity classes.

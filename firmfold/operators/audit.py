@@ -25,26 +25,31 @@ def audit_events(rows: DataFrame, lead_id: Column, type_: str, meta: Column, now
                        F.lit(run_id).alias("run_id"))
 
 
-def ingest_events(matched: DataFrame, source: Column, now: Column, run_id: str) -> DataFrame:
-    """COLLECTED for each new identity, MERGED with its count for each known one.
-
-    ``matched`` carries the lead_id of its key.
-    """
-    new = audit_events(
+def ingest_events(batch: DataFrame, matched: DataFrame, now: Column, run_id: str) -> DataFrame:
+    """COLLECTED per new identity; MERGED per identity and source that met it
+    as a stored one, be it from before this run or from an earlier source."""
+    created = audit_events(
         matched.filter(~F.col("known")), F.col("lead_id"), "COLLECTED",
         audit_meta(source=F.col("source"), sourceUrl=F.col("source_url"),
                    license=F.col("source_license")), now, run_id)
-    known = audit_events(
-        matched.filter("known"), F.col("lead_id"), "MERGED",
-        audit_meta(source=source, count=F.col("input_count")), now, run_id)
-    return new.unionByName(known)
+    per_source = (batch.filter(~F.col("suppressed")).groupBy("dedupe_key", F.col("source").alias("by"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+    owners = matched.select("dedupe_key", "lead_id", "known", "source")
+    met = per_source.join(owners, "dedupe_key").filter(F.col("known") | (F.col("by") != F.col("source")))
+    merged = audit_events(met, F.col("lead_id"), "MERGED", audit_meta(source=F.col("by"), count=F.col("n")),
+                          now, run_id, subject=F.concat_ws("|", "lead_id", "by"))
+    skipped = (batch.filter("suppressed").groupBy("source")
+               .agg(F.count(F.lit(1)).alias("suppressed_count")))
+    return created.unionByName(merged).unionByName(
+        suppressed_event(skipped, F.col("source"), now, run_id))
 
 
 def suppressed_event(counts: DataFrame, source: Column, now: Column, run_id: str) -> DataFrame:
     """One detached event with the number of suppressed records, if any."""
     return audit_events(counts.filter(F.col("suppressed_count") > 0), F.lit(None).cast("string"),
                         "SUPPRESSED_SKIP",
-                        audit_meta(source=source, count=F.col("suppressed_count")), now, run_id)
+                        audit_meta(source=source, count=F.col("suppressed_count")), now, run_id,
+                        subject=source)
 
 
 def audit_rollup(events: DataFrame) -> DataFrame:

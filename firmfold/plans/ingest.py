@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmfold.functions.rules import DEFAULT_RULES, RuleSet
-from firmfold.operators.audit import audit_events, audit_meta, suppressed_event
+from firmfold.operators.audit import ingest_events
 from firmfold.operators.consolidate import dedupe_batch, lead_id_of, match_existing, upsert_lead
 from firmfold.operators.normalize import normalize_businesses, region_fallback, with_dedupe_key
 from firmfold.operators.pages import keep_prefix, landed_range, page_prefix, record_limit, resume_cursor, save_cursor
@@ -38,25 +38,6 @@ class IngestStats:
     per_source: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
-def merge_events(batch: DataFrame, matched: DataFrame, now, run_id: str) -> DataFrame:
-    """COLLECTED per new identity; MERGED per identity and source that met it
-    as a stored one, be it from before this run or from an earlier source."""
-    created = audit_events(
-        matched.filter(~F.col("known")), F.col("lead_id"), "COLLECTED",
-        audit_meta(source=F.col("source"), sourceUrl=F.col("source_url"),
-                   license=F.col("source_license")), now, run_id)
-    per_source = (batch.filter(~F.col("suppressed")).groupBy("dedupe_key", F.col("source").alias("by"))
-                  .agg(F.count(F.lit(1)).alias("n")))
-    owners = matched.select("dedupe_key", "lead_id", "known", "source")
-    met = per_source.join(owners, "dedupe_key").filter(F.col("known") | (F.col("by") != F.col("source")))
-    merged = audit_events(met, F.col("lead_id"), "MERGED", audit_meta(source=F.col("by"), count=F.col("n")),
-                          now, run_id, subject=F.concat_ws("|", "lead_id", "by"))
-    skipped = (batch.filter("suppressed").groupBy("source")
-               .agg(F.count(F.lit(1)).alias("suppressed_count")))
-    return created.unionByName(merged).unionByName(
-        suppressed_event(skipped, F.col("source"), now, run_id))
-
-
 def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
            sources: list[str] | None = None, regions: list[str] | None = None,
            enabled: set[str] = frozenset(), full: bool = False, limit: int | None = None,
@@ -91,7 +72,8 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
     runs = landed_range(counts) if all_pages else page_prefix(counts, starts, max_pages)
     prefix = store.stage(run_id, "prefix", runs)
 
-    limits = {s.id: limit or s.default_limit for s in specs if limit or s.default_limit}
+    limits = {s.id: s.default_limit if limit is None else limit for s in specs}
+    limits = {source: n for source, n in limits.items() if n is not None}
     inside = record_limit(keep_prefix(parsed, prefix), keep_prefix(counts, prefix), limits)
     rows = explode_records(inside, rules, regions)
     leads = with_dedupe_key(region_fallback(normalize_businesses(rows, rules)))
@@ -102,7 +84,7 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
     matched = store.stage(run_id, "matched", match_existing(kept, lead)
                           .withColumn("lead_id", lead_id_of(F.col("dedupe_key"))))
     store.replace("lead", upsert_lead(lead, matched, stamp), run_id)
-    store.append_events(merge_events(batch, matched, stamp, run_id), run_id)
+    store.append_events(ingest_events(batch, matched, stamp, run_id), run_id)
 
     seen = batch.groupBy("source", F.col("crawl_region").alias("region_id")).agg(
         F.count(F.lit(1)).alias("n_seen"))

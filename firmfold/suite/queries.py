@@ -27,8 +27,8 @@ from firmfold.operators import report as R
 from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
+from firmfold.operators.audit import ingest_events
 from firmfold.plans.ingest import ingest as ingest_job
-from firmfold.plans.ingest import merge_events
 from firmfold.plans.store import Store
 from firmfold.session import configure, scratch_dir
 from firmfold.sources.pages import explode_records, parse_pages, read_pages, row_counts
@@ -686,8 +686,8 @@ def queue_order(spark, sf):
         "lead_id", "quality_score")
 
 
-@query(O.sql("""SELECT lead_id, CASE WHEN tax_status = 'CANCELLED' AND NOT debt_free THEN 'tax number cancelled; has tax debt'
-  WHEN tax_status = 'CANCELLED' THEN 'tax number cancelled' WHEN NOT debt_free THEN 'has tax debt' ELSE '' END AS reasons
+@query(O.sql(f"""SELECT lead_id, CASE WHEN tax_status = 'CANCELLED' AND NOT debt_free THEN '{Q.TAX_CANCELLED}; {Q.TAX_DEBT}'
+  WHEN tax_status = 'CANCELLED' THEN '{Q.TAX_CANCELLED}' WHEN NOT debt_free THEN '{Q.TAX_DEBT}' ELSE '' END AS reasons
   FROM lead""", "lead"))
 def tax_risk_reasons(spark, sf):
     reasons = Q.tax_risk_reasons(F.col("tax_status"), F.col("debt_free"))
@@ -704,7 +704,7 @@ def export_record(spark, sf):
 
 
 _DECISIONS = """SELECT dedupe_key, CASE WHEN quality_score >= 50 THEN 'approve' ELSE 'reject' END AS action,
-  CASE WHEN quality_score < 30 THEN 'weak' END AS note FROM {0} WHERE quality_score % 20 = 0"""
+  CASE WHEN quality_score < 50 THEN 'weak' END AS note FROM {0} WHERE quality_score % 20 = 0"""
 
 
 @query(O.sql("""SELECT l.lead_id, CASE WHEN d.action = 'approve' THEN 'APPROVED' WHEN d.action = 'reject' THEN 'REJECTED'
@@ -715,7 +715,7 @@ def set_review(spark, sf):
     lead = W.lead(spark, sf)
     action = F.when(F.col("quality_score") >= 50, "approve").otherwise("reject")
     decisions = lead.filter(F.col("quality_score") % 20 == 0).select(
-        "lead_id", action.alias("action"), F.when(F.col("quality_score") < 30, "weak").alias("note"),
+        "lead_id", action.alias("action"), F.when(F.col("quality_score") < 50, "weak").alias("note"),
         F.lit(1).alias("ord"))
     out = E.apply_outcome(lead, V.set_review(lead, decisions, W.now()), V.REVIEW_COLUMNS)
     return out.select("lead_id", "review_status", "review_note", stamp("reviewed_at"))
@@ -1050,4 +1050,4 @@ def append_audit(spark, sf):
     lead, second = _two_batches(spark, sf)
     matched = M.match_existing(second, lead).withColumn("lead_id", M.lead_id_of(F.col("dedupe_key")))
     rows = W.batch(spark, sf).filter("source = 'directory'").withColumn("suppressed", F.lit(False))
-    return merge_events(rows, matched, W.now(), "run").select("lead_id", "type", "meta")
+    return ingest_events(rows, matched, W.now(), "run").select("lead_id", "type", "meta")
