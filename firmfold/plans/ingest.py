@@ -25,9 +25,6 @@ from firmfold.plans.store import Store
 from firmfold.sources.pages import explode_records, latest_pages, row_counts, union_sources
 from firmfold.sources.registry import gate_sensitive_sources
 
-STAGED = ["parsed", "prefix", "batch", "matched"]
-
-
 @dataclass
 class IngestStats:
     fetched: int = 0

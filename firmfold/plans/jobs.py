@@ -119,7 +119,8 @@ def suppress(store: Store, entries: DataFrame, run_id: str, now: datetime) -> No
 
 
 def _erase(store: Store, doomed: DataFrame, events: DataFrame, run_id: str) -> None:
-    """Delete leads and their events everywhere, then leave detached events."""
+    """Delete leads and their events, also from older states, then leave
+    detached events. The caller clears the staged frames when it has read them."""
     store.replace("lead", G.erase_leads(store.read("lead"), doomed), run_id)
     store.replace("audit_event", G.erase_events(store.read("audit_event"), doomed), run_id)
     store.append_events(events, run_id)
@@ -135,7 +136,10 @@ def purge(store: Store, run_id: str, now: datetime, retention_days: int = G.RETE
         doomed = decided.filter("reason is not null")
         _erase(store, doomed, G.erasure_events(doomed, "PURGED", _ts(now), run_id, reason=F.col("reason")),
                run_id)
-    return G.purge_stats(decided).first().asDict()
+    stats = G.purge_stats(decided).first().asDict()
+    if not dry_run:
+        store.clear_staged()
+    return stats
 
 
 def dsar_export(store: Store, subjects: DataFrame, path: str, run_id: str, now: datetime) -> None:
@@ -156,7 +160,9 @@ def dsar_erase(store: Store, subjects: DataFrame, run_id: str, now: datetime) ->
     suppress(store, who.select(F.col("email").alias("value"), F.lit("EMAIL").alias("kind"),
                                F.lit("erasure request or objection").alias("reason"), F.lit(0).alias("ord")),
              run_id, now)
-    return doomed.count()
+    erased = doomed.count()
+    store.clear_staged()
+    return erased
 
 
 def report(store: Store) -> tuple[dict[str, int], list[tuple[str, int]]]:

@@ -11,7 +11,7 @@ The master table is bucketed and sorted by ``dedupe_key``: joins on the key
 (upsert, patches, erasure) shuffle only the other side.
 
 This is a thin layer over Spark's own reader and writer. Where a table format
-with MERGE is at hand, give the jobs an object with the same five methods.
+with MERGE is at hand, give the jobs an object with the same methods.
 """
 
 from __future__ import annotations
@@ -104,14 +104,17 @@ class Store:
         self._record(name, version, run_id)
 
     def append_events(self, events: DataFrame, run_id: str) -> None:
-        """Add a run's events. They are a partition of their own, so writing
-        them again replaces them and adds none."""
+        """Add a run's events, once. They are a partition of their own, so an
+        attempt that was cut off is replaced and leaves none behind."""
+        if self.done("audit_event/append", run_id):
+            return
         entry = self._current("audit_event")
         if entry is None:
             self._record("audit_event", 1, "first")
         path = self._path("audit_event", entry["version"] if entry else 1)
         (events.filter(F.col("run_id") == run_id).drop("run_id")
          .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))
+        self._record("audit_event/append", 1, run_id)
 
     def vacuum(self, name: str) -> None:
         """Empty all states but the current one (an erasure must reach them)."""
@@ -133,8 +136,17 @@ class Store:
             self._record(label, 1, run_id)
         return self.spark.read.schema(frame.schema).parquet(path)
 
-    def clear_run(self, run_id: str, names: list[str]) -> None:
-        """Empty the staged frames of a finished run."""
-        nothing = self.spark.createDataFrame([], "done boolean")
-        for name in names:
-            nothing.write.mode("overwrite").parquet(f"{self.root}/_runs/{run_id}/{name}")
+    def clear_staged(self) -> None:
+        """Empty the staged frames of all runs: an erasure must reach them too.
+
+        A run whose frames are gone must have ended; started again, it finds
+        every table written already.
+        """
+        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/_ledger")
+        staged = (ledger.filter(F.col("name").startswith("_runs/")).groupBy("name")
+                  .agg(F.max("version").alias("version"), F.first("run_id").alias("run_id")))
+        for row in staged.filter("version = 1").collect():
+            path = f"{self.root}/{row['name']}"
+            schema = self.spark.read.parquet(path).schema
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            self._record(row["name"], 2, row["run_id"])

@@ -185,14 +185,22 @@ def test_purge_and_erasure(spark, store, pages, tmp_path):
     purged = [e for e in events(store) if e[0] == "PURGED"]
     assert len(purged) == 2 and all(e[1] is None and "@" not in e[2] for e in purged)
     # Nothing of the erased rows is left in any file of the store.
-    gone = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "store" / "lead"))
-    assert gone.filter("dedupe_key = 'domain:tuztarsa.hu'").count() == 0
+    for folder in ("lead", "_runs/r1/batch", "_runs/r1/matched", "_runs/p1/purge"):
+        files = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "store" / folder))
+        assert files.filter("dedupe_key = 'domain:tuztarsa.hu'").count() == 0
+    assert not [f for f in (tmp_path / "store").rglob("*.parquet") if b"tuztarsa" in f.read_bytes()
+                and "suppression" not in str(f)]
+    # Started again, the purge finds its work done.
+    log = events(store)
+    jobs.purge(store, "p1", late)
+    assert by_key(store) == left and events(store) == log
 
     subject = spark.createDataFrame([(" INFO@kekklima.hu ",)], "email string")
     jobs.dsar_export(store, subject, str(tmp_path / "dsar"), "d0", NOW)
     record = spark.read.json(str(tmp_path / "dsar" / "records")).first()
     assert record["legal_name"] == "Kék Klíma" and record["collected_at"] == "2024-06-01T12:00:00.000Z"
-    assert [e["type"] for e in record["audit_trail"]] [:1] == ["COLLECTED"] or record["trail_events"] == 4
+    assert record["trail_events"] == 4
+    assert sorted(e["type"] for e in record["audit_trail"]) == ["COLLECTED", "MERGED", "MERGED", "MERGED"]
     assert [e[0] for e in events(store)].count("DSAR") == 1
     assert jobs.dsar_erase(store, subject, "d1", NOW) == 1
     assert "vat:10773381" not in by_key(store)
