@@ -31,18 +31,16 @@ def union_sources(pages: DataFrame, specs: list[SourceSpec], rules: RuleSet = DE
     Each page goes through the parser of its own source (a CASE, evaluated row
     by row), so the landing table is scanned once however many sources it holds.
     """
-    records, malformed, order = None, None, None
+    parsed, order = None, None
     for spec in specs:
         own = F.col("source") == spec.id
-        parsed = spec.parse(F.col("body"), spec.provenance, rules)
-        ordinal = F.lit(source_ordinal(spec.id))
-        records = F.when(own, parsed.records) if records is None else records.when(own, parsed.records)
-        malformed = F.when(own, parsed.malformed) if malformed is None else malformed.when(own, parsed.malformed)
+        page, ordinal = spec.parse(F.col("body"), spec.provenance, rules), F.lit(source_ordinal(spec.id))
+        parsed = F.when(own, page) if parsed is None else parsed.when(own, page)
         order = F.when(own, ordinal) if order is None else order.when(own, ordinal)
     wanted = pages.filter(F.col("source").isin([s.id for s in specs]))
-    parsed = wanted.select("source", "region_id", "page", records.alias("records"),
-                           F.coalesce(malformed, F.lit(True)).alias("malformed"), order.alias("source_ord"))
-    return parsed.withColumn("n_rows", F.size("records"))
+    return (wanted.select("source", "region_id", "page", order.alias("source_ord"), parsed.alias("parsed"))
+            .select("source", "region_id", "page", "source_ord", "parsed.records", "parsed.malformed",
+                    F.size("parsed.records").alias("n_rows")))
 
 
 def parse_pages(pages: DataFrame, spec: SourceSpec, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
