@@ -36,7 +36,7 @@ class Store:
 
     def _entries(self, name: str) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(LEDGER).parquet(f"{self.root}/_ledger")
+            rows = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
             return rows.filter(F.col("name") == name)
         except Exception as error:  # nothing was written yet
             if "PATH_NOT_FOUND" not in str(error):
@@ -52,7 +52,7 @@ class Store:
         row = self.spark.range(1, numPartitions=1).select(
             F.lit(name).alias("name"), F.lit(version).cast("bigint").alias("version"),
             F.lit(run_id).alias("run_id"), F.lit(self.buckets).alias("buckets"))
-        row.write.mode("append").parquet(f"{self.root}/_ledger")
+        row.write.mode("append").parquet(f"{self.root}/ledger")
 
     def done(self, name: str, run_id: str) -> bool:
         entries = self._entries(name)
@@ -129,7 +129,7 @@ class Store:
 
     def stage(self, run_id: str, name: str, frame: DataFrame) -> DataFrame:
         """Write a frame that several steps read; a replay reads it back."""
-        label = f"_runs/{run_id}/{name}"
+        label = f"runs/{run_id}/{name}"
         path = f"{self.root}/{label}"
         if not self.done(label, run_id):
             frame.write.mode("overwrite").parquet(path)
@@ -142,8 +142,8 @@ class Store:
         A run whose frames are gone must have ended; started again, it finds
         every table written already.
         """
-        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/_ledger")
-        staged = (ledger.filter(F.col("name").startswith("_runs/")).groupBy("name")
+        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
+        staged = (ledger.filter(F.col("name").startswith("runs/")).groupBy("name")
                   .agg(F.max("version").alias("version"), F.first("run_id").alias("run_id")))
         for row in staged.filter("version = 1").collect():
             path = f"{self.root}/{row['name']}"

@@ -185,7 +185,7 @@ def test_purge_and_erasure(spark, store, pages, tmp_path):
     purged = [e for e in events(store) if e[0] == "PURGED"]
     assert len(purged) == 2 and all(e[1] is None and "@" not in e[2] for e in purged)
     # Nothing of the erased rows is left in any file of the store.
-    for folder in ("lead", "_runs/r1/batch", "_runs/r1/matched", "_runs/p1/purge"):
+    for folder in ("lead", "runs/r1/batch", "runs/r1/matched", "runs/p1/purge"):
         files = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "store" / folder))
         assert files.filter("dedupe_key = 'domain:tuztarsa.hu'").count() == 0
     assert not [f for f in (tmp_path / "store").rglob("*.parquet") if b"tuztarsa" in f.read_bytes()
