@@ -7,8 +7,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import quality
+from firmfold.llm import mixing, quality
 from firmfold.llm.common import configure, table
+from firmfold.llm.mixing_sql import MIX_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +33,8 @@ def query(sql: str | None = None):
 def op3_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.withColumn("failed", F.array_join("failed", ","))
+
+
+@query(MIX_SQL)
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
