@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import mixing, quality
+from firmfold.llm import mixing, packing, quality
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -38,3 +38,8 @@ def op3_quality_rules(spark, sf_dir):
 @query(MIX_SQL)
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
