@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import mixing, packing, quality
+from firmfold.llm import jaccard, mixing, packing, quality
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -43,3 +43,8 @@ def op9_mixing(spark, sf_dir):
 @query()
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("handle")
