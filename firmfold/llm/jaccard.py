@@ -280,7 +280,8 @@ def _links(meeting: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``, ``handle`` (a hash of id and text)."""
+    """One row per input row: id, ``n_shingles``, ``component_id``, ``handle`` (a hash of id and text),
+    ``stays`` (the text with its component's smallest id, and every text without a word)."""
     rows = pick(docs, id=id_col, text=text_col).withColumn("handle", F.xxhash64("id", "text"))
     base = written(_sketched(rows, size, percent), "sketches")
     entries = written(_shared_entries(base, percent), "entries")
@@ -292,7 +293,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     # Classes without a link are components of their own.
     groups = slim.join(joined, F.col("class") == F.col("node"), "left").select(
         "handle", "id", "n", F.coalesce("component", "class").alias("component"))
-    least = groups.groupBy("component").agg(F.min("id").alias("component_id"))
-    own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("handle"))).alias("first")
+    least = groups.groupBy("component").agg(F.min("id").alias("component_id"), first)
+    none = F.col("n") == 0
     return groups.join(least, "component").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"), "handle")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(none, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "handle",
+        (none | (F.col("handle") == F.col("first.handle"))).alias("stays"))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns; texts without a word all stay."""
+    mark, nth = "__jaccard_handle", "__jaccard_nth"
+    found = near_duplicates(docs, percent, size, id_col, text_col).filter("stays")
+    chosen = found.select(F.col("handle").alias(mark), (F.col("n_shingles") == 0).alias(nth)).distinct()
+    marked = docs.withColumn(mark, F.xxhash64(F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`")))
+    # Repeated rows have one handle: the first of them stays.
+    order = F.row_number().over(Window.partitionBy(mark).orderBy(mark))
+    kept = marked.join(chosen, mark).withColumn(nth, F.when(F.col(nth), 1).otherwise(order)).filter(F.col(nth) == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

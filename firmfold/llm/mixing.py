@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from firmfold.llm.common import pick, words
+from firmfold.llm.common import bound, pick, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -172,3 +172,37 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, id_
     whole = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
     return whole.join(wanted.select("s", "source_size", "target"), "s").select(
         F.col("id").alias(id_col), "size", "source_size", "target", "taken", "first_shard")
+
+
+def mixed_texts(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, id_col: str = "doc_id",
+                text_col: str = "text", source_col: str = "source", **targets) -> DataFrame:
+    """The mix itself, with the input's columns: one row per document and pass that took words of it.
+
+    A document taken whole keeps its text; else the text holds the taken words, joined by
+    blanks. An integer column ``n_chars`` follows the new text. Of rows equal in id, source
+    and text, the other columns are taken from one.
+    """
+    slim = measured(docs, id_col, text_col, source_col)
+    slots = draw_slots(source_targets(slim, block=block, **targets), shard_slots)
+    part = F.struct("word", "n_words")
+    took = pieces(laid_out(slim), block).join(slots, ["s", "block"]).groupBy(
+        "s", "start", "id", "digest", "size", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    source, text, id_ = F.col(f"`{source_col}`"), F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    whole = docs.select(row, id_.alias("i"), _keyed(source).alias("k"),
+                        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("d")).dropDuplicates(["i", "k", "d"])
+    joined = took.join(whole, took["id"].eqNullSafe(whole["i"]) & (took["s"] == whole["k"]) & (took["digest"] == whole["d"]))
+    old = F.col("row").getField(text_col)
+    n = F.aggregate("parts", F.lit(0).cast("bigint"), lambda total, p: total + p["n_words"])
+    taken = bound(words(old), lambda w: F.array_join(F.flatten(F.transform(
+        "parts", lambda p: F.slice(w, p["word"].cast("int") + 1, p["n_words"].cast("int")))), " "))
+    new = joined.withColumn("new", F.when(n == F.col("size"), old).otherwise(taken))
+
+    def output(name: str, kind: str) -> Column:
+        if name == text_col:
+            return F.col("new")
+        if name == "n_chars":
+            return F.char_length("new").cast(kind)
+        return F.col("row").getField(name)
+
+    return new.select(*[output(name, kind).alias(name) for name, kind in docs.dtypes])

@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import jaccard, mixing, packing, quality
+from firmfold.llm import jaccard, language, mixing, packing, quality
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -47,4 +47,10 @@ def op7_packing(spark, sf_dir):
 
 @query()
 def op4_jaccard_join(spark, sf_dir):
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("handle")
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("handle", "stays")
+
+
+@query()
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
