@@ -7,13 +7,14 @@ a pseudorandom permutation throws all slots onto the shards. A source's slots ar
 then numbered; slot k takes block ``perm_pass(k mod n_blocks)`` of pass
 ``k div n_blocks``, so no block is taken twice before all are taken once, and two
 passes bound every document by twice its size. Slots and blocks meet in an equi-join
-on (source, block), of which no key holds more than a block.
+on (source, block), of which no key holds more than a block; it is a merge join by hint, as
+the slots are made from a few rows and their number is beyond the planner's estimate.
 
 Stream positions are prefix sums in two levels: within 4096 hash chunks of a source
 and over the chunks' sums, so a source with a third of all rows is no single task.
 
-Permutations are "swap or not" shuffles keyed by MD5: bijections on any range,
-evaluated per row, equal in every rerun.
+Permutations are "swap or not" shuffles with keys from MD5: bijections on any range,
+evaluated per row in whole numbers, equal in every rerun.
 
 Defined results: a null text has size 0 and is never taken; a null source is a
 source of its own, last in order; null and repeated ids are rows like any other,
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from firmfold.llm.common import bound, pick, words
+from firmfold.llm.common import bound, pick, words, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -37,28 +38,46 @@ SHARD_SLOTS = 4096
 ROUNDS = 16
 SEED = "mix-1"
 _SLOTS_PER_ROW = 4096
+_PRIME = (1 << 31) - 1
 
 
-def _number(text: Column) -> Column:
-    """48 bits of a text's MD5 as a number."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("bigint")
+def _over(x: Column, divisor: int) -> Column:
+    """Whole-number division of a non-negative number."""
+    return F.call_function("div", x, F.lit(divisor).cast("bigint"))
 
 
-def _round_keys(label: Column, n: Column) -> Column:
-    """The reflection points of a permutation of 0 .. n-1."""
-    return F.transform(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), lambda r: F.pmod(
-        _number(F.concat_ws(":", F.lit(SEED), label, r.cast("string"))), F.greatest(n, F.lit(1))))
+def _number(digest: Column, first: int, digits: int) -> Column:
+    """Some hexadecimal digits of an MD5 text as a number."""
+    return F.conv(F.substring(digest, first, digits), 16, 10).cast("bigint")
 
 
-def _permuted(x: Column, n: Column, label: Column, keys: Column) -> Column:
-    """The place of x in a pseudorandom permutation of 0 .. n-1."""
-    def step(at: Column, r: Column) -> Column:
-        mirror = F.pmod(F.get(keys, r) - at, n)
-        coin = F.md5(F.concat_ws(":", F.lit(SEED), label, r.cast("string"),
-                                 F.greatest(at, mirror).cast("string")).cast("binary"))
-        return F.when(F.substring(coin, 1, 1) >= "8", mirror).otherwise(at)
+def _rounds(label: Column, n: Column) -> Column:
+    """The keys of a permutation of 0 .. n-1: per round a reflection point and two factors."""
+    def key(r: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", F.lit(SEED), label, r.cast("string")).cast("binary"))
+        return F.struct((_number(digest, 1, 12) % F.greatest(n, F.lit(1))).alias("mirror"),
+                        (_number(digest, 13, 8) % (_PRIME - 1) + 1).alias("a"),
+                        (_number(digest, 21, 8) % _PRIME).alias("b"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), x, step)
+    return F.transform(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), key)
+
+
+def _permuted(x: Column, n: Column, rounds: Column) -> Column:
+    """The place of x in a pseudorandom permutation of 0 .. n-1.
+
+    A round either leaves x or mirrors it; both of a mirrored pair ask the same coin, a
+    quadratic hash of the larger one, so a round is its own inverse.
+    """
+    def step(at: Column, key: Column) -> Column:
+        mirror = F.pmod(key["mirror"] - at, n)
+
+        def coin(high: Column) -> Column:
+            return bound((key["a"] * (high % _PRIME) + key["b"] + _over(high, _PRIME)) % _PRIME,
+                         lambda y: _over((y * y + key["b"]) % _PRIME, 128) % 2)
+
+        return F.when(coin(F.greatest(at, mirror)) == 1, mirror).otherwise(at)
+
+    return F.aggregate(rounds, x, step)
 
 
 def _keyed(source: Column) -> Column:
@@ -111,18 +130,20 @@ def draw_slots(targets: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     ranges = targets.filter("slots > 0").withColumn(
         "from_k", F.explode(F.sequence(
             F.lit(0).cast("bigint"), F.col("slots") - 1, F.lit(_SLOTS_PER_ROW).cast("bigint"))))
-    spread = ranges.repartition("s", "from_k").withColumn(
-        "shard_keys", _round_keys(F.lit("shards"), F.col("all_slots")))
+    # A stated number of partitions: by size the few range rows would be put into one task.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = ranges.repartition(tasks, "s", "from_k").withColumn(
+        "shard_rounds", _rounds(F.lit("shards"), F.col("all_slots")))
     first_pass, last_pass = (F.floor(k / F.col("n_blocks")).cast("bigint") for k in (
         F.col("from_k"), F.least(F.col("slots"), F.col("from_k") + _SLOTS_PER_ROW) - 1))
     passes = spread.withColumn("pass", F.explode(F.sequence(first_pass, last_pass))).withColumn(
         "label", F.concat_ws(":", F.lit("pass"), F.col("s"), F.col("pass").cast("string")))
-    keyed = passes.withColumn("keys", _round_keys(F.col("label"), F.col("n_blocks")))
+    keyed = passes.withColumn("rounds", _rounds(F.col("label"), F.col("n_blocks")))
     low = F.greatest(F.col("from_k"), F.col("pass") * F.col("n_blocks"))
     high = F.least(F.col("from_k") + _SLOTS_PER_ROW, F.col("slots"), (F.col("pass") + 1) * F.col("n_blocks")) - 1
     each = keyed.withColumn("k", F.explode(F.sequence(low, high)))
-    place = _permuted(F.col("first_slot") + F.col("k"), F.col("all_slots"), F.lit("shards"), F.col("shard_keys"))
-    block = _permuted(F.pmod(F.col("k"), F.col("n_blocks")), F.col("n_blocks"), F.col("label"), F.col("keys"))
+    place = _permuted(F.col("first_slot") + F.col("k"), F.col("all_slots"), F.col("shard_rounds"))
+    block = _permuted(F.pmod(F.col("k"), F.col("n_blocks")), F.col("n_blocks"), F.col("rounds"))
     return each.select("s", "pass", block.alias("block"), place.alias("place")).select(
         "s", "pass", "block", F.floor(F.col("place") / shard_slots).cast("bigint").alias("shard"),
         (F.col("place") % shard_slots).alias("slot"))
@@ -160,10 +181,10 @@ def pieces(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", **targets) -> DataFrame:
     """One row per input row: id, size, source_size, target, taken words, and the first shard it is in."""
-    slim = measured(docs, id_col, text_col, source_col)
+    slim = written(measured(docs, id_col, text_col, source_col), "sizes")
     wanted = source_targets(slim, block=block, **targets)
     slots = draw_slots(wanted, shard_slots)
-    taken = pieces(laid_out(slim), block).join(slots, ["s", "block"], "left").groupBy(
+    taken = pieces(laid_out(slim), block).join(slots.hint("merge"), ["s", "block"], "left").groupBy(
         "s", "start", "id", "size", "digest").agg(
         F.sum(F.when(F.col("pass").isNotNull(), F.col("n_words")).otherwise(0)).alias("taken"),
         F.min("shard").alias("first_shard"), F.count(F.lit(1)).alias("n"))
@@ -182,10 +203,10 @@ def mixed_texts(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SL
     blanks. An integer column ``n_chars`` follows the new text. Of rows equal in id, source
     and text, the other columns are taken from one.
     """
-    slim = measured(docs, id_col, text_col, source_col)
+    slim = written(measured(docs, id_col, text_col, source_col), "sizes")
     slots = draw_slots(source_targets(slim, block=block, **targets), shard_slots)
     part = F.struct("word", "n_words")
-    took = pieces(laid_out(slim), block).join(slots, ["s", "block"]).groupBy(
+    took = pieces(laid_out(slim), block).join(slots.hint("merge"), ["s", "block"]).groupBy(
         "s", "start", "id", "digest", "size", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     source, text, id_ = F.col(f"`{source_col}`"), F.col(f"`{text_col}`"), F.col(f"`{id_col}`")

@@ -5,16 +5,22 @@ from __future__ import annotations
 _ROUNDS = 16
 
 
+def _hex(digits: str) -> str:
+    return f"('0x' || {digits})::BIGINT"
+
+
 def _permuted(inner: str, x: str, n: str, label: str, out: str) -> str:
     """Nested selects, one per round of the swap-or-not shuffle, over the rows of `inner`."""
     sql = f"SELECT *, {x} AS at0 FROM ({inner})"
     for r in range(_ROUNDS):
-        key = f"(('0x' || md5('mix-1:' || {label} || ':{r}')[1:12])::BIGINT % {n})"
-        mirror = f"((({key} - at{r}) % {n}) + {n}) % {n}"
-        coin = f"md5('mix-1:' || {label} || ':{r}:' || greatest(at{r}, m{r})::VARCHAR)[1:1]"
-        sql = (f"SELECT *, CASE WHEN {coin} >= '8' THEN m{r} ELSE at{r} END AS at{r + 1} "
-               f"FROM (SELECT *, {mirror} AS m{r} FROM ({sql}))")
-    drop = ", ".join(f"at{r}, m{r}" for r in range(_ROUNDS))
+        sql = f"SELECT *, md5('mix-1:' || {label} || ':{r}') AS d{r} FROM ({sql})"
+        sql = f"SELECT *, {_hex(f'd{r}[13:20]')} % 2147483646 + 1 AS a{r}, {_hex(f'd{r}[21:28]')} % 2147483647 AS b{r} FROM ({sql})"
+        sql = f"SELECT *, ((({_hex(f'd{r}[1:12]')} % {n}) - at{r}) % {n} + {n}) % {n} AS m{r} FROM ({sql})"
+        sql = f"SELECT *, greatest(at{r}, m{r}) AS h{r} FROM ({sql})"
+        sql = (f"SELECT *, (a{r} * (h{r} % 2147483647) + b{r} + h{r} // 2147483647) % 2147483647 AS y{r} FROM ({sql})")
+        sql = (f"SELECT *, CASE WHEN ((y{r} * y{r} + b{r}) % 2147483647) // 128 % 2 = 1 THEN m{r} ELSE at{r} END "
+               f"AS at{r + 1} FROM ({sql})")
+    drop = ", ".join(f"at{r}, d{r}, a{r}, b{r}, m{r}, h{r}, y{r}" for r in range(_ROUNDS))
     return f"SELECT * EXCLUDE ({drop}) RENAME (at{_ROUNDS} AS {out}) FROM ({sql})"
 
 
