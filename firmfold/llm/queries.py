@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import jaccard, language, mixing, packing, quality
+from firmfold.llm import jaccard, language, mixing, packing, quality, toxicity
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -54,3 +54,9 @@ def op4_jaccard_join(spark, sf_dir):
 def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.train(docs))
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
