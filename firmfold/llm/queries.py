@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import jaccard, language, mixing, packing, quality, toxicity
+from firmfold.llm import jaccard, language, license_scan, mixing, packing, quality, toxicity
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -60,3 +60,8 @@ def op10_language_id(spark, sf_dir):
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("spans", F.to_json("spans"))
