@@ -109,11 +109,14 @@ class Scanner:
                 base_labels.add(label)
                 at = padded.find(f" {phrase} ", at + 1)
         spans, best = [], 1.0 if places else 0.0
-        matches = list(self._fuzzy(flat))
-        for notice, start, end, edits in matches:
+        taken: dict[int, list[tuple[int, int, int]]] = {}  # by stretches of 128 characters
+        for notice, start, end, edits in sorted(self._fuzzy(flat), key=lambda m: m[3]):
             # Of notices that differ little, the one that fits a place best has it.
-            if any(m[1] < end and start < m[2] and m[3] < edits for m in matches):
+            cells = range(start // 128, end // 128 + 1)
+            if any(a < end and start < b and e < edits for c in cells for a, b, e in taken.get(c, ())):
                 continue
+            for c in cells:
+                taken.setdefault(c, []).append((start, end, edits))
             spans.append((self._notices[notice], notice, flat.count(" ", 0, start), flat.count(" ", start, end) + 1, edits))
             best = max(best, 1 - edits / len(notice))
         labels = base_labels | {s[0] for s in spans}

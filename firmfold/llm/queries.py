@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import jaccard, language, license_scan, mixing, packing, quality, toxicity
+from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -65,3 +65,8 @@ def op5_toxicity(spark, sf_dir):
 @query()
 def op6_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("spans", F.to_json("spans"))
+
+
+@query()
+def op8_embedding_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
