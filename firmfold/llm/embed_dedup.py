@@ -7,7 +7,8 @@ a threshold along; they are list-decoded part by part, cutting combinations that
 reach the threshold any more. Vectors that share a filter are compared in double
 precision. The number of filters follows the number of vectors, and the threshold is
 set so that a vector has about ``EXPECTED`` filters, so filters hold equally many
-vectors at every size. A pair of cosine 0.95 shares several of its filters; the recall
+vectors at every size. Where fewer than ``ENOUGH`` are exceeded, as happens to vectors
+far from all codes, the threshold is lowered to the best ``ENOUGH``. A pair of cosine 0.95 shares several of its filters; the recall
 against brute force is measured in the tests.
 
 Equal vectors are one class with a count. Filters with more than ``CHUNK`` vectors are
@@ -37,7 +38,8 @@ from firmfold.llm.components import components
 
 COSINE = 0.95
 PARTS = 2
-EXPECTED = 14
+EXPECTED = 16
+ENOUGH = 16
 VECTORS_PER_FILTER = 4
 CHUNK = 512
 SEED = 20240229
@@ -56,27 +58,35 @@ class Code:
         for a, b in zip(self._bounds, self._bounds[1:]):
             book = draw.standard_normal((each, b - a))
             self._books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
-        total = each ** parts
+        self._total, self._enough = each ** parts, ENOUGH
         # A direction's parts have length 1, so the sum along them has variance parts / length.
-        share = min(0.5, expected / total)
+        share = min(0.5, expected / self._total)
         self._least = NormalDist().inv_cdf(1 - share) * np.sqrt(parts / length)
+        self._step = 0.25 * np.sqrt(parts / length)
 
     def filters(self, units: np.ndarray) -> list[np.ndarray]:
-        """Of each row, the sorted numbers of all filters it exceeds the threshold along."""
+        """Of each row, the sorted numbers of its filters."""
         turned = units @ self._turn
         scores = [turned[:, a:b] @ book.T for a, b, book in zip(self._bounds, self._bounds[1:], self._books)]
         tops = np.array([s.max(axis=1) for s in scores])
-        out = []
-        for row in range(len(units)):
+        return [self._exceeding([s[row] for s in scores], tops[:, row]) for row in range(len(units))]
+
+    def _exceeding(self, scores: list[np.ndarray], tops: np.ndarray) -> np.ndarray:
+        """All filters along which one vector exceeds the threshold, lowered until there are enough."""
+        least, enough = self._least, min(self._enough, self._total)
+        while True:
             numbers, sums = np.zeros(1, dtype=np.int64), np.zeros(1)
             for part, score in enumerate(scores):
-                rest = tops[part + 1:, row].sum()
-                able = np.flatnonzero(score[row] + sums.max(initial=-np.inf) + rest >= self._least)
-                grid = sums[:, None] + score[row, able][None, :]
-                old, new = np.nonzero(grid + rest >= self._least)
-                numbers, sums = numbers[old] * score.shape[1] + able[new], grid[old, new]
-            out.append(np.sort(numbers))
-        return out
+                rest = tops[part + 1:].sum()
+                able = np.flatnonzero(score + sums.max(initial=-np.inf) + rest >= least)
+                grid = sums[:, None] + score[able][None, :]
+                old, new = np.nonzero(grid + rest >= least)
+                numbers, sums = numbers[old] * len(score) + able[new], grid[old, new]
+            if len(numbers) >= enough:
+                if least < self._least:  # lowered too far: exactly enough of them
+                    numbers = numbers[np.argsort(-sums, kind="stable")[:enough]]
+                return np.sort(numbers)
+            least -= self._step
 
 
 def _units(vectors: pd.Series) -> np.ndarray:
