@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity
+from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity, warc
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -70,3 +70,8 @@ def op6_license_scan(spark, sf_dir):
 @query()
 def op8_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op1_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
