@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity, warc
+from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity, url_filter, warc
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
 
@@ -75,3 +75,61 @@ def op8_embedding_dedup(spark, sf_dir):
 @query()
 def op1_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def _hex(text, first, digits):
+    return F.conv(F.substring(F.md5(text.cast("binary")), first, digits), 16, 10).cast("bigint")
+
+
+def _captures(spark, sf_dir):
+    """The pages, each with a fetch time within a year that its id gives."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(525600)) * 60)
+    return table(spark, sf_dir, "pages").select("page_id", "url", at.alias("fetched_at"))
+
+
+def _list_entries(captures):
+    """A dated list: none to three entries for each pattern that a page's URL has, by its hash."""
+    patterns = captures.select(F.explode(url_filter.patterns_of(F.col("url"))).alias("pattern")).distinct()
+    pattern = F.col("pattern")
+    each = patterns.filter(_hex(pattern, 1, 1) % 4 > 0).withColumn(
+        "nth", F.explode(F.sequence(F.lit(1).cast("bigint"), _hex(pattern, 1, 1) % 4)))
+    seed = F.concat_ws("#", pattern, F.col("nth").cast("string"))
+    at = F.timestamp_seconds(F.lit(1704067200) + _hex(seed, 1, 8) % 525600 * 60)
+    action = F.get(F.array(*map(F.lit, url_filter.ACTIONS)), (_hex(seed, 9, 4) % 3).cast("int"))
+    return each.select("pattern", action.alias("action"), at.alias("effective_at"))
+
+
+_URL_SQL = r"""WITH
+capture AS (SELECT page_id, url, 1704067200 + (page_id * 7919 % 525600) * 60 AS at_s,
+  regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '\.+$', '') AS host,
+  list_filter(string_split(regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS seg FROM pages),
+parts AS (SELECT *, string_split(host, '.') AS lab FROM capture WHERE host <> ''),
+chain AS (
+  SELECT page_id, url, at_s, k AS rank, array_to_string(lab[len(lab) - k + 1:len(lab)], '.') AS pattern
+  FROM parts, LATERAL (SELECT unnest(range(1, len(lab) + 1)) AS k)
+  UNION ALL
+  SELECT page_id, url, at_s, len(lab) + k, lower(host || '/' || array_to_string(seg[1:k], '/'))
+  FROM parts, LATERAL (SELECT unnest(range(1, len(seg) + 1)) AS k)),
+pattern AS (SELECT DISTINCT pattern AS shown FROM (
+  SELECT pattern FROM chain WHERE rank <= 0
+  UNION ALL SELECT array_to_string(lab[len(lab) - k + 1:len(lab)], '.') FROM parts, LATERAL (SELECT unnest(range(1, len(lab) + 1)) AS k)
+  UNION ALL SELECT host || '/' || array_to_string(seg[1:k], '/') FROM parts, LATERAL (SELECT unnest(range(1, len(seg) + 1)) AS k))),
+entry AS (SELECT lower(shown) AS pattern, shown || '#' || nth AS seed FROM pattern,
+  LATERAL (SELECT unnest(range(1, ('0x' || md5(shown)[1:1])::BIGINT % 4 + 1)) AS nth)),
+dated AS (SELECT pattern, 1704067200 + (('0x' || md5(seed)[1:8])::BIGINT % 525600) * 60 AS since,
+  min(('0x' || md5(seed)[9:12])::BIGINT % 3) AS action FROM entry GROUP BY 1, 2),
+active AS (SELECT pattern, since, ['block', 'allow', 'drop'][action + 1] AS action,
+  lead(since) OVER (PARTITION BY pattern ORDER BY since) AS until FROM dated),
+met AS (SELECT c.page_id, c.url, c.at_s, c.rank, a.pattern, a.action, a.since FROM chain c JOIN active a
+  ON a.pattern = c.pattern AND a.since <= c.at_s AND (a.until IS NULL OR c.at_s < a.until) AND a.action <> 'drop'),
+best AS (SELECT page_id, count(*) AS n_active, arg_max(pattern, rank) AS pattern, arg_max(action, rank) AS action,
+  arg_max(since, rank) AS since FROM met GROUP BY page_id)
+SELECT p.page_id, p.url, coalesce(b.n_active, 0) AS n_active, b.pattern, b.action, b.since,
+  coalesce(b.action = 'allow', true) AS kept FROM pages p LEFT JOIN best b ON b.page_id = p.page_id"""
+
+
+@query(_URL_SQL)
+def op2_url_filters(spark, sf_dir):
+    captures = _captures(spark, sf_dir)
+    judged = url_filter.judge(captures, _list_entries(captures))
+    return judged.withColumn("since", F.unix_seconds("since")).drop("fetched_at")
