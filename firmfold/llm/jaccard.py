@@ -12,7 +12,7 @@ The tree is a distributed one, with nothing that grows with the data on the driv
 * Entry to the tree is an equi-join on shingles. With all shingles in one global order,
   frequent ones last, two similar sets share at least c shingles among the first
   ``n - ceil(t n) + c`` of each, so sets that share fewer with anybody are finished.
-* The others are put on leaf pages by their smallest shared shingle and their size
+* The others are put on leaf pages by the entry they share with most sets and their size
   band; families beyond a page's room are split. A page knows its upper corner.
 * Pages meet if they hold a common entry shingle, are of neighbouring bands and their
   corners' minima can reach the similarity. Within two pages, points are bounded, then
@@ -36,7 +36,7 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -48,23 +48,56 @@ PERCENT = 80
 FREQUENT = 100_000
 CORNER_GROUPS = 64
 POINT_GROUPS = 256
-PAGE_TOKENS = 1 << 17
+PAGE_TOKENS = 1 << 18
 _CHUNK_TOKENS = 4_000_000
 _CHUNK_LEAST = 3
-_CACHE_WORDS = 500_000
+_SLICE_BYTES = 1 << 20
 _SEEN_CLASSES = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
-class _Words(dict):
-    """Word bytes to their hash, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+# Random numbers of the bytes, A-Z equal to a-z; powers of an odd number and of its inverse.
+_BYTE = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = [np.empty(0, dtype=np.uint64)] * 2
+
+
+def _powers_to(n: int) -> list[np.ndarray]:
+    if len(_powers[0]) < n:
+        size = 1 << max(12, (n - 1).bit_length())
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(size, base, dtype=np.uint64)
+            factors[0] = 1
+            _powers[k] = np.cumprod(factors)
+    return _powers
+
+
+def _word_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of the words of a text: sums of byte numbers times powers of the place in the word."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    edge = np.ones(len(data) + 2, dtype=bool)
+    edge[1:-1] = _SPACE[data]
+    bounds = np.flatnonzero(edge[1:] != edge[:-1])
+    starts, ends = bounds[::2], bounds[1::2]
+    up, down = _powers_to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
+    return _finished((sums[ends] - sums[starts]) * down[starts])
+
+
+def _sliced(raw: bytes) -> Iterator[bytes]:
+    """A long text in slices that end at white space."""
+    at = 0
+    while len(raw) - at > _SLICE_BYTES:
+        ends = [e for e in (raw.find(s, at + _SLICE_BYTES) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if e >= 0]
+        if not ends:
+            break
+        yield raw[at:min(ends)]
+        at = min(ends)
+    yield raw[at:] if at else raw
 
 
 def _finished(h: np.ndarray) -> np.ndarray:
@@ -73,18 +106,18 @@ def _finished(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingles(text: str | None, size: int = SHINGLE, cache: dict | None = None) -> np.ndarray:
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a text; A-Z count as a-z."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, dtype=np.uint64)
-    cache = _Words() if cache is None else cache
-    h = np.fromiter(map(cache.__getitem__, found), dtype=np.uint64, count=len(found))
+    parts = [_word_hashes(raw) for raw in _sliced((text or "").encode("utf-8", "surrogatepass"))]
+    h = parts[0] if len(parts) == 1 else np.concatenate(parts)
+    if not len(h):
+        return h
     n = max(1, len(h) - size + 1)
-    total = np.full(n, len(h) if len(h) < size else size, dtype=np.uint64)
+    total = np.full(n, min(len(h), size), dtype=np.uint64)
     for k in range(min(size, len(h))):
         total += h[k:k + n] * _ODD[k]
-    return np.unique(_finished(total))
+    total = np.sort(_finished(total))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def _class_of(tokens: np.ndarray) -> int:
@@ -94,7 +127,7 @@ def _class_of(tokens: np.ndarray) -> int:
 def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles of all documents, sorted, with the order class of each."""
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, held, n, seen = _Words(), [], 0, set()
+        held, n, seen = [], 0, set()
 
         def summed() -> pd.DataFrame:
             values, times = np.unique(np.concatenate(held), return_counts=True)
@@ -103,7 +136,7 @@ def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
         for batch in batches:
             for text in batch["text"]:
-                tokens = shingles(text, size, cache)
+                tokens = shingles(text, size)
                 own = _class_of(tokens)
                 if own in seen:  # copies in one chunk count once
                     continue
@@ -138,12 +171,12 @@ def _sketched(rows: DataFrame, size: int, percent: int) -> DataFrame:
     order = rows.sparkSession.sparkContext.broadcast((often, rank))
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = _Words(), set()
+        seen = set()
         often, rank = order.value
         for batch in batches:
             out = []
             for handle, doc, text in zip(batch["handle"], batch["id"], batch["text"]):
-                tokens = shingles(text, size, cache)
+                tokens = shingles(text, size)
                 own = _class_of(tokens)
                 first = own not in seen and len(tokens) > 0
                 if len(seen) >= _SEEN_CLASSES:
@@ -156,15 +189,23 @@ def _sketched(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.mapInPandas(sketch, "handle bigint, id bigint, n bigint, class bigint, keys array<bigint>")
 
 
+def _least_shared(n: Column, percent: int) -> Column:
+    """How many entries a set of n shingles shares with any similar one, at least."""
+    return 1 + F.floor(F.floor((n * percent + 99) / 100) / 20)
+
+
 def _shared_entries(base: DataFrame, percent: int) -> DataFrame:
-    """(key, class, n, family) of the classes that share enough entries with others."""
+    """(key, class, n, family) of the classes that share enough entries with others.
+
+    The family is the entry that most classes share, so that what hangs together is put together.
+    """
     rows = base.select("class", "n", F.explode("keys").alias("key"))
     by_key, by_class = Window.partitionBy("key"), Window.partitionBy("class")
-    shared = rows.withColumns({"low": F.min("class").over(by_key), "high": F.max("class").over(by_key)}).filter("low < high")
-    least = 1 + F.floor(F.floor((F.col("n") * percent + 99) / 100) / 20)
+    shared = rows.withColumns({"low": F.min("class").over(by_key), "high": F.max("class").over(by_key),
+                               "held": F.count(F.lit(1)).over(by_key)}).filter("low < high")
     hits = shared.select("key", "class", "n", F.count(F.lit(1)).over(by_class).alias("hits"),
-                         F.min("key").over(by_class).alias("family"))
-    return hits.filter(F.col("hits") >= least).drop("hits")
+                         F.max(F.struct("held", "key")).over(by_class)["key"].alias("family"))
+    return hits.filter(F.col("hits") >= _least_shared(F.col("n"), percent)).drop("hits")
 
 
 def _placed(entries: DataFrame, base: DataFrame, percent: int) -> DataFrame:
@@ -185,25 +226,18 @@ def _corner(tokens: np.ndarray, groups: int) -> np.ndarray:
 def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """One row per leaf page: its band, smallest set, upper corner, and the sets."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = _Words()
         for batch in batches:
-            yield pd.DataFrame({"class": batch["class"], "leaf": batch["leaf"], "band": batch["band"],
-                                "tokens": [shingles(t, size, cache).tobytes() for t in batch["text"]]})
-
-    def page(members: pd.DataFrame) -> pd.DataFrame:
-        members = members.drop_duplicates("class")
-        tokens = [np.frombuffer(t, dtype=np.uint64) for t in members["tokens"]]
-        corner = np.max([_corner(t, CORNER_GROUPS) for t in tokens], axis=0)
-        return pd.DataFrame({
-            "leaf": [members["leaf"].iloc[0]], "band": [members["band"].iloc[0]], "least": [min(map(len, tokens))],
-            "corner": [corner.tolist()], "members": [len(tokens)], "classes": [members["class"].tolist()],
-            "sizes": [[len(t) for t in tokens]], "tokens": [b"".join(members["tokens"])]})
+            tokens = [shingles(t, size) for t in batch["text"]]
+            yield pd.DataFrame({"class": batch["class"], "leaf": batch["leaf"], "band": batch["band"], "n": list(map(len, tokens)),
+                                "corner": [_corner(t, CORNER_GROUPS) for t in tokens], "tokens": [t.tobytes() for t in tokens]})
 
     wanted = rows.join(nodes, "handle").select("class", "leaf", "band", "text")
-    held = wanted.mapInPandas(sets, "class bigint, leaf bigint, band int, tokens binary")
-    return held.groupBy("leaf").applyInPandas(
-        page, "leaf bigint, band int, least bigint, corner array<int>, members int, classes array<bigint>, "
-              "sizes array<int>, tokens binary")
+    held = wanted.mapInPandas(sets, "class bigint, leaf bigint, band int, n int, corner array<int>, tokens binary")
+    # A page has bounded room, so its lists are bounded; lists of one aggregation have one order.
+    return held.groupBy("leaf").agg(
+        F.first("band").alias("band"), F.min("n").alias("least"), F.count(F.lit(1)).alias("members"),
+        F.array(*[F.max(F.get("corner", F.lit(g))) for g in range(CORNER_GROUPS)]).alias("corner"),
+        F.collect_list("class").alias("classes"), F.collect_list("tokens").alias("tokens"))
 
 
 def _meeting(entries: DataFrame, nodes: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
@@ -213,20 +247,16 @@ def _meeting(entries: DataFrame, nodes: DataFrame, pages: DataFrame, percent: in
     near = held.select("key", F.col("band").alias("b_band"), F.col("leaf").alias("b"),
                        F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
     met = held.withColumnRenamed("leaf", "a").join(near, ["key", "band"]).filter(
-        (F.col("band") < F.col("b_band")) | (F.col("a") < F.col("b"))).select("a", "b").distinct()
+        (F.col("band") < F.col("b_band")) | (F.col("a") < F.col("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     corners = pages.select("leaf", "least", "corner")
     bounds = met.join(corners.select(F.col("leaf").alias("a"), F.col("least").alias("a_least"), F.col("corner").alias("a_corner")), "a")
     bounds = bounds.join(corners.select(F.col("leaf").alias("b"), F.col("least").alias("b_least"), F.col("corner").alias("b_corner")), "b")
     most = F.aggregate(F.zip_with("a_corner", "b_corner", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
-    able = bounds.filter((100 + percent) * most >= percent * (F.col("a_least") + F.col("b_least"))).select("a", "b")
+    enough = F.col("shared") >= _least_shared(F.least("a_least", "b_least"), percent)
+    able = bounds.filter(enough & ((100 + percent) * most >= percent * (F.col("a_least") + F.col("b_least")))).select("a", "b")
     return able.unionByName(pages.filter("members > 1").select(F.col("leaf").alias("a"), F.col("leaf").alias("b")))
 
 
-def _split(tokens: bytes, sizes: list[int]) -> list[np.ndarray]:
-    whole = np.frombuffer(tokens, dtype=np.uint64)
-    return np.split(whole, np.cumsum(sizes)[:-1])
-
-
 def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
     """Index pairs that connect all similar sets of two pages; b is None for a page with itself."""
     other = a if b is None else b
@@ -266,14 +296,14 @@ def _links(meeting: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
-                a = _split(r.a_tokens, r.a_sizes)
-                b = None if r.a == r.b else _split(r.b_tokens, r.b_sizes)
+                a = [np.frombuffer(x, dtype=np.uint64) for x in r.a_tokens]
+                b = None if r.a == r.b else [np.frombuffer(x, dtype=np.uint64) for x in r.b_tokens]
                 names = r.a_classes if b is None else r.b_classes
                 out += [(r.a_classes[i], names[j]) for i, j in _linked(a, b, percent)]
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     def side(name: str) -> DataFrame:
-        return pages.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("classes", "sizes", "tokens")])
+        return pages.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("classes", "tokens")])
 
     return meeting.join(side("a"), "a").join(side("b"), "b").mapInPandas(verify, "a bigint, b bigint")
 

@@ -64,12 +64,13 @@ class Model:
     def __init__(self, texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> None:
         self.languages = sorted(set(labels))
         rows = [present(t) for t in texts]
-        step = max(1, len(rows) // landmarks)
-        marks = np.zeros((len(rows[::step]), len(LENGTHS) * BINS), dtype=np.float32)
-        for k, bins in enumerate(rows[::step]):
-            marks[k, bins] = 1 / np.sqrt(len(bins) or 1)
-        kernel = np.array([marks[:, bins].sum(axis=1) / np.sqrt(len(bins) or 1) for bins in rows], dtype=np.float64)
-        values, vectors = np.linalg.eigh(kernel[::step])
+        marks = rows[::max(1, len(rows) // landmarks)]
+        held = np.zeros((len(marks), len(LENGTHS) * BINS), dtype=bool)
+        for k, bins in enumerate(marks):
+            held[k, bins] = True
+        size, mark_size = (np.sqrt([max(len(b), 1) for b in x]) for x in (rows, marks))
+        kernel = np.array([held[:, bins].sum(axis=1) for bins in rows]) / size[:, None] / mark_size[None, :]
+        values, vectors = np.linalg.eigh(kernel[::max(1, len(rows) // landmarks)])
         used = values > 1e-8 * values.max()
         whiten = vectors[:, used] / np.sqrt(values[used])
         features = kernel @ whiten
@@ -78,7 +79,10 @@ class Model:
         weight = 1 / np.array([labels.count(x) for x in labels])
         gram = features.T @ (features * weight[:, None]) + ridge * np.eye(features.shape[1])
         solved = np.linalg.solve(gram, features.T @ (goal * weight[:, None]))
-        self.weights = (marks.T.astype(np.float64) @ (whiten @ solved)).astype(np.float32)
+        per_mark = whiten @ solved / mark_size[:, None]
+        self.weights = np.zeros((len(LENGTHS) * BINS, len(self.languages)), dtype=np.float32)
+        for bins, weight in zip(marks, per_mark):
+            self.weights[bins] += weight
 
     def scores(self, text: str) -> np.ndarray:
         """Of each language a share; together 1."""

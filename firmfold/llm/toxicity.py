@@ -33,8 +33,8 @@ from firmfold.llm.common import id_remainder, pick
 LENGTHS = (3, 4, 5, 6)
 FEATURES = 16_000
 LEAST_TEXTS = 4
-TRAIN_ROWS = 3000
-TRAIN_CHARS = 8_000
+TRAIN_ROWS = 1500
+TRAIN_CHARS = 6_000
 RIDGE = 0.3
 STEPS = 150
 THRESHOLD = 0.3
