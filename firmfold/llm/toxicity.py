@@ -31,10 +31,10 @@ from pyspark.sql.window import Window
 from firmfold.llm.common import id_remainder, pick
 
 LENGTHS = (3, 4, 5, 6)
-FEATURES = 16_000
+FEATURES = 12_000
 LEAST_TEXTS = 4
 TRAIN_ROWS = 1500
-TRAIN_CHARS = 6_000
+TRAIN_CHARS = 4_000
 RIDGE = 0.3
 STEPS = 150
 THRESHOLD = 0.3
@@ -68,8 +68,9 @@ class Model:
         kept_codes, kept_ratio, rows, columns, base = [], [], [], [], 0
         for length in LENGTHS:
             sets = [np.unique(grams(t, length)) for t in texts]
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
             codes, column = np.unique(np.concatenate(sets), return_inverse=True)
+            column, sets = column.astype(np.int32), None
             with_, all_ = np.bincount(column, weights=toxic[owner]), np.bincount(column)
             without = all_ - with_
             ratio = np.log((with_ + 1) / (positive + 2)) - np.log((without + 1) / (negative + 2))
@@ -77,11 +78,11 @@ class Model:
             sure[all_ < LEAST_TEXTS] = 0
             best = np.sort(np.argsort(-sure, kind="stable")[:FEATURES // len(LENGTHS)])
             best = best[sure[best] > 0]
-            place = np.full(len(codes), -1)
-            place[best] = np.arange(len(best))
+            place = np.full(len(codes), -1, dtype=np.int32)
+            place[best] = np.arange(len(best), dtype=np.int32)
             hit = place[column] >= 0
             rows.append(owner[hit])
-            columns.append(place[column][hit] + base)
+            columns.append(place[column[hit]] + np.int32(base))
             kept_codes.append(codes[best])
             kept_ratio.append(ratio[best])
             base += len(best)
@@ -107,7 +108,7 @@ class Model:
 def _logistic(rows: np.ndarray, columns: np.ndarray, scale: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge-penalised logistic regression by accelerated gradient steps; the intercept is free."""
     n, d = len(goal), len(scale)
-    values = scale[columns]
+    values = scale[columns].astype(np.float32)
     weights, bias = np.zeros(d), 0.0
     ahead, ahead_bias, momentum = weights, bias, 1.0
     # The largest curvature, from a few power steps.
