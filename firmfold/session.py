@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,14 +50,18 @@ def build_session(app: str = "firmfold", master: str | None = None,
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without ``spark.checkpoint.dir`` (local tests) gets a
-    machine-local one.
+    Where neither the setting nor the context has one, a local session gets its own,
+    removed at exit; on a cluster it must be named, as no machine-local folder is shared.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="firmfold-")
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="firmfold-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,7 +8,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", master="local[4]", shuffle_partitions=2,
         **{"spark.ui.enabled": "false", "spark.driver.memory": "4g",
-           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+           "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
