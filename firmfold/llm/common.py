@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.session import SETTINGS
+from firmfold.session import SETTINGS, scratch_dir
 
 # White space of the word rule `[^\x20\x09-\x0D]+`, as a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -28,17 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder that ``spark.checkpoint.dir`` names."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write the frame to the shared folder and read it again."""
-    path = shared_dir(frame.sparkSession, label)
+    path = scratch_dir(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

@@ -35,7 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm.common import pick, shared_dir, written
+from firmfold.llm.common import pick, written
+from firmfold.session import scratch_dir
 
 SPLIT_BYTES = 8 << 20
 FILE_BYTES = 1 << 30
@@ -244,7 +245,7 @@ def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload
 
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Write a record per page, read the archives back: one row per page."""
-    manifest = write_archives(with_revisits(pages, min_bytes), shared_dir(pages.sparkSession, "warc"))
+    manifest = write_archives(with_revisits(pages, min_bytes), scratch_dir(pages.sparkSession, "warc"))
     found = read_archives(manifest, split_bytes, with_payload=False).filter(F.col("type").isin("response", "revisit"))
 
     def number(c: str):
