@@ -111,9 +111,9 @@ class Scanner:
         spans, best = [], 1.0 if places else 0.0
         taken: dict[int, list[tuple[int, int, int]]] = {}  # by stretches of 128 characters
         for notice, start, end, edits in sorted(self._fuzzy(flat), key=lambda m: m[3]):
-            # Of notices that differ little, the one that fits a place best has it.
+            # Of notices that differ little, the one that fits a place best has it; a longer one stays beside a shorter.
             cells = range(start // 128, end // 128 + 1)
-            if any(a < end and start < b and e < edits for c in cells for a, b, e in taken.get(c, ())):
+            if any(a < end and start < b and e < edits and b - a + edits >= end - start for c in cells for a, b, e in taken.get(c, ())):
                 continue
             for c in cells:
                 taken.setdefault(c, []).append((start, end, edits))

@@ -31,10 +31,10 @@ from pyspark.sql.window import Window
 from firmfold.llm.common import id_remainder, pick
 
 LENGTHS = (3, 4, 5, 6)
-FEATURES = 12_000
-LEAST_TEXTS = 4
+FEATURES = 4_000
+LEAST_TEXTS = 3
 TRAIN_ROWS = 1500
-TRAIN_CHARS = 4_000
+TRAIN_CHARS = 8_000
 RIDGE = 0.3
 STEPS = 150
 THRESHOLD = 0.3
