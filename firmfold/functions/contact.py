@@ -34,11 +34,15 @@ def norm_email(c: Column) -> Column:
 def norm_phone_hu(c: Column) -> Column:
     """Hungarian number as +36 and 8 or 9 subscriber digits, else null."""
     s = F.regexp_replace(c, "[^0-9+]", "")
+
+    def rest(first: int) -> Column:
+        return F.substring(s, F.lit(first), F.length(s))
+
     # Only the +36 spelling loses plus signs further inside.
-    subscriber = (F.when(s.startswith("+36"), F.replace(F.substring(s, 4, 1000), F.lit("+"), F.lit("")))
-                  .when(s.startswith("0036"), F.substring(s, 5, 1000))
-                  .when(s.startswith("06"), F.substring(s, 3, 1000))
-                  .when(s.startswith("36") & (F.length(s) >= 10), F.substring(s, 3, 1000)))
+    subscriber = (F.when(s.startswith("+36"), F.replace(rest(4), F.lit("+"), F.lit("")))
+                  .when(s.startswith("0036"), rest(5))
+                  .when(s.startswith("06"), rest(3))
+                  .when(s.startswith("36") & (F.length(s) >= 10), rest(3)))
     return F.when(F.length(subscriber).between(8, 9), F.concat(F.lit("+36"), subscriber))
 
 

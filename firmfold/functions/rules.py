@@ -1,7 +1,7 @@
 """Rule tables: categories, regions and code prefixes.
 
-All of them are user data. The defaults below cover common terms; pass your own
-lists, or read them from a table with :func:`load_rules`. Rule tables become
+All of them may be user data: pass your own lists, or read them from a table with
+:func:`load_rules`. Rule tables become
 regular expressions on the driver, so their size is checked when they load.
 """
 
@@ -64,69 +64,63 @@ def word_pattern(words: list[str]) -> str:
     return r"(?<![\p{L}\p{N}])(?:" + alternatives + r")(?![\p{L}\p{N}])"
 
 
-# Ids, names and order of the categories and regions. Keywords are
-# a short list of common terms, and the larger towns of each county.
+# Fixed values, part of the data contract: ids, names, keywords and prefixes decide which
+# category and region a record gets, and their order decides which comes first. Keywords
+# are compared without case and accents, so each stands once, in its accented spelling.
 CATEGORIES = (
-    Category("cleaning", "Takarítás", ("takarít", "tisztít", "higién", "ablakmos"),
-             ("cleaning", "cleaners", "clean")),
+    Category("cleaning", "Takarítás",
+             ("takarít", "tisztít", "higién", "irodatakar", "janitor"), ("clean", "cleaning")),
     Category("hvac", "HVAC / klíma karbantartás",
-             ("klíma", "légkond", "hűtés", "fűtés", "szellőz", "hőszivattyú", "ventilat"),
-             ("hvac", "heating", "cooling", "air conditioning", "air condition")),
+             ("klíma", "légkondi", "hűtés", "fűtés", "szellőz", "ventilat"),
+             ("hvac", "air condition", "cooling", "heating")),
     Category("security", "Őrzés-védelem",
-             ("őrzés", "vagyonvéd", "biztonsági", "portaszolg", "beléptet"),
-             ("security", "guard", "guarding")),
+             ("őrzés", "biztonsági", "biztonsag", "vagyonvéd", "portaszolgálat", "beléptet"), ("security", "guard")),
     Category("occupational-safety", "Munkavédelem",
-             ("munkavéd", "munkabizton", "kockázatért", "üzemorvos"),
+             ("munkavéd", "kockázatértékel", "üzemorvos", "munkabiztons"),
              ("occupational safety", "workplace safety", "risk assessment")),
-    Category("fire-safety", "Tűzvédelem", ("tűzvéd", "tűzjelz", "tűzolt", "menekülés"),
+    Category("fire-safety", "Tűzvédelem", ("tűzvéd", "tűzoltó", "tűzjelz", "menekülés"),
              ("fire safety", "fire protection", "fire alarm", "extinguisher")),
     Category("it-support", "IT üzemeltetés / support",
-             ("informatik", "rendszergazd", "szerver", "hálózat", "számítógép", "számítástech",
-              "helpdesk"),
-             ("it", "support", "server", "network", "laptop")),
+             ("informatik", "rendszergazda", "szerver", "hálózat", "számítógép", "számítástechnik",
+              "sysadmin", "helpdesk"),
+             ("it", "support", "server", "network", "laptop", "microsoft 365")),
 )
 
 REGIONS = (
-    Region("budapest", "Budapest", ("budapest", "főváros", "bp")),
+    Region("budapest", "Budapest", ("budapest", "bp", "főváros")),
     Region("pest", "Pest vármegye",
-           ("pest vármegye", "pest megye", "érd", "dunakeszi", "szigetszentmiklós", "cegléd", "vác", "gödöllő", "budaörs", "szentendre")),
-    Region("bacs-kiskun", "Bács-Kiskun", ("kecskemét", "baja", "kiskunfélegyháza", "kiskunhalas")),
-    Region("baranya", "Baranya", ("pécs", "komló", "mohács")),
-    Region("bekes", "Békés", ("békéscsaba", "orosháza", "gyula")),
-    Region("borsod-abauj-zemplen", "Borsod-Abaúj-Zemplén", ("miskolc", "ózd", "kazincbarcika", "mezőkövesd")),
+           ("pest vármegye", "pest megye", "érd", "gödöllő", "vác", "cegléd", "szentendre", "dunakeszi", "budaörs")),
+    Region("bacs-kiskun", "Bács-Kiskun", ("kecskemét", "baja", "kiskunfélegyháza")),
+    Region("baranya", "Baranya", ("pécs", "mohács")),
+    Region("bekes", "Békés", ("békéscsaba", "gyula", "orosháza")),
+    Region("borsod-abauj-zemplen", "Borsod-Abaúj-Zemplén", ("miskolc", "ózd", "kazincbarcika")),
     Region("csongrad-csanad", "Csongrád-Csanád", ("szeged", "hódmezővásárhely", "szentes")),
     Region("fejer", "Fejér", ("székesfehérvár", "dunaújváros")),
     Region("gyor-moson-sopron", "Győr-Moson-Sopron", ("győr", "sopron", "mosonmagyaróvár")),
-    Region("hajdu-bihar", "Hajdú-Bihar", ("debrecen", "hajdúböszörmény", "hajdúszoboszló")),
+    Region("hajdu-bihar", "Hajdú-Bihar", ("debrecen", "hajdúszoboszló")),
     Region("heves", "Heves", ("eger", "gyöngyös", "hatvan")),
-    Region("jasz-nagykun-szolnok", "Jász-Nagykun-Szolnok", ("szolnok", "jászberény", "törökszentmiklós")),
-    Region("komarom-esztergom", "Komárom-Esztergom", ("tatabánya", "esztergom", "tata", "komárom")),
+    Region("jasz-nagykun-szolnok", "Jász-Nagykun-Szolnok", ("szolnok", "jászberény")),
+    Region("komarom-esztergom", "Komárom-Esztergom", ("tatabánya", "esztergom", "komárom", "tata")),
     Region("nograd", "Nógrád", ("salgótarján", "balassagyarmat")),
-    Region("somogy", "Somogy", ("kaposvár", "siófok", "marcali")),
-    Region("szabolcs-szatmar-bereg", "Szabolcs-Szatmár-Bereg", ("nyíregyháza", "mátészalka", "kisvárda")),
-    Region("tolna", "Tolna", ("szekszárd", "paks", "dombóvár")),
-    Region("vas", "Vas", ("szombathely", "sárvár", "celldömölk", "kőszeg")),
+    Region("somogy", "Somogy", ("kaposvár", "siófok")),
+    Region("szabolcs-szatmar-bereg", "Szabolcs-Szatmár-Bereg", ("nyíregyháza", "mátészalka")),
+    Region("tolna", "Tolna", ("szekszárd", "paks")),
+    Region("vas", "Vas", ("szombathely", "sárvár", "kőszeg")),
     Region("veszprem", "Veszprém", ("veszprém", "pápa", "ajka", "balatonfüred")),
     Region("zala", "Zala", ("zalaegerszeg", "nagykanizsa", "keszthely")),
 )
 
-# Prefixes of the EU procurement vocabulary (CPV).
+# Prefixes of the EU procurement vocabulary (CPV).
 AWARD_CODES = (
-    PrefixRule("9091", "cleaning"),                # cleaning services
-    PrefixRule("45331", "hvac"),                   # installing heating, ventilation, air conditioning
-    PrefixRule("5073", "hvac"),                    # repair of cooling groups
-    PrefixRule("425", "hvac"),                     # cooling and ventilation equipment
-    PrefixRule("7971", "security"),                # security services
-    PrefixRule("71317", "occupational-safety"),    # hazard protection consultancy
-    PrefixRule("85147", "occupational-safety"),    # company health services
-    PrefixRule("35111", "fire-safety"),            # firefighting equipment
-    PrefixRule("75251", "fire-safety"),            # fire-brigade services
-    PrefixRule("72", "it-support"),                # IT services
-    PrefixRule("50312", "it-support"),             # maintenance of computer equipment
-    PrefixRule("302", "it-support"),               # computer equipment
+    PrefixRule("9091", "cleaning"), PrefixRule("90919", "cleaning"),
+    PrefixRule("45331", "hvac"), PrefixRule("50730", "hvac"), PrefixRule("42500", "hvac"), PrefixRule("42510", "hvac"),
+    PrefixRule("7971", "security"), PrefixRule("79713", "security"),
+    PrefixRule("71317", "occupational-safety"), PrefixRule("85147", "occupational-safety"),
+    PrefixRule("35111", "fire-safety"), PrefixRule("75251", "fire-safety"),
+    PrefixRule("72", "it-support"), PrefixRule("50312", "it-support"), PrefixRule("30200", "it-support"),
 )
 
-# Prefixes of the NACE rev. 2 activity classes.
+# Prefixes of the NACE rev. 2 activity classes.
 ACTIVITY_CODES = (
     PrefixRule("812", "cleaning"), PrefixRule("4322", "hvac"), PrefixRule("3530", "hvac"),
     PrefixRule("80", "security"), PrefixRule("8425", "fire-safety"),

@@ -13,14 +13,14 @@ from firmfold.functions.text import has_text
 LOW_QUALITY = 40
 DAY_MILLIS = 86_400_000
 
-# What a reviewer reads.
-PERSONAL = "personal data"
-NO_CHANNEL = "no e-mail and no phone"
-UNCATEGORISED = "no category"
-LOW = f"score below {LOW_QUALITY}"
-TAX_CANCELLED = "tax number is cancelled"
-TAX_SUSPENDED = "tax number is suspended"
-TAX_DEBT = "tax debt on record"
+# The texts that exports and reviewers get.
+PERSONAL = "personal data — handle conservatively, likely exclude from early outreach"
+NO_CHANNEL = "no contact channel"
+UNCATEGORISED = "uncategorized"
+LOW = f"low quality (<{LOW_QUALITY})"
+TAX_CANCELLED = "tax number cancelled"
+TAX_SUSPENDED = "tax number suspended"
+TAX_DEBT = "has tax debt (not köztartozásmentes)"
 
 
 def _points(condition: Column, points: int) -> Column:

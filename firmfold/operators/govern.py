@@ -99,45 +99,24 @@ def dsar_export(lead: DataFrame, events: DataFrame, subjects: DataFrame) -> Acce
     return AccessReport(records, trail)
 
 
-# A trail of up to this many events is nested into its record.
-NESTED_TRAIL = 10_000
-
+def dsar_documents(report: AccessReport) -> DataFrame:
+    """Records with the number of their events; the events are ``report.trail``."""
+    counts = report.trail.groupBy("lead_id").agg(F.count(F.lit(1)).alias("trail_events"))
+    return report.records.join(counts, "lead_id", "left").withColumn(
+        "trail_events", F.coalesce("trail_events", F.lit(0)))
 
-def dsar_documents(report: AccessReport, nested: int = NESTED_TRAIL) -> DataFrame:
-    """Records with their trail nested, oldest event first.
 
-    A record whose trail is longer has ``audit_trail`` null and its whole trail
-    stays in ``report.trail``; ``trail_events`` tells how much there is.
-    """
-    counts = report.trail.groupBy("lead_id").agg(F.count(F.lit(1)).alias("trail_events"))
-    short = report.trail.join(counts.filter(F.col("trail_events") <= nested).select("lead_id"),
-                              "lead_id", "left_semi")
-    event = F.struct("at", "event_id", "type", "meta", "created_at")
-    trails = short.groupBy("lead_id").agg(F.array_sort(F.collect_list(event)).alias("t"))
-    clean = F.transform("t", lambda e: F.struct(e["type"].alias("type"), e["meta"].alias("meta"),
-                                                e["created_at"].alias("created_at")))
-    n = F.coalesce("trail_events", F.lit(0))
-    empty = F.array().cast("array<struct<type:string,meta:string,created_at:string>>")
-    return (report.records.join(counts, "lead_id", "left").join(trails, "lead_id", "left")
-            .withColumn("trail_events", n)
-            .withColumn("audit_trail", F.when(F.col("trail_events") == 0, empty).otherwise(clean))
-            .drop("t"))
-
-
-def write_dsar_report(report: AccessReport, path: str, generated_at: Column,
-                      nested: int = NESTED_TRAIL) -> None:
-    """Three folders of JSON lines: subjects, records, and the trails that are
-    too long to nest, in order of time."""
+def write_dsar_report(report: AccessReport, path: str, generated_at: Column) -> None:
+    """Three folders of JSON lines, of one shape at every size: subjects, records,
+    and the trails in order of record and time."""
     def write(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
 
-    docs = dsar_documents(report, nested)
+    docs = dsar_documents(report)
     write(docs.groupBy("subject").agg(F.count(F.lit(1)).alias("lead_count"))
           .withColumn("generated_at", iso_timestamp(generated_at)), "subjects")
     write(docs, "records")
-    long = docs.filter(F.col("trail_events") > nested).select("lead_id")
-    write(report.trail.join(long, "lead_id", "left_semi")
-          .orderBy("lead_id", "at", "event_id").drop("at", "event_id"), "long_trails")
+    write(report.trail.orderBy("lead_id", "at", "event_id").drop("at", "event_id"), "trail")
 
 
 def recategorize(lead: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int | None = None) -> DataFrame:

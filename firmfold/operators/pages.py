@@ -32,7 +32,7 @@ def resume_cursor(wanted: DataFrame, crawl_state: DataFrame, full: bool = False)
     return wanted.join(saved, REGION_KEY, "left").select(*REGION_KEY, start.alias("start_page"))
 
 
-def page_prefix(page_counts: DataFrame, starts: DataFrame, max_pages: int = 50) -> DataFrame:
+def page_prefix(page_counts: DataFrame, starts: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Last page of the contiguous run of non-empty pages from the start page.
 
     ``page_counts``: one row per (source, region_id, page) with n_rows and a
@@ -40,10 +40,11 @@ def page_prefix(page_counts: DataFrame, starts: DataFrame, max_pages: int = 50)
     finding it is an equi-join of pages with their successors on a unique key
     and one pre-aggregated minimum, so no source or region is sorted in one
     task. Result: source, region_id, start_page, last_page (start - 1 where the
-    run is empty) and failed, set where the run hits a malformed page.
+    run is empty) and failed, set where the run hits a malformed page. Without
+    ``max_pages`` every landed page may be part of the run.
     """
     inside = page_counts.join(starts, REGION_KEY).filter(
-        F.col("page").between(F.col("start_page"), F.lit(max_pages)))
+        (F.col("page") >= F.col("start_page")) & (F.lit(max_pages is None) | (F.col("page") <= F.lit(max_pages))))
     full = inside.filter((F.col("n_rows") > 0) & ~F.col("malformed"))
     successor = full.select(*REGION_KEY, (F.col("page") - 1).alias("page"), F.lit(True).alias("goes_on"))
     marked = inside.join(successor, [*REGION_KEY, "page"], "left")
@@ -51,13 +52,20 @@ def page_prefix(page_counts: DataFrame, starts: DataFrame, max_pages: int = 50)
     at_start = F.col("page") == F.col("start_page")
     runs = marked.groupBy(*REGION_KEY).agg(
         F.max(at_start & is_full).alias("starts"),
-        F.min(F.when(is_full & F.col("goes_on").isNull(), F.col("page"))).alias("run_end"),
-        F.array_sort(F.collect_set(F.when(F.col("malformed"), F.col("page")))).alias("bad"))
+        F.min(F.when(is_full & F.col("goes_on").isNull(), F.col("page"))).alias("run_end"))
     last = F.when(F.col("starts"), F.col("run_end")).otherwise(F.col("start_page") - 1).cast("int")
     stop = F.coalesce(last, F.col("start_page") - 1).cast("int")
-    return (starts.join(runs, REGION_KEY, "left")
-            .select(*REGION_KEY, "start_page", stop.alias("last_page"),
-                    F.coalesce(F.array_contains("bad", stop + 1), F.lit(False)).alias("failed")))
+    ended = starts.join(runs, REGION_KEY, "left").select(*REGION_KEY, "start_page", stop.alias("last_page"))
+    # Only the page after the run matters: one row at most.
+    bad = inside.filter("malformed").select(*REGION_KEY, (F.col("page") - 1).alias("last_page"),
+                                            F.lit(True).alias("failed")).distinct()
+    return ended.join(bad, [*REGION_KEY, "last_page"], "left").select(
+        *REGION_KEY, "start_page", "last_page", F.coalesce("failed", F.lit(False)).alias("failed"))
+
+
+def pages_beyond(page_counts: DataFrame, max_pages: int) -> int:
+    """How many landed pages a page cap leaves out."""
+    return page_counts.filter(F.col("page") > max_pages).count()
 
 
 def landed_range(page_counts: DataFrame) -> DataFrame:

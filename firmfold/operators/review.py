@@ -23,12 +23,16 @@ def top_quality() -> list[Column]:
 
 
 def list_leads(lead: DataFrame, region: str | None = None, category: str | None = None,
-               min_quality: int = 0, limit: int = 50) -> DataFrame:
-    """Best N of a region; the category is filtered *after* the cut."""
+               min_quality: int = 0, limit: int | None = None) -> DataFrame:
+    """Best ``limit`` of a region (all without one); the category is filtered *after* the cut.
+
+    A limit is a top-k: its rows end in one task.
+    """
     rows = lead.filter(F.col("quality_score") >= min_quality)
     if region:
         rows = rows.filter(F.col("region_id") == region)
-    best = rows.orderBy(*top_quality()).limit(limit)
+    best = rows.orderBy(*top_quality())
+    best = best if limit is None else best.limit(limit)
     if category:
         best = best.filter(F.array_contains("categories", category))
     return best.select("lead_id", "quality_score", "legal_name", "region_id", "categories",

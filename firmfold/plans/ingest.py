@@ -18,11 +18,12 @@ from firmfold.functions.rules import DEFAULT_RULES, RuleSet
 from firmfold.operators.audit import ingest_events
 from firmfold.operators.consolidate import dedupe_batch, lead_id_of, match_existing, upsert_lead
 from firmfold.operators.normalize import normalize_businesses, region_fallback, with_dedupe_key
-from firmfold.operators.pages import keep_prefix, landed_range, page_prefix, record_limit, resume_cursor, save_cursor
+from firmfold.operators.pages import (keep_prefix, landed_range, page_prefix, pages_beyond, record_limit,
+                                      resume_cursor, save_cursor)
 from firmfold.operators.report import batch_by_source
 from firmfold.operators.suppress import flag_suppressed
 from firmfold.plans.store import Store
-from firmfold.sources.pages import explode_records, latest_pages, row_counts, union_sources
+from firmfold.sources.pages import bad_pages, explode_records, latest_pages, row_counts, union_sources
 from firmfold.sources.registry import gate_sensitive_sources
 
 @dataclass
@@ -32,19 +33,22 @@ class IngestStats:
     merged: int = 0
     skipped_suppressed: int = 0
     failed_regions: list[tuple[str, str]] = field(default_factory=list)
+    bad_pages: list[tuple[str, str, int]] = field(default_factory=list)
+    capped_pages: int = 0
     per_source: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
            sources: list[str] | None = None, regions: list[str] | None = None,
            enabled: set[str] = frozenset(), full: bool = False, limit: int | None = None,
-           max_pages: int = 50, rules: RuleSet = DEFAULT_RULES,
-           newest_copy_only: bool = False, all_pages: bool = False) -> IngestStats:
+           max_pages: int | None = None, rules: RuleSet = DEFAULT_RULES,
+           all_pages: bool = False) -> IngestStats:
     """One run over landed pages.
 
-    The landing table holds a page once; where it may hold copies,
-    ``newest_copy_only`` picks the newest (one more shuffle). ``all_pages``
-    takes every page instead of the run from the cursor to the first gap.
+    The landing table may hold copies of a page, as each run fetches its last
+    page again: the newest counts. ``all_pages`` takes every page instead of the
+    run from the cursor to the first gap. Nothing caps pages or records unless
+    the caller does; how many pages a cap left out is in the result.
     """
     spark = store.spark
     specs = gate_sensitive_sources(sources, enabled)
@@ -56,8 +60,7 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
         wanted = spark.createDataFrame(pairs, "source string, region_id string")
     else:
         wanted = pages.select("source", "region_id").distinct()
-    if newest_copy_only:
-        pages = latest_pages(pages)
+    pages = latest_pages(pages)
 
     # Cursors only steer paginated sources; the others start at their page 1.
     paginated = [s.id for s in specs if s.paginated]
@@ -90,7 +93,14 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
                .select("source", "region_id", "last_page",
                        F.coalesce("n_seen", F.lit(0)).alias("n_seen")))
     store.replace("crawl_state", save_cursor(state, cursors, stamp), run_id)
-    return _stats(batch, matched, prefix)
+    stats = _stats(batch, matched, prefix)
+    # Which page stopped a failed region: one row each.
+    hit = prefix.filter("failed").select("source", "region_id", (F.col("last_page") + 1).alias("page"))
+    stats.bad_pages = [tuple(r) for r in hit.join(bad_pages(parsed), ["source", "region_id", "page"]).collect()]
+    if max_pages is not None and not all_pages:
+        stats.capped_pages = pages_beyond(counts, max_pages)
+    store.end_run(run_id)
+    return stats
 
 
 def _stats(batch: DataFrame, matched: DataFrame, prefix: DataFrame) -> IngestStats:

@@ -70,6 +70,7 @@ def enrich(store: Store, lookups: Lookups, run_id: str, now: datetime, revalidat
     if stats:
         store.replace("lead", lead, run_id)
         store.append_events(events, run_id)
+    store.end_run(run_id)
     return stats
 
 
@@ -100,7 +101,10 @@ def recategorize(store: Store, run_id: str, now: datetime, rules: RuleSet = DEFA
         outcome = store.stage(run_id, "recategorize", outcome)
         store.replace("lead", E.apply_outcome(store.read("lead"), outcome, ["categories"]), run_id)
         store.append_events(E.outcome_events(outcome, "RECATEGORIZED", _ts(now), run_id), run_id)
-    return G.recategorize_stats(outcome).first().asDict()
+    stats = G.recategorize_stats(outcome).first().asDict()
+    if not dry_run:
+        store.end_run(run_id)
+    return stats
 
 
 def review(store: Store, decisions: DataFrame, run_id: str, now: datetime) -> int:
@@ -111,7 +115,9 @@ def review(store: Store, decisions: DataFrame, run_id: str, now: datetime) -> in
         raise ValueError(f"decisions that do not apply, e.g. {[tuple(w) for w in wrong]}")
     store.replace("lead", E.apply_outcome(store.read("lead"), outcome, REVIEW_COLUMNS), run_id)
     store.append_events(E.outcome_events(outcome, "REVIEWED", _ts(now), run_id), run_id)
-    return outcome.count()
+    applied = outcome.count()
+    store.end_run(run_id)
+    return applied
 
 
 def suppress(store: Store, entries: DataFrame, run_id: str, now: datetime) -> None:
@@ -138,6 +144,7 @@ def purge(store: Store, run_id: str, now: datetime, retention_days: int = G.RETE
                run_id)
     stats = G.purge_stats(decided).first().asDict()
     if not dry_run:
+        store.end_run(run_id)
         store.clear_staged()
     return stats
 
@@ -161,6 +168,7 @@ def dsar_erase(store: Store, subjects: DataFrame, run_id: str, now: datetime) ->
                                F.lit("erasure request or objection").alias("reason"), F.lit(0).alias("ord")),
              run_id, now)
     erased = doomed.count()
+    store.end_run(run_id)
     store.clear_staged()
     return erased
 

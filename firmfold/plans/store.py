@@ -60,8 +60,14 @@ class Store:
 
     # -- tables ---------------------------------------------------------------
 
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:08d}"
+    def _path(self, name: str, version: int, run_id: str = "") -> str:
+        """Folder of a state; with the run in its name, two runs never share one.
+
+        Events are appended to one folder, so a stream can follow it.
+        """
+        if name == "audit_event":
+            return f"{self.root}/{name}/v{version:08d}"
+        return f"{self.root}/{name}/v{version:08d}-{hashlib.md5(run_id.encode()).hexdigest()[:12]}"
 
     def _bucketed_name(self, path: str) -> str:
         return "firmfold_" + hashlib.md5(path.encode()).hexdigest()
@@ -78,7 +84,7 @@ class Store:
         entry = self._current(name)
         if entry is None:
             return self.spark.createDataFrame([], TABLES[name])
-        path = self._path(name, entry["version"])
+        path = self._path(name, entry["version"], entry["run_id"])
         if name == "lead":
             return self._read_bucketed(path, entry["buckets"])
         return self.spark.read.schema(TABLES[name]).parquet(path)
@@ -89,7 +95,7 @@ class Store:
             return
         entry = self._current(name)
         version = (entry["version"] if entry else 0) + 1
-        path = self._path(name, version)
+        path = self._path(name, version, run_id)
         if name == "lead":
             if entry is None or entry["buckets"] != self.buckets:
                 # Later states come out of joins with the bucketed table and
@@ -101,6 +107,9 @@ class Store:
             state.write.mode("overwrite").partitionBy("run_id").parquet(path)
         else:
             state.write.mode("overwrite").parquet(path)
+        now = self._current(name)
+        if (now["version"] if now else 0) != version - 1:
+            raise RuntimeError(f"{name} was changed by run {now['run_id']!r} meanwhile; start {run_id!r} again")
         self._record(name, version, run_id)
 
     def append_events(self, events: DataFrame, run_id: str) -> None:
@@ -121,32 +130,52 @@ class Store:
         entry = self._current(name)
         if entry is None:
             return
+        emptied = self._current(f"{name}/emptied")
+        low = emptied["version"] if emptied else 0
+        old = self._entries(name).filter(F.col("version").between(low + 1, entry["version"] - 1)).collect()
         nothing = self.spark.createDataFrame([], TABLES[name])
-        for version in range(1, entry["version"]):
-            nothing.write.mode("overwrite").parquet(self._path(name, version))
+        for row in old:
+            nothing.write.mode("overwrite").parquet(self._path(name, row["version"], row["run_id"]))
+        if old:
+            self._record(f"{name}/emptied", entry["version"] - 1, entry["run_id"])
 
     # -- staged frames of a run -----------------------------------------------
 
     def stage(self, run_id: str, name: str, frame: DataFrame) -> DataFrame:
-        """Write a frame that several steps read; a replay reads it back."""
+        """Write a frame that several steps read; a replay reads it back.
+
+        A frame's newest ledger version is odd while it counts. A run that has
+        not ended computes a frame again that an erasure has withdrawn.
+        """
         label = f"runs/{run_id}/{name}"
         path = f"{self.root}/{label}"
-        if not self.done(label, run_id):
+        entry = self._current(label)
+        version = entry["version"] if entry else 0
+        if version % 2 == 0 and not (version and self.done(f"ended/{run_id}", run_id)):
             frame.write.mode("overwrite").parquet(path)
-            self._record(label, 1, run_id)
+            self._record(label, version + 1, run_id)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def end_run(self, run_id: str) -> None:
+        """All tables of the run are written: its staged frames may be emptied."""
+        if not self.done(f"ended/{run_id}", run_id):
+            self._record(f"ended/{run_id}", 1, run_id)
+
     def clear_staged(self) -> None:
-        """Empty the staged frames of all runs: an erasure must reach them too.
+        """Withdraw the staged frames of all runs: an erasure must reach them too.
 
-        A run whose frames are gone must have ended; started again, it finds
-        every table written already.
+        Frames of ended runs are emptied. A run that was cut off, or is under
+        way, keeps its files, as it may be reading them; started again it
+        computes them anew, with the suppressions that hold by then. A run that
+        will not be started again is given up with :meth:`end_run`.
         """
         ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-        staged = (ledger.filter(F.col("name").startswith("runs/")).groupBy("name")
-                  .agg(F.max("version").alias("version"), F.first("run_id").alias("run_id")))
-        for row in staged.filter("version = 1").collect():
-            path = f"{self.root}/{row['name']}"
-            schema = self.spark.read.parquet(path).schema
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-            self._record(row["name"], 2, row["run_id"])
+        ended = {r["run_id"] for r in ledger.filter(F.col("name").startswith("ended/")).collect()}
+        staged = (ledger.filter(F.col("name").startswith("runs/")).groupBy("name", "run_id")
+                  .agg(F.max("version").alias("version")).filter("version % 2 = 1"))
+        for row in staged.collect():
+            if row["run_id"] in ended:
+                path = f"{self.root}/{row['name']}"
+                schema = self.spark.read.parquet(path).schema
+                self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            self._record(row["name"], row["version"] + 1, row["run_id"])

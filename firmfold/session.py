@@ -19,6 +19,9 @@ SETTINGS = {
     # even where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Also after a small patch the master table is read by bucket, so what is written
+    # from it stays one file per bucket.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     # Buckets of the master table are written as one sorted file each: joins on
     # its key need not sort it again.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",

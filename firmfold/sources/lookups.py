@@ -1,6 +1,7 @@
 """Answers of the lookup services -> typed lookup tables.
 
-Input: (key, body) with the JSON answer as text. Output: one row per key.
+Input: (key, body, fetched_at) with the JSON answer as text; the time may be
+absent where a key has one answer. Output: one row per key.
 """
 
 from __future__ import annotations
@@ -76,8 +77,13 @@ def place_answer(body: Column) -> Column:
 
 
 def _table(answers: DataFrame, key: str, answer: Column) -> DataFrame:
-    """One answer per key. Copies meet in the partial aggregate."""
-    one = answers.groupBy(F.col("key").alias(key)).agg(F.max("body").alias("body"))
+    """One answer per key: the one fetched last, of equal times the greater text.
+
+    Copies meet in the partial aggregate. Answers without a time count as the oldest.
+    """
+    at = F.col("fetched_at") if "fetched_at" in answers.columns else F.lit(None).cast("timestamp")
+    newest = F.max(F.struct(at.alias("at"), F.col("body"))).alias("newest")
+    one = answers.groupBy(F.col("key").alias(key)).agg(newest).select(key, "newest.body")
     return one.select(key, answer.alias("a")).select(key, "a.*")
 
 

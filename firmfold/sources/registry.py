@@ -15,7 +15,7 @@ class SourceSpec:
     base_url: str
     parse: Parser
     paginated: bool = True
-    default_limit: int | None = None   # records per region
+    default_limit: int | None = None   # records per region; None takes all
     sensitive: bool = False            # holds natural persons; off unless enabled
 
     @property
@@ -36,7 +36,7 @@ def register(spec: SourceSpec) -> SourceSpec:
 # are placeholders; pass your own spec to point a source elsewhere.
 for _spec in (
     SourceSpec("overpass", "ODbL", "https://www.openstreetmap.org", parsers.parse_poi_pages,
-               paginated=False, default_limit=200),
+               paginated=False),
     SourceSpec("directory", "open directory data", "https://directory.example",
                parsers.parse_directory_pages),
     SourceSpec("htmldir", "open listing data", "https://listing.example",

@@ -199,13 +199,14 @@ def page_text(spark, sf):
         "page_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("text_md5"))
 
 
-@query("SELECT doc_id, md5(concat(chr(233), '<', text, '&amp;', chr(128512), '&#xD800;')) AS decoded_md5 FROM documents "
-       "WHERE NOT contains(text, '&')")
+@query("SELECT doc_id, md5(concat(chr(233), '<', replace(text, '&', '.'), '&amp;', chr(128512), '&#xD800;', text)) AS decoded_md5 "
+       "FROM documents")
 def decode_entities_documents(spark, sf):
-    """Texts without entities of their own, between some of each kind."""
-    framed = F.concat(F.lit("&#xE9;&lt;"), F.col("text"), F.lit("&amp;amp;&#128512;&#xD800;"))
-    docs = S.table(spark, sf, "documents").filter(~F.col("text").contains("&"))
-    return docs.select("doc_id", F.md5(decode_entities(framed)).alias("decoded_md5"))
+    """All texts, without ampersands and with theirs escaped, between entities of each kind."""
+    text = F.col("text")
+    framed = F.concat(F.lit("&#xE9;&lt;"), F.replace(text, F.lit("&"), F.lit(".")), F.lit("&amp;amp;&#128512;&#xD800;"),
+                      F.replace(text, F.lit("&"), F.lit("&amp;")))
+    return S.table(spark, sf, "documents").select("doc_id", F.md5(decode_entities(framed)).alias("decoded_md5"))
 
 
 def _contact_sql(key: str, table: str, body: str) -> str:
@@ -922,15 +923,14 @@ def dsar_export(spark, sf):
         "subject", "lead_id", "legal_name", "quality_score", "type", "meta", "created_at")
 
 
-@query(O.sql(f"""SELECT l.lead_id, email AS subject, {O.iso('collected_at')} AS collected_at, count(a.event_id) AS trail_events,
-  coalesce(string_agg(type || ' ' || {O.iso('a.created_at')}, ',' ORDER BY a.created_at, a.event_id), '') AS audit_trail
-  FROM lead l LEFT JOIN audit a ON a.lead_id = l.lead_id WHERE email IS NOT NULL GROUP BY ALL""", "lead", audit=_AUDIT))
+@query(O.sql(f"""SELECT l.lead_id, email AS subject, {O.iso('collected_at')} AS collected_at,
+  count(a.event_id) OVER (PARTITION BY l.lead_id) AS trail_events, type, {O.iso('a.created_at')} AS created_at
+  FROM lead l LEFT JOIN audit a ON a.lead_id = l.lead_id WHERE email IS NOT NULL""", "lead", audit=_AUDIT))
 def dsar_documents(spark, sf):
     lead = W.lead(spark, sf)
     report = G.dsar_export(lead, W.audit_events(spark, sf), lead.filter("email is not null").select("email"))
-    trail = F.array_join(F.transform("audit_trail", lambda e: F.concat(e["type"], F.lit(" "), e["created_at"])), ",")
-    return G.dsar_documents(report).select("lead_id", "subject", "collected_at", "trail_events",
-                                           trail.alias("audit_trail"))
+    records = G.dsar_documents(report).select("lead_id", "subject", "collected_at", "trail_events")
+    return records.join(report.trail.select("lead_id", "type", "created_at"), "lead_id", "left")
 
 
 @query(O.sql("""SELECT l.lead_id FROM lead l WHERE email IS NULL OR email NOT IN (SELECT email FROM keyed

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from firmfold.suite.queries import QUERIES
 from firmfold.suite.staging import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +27,7 @@ def _sorted(columns, rows):
     return sorted(repr(tuple(r[i] for i in order)) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     got = entry_points.queries()[name](spark, SF)
     want = duck.sql(entry_points.oracle_sql()[name])
