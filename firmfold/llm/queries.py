@@ -111,7 +111,7 @@ chain AS (
   SELECT page_id, url, at_s, len(lab) + k, lower(host || '/' || array_to_string(seg[1:k], '/'))
   FROM parts, LATERAL (SELECT unnest(range(1, len(seg) + 1)) AS k)),
 pattern AS (SELECT DISTINCT pattern AS shown FROM (
-  SELECT array_to_string(lab[len(lab) - k + 1:len(lab)], '.') FROM parts, LATERAL (SELECT unnest(range(1, len(lab) + 1)) AS k)
+  SELECT array_to_string(lab[len(lab) - k + 1:len(lab)], '.') AS pattern FROM parts, LATERAL (SELECT unnest(range(1, len(lab) + 1)) AS k)
   UNION ALL SELECT host || '/' || array_to_string(seg[1:k], '/') FROM parts, LATERAL (SELECT unnest(range(1, len(seg) + 1)) AS k))),
 entry AS (SELECT lower(shown) AS pattern, shown || '#' || nth AS seed FROM pattern,
   LATERAL (SELECT unnest(range(1, ('0x' || md5(shown)[1:1])::BIGINT % 4 + 1)) AS nth)),
