@@ -20,6 +20,7 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, SETTINGS[key])
     # Rows with whole texts are wide: keep the batches sent to Python small.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
     return spark
 
 

@@ -49,6 +49,7 @@ FREQUENT = 100_000
 CORNER_GROUPS = 64
 POINT_GROUPS = 256
 PAGE_TOKENS = 1 << 18
+BIT_TABLE = 1 << 25
 _CHUNK_TOKENS = 4_000_000
 _CHUNK_LEAST = 3
 _SLICE_BYTES = 1 << 20
@@ -223,6 +224,30 @@ def _corner(tokens: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups)
 
 
+def _of_handles(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (handle, text) whose handle may be among the nodes, before anything is moved.
+
+    A bit table of fixed size, set by an aggregation, stands for the handles: a row it
+    passes wrongly is dropped by the join that follows.
+    """
+    bit = F.pmod("handle", F.lit(BIT_TABLE))
+    word = F.call_function("div", bit, F.lit(64)).alias("word")
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))).alias("mask")
+    # At most BIT_TABLE / 64 rows, whatever the number of nodes.
+    found = nodes.groupBy(word).agg(mask).toPandas()
+    table = np.zeros(BIT_TABLE // 64, dtype=np.int64)
+    table[found["word"].to_numpy(dtype=np.int64)] = found["mask"].to_numpy(dtype=np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def able(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = np.mod(batch["handle"].to_numpy(), BIT_TABLE)
+            hit = (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
+            yield batch[hit == 1]
+
+    return rows.select("handle", "text").mapInPandas(able, "handle bigint, text string")
+
+
 def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """One row per leaf page: its band, smallest set, upper corner, and the sets."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,30 +256,31 @@ def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             yield pd.DataFrame({"class": batch["class"], "leaf": batch["leaf"], "band": batch["band"], "n": list(map(len, tokens)),
                                 "corner": [_corner(t, CORNER_GROUPS) for t in tokens], "tokens": [t.tobytes() for t in tokens]})
 
-    wanted = rows.join(nodes, "handle").select("class", "leaf", "band", "text")
+    wanted = _of_handles(rows, nodes).join(nodes, "handle").select("class", "leaf", "band", "text")
     held = wanted.mapInPandas(sets, "class bigint, leaf bigint, band int, n int, corner array<int>, tokens binary")
     # A page has bounded room, so its lists are bounded; lists of one aggregation have one order.
     return held.groupBy("leaf").agg(
-        F.first("band").alias("band"), F.min("n").alias("least"), F.count(F.lit(1)).alias("members"),
+        F.first("band").alias("band"), F.min("n").alias("least"), F.sum("n").alias("room"), F.count(F.lit(1)).alias("members"),
         F.array(*[F.max(F.get("corner", F.lit(g))) for g in range(CORNER_GROUPS)]).alias("corner"),
         F.collect_list("class").alias("classes"), F.collect_list("tokens").alias("tokens"))
 
 
 def _meeting(entries: DataFrame, nodes: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the leaf pages that may hold a similar pair, each page with itself included."""
+    """(a, b) of different leaf pages that may hold a similar pair; a is the smaller page."""
     held = entries.select("key", "class").join(nodes.select("class", "band", "leaf"), "class").select(
         "key", "band", "leaf").distinct()
     near = held.select("key", F.col("band").alias("b_band"), F.col("leaf").alias("b"),
                        F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
     met = held.withColumnRenamed("leaf", "a").join(near, ["key", "band"]).filter(
         (F.col("band") < F.col("b_band")) | (F.col("a") < F.col("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    corners = pages.select("leaf", "least", "corner")
-    bounds = met.join(corners.select(F.col("leaf").alias("a"), F.col("least").alias("a_least"), F.col("corner").alias("a_corner")), "a")
-    bounds = bounds.join(corners.select(F.col("leaf").alias("b"), F.col("least").alias("b_least"), F.col("corner").alias("b_corner")), "b")
+    corners = [pages.select(F.col("leaf").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("least", "room", "corner")]) for s in "ab"]
+    bounds = met.join(corners[0], "a").join(corners[1], "b")
     most = F.aggregate(F.zip_with("a_corner", "b_corner", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     enough = F.col("shared") >= _least_shared(F.least("a_least", "b_least"), percent)
-    able = bounds.filter(enough & ((100 + percent) * most >= percent * (F.col("a_least") + F.col("b_least")))).select("a", "b")
-    return able.unionByName(pages.filter("members > 1").select(F.col("leaf").alias("a"), F.col("leaf").alias("b")))
+    able = bounds.filter(enough & ((100 + percent) * most >= percent * (F.col("a_least") + F.col("b_least"))))
+    small = F.col("a_room") <= F.col("b_room")
+    return able.select(F.when(small, F.col("a")).otherwise(F.col("b")).alias("a"),
+                       F.when(small, F.col("b")).otherwise(F.col("a")).alias("b"))
 
 
 def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -291,21 +317,29 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int) -> li
 
 
 def _links(meeting: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
-    """Verified links (a, b) between classes."""
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Verified links (a, b) between classes, of pages in themselves and of pages that meet."""
+    def sets(tokens: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(x, dtype=np.uint64) for x in tokens]
+
+    def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                a = [np.frombuffer(x, dtype=np.uint64) for x in r.a_tokens]
-                b = None if r.a == r.b else [np.frombuffer(x, dtype=np.uint64) for x in r.b_tokens]
-                names = r.a_classes if b is None else r.b_classes
-                out += [(r.a_classes[i], names[j]) for i, j in _linked(a, b, percent)]
+            out = [(names[i], names[j]) for names, tokens in zip(batch["classes"], batch["tokens"])
+                   for i, j in _linked(sets(tokens), None, percent)]
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(r.a_classes[i], r.b_classes[j]) for r in batch.itertuples(index=False)
+                   for i, j in _linked(sets(r.a_tokens), sets(r.b_tokens), percent)]
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     def side(name: str) -> DataFrame:
         return pages.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("classes", "tokens")])
 
-    return meeting.join(side("a"), "a").join(side("b"), "b").mapInPandas(verify, "a bigint, b bigint")
+    schema = "a bigint, b bigint"
+    own = pages.filter("members > 1").select("classes", "tokens").mapInPandas(within, schema)
+    met = meeting.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
+    return own.unionByName(met.mapInPandas(between, schema))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id",
