@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity, url_filter, warc
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
+from firmfold.llm.sql import JACCARD_SQL, QUALITY_SQL, WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,7 +30,7 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+@query(QUALITY_SQL)
 def op3_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.withColumn("failed", F.array_join("failed", ","))
@@ -45,7 +46,7 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(JACCARD_SQL)
 def op4_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("handle", "stays")
 
@@ -72,7 +73,7 @@ def op8_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query()
+@query(WARC_SQL)
 def op1_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
