@@ -52,6 +52,14 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
+def never_shared(key: Column, row: Column) -> Column:
+    """The key; where it is null or empty, a text of the row's own that no key can be.
+
+    Rows without a key would otherwise meet in one join task.
+    """
+    return F.coalesce(F.nullif(key, F.lit("")), F.concat(F.lit("\x01"), row.cast("string")))
+
+
 def has_text(c: Column) -> Column:
     """True where the value is neither null nor empty."""
     return F.coalesce(c, F.lit("")) != ""

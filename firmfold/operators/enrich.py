@@ -6,7 +6,7 @@ the columns it patches, what it counted, and the details of its audit event.
 The lookup joins are plain left joins on the lookup's unique key: Spark
 broadcasts a lookup while its measured size allows it, and otherwise shuffles
 and lets AQE split the partition of a domain or name that many leads share.
-Candidates without a lookup key never enter a join.
+Candidates without a lookup key get one of their own, so they do not meet in one task.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from firmfold.functions.contact import url_domain
 from firmfold.functions.identity import norm_company_name, vat_core
 from firmfold.functions.score import score_of_row
-from firmfold.functions.text import has_text
+from firmfold.functions.text import has_text, never_shared
 from firmfold.operators.audit import audit_events, audit_meta
 from firmfold.schemas import LEAD_COLUMNS
 
@@ -52,6 +52,10 @@ def candidates_places(lead: DataFrame, revalidate: bool = False, limit: int | No
     return candidate_limit(rows if revalidate else rows.filter("places_checked_at is null"), limit)
 
 
+def _own(key: Column) -> Column:
+    return never_shared(key, F.col("dedupe_key"))
+
+
 def _rescored(changed: str) -> Column:
     return F.when(F.col(changed), score_of_row()).otherwise(F.col("quality_score"))
 
@@ -69,7 +73,7 @@ def verify_vat(lead: DataFrame, register: DataFrame, now: Column, revalidate: bo
     """
     found = register.select("core", F.struct("valid", "address").alias("answer"))
     cand = candidates_vat_check(lead, revalidate, limit).select(
-        *_KEYS, *_SCORED, vat_core(F.col("vat_number")).alias("core"))
+        *_KEYS, *_SCORED, _own(vat_core(F.col("vat_number"))).alias("core"))
     joined = cand.join(found, "core", "left")
     valid = F.coalesce(F.col("answer.valid"), F.lit(False))
     filled = F.when(valid & ~has_text(F.col("address")), F.col("answer.address"))
@@ -88,7 +92,7 @@ def check_tax(lead: DataFrame, signals: DataFrame, now: Column, revalidate: bool
     """Candidates against the tax office's signals; no gap filling, no rescoring."""
     found = signals.select("core", F.struct("tax_status", "debt_free", "employee_count").alias("answer"))
     cand = candidates_tax_check(lead, revalidate, limit).select(
-        *_KEYS, vat_core(F.col("vat_number")).alias("core"))
+        *_KEYS, _own(vat_core(F.col("vat_number"))).alias("core"))
     return cand.join(found, "core", "left").select(
         *_KEYS, F.col("answer").isNotNull().alias("answered"), "answer.tax_status",
         "answer.debt_free", "answer.employee_count", now.alias("nav_checked_at"),
@@ -122,7 +126,7 @@ def enrich_places(lead: DataFrame, places: DataFrame, now: Column, revalidate: b
                   limit: int | None = None) -> DataFrame:
     """Place by exact name, else by normalised name; values are kept as given."""
     cand = candidates_places(lead, revalidate, limit).select(
-        *_KEYS, *_SCORED, "legal_name", norm_company_name(F.col("legal_name")).alias("norm_name"))
+        *_KEYS, *_SCORED, "legal_name", _own(norm_company_name(F.col("legal_name"))).alias("norm_name"))
     place = F.struct("phone", "website", "address")
     exact = places.select(F.col("name").alias("legal_name"), place.alias("exact"))
     close = places.select(F.col("name").alias("norm_name"), place.alias("close"))

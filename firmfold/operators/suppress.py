@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from firmfold.functions.contact import url_domain
 from firmfold.functions.identity import suppression_keys
-from firmfold.functions.text import js_trim
+from firmfold.functions.text import js_trim, never_shared
 
 _KEYS = ["_k_email", "_k_email_domain", "_k_domain"]
 
 
 def _with_keys(rows: DataFrame) -> DataFrame:
     keys = suppression_keys(F.col("email"), F.col("domain"))
-    return rows.select("*", *[k.alias(n) for k, n in zip(keys, _KEYS)])
+    own = F.xxhash64(*[F.col(c) for c in rows.columns])
+    return rows.select("*", *[never_shared(k, own).alias(n) for k, n in zip(keys, _KEYS)])
 
 
 def anti_suppressed(rows: DataFrame, suppression: DataFrame) -> DataFrame:
