@@ -10,6 +10,7 @@ from firmfold.functions.score import score_of_row
 from firmfold.operators.consolidate import as_lead, dedupe_batch, lead_id_of
 from firmfold.operators.normalize import normalize_businesses, region_fallback, with_dedupe_key
 from firmfold.schemas import LEAD, LEAD_COLUMNS
+from firmfold.session import scratch_dir
 from firmfold.sources.contact_pages import merge_contact_pages
 from firmfold.sources.lookups import parse_places, parse_tax_signals, parse_vat_register
 from firmfold.suite import staging as S
@@ -37,7 +38,20 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe_batch(batch(spark, sf), seq="seqno")
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def lead(spark: SparkSession, sf: str) -> DataFrame:
+    """The master table as the jobs have it: written once per session, then read."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        path = scratch_dir(spark, "lead")
+        _lead(spark, sf).write.parquet(path)
+        _stored[key] = path
+    return spark.read.schema(LEAD).parquet(_stored[key])
+
+
+def _lead(spark: SparkSession, sf: str) -> DataFrame:
     """A master table with history: dates from orders, decisions from labels."""
     k = (F.expr("cast(floor(first_seq / 100) as bigint)") % 10000000 - 1) * 40 + F.col("first_seq") % 100
     orders = S.table(spark, sf, "orders").select(

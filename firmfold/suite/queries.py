@@ -847,7 +847,7 @@ def candidate_limit(spark, sf):
   count(CASE WHEN {_CONTACT_CANDIDATE} THEN 1 END) AS contact, count(CASE WHEN {_PLACE_CANDIDATE} THEN 1 END) AS places
   FROM lead l""", "lead"))
 def candidates(spark, sf):
-    lead = W.lead(spark, sf)
+    lead = W.lead(spark, sf)  # a stored table: five narrow scans, no step of its making again
     kinds = [("revalidated", E.candidates_vat_check(lead, revalidate=True)), ("vat_check", E.candidates_vat_check(lead)),
              ("tax_check", E.candidates_tax_check(lead)), ("contact", E.candidates_contact(lead)),
              ("places", E.candidates_places(lead))]
