@@ -133,19 +133,17 @@ def _failed(rules: tuple[Threshold, ...], get: Callable[[str], Column]) -> Colum
     return F.array_compact(F.array(*marks)).cast("array<string>")
 
 
-def _with_counts(frame: DataFrame, text: Column, name: str) -> DataFrame:
-    """The counts of a text in one struct column; a null text counts as empty."""
-    raw = f"{name}_parts"
-    frame = frame.withColumn(raw, _counts(F.coalesce(text, F.lit(""))))
-    flat = [F.col(f"{raw}.w.{k}") for k in ("n_words", "word_chars", "n_stop_words", "n_repeat_words")]
-    flat += [F.col(f"{raw}.l.n_lines"), F.col(f"{raw}.l.n_dup_lines"), F.col(f"{raw}.n_symbols")]
-    return frame.withColumn(name, F.struct(*flat)).drop(raw)
+def _flat(counts: Column) -> dict[str, Column]:
+    """The single counts of a ``_counts`` struct."""
+    out = {k: counts["w"][k] for k in ("n_words", "word_chars", "n_stop_words", "n_repeat_words")}
+    return out | {k: counts["l"][k] for k in ("n_lines", "n_dup_lines")} | {"n_symbols": counts["n_symbols"]}
 
 
 def judge(docs: DataFrame, rules: tuple[Threshold, ...] = DEFAULT, base: tuple[Threshold, ...] = BASE,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, counts, ``failed`` (names of broken rules), ``base_failed``, ``kept``."""
-    flat = _with_counts(pick(docs, id=id_col, text=text_col), F.col("text"), "c").select("id", "c.*")
+    counted = pick(docs, id=id_col, text=text_col).select("id", _counts(F.coalesce("text", F.lit(""))).alias("c"))
+    flat = counted.select("id", *[c.alias(k) for k, c in _flat(F.col("c")).items()])
     broken_base, broken = _failed(base, F.col), _failed(rules, F.col)
     return flat.select(
         F.col("id").alias(id_col), *flat.columns[1:], (F.size(broken_base) > 0).alias("base_failed"),
@@ -156,7 +154,7 @@ def judge(docs: DataFrame, rules: tuple[Threshold, ...] = DEFAULT, base: tuple[T
 def keep_good(docs: DataFrame, rules: tuple[Threshold, ...] = DEFAULT, base: tuple[Threshold, ...] = BASE,
               text_col: str = "text") -> DataFrame:
     """The input rows that pass every rule, with all their columns."""
-    mark = "__quality_counts"
-    counted = _with_counts(docs, F.col(f"`{text_col}`"), mark)
-    passes = F.size(_failed(base + rules, lambda name: F.col(f"{mark}.{name}"))) == 0
-    return counted.filter(passes).drop(mark)
+    # One expression that evaluates the counts once: a filter over a projected struct would be
+    # pushed below the projection, and its counts evaluated anew for every rule.
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return docs.filter(bound(_counts(text), lambda c: F.size(_failed(base + rules, _flat(c).__getitem__)) == 0))
