@@ -224,28 +224,26 @@ def _corner(tokens: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups)
 
 
-def _of_handles(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows (handle, text) whose handle may be among the nodes, before anything is moved.
+def _may_be_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key (bigint) may be among those of ``wanted``, before anything is moved.
 
-    A bit table of fixed size, set by an aggregation, stands for the handles: a row it
+    A bit table of fixed size, set by an aggregation, stands for the keys: a row it
     passes wrongly is dropped by the join that follows.
     """
-    bit = F.pmod("handle", F.lit(BIT_TABLE))
+    bit = F.pmod(key, F.lit(BIT_TABLE))
     word = F.call_function("div", bit, F.lit(64)).alias("word")
     mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))).alias("mask")
-    # At most BIT_TABLE / 64 rows, whatever the number of nodes.
-    found = nodes.groupBy(word).agg(mask).toPandas()
+    # At most BIT_TABLE / 64 rows, whatever the number of keys.
+    found = wanted.groupBy(word).agg(mask).toPandas()
     table = np.zeros(BIT_TABLE // 64, dtype=np.int64)
     table[found["word"].to_numpy(dtype=np.int64)] = found["mask"].to_numpy(dtype=np.int64)
     shared = rows.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
-    def able(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at = np.mod(batch["handle"].to_numpy(), BIT_TABLE)
-            hit = (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
-            yield batch[hit == 1]
+    def able(keys: pd.Series) -> pd.Series:
+        at = np.mod(keys.to_numpy(dtype=np.int64), BIT_TABLE)
+        return pd.Series((shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1)
 
-    return rows.select("handle", "text").mapInPandas(able, "handle bigint, text string")
+    return rows.filter(F.pandas_udf(able, "boolean")(F.col(key)))
 
 
 def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -256,7 +254,7 @@ def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             yield pd.DataFrame({"class": batch["class"], "leaf": batch["leaf"], "band": batch["band"], "n": list(map(len, tokens)),
                                 "corner": [_corner(t, CORNER_GROUPS) for t in tokens], "tokens": [t.tobytes() for t in tokens]})
 
-    wanted = _of_handles(rows, nodes).join(nodes, "handle").select("class", "leaf", "band", "text")
+    wanted = _may_be_among(rows.select("handle", "text"), "handle", nodes).join(nodes, "handle").select("class", "leaf", "band", "text")
     held = wanted.mapInPandas(sets, "class bigint, leaf bigint, band int, n int, corner array<int>, tokens binary")
     # A page has bounded room, so its lists are bounded; lists of one aggregation have one order.
     return held.groupBy("leaf").agg(
@@ -333,8 +331,12 @@ def _links(meeting: DataFrame, pages: DataFrame, percent: int) -> DataFrame:
                    for i, j in _linked(sets(r.a_tokens), sets(r.b_tokens), percent)]
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
+    meeting = written(meeting, "meeting")
+    ends = meeting.select(F.col("a").alias("leaf")).unionByName(meeting.select(F.col("b").alias("leaf")))
+    met_pages = _may_be_among(pages.select("leaf", "classes", "tokens"), "leaf", ends)
+
     def side(name: str) -> DataFrame:
-        return pages.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("classes", "tokens")])
+        return met_pages.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("classes", "tokens")])
 
     schema = "a bigint, b bigint"
     own = pages.filter("members > 1").select("classes", "tokens").mapInPandas(within, schema)
