@@ -3,8 +3,9 @@
 Texts are normalised to their words (A-Z as a-z) joined by blanks. A notice of n
 characters may differ by k = n // ``EDIT_EVERY`` edits, ``EDITS_MOST`` at most. Cut into k + 1 pieces, at least
 one piece of any such match is unchanged, so one Aho-Corasick pass over all pieces of
-all notices locates every candidate; around each, the regex library's bounded-error
-matching finds the best match on word bounds and reports its span and edits.
+all notices locates every candidate; around each, bit-parallel edit distances (Myers)
+give the best match on word bounds, its span and its edits. Places of one notice do not
+overlap: the best goes first, then the best in what it leaves free, until none is left.
 
 The base, exact phrases at word places, is counted separately, and its labels stay.
 
@@ -16,6 +17,8 @@ table gives an empty result. Whole texts are scanned; only the named columns are
 
 from __future__ import annotations
 
+from bisect import bisect, insort
+from heapq import heapify, heappop, heappush
 from typing import Iterator
 
 import pandas as pd
@@ -53,12 +56,41 @@ _SCHEMA = ("id bigint, n_words bigint, n_base bigint, first_word bigint, last_wo
            "n_words: int, edits: int>>")
 
 
+def _edits(masks: dict[str, int], n: int, text: str, fixed: int) -> list[int]:
+    """For each end in the text, the edits between a notice of n characters and the text
+    up to there (fixed is 1), or the best stretch that ends there (0)."""
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    more, less, edits, out = full, 0, n, []
+    for c in text:
+        same = masks.get(c, 0)
+        across = (((same & more) + more) ^ more) | same
+        up, down = less | ~(across | more) & full, more & across
+        edits += 1 if up & top else -1 if down & top else 0
+        up, down, held = (up << 1 | fixed) & full, (down << 1) & full, same | less
+        more, less = down | ~(held | up) & full, up & held
+        out.append(edits)
+    return out
+
+
+def _free(held: list[tuple[int, int]], low: int, high: int) -> Iterator[tuple[int, int]]:
+    """The parts of a stretch of words outside the places held."""
+    k = max(0, bisect(held, (low, low)) - 1)
+    while k < len(held) and held[k][0] < high:
+        start, end = held[k]
+        if end > low:
+            if low < start - 1:
+                yield low, start - 1
+            low = end + 1
+        k += 1
+    if low < high:
+        yield low, high
+
+
 class Scanner:
     """Compiled notices; one per task."""
 
     def __init__(self, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, edit_every: int = EDIT_EVERY) -> None:
         import ahocorasick
-        import regex
 
         self._base, self._notices = base, notices
         # Upper case to lower case; other ASCII characters that are not of a word to blanks.
@@ -66,7 +98,10 @@ class Scanner:
         self._patterns, seeds = {}, {}
         for notice in notices:
             edits = min(len(notice) // edit_every, EDITS_MOST)
-            self._patterns[notice] = edits, regex.compile(rf"(?<!\S)(?:{regex.escape(notice)}){{e<={edits}}}(?!\S)", regex.BESTMATCH)
+            masks: dict[str, int] = {}
+            for k, c in enumerate(notice):
+                masks[c] = masks.get(c, 0) | 1 << k
+            self._patterns[notice] = edits, masks
             cuts = [len(notice) * k // (edits + 1) for k in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 seeds.setdefault(notice[a:b], []).append((notice, b))
@@ -78,24 +113,58 @@ class Scanner:
     def words(self, text: str | None) -> list[bytes]:
         return (text or "").encode("utf-8", "surrogatepass").translate(self._map).split(b" ")
 
-    def _fuzzy(self, flat: str) -> Iterator[tuple[str, int, int, int]]:
-        """(notice, start, end, edits) of every match; of overlapping windows one search is made."""
-        windows: dict[str, list[list[int]]] = {}
+    def _windows(self, flat: str) -> dict[str, set[tuple[int, int]]]:
+        """Of each notice the stretches of whole words that a match around a seed lies in."""
+        windows: dict[str, set[tuple[int, int]]] = {}
         for last, places in self._seeds.iter(flat):
             for notice, end in places:
                 edits = self._patterns[notice][0]
-                start = last + 1 - end - edits - 1
-                stop = start + len(notice) + 2 * edits + 2
-                mine = windows.setdefault(notice, [])
-                if mine and start <= mine[-1][1]:
-                    mine[-1][0], mine[-1][1] = min(start, mine[-1][0]), max(stop, mine[-1][1])
-                else:
-                    mine.append([start, stop])
-        for notice, mine in windows.items():
-            pattern = self._patterns[notice][1]
-            for start, stop in mine:
-                for match in pattern.finditer(flat, max(0, start), min(len(flat), stop)):
-                    yield notice, match.start(), match.end(), sum(match.fuzzy_counts)
+                start = last + 1 - end
+                low, high = max(0, start - edits), min(len(flat), start + len(notice) + edits)
+                while low < high and low and not flat[low - 1].isspace():
+                    low += 1
+                while low < high < len(flat) and not flat[high].isspace():
+                    high -= 1
+                windows.setdefault(notice, set()).add((low, high))
+        return windows
+
+    def _best(self, notice: str, flat: str, low: int, high: int) -> tuple[int, int, int] | None:
+        """(edits, start, end) of the best match within a stretch of words, the first of equal ones."""
+        (edits, masks), n = self._patterns[notice], len(notice)
+        if high - low < max(1, n - edits):
+            return None
+        any_start = _edits(masks, n, flat[low:high], 0)
+        if min(any_start) > edits:
+            return None
+        ends = [e for e in range(low + 1, high + 1) if any_start[e - low - 1] <= edits and (e == high or flat[e].isspace())]
+        least = min((any_start[e - low - 1] for e in ends), default=0)
+        best = None
+        for start in range(low, high - n + edits + 1):
+            if start > low and not flat[start - 1].isspace():
+                continue
+            row = _edits(masks, n, flat[start:min(high, start + n + edits)], 1)
+            mine = min(((row[e - start - 1], start, e) for e in ends if 0 < e - start <= len(row)), default=None)
+            if mine and mine[0] <= edits and (best is None or mine < best):
+                best = mine
+                if best[0] == least:
+                    break
+        return best
+
+    def _fuzzy(self, flat: str) -> Iterator[tuple[str, int, int, int]]:
+        """(notice, start, end, edits) of every match; of overlapping ones of a notice the best."""
+        for notice, windows in self._windows(flat).items():
+            heap = [(*found, *w) for w in windows if (found := self._best(notice, flat, *w))]
+            heapify(heap)
+            held: list[tuple[int, int]] = []
+            while heap:
+                edits, start, end, low, high = heappop(heap)
+                k = bisect(held, (start, end))
+                if not (k and held[k - 1][1] > start or k < len(held) and held[k][0] < end):
+                    insort(held, (start, end))
+                    yield notice, start, end, edits
+                for part in _free(held, low, high):
+                    if found := self._best(notice, flat, *part):
+                        heappush(heap, (*found, *part))
 
     def scan(self, text: str | None) -> tuple:
         found = [w for w in self.words(text) if w]

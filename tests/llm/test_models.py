@@ -78,3 +78,14 @@ def test_license_edits():
     assert scan("cc by cc by")[1:4] == (2, 0, 2)
     assert scan("nothing to see here, all right and reserved seats")[5] == ""
     assert scan(None) == (0, 0, None, None, "", "", 0.0, [])
+
+
+def test_license_copies_side_by_side():
+    """Exact and damaged copies of one notice without words between them: each has its place."""
+    copies = ["gnu genral public license", "gnu genral public license", "gnu general public license",
+              "gnu generl public license", "gnu general public license", "gnu generalx public licnse"]
+    spans = license_scan.Scanner().scan(" ".join(copies))[7]
+    assert [(s[1], s[2], s[3], s[4]) for s in spans] == [
+        ("gnu general public license", 4 * k, 4, e) for k, e in enumerate([1, 1, 0, 1, 0, 2])]
+    many = license_scan.Scanner().scan("al rights reserved the " * 300)[7]
+    assert [(s[2], s[3], s[4]) for s in many] == [(4 * k, 3, 1) for k in range(300)]
