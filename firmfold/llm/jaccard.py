@@ -254,7 +254,9 @@ def _pages(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             yield pd.DataFrame({"class": batch["class"], "leaf": batch["leaf"], "band": batch["band"], "n": list(map(len, tokens)),
                                 "corner": [_corner(t, CORNER_GROUPS) for t in tokens], "tokens": [t.tobytes() for t in tokens]})
 
-    wanted = _may_be_among(rows.select("handle", "text"), "handle", nodes).join(nodes, "handle").select("class", "leaf", "band", "text")
+    # Rows that repeat in id and text have one handle: one of them is the class on its page.
+    one = _may_be_among(rows.select("handle", "text"), "handle", nodes).dropDuplicates(["handle"])
+    wanted = one.join(nodes, "handle").select("class", "leaf", "band", "text")
     held = wanted.mapInPandas(sets, "class bigint, leaf bigint, band int, n int, corner array<int>, tokens binary")
     # A page has bounded room, so its lists are bounded; lists of one aggregation have one order.
     return held.groupBy("leaf").agg(

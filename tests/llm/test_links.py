@@ -94,6 +94,21 @@ def test_jaccard_odd_rows(odd_docs, no_docs):
     assert jaccard.near_duplicates(no_docs).count() == 0
 
 
+def test_jaccard_repeated_rows(llm, monkeypatch):
+    """Rows that repeat in id and text, null ids too, are one class on their page, whatever their number."""
+    text = [f"r{k}" for k in range(60)]
+    rows = [(3, " ".join(text))] * 200 + [(None, " ".join(text[:-1]))] * 200 + [(1, " ".join(["x", *text[1:]])), (2, "alone here")]
+    pages = []
+    monkeypatch.setattr(jaccard, "_links", lambda meeting, held, percent, links=jaccard._links: (
+        pages.append(held), links(meeting, held, percent))[1])
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect())
+    assert got == [(0, 55, 1)] * 200 + [(1, 56, 1), (2, 1, 2)] + [(3, 56, 1)] * 200
+    held = pages[0].select("members", "room", F.size("classes").alias("size")).collect()
+    assert sum(r.members for r in held) == sum(r["size"] for r in held) == 3
+    assert sum(r.room for r in held) == 55 + 2 * 56
+
+
 def test_shingles_of_long_texts(monkeypatch):
     text = " ".join(f"w{k % 501}\n" for k in range(5000))
     whole = jaccard.shingles(text)
