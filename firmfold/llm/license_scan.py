@@ -1,7 +1,7 @@
 """License scans: fuzzy search for short notices by pigeonhole seeds.
 
 Texts are normalised to their words (A-Z as a-z) joined by blanks. A notice of n
-characters may differ by k = n // ``EDIT_EVERY`` edits, ``EDITS_MOST`` at most. Cut into k + 1 pieces, at least
+characters may differ by k = n // ``EDIT_EVERY`` edits, whatever its length. Cut into k + 1 pieces, at least
 one piece of any such match is unchanged, so one Aho-Corasick pass over all pieces of
 all notices locates every candidate; around each, bit-parallel edit distances (Myers)
 give the best match on word bounds, its span and its edits. Places of one notice do not
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from firmfold.llm.common import pick
 
 EDIT_EVERY = 8
-EDITS_MOST = 4
 
 # The base's phrases, and notices as they stand in public licences.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -50,6 +49,8 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "public-domain",
     "dedicated to the public domain": "public-domain",
 }
+# What the rate gives the longest notice; no bound of its own.
+EDITS_MOST = max(map(len, NOTICES)) // EDIT_EVERY
 
 _SCHEMA = ("id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
            "labels string, score double, spans array<struct<label: string, notice: string, first_word: bigint, "
@@ -97,7 +98,7 @@ class Scanner:
         self._map = bytes((b + 32 if 65 <= b <= 90 else b if b >= 0x80 or chr(b).isalnum() else 32) for b in range(256))
         self._patterns, seeds = {}, {}
         for notice in notices:
-            edits = min(len(notice) // edit_every, EDITS_MOST)
+            edits = len(notice) // edit_every
             masks: dict[str, int] = {}
             for k, c in enumerate(notice):
                 masks[c] = masks.get(c, 0) | 1 << k

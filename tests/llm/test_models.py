@@ -89,3 +89,15 @@ def test_license_copies_side_by_side():
         ("gnu general public license", 4 * k, 4, e) for k, e in enumerate([1, 1, 0, 1, 0, 2])]
     many = license_scan.Scanner().scan("al rights reserved the " * 300)[7]
     assert [(s[2], s[3], s[4]) for s in many] == [(4 * k, 3, 1) for k in range(300)]
+
+
+def test_license_edits_rise_with_the_length():
+    """Long notices may have one edit in eight characters too, and not one more."""
+    notice = "redistribution and use in source and binary forms with or without modification"
+    letters = [k for k, c in enumerate(notice) if c != " "]
+    for edits, places in ((5, 1), (9, 1), (10, 0)):
+        text = list(notice)
+        for k in range(edits):
+            text[letters[(2 * k + 1) * len(letters) // (2 * edits)]] = "q"
+        spans = license_scan.Scanner().scan("so " + "".join(text) + " it is")[7]
+        assert [(s[0], s[2], s[4]) for s in spans] == [("bsd", 1, edits)] * places
