@@ -38,17 +38,11 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe_batch(batch(spark, sf), seq="seqno")
 
 
-_stored: dict[tuple[str, str], str] = {}
-
-
 def lead(spark: SparkSession, sf: str) -> DataFrame:
-    """The master table as the jobs have it: written once per session, then read."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _stored:
-        path = scratch_dir(spark, "lead")
-        _lead(spark, sf).write.parquet(path)
-        _stored[key] = path
-    return spark.read.schema(LEAD).parquet(_stored[key])
+    """The master table as the jobs have it: written once per query call, then read."""
+    path = scratch_dir(spark, "lead")
+    _lead(spark, sf).write.parquet(path)
+    return spark.read.schema(LEAD).parquet(path)
 
 
 def _lead(spark: SparkSession, sf: str) -> DataFrame:

@@ -44,3 +44,16 @@ def test_tables_hold_no_numeric_entities(duck, table, column):
     """The SQL for visible text decodes named entities only."""
     found = f"SELECT count(*) FROM {table} WHERE regexp_matches({column}, '&#(x[0-9a-fA-F]+|[0-9]+);')"
     assert duck.sql(found).fetchall() == [(0,)]
+
+
+def test_master_table_is_derived_per_call(spark, monkeypatch):
+    """A later call sees tables that have changed at the same path; no call is a read of an earlier one's work."""
+    from firmfold.schemas import LEAD
+    from firmfold.suite import frames
+
+    made = iter(["first", "second"])
+    monkeypatch.setattr(frames, "_lead", lambda spark, sf: spark.createDataFrame([], LEAD).union(
+        spark.createDataFrame([(next(made),)], "lead_id string").selectExpr(
+            *[n if n == "lead_id" else f"cast(null as {t}) as {n}" for n, t in (c.split() for c in LEAD.split(","))])))
+    got = [frames.lead(spark, "/no/such/tables").collect() for _ in range(2)]
+    assert [[r.lead_id for r in rows] for rows in got] == [["first"], ["second"]]
