@@ -10,8 +10,9 @@ associative, landmarks times weights is formed once, and a text costs one row su
 
 N-grams are kept in a table of ``BINS`` bins per length (exact for 1 and 2 bytes,
 hashed beyond). Whole texts are read; training texts are those of at most
-``TRAIN_CHARS`` characters, at most ``TRAIN_ROWS`` per language, in order of a hash
-of their id, and of at most ``LANGUAGES`` languages (the most frequent ones).
+``TRAIN_CHARS`` characters (the beginnings of longer ones where a language has no
+other), at most ``TRAIN_ROWS`` per language, in order of a hash of their id. All
+languages are learnt; beyond ``LANGUAGES`` ones the bound per language shrinks.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; null
 labels are not learnt from; a null id is neither held out nor learnt from; without any
@@ -95,19 +96,22 @@ class Model:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model | None:
     """A model from the labelled rows of the learning folds; None without any."""
-    known = pick(docs, id=id_col, text=text_col, lang=lang_col).filter(
+    able = pick(docs, id=id_col, text=text_col, lang=lang_col).filter(
         (id_remainder(F.col("id"), FOLDS) != 0) & F.col("lang").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}"))
-        & (F.length("text") <= chars))
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+        ).withColumn("long", F.length("text") > chars)
+    # Every language is learnt: of many ones fewer texts each, and long texts where it has no short ones.
+    langs = able.groupBy("lang").agg(F.min("long").alias("long"))
+    rows = max(1, min(rows, rows * LANGUAGES // max(1, langs.count())))
+    known = able.join(langs, ["lang", "long"])
     # The bound per language applies before rows are moved; only then are texts fetched.
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("at", "id"))
     slim = known.select("lang", "id", F.xxhash64("id").alias("at"))
-    chosen = slim.withColumn("nth", nth).filter(F.col("nth") <= rows).join(frequent, "lang").select("id", "nth").collect()
+    chosen = slim.withColumn("nth", nth).filter(F.col("nth") <= rows).select("id").collect()
     if not chosen:
         return None
-    # At most LANGUAGES * rows ids, whatever the size of the input.
+    # At most LANGUAGES * TRAIN_ROWS ids, or one for each language.
     ids = docs.sparkSession.createDataFrame([(r["id"],) for r in chosen], "id bigint").distinct()
-    sample = known.join(F.broadcast(ids), "id").select("id", "lang", "text").dropDuplicates(["id", "lang"])
+    sample = known.join(F.broadcast(ids), "id").select("id", "lang", F.substring("text", 1, chars).alias("text")).dropDuplicates(["id", "lang"])
     sample = sample.orderBy(F.xxhash64("id"), "id", "lang").collect()
     return Model([r["text"] for r in sample], [r["lang"] for r in sample])
 

@@ -101,3 +101,12 @@ def test_license_edits_rise_with_the_length():
             text[letters[(2 * k + 1) * len(letters) // (2 * edits)]] = "q"
         spans = license_scan.Scanner().scan("so " + "".join(text) + " it is")[7]
         assert [(s[0], s[2], s[4]) for s in spans] == [("bsd", 1, edits)] * places
+
+
+def test_every_language_is_learnt(llm):
+    """More languages than LANGUAGES, and one whose texts are all long."""
+    rows = [(70 * k + n, f"w{n}a w{n}b w{n}c", f"l{n:02}") for n in range(70) for k in range(3)]
+    rows += [(10_000 + k, "long " * 5_000, "long") for k in range(3)]
+    model = language.train(llm.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert set(model.languages) == {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert len(model.languages) > language.LANGUAGES and "long" in model.languages
