@@ -7,10 +7,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.llm import embed_dedup, jaccard, language, license_scan, mixing, packing, quality, toxicity, url_filter, warc
+from firmfold.llm import (embed_dedup, filter_audit, jaccard, language, license_scan, mixing, neighbours, packing, quality,
+                          toxicity, url_filter, warc, whitening)
 from firmfold.llm.common import configure, table
 from firmfold.llm.mixing_sql import MIX_SQL
-from firmfold.llm.sql import JACCARD_SQL, QUALITY_SQL, WARC_SQL
+from firmfold.llm.sql import AUDIT_SQL, JACCARD_SQL, QUALITY_SQL, WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,6 +74,22 @@ def op8_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op11_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(neighbours.build(vectors), vectors.filter("vec_id % 20 = 0"))
+
+
+@query()
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(AUDIT_SQL)
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(WARC_SQL)
 def op1_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))

@@ -46,3 +46,29 @@ link AS (SELECT c.a, c.b FROM common c JOIN size s ON s.doc_id = c.a JOIN size t
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id FROM documents d LEFT JOIN size s ON s.doc_id = d.doc_id
   JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id"""
+
+AUDIT_SQL = r"""WITH
+doc AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+label AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+first AS (SELECT t, min(doc_id) AS least FROM doc GROUP BY t),
+judged AS (SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic, [
+  len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+  100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 2 * length(d.t),
+  regexp_matches(d.t, '[#$%&*|]'), d.doc_id > f.least] AS fails
+  FROM doc d JOIN first f ON f.t = d.t LEFT JOIN label l ON l.doc_id = d.doc_id),
+grouped AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged GROUP BY part, fails),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM one a JOIN one b ON b.x <> a.x JOIN one c ON c.x NOT IN (a.x, b.x)
+  JOIN one d ON d.x NOT IN (a.x, b.x, c.x) JOIN one e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT o, s::INTEGER AS s, list_transform(range(1, s::BIGINT), lambda i: ascii(substr(o, i, 1)) - 64) AS earlier,
+  ascii(substr(o, s, 1)) - 64 AS mine FROM orders, LATERAL (SELECT unnest(range(1, 6)) AS s)),
+met AS (SELECT g.*, o, s, mine, fails[mine] AS now, len(list_filter(earlier, lambda k: fails[k])) > 0 AS gone,
+  len(list_filter(fails, lambda x: x)) AS n_fails FROM grouped g, steps),
+counted AS (SELECT part, o AS filter_order, s AS step, mine, coalesce(sum(n) FILTER (NOT gone AND NOT now), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (NOT gone AND now), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND now), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (now AND n_fails = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(n_good) FILTER (NOT gone AND now), 0)::BIGINT AS good_lost,
+  coalesce(sum(n_toxic) FILTER (NOT gone AND now), 0)::BIGINT AS toxic_lost FROM met GROUP BY part, o, s, mine)
+SELECT * EXCLUDE (mine), (sum(removed) OVER (PARTITION BY part, mine))::BIGINT AS shapley FROM counted"""

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(llm, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "labels", "pages"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got, want = QUERIES[name](llm, SF), con.sql(ORACLES[name])
     columns = sorted(got.columns)
@@ -25,4 +25,4 @@ def test_query_matches_sql(llm, name):
 def test_all_are_registered():
     names = set(entry_points.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
