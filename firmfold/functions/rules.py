@@ -1,8 +1,8 @@
 """Rule tables: categories, regions and code prefixes.
 
 All of them may be user data: pass your own lists, or read them from a table with
-:func:`load_rules`. Rule tables become
-regular expressions on the driver, so their size is checked when they load.
+:func:`load_rules`. A rule set becomes part of the expressions, so its size is checked
+when it loads; :class:`firmfold.operators.rule_tables.RuleTables` joins rules of any number.
 """
 
 from __future__ import annotations

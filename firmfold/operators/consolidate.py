@@ -29,21 +29,33 @@ def _first_known(name: str, seq: Column) -> Column:
 
 def _category_aggregates(seq: Column, ids: tuple[str, ...]) -> list[Column]:
     cats = F.col("categories")
-    seen = [F.min(F.when(F.array_contains(cats, i),
+    return [F.min(F.when(F.array_contains(cats, i),
                          F.struct(seq.alias("seq"), F.array_position(cats, F.lit(i)).alias("at"))))
             .alias(f"_cat_{n}") for n, i in enumerate(ids)]
-    # Ids outside the taxonomy: the distinct lists of them, nearly always none.
-    other = F.array_except(cats, F.array(*[F.lit(i) for i in ids]))
-    return seen + [F.collect_set(F.when(F.size(other) > 0, other)).alias("_cat_other")]
+
+
+def _other_categories(leads: DataFrame, seq: Column, ids: tuple[str, ...]) -> DataFrame:
+    """(dedupe_key, _others) for the keys that have ids outside the rule set: each with its first
+    appearance. One row per key and id leaves a map task, however many lists a key has."""
+    known = F.array(*[F.lit(i) for i in ids]).cast("array<string>")
+    each = leads.filter(F.size(F.array_except("categories", known)) > 0).select(
+        "dedupe_key", seq.alias("seq"), F.posexplode("categories").alias("at", "id"))
+    if ids:
+        each = each.filter(~F.col("id").isin(*ids))
+    first = each.filter("id is not null").groupBy("dedupe_key", "id").agg(
+        F.min(F.struct("seq", (F.col("at") + 1).cast("bigint").alias("at"))).alias("first"))
+    return first.groupBy("dedupe_key").agg(F.collect_list(F.struct("first", "id")).alias("_others"))
 
 
 def _category_list(ids: tuple[str, ...]) -> Column:
-    hits = F.array(*[F.when(F.col(f"_cat_{n}").isNotNull(),
-                            F.struct(F.col(f"_cat_{n}").alias("first"), F.lit(i).alias("id")))
-                     for n, i in enumerate(ids)])
-    ordered = F.transform(F.array_sort(F.filter(hits, lambda h: h.isNotNull())), lambda h: h["id"])
-    other = F.array_sort(F.array_distinct(F.flatten("_cat_other")))
-    return F.concat(ordered, other).alias("categories")
+    """All ids in order of first appearance."""
+    if not ids:
+        return F.coalesce(F.transform(F.array_sort("_others"), lambda h: h["id"]), F.array().cast("array<string>"))
+    hits = F.filter(F.array(*[F.when(F.col(f"_cat_{n}").isNotNull(),
+                                     F.struct(F.col(f"_cat_{n}").alias("first"), F.lit(i).alias("id")))
+                              for n, i in enumerate(ids)]), lambda h: h.isNotNull())
+    none = F.filter(hits, lambda h: F.lit(False))
+    return F.transform(F.array_sort(F.concat(hits, F.coalesce("_others", none))), lambda h: h["id"])
 
 
 def dedupe_batch(leads: DataFrame, category_ids: tuple[str, ...] = DEFAULT_RULES.category_ids,
@@ -60,9 +72,10 @@ def dedupe_batch(leads: DataFrame, category_ids: tuple[str, ...] = DEFAULT_RULES
         *_category_aggregates(s, category_ids),
         F.max("is_personal_data").alias("is_personal_data"),
         F.count(F.lit(1)).alias("input_count"))
+    merged = merged.join(_other_categories(leads, s, category_ids), "dedupe_key", "left")
     return merged.select(
         "dedupe_key", *[F.col(f"_first.{n}").alias(n) for n in IDENTITY], *GAPS,
-        "classification_text", _category_list(category_ids), "is_personal_data", "input_count",
+        "classification_text", _category_list(category_ids).alias("categories"), "is_personal_data", "input_count",
         F.col("_first.seq").alias("first_seq"))
 
 

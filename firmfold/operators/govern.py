@@ -11,8 +11,9 @@ from firmfold.functions.classify import classify_text
 from firmfold.functions.contact import norm_email
 from firmfold.functions.rules import DEFAULT_RULES, RuleSet
 from firmfold.functions.score import purge_decision
-from firmfold.functions.text import empty_to_null, has_text, iso_timestamp
+from firmfold.functions.text import empty_to_null, fold_text, has_text, iso_timestamp
 from firmfold.operators.audit import audit_events, audit_meta
+from firmfold.operators.rule_tables import RuleTables, classify_by_rules
 from firmfold.operators.suppress import flag_suppressed
 
 RETENTION_DAYS = 365
@@ -119,17 +120,19 @@ def write_dsar_report(report: AccessReport, path: str, generated_at: Column) ->
     write(report.trail.orderBy("lead_id", "at", "event_id").drop("at", "event_id"), "trail")
 
 
-def recategorize(lead: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int | None = None) -> DataFrame:
+def recategorize(lead: DataFrame, rules: RuleSet | RuleTables = DEFAULT_RULES, limit: int | None = None) -> DataFrame:
     """Outcome of classifying the stored text again; categories are replaced.
 
     Categories that came from codes go; the score stays as it is.
     """
     rows = lead.orderBy("lead_id").limit(limit) if limit else lead
     names = F.concat_ws(" ", empty_to_null(F.col("legal_name")), empty_to_null(F.col("brand_name")))
-    out = rows.select(
-        "lead_id", "dedupe_key", F.col("categories").alias("previous"),
-        (~has_text(F.col("classification_text"))).alias("fallback"),
-        classify_text(F.coalesce("classification_text", names), rules).alias("categories"))
+    text, fallback = F.coalesce("classification_text", names), ~has_text(F.col("classification_text"))
+    kept = ["lead_id", "dedupe_key", F.col("categories").alias("previous"), fallback.alias("fallback")]
+    if isinstance(rules, RuleTables):
+        out = classify_by_rules(rows.select(*kept, fold_text(text).alias("hay")), rules, F.col("hay")).drop("hay")
+    else:
+        out = rows.select(*kept, classify_text(text, rules).alias("categories"))
     return out.withColumn("answered", ~same_category_set(F.col("previous"), F.col("categories"))).withColumn(
         "meta", F.to_json(F.struct(F.col("previous").alias("from"), F.col("categories").alias("to"))))
 

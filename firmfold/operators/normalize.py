@@ -10,11 +10,15 @@ from firmfold.functions.contact import norm_email, norm_phone_hu, url_domain
 from firmfold.functions.identity import dedupe_key, looks_personal
 from firmfold.functions.rules import DEFAULT_RULES, RuleSet
 from firmfold.functions.text import blank_to_null, empty_to_null, fold_text, js_trim
+from firmfold.operators.rule_tables import RuleTables, classify_by_rules, regions_by_rules
 from firmfold.schemas import LEAD_INPUT_COLUMNS
 
 
-def normalize_businesses(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """One narrow projection; columns beyond the raw ones pass through."""
+def normalize_businesses(raw: DataFrame, rules: RuleSet | RuleTables = DEFAULT_RULES) -> DataFrame:
+    """One narrow projection; columns beyond the raw ones pass through.
+
+    Rule tables are joined, a rule set is part of the projection.
+    """
     c = F.col
     text = empty_to_null(F.concat_ws(" ", *[empty_to_null(c(n)) for n in (
         "classification_text", "legal_name", "brand_name")]))
@@ -24,6 +28,12 @@ def normalize_businesses(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Data
     prepared = raw.select("*", norm_email(c("email")).alias("_email"), text.alias("_text"),
                           fold_text(text).alias("_hay"), fold_text(c("address")).alias("_place"))
     given = F.coalesce(c("categories"), F.array().cast("array<string>"))
+    if isinstance(rules, RuleTables):
+        prepared = classify_by_rules(prepared, rules, c("_hay"), "_found")
+        prepared = regions_by_rules(prepared, rules, c("_place"), "_region")
+        found, region = c("_found"), c("_region")
+    else:
+        found, region = classify_text(c("_hay"), rules, folded=True), detect_region(c("_place"), rules, folded=True)
     return prepared.select(
         js_trim(c("legal_name")).alias("legal_name"),
         blank_to_null(c("brand_name")).alias("brand_name"),
@@ -34,8 +44,8 @@ def normalize_businesses(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Data
         blank_to_null(c("address")).alias("address"),
         blank_to_null(c("vat_number")).alias("vat_number"),
         blank_to_null(c("registration_number")).alias("registration_number"),
-        detect_region(c("_place"), rules, folded=True).alias("region_id"),
-        F.array_union(classify_text(c("_hay"), rules, folded=True), given).alias("categories"),
+        region.alias("region_id"),
+        F.array_union(found, given).alias("categories"),
         c("_text").alias("classification_text"),
         c("source"), c("source_url"), c("source_license"),
         (F.coalesce(c("is_personal_data"), F.lit(False))

@@ -1,10 +1,12 @@
 """The do-not-contact list: matching and maintenance.
 
-A record has three keys: its e-mail, that address's domain, its site's domain.
-Three equi-joins, one per key, decide whether any of them is listed. Spark
-broadcasts the list while its measured size is below the threshold; beyond it
-the joins shuffle, and AQE splits the partitions of a domain that a third of
-all records may share. An OR over the keys would be a nested-loop join.
+A record has three keys: its e-mail, that address's domain, its site's domain. E-mail and
+site decide all of them, so both together are the record's *row key*. Row keys and what they
+hold, slim and each once, meet the list in one equi-join; the records then meet the row keys
+that were hit. Records without any key take part in neither, so no empty key is ever dealt
+out. Spark broadcasts the list, or the hits, while their measured size is below the
+threshold; beyond it the joins shuffle, and AQE splits the partitions of a domain that a
+third of all records may share.
 """
 
 from __future__ import annotations
@@ -14,33 +16,48 @@ from pyspark.sql import functions as F
 
 from firmfold.functions.contact import url_domain
 from firmfold.functions.identity import suppression_keys
-from firmfold.functions.text import js_trim, never_shared
+from firmfold.functions.text import js_trim
 
-_KEYS = ["_k_email", "_k_email_domain", "_k_domain"]
+_ROW_KEY = "_row_key"
 
 
-def _with_keys(rows: DataFrame) -> DataFrame:
-    keys = suppression_keys(F.col("email"), F.col("domain"))
-    own = F.xxhash64(*[F.col(c) for c in rows.columns])
-    return rows.select("*", *[never_shared(k, own).alias(n) for k, n in zip(keys, _KEYS)])
+def _keys(email: Column, domain: Column) -> list[Column]:
+    return [F.nullif(k, F.lit("")) for k in suppression_keys(email, domain)]
+
+
+def _row_key(email: Column, domain: Column) -> Column:
+    """One text for a record's keys; null where it has none."""
+    by_email, _, by_domain = _keys(email, domain)
+    some = by_email.isNotNull() | by_domain.isNotNull()
+    return F.when(some, F.concat(F.coalesce(by_email, F.lit("")), F.lit("\x01"), F.coalesce(by_domain, F.lit(""))))
+
+
+def _hit_keys(rows: DataFrame, suppression: DataFrame, email: Column, domain: Column) -> DataFrame:
+    """The row keys of which any part is listed, whatever the kind of the entry."""
+    held = rows.select(_row_key(email, domain).alias(_ROW_KEY), F.explode(F.array_compact(F.array(*_keys(email, domain)))).alias("value"))
+    listed = suppression.select("value")
+    return held.filter(F.col(_ROW_KEY).isNotNull()).distinct().join(listed, "value", "left_semi").select(_ROW_KEY).distinct()
+
+
+def _keyed(rows: DataFrame, suppression: DataFrame, email: Column, domain: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records with their row key, records without, and the keys that were hit."""
+    key = _row_key(email, domain)
+    return (rows.filter(key.isNotNull()).withColumn(_ROW_KEY, key), rows.filter(key.isNull()),
+            _hit_keys(rows, suppression, email, domain))
 
 
 def anti_suppressed(rows: DataFrame, suppression: DataFrame) -> DataFrame:
-    """Records none of whose keys is listed, whatever the kind of the entry."""
-    out = _with_keys(rows)
-    for key in _KEYS:
-        out = out.join(suppression.select(F.col("value").alias(key)), key, "left_anti")
-    return out.drop(*_KEYS)
+    """Records none of whose keys is listed."""
+    keyed, free, hit = _keyed(rows, suppression, F.col("email"), F.col("domain"))
+    return keyed.join(hit, _ROW_KEY, "left_anti").drop(_ROW_KEY).unionByName(free)
 
 
 def flag_suppressed(rows: DataFrame, suppression: DataFrame) -> DataFrame:
-    """All records, with a boolean ``suppressed``; values are unique."""
-    out = _with_keys(rows)
-    for key in _KEYS:
-        listed = suppression.select(F.col("value").alias(key), F.lit(True).alias(f"{key}_hit"))
-        out = out.join(listed, key, "left")
-    hit = F.coalesce(*[F.col(f"{key}_hit") for key in _KEYS], F.lit(False))
-    return out.select(*rows.columns, hit.alias("suppressed"))
+    """All records, with a boolean ``suppressed``."""
+    keyed, free, hit = _keyed(rows, suppression, F.col("email"), F.col("domain"))
+    flagged = keyed.join(hit.withColumn("_hit", F.lit(True)), _ROW_KEY, "left")
+    flagged = flagged.select(*rows.columns, F.coalesce("_hit", F.lit(False)).alias("suppressed"))
+    return flagged.unionByName(free.withColumn("suppressed", F.lit(False)))
 
 
 def is_suppressed(values: DataFrame, suppression: DataFrame) -> DataFrame:
@@ -48,13 +65,8 @@ def is_suppressed(values: DataFrame, suppression: DataFrame) -> DataFrame:
 
     For ``domain`` columns use :func:`is_domain_suppressed`.
     """
-    keyed = values.select("*", *[k.alias(n) for k, n in zip(
-        suppression_keys(F.col("email"), F.lit(None).cast("string"))[:2], _KEYS)])
-    for key in _KEYS[:2]:
-        listed = suppression.select(F.col("value").alias(key), F.lit(True).alias(f"{key}_hit"))
-        keyed = keyed.join(listed, key, "left")
-    hit = F.coalesce(F.col("_k_email_hit"), F.col("_k_email_domain_hit"), F.lit(False))
-    return keyed.filter(hit).select(*values.columns)
+    keyed, _, hit = _keyed(values, suppression, F.col("email"), F.lit(None).cast("string"))
+    return keyed.join(hit, _ROW_KEY, "left_semi").drop(_ROW_KEY)
 
 
 def is_domain_suppressed(values: DataFrame, suppression: DataFrame) -> DataFrame:

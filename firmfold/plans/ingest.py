@@ -3,7 +3,7 @@
 The sources of a run form one batch whose order of arrival is registry order,
 region order, page, position. Merging is a fold in that order, so the result
 and the counts per source equal those of ingesting source after source, at the
-cost of one rewrite of the master table.
+cost of one rewrite of the parts of the master table that the batch touches.
 """
 
 from __future__ import annotations
@@ -77,14 +77,13 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
     inside = record_limit(keep_prefix(parsed, prefix), keep_prefix(counts, prefix), limits)
     rows = explode_records(inside, rules, regions)
     leads = with_dedupe_key(region_fallback(normalize_businesses(rows, rules)))
-    batch = store.stage(run_id, "batch", flag_suppressed(leads, store.read("suppression")))
+    batch = store.stage(run_id, "batch", flag_suppressed(leads, store.suppressed()))
 
-    kept = dedupe_batch(batch.filter(~F.col("suppressed")), rules.category_ids)
-    lead = store.read("lead")
-    matched = store.stage(run_id, "matched", match_existing(kept, lead)
+    kept = store.stage(run_id, "kept", dedupe_batch(batch.filter(~F.col("suppressed")), rules.category_ids))
+    matched = store.stage(run_id, "matched", match_existing(kept, store.lead_near(kept))
                           .withColumn("lead_id", lead_id_of(F.col("dedupe_key"))))
-    store.replace("lead", upsert_lead(lead, matched, stamp), run_id)
-    store.append_events(ingest_events(batch, matched, stamp, run_id), run_id)
+    store.change_lead(matched, lambda lead: upsert_lead(lead, matched, stamp), run_id)
+    store.append("audit_event", ingest_events(batch, matched, stamp, run_id), run_id)
 
     seen = batch.groupBy("source", F.col("crawl_region").alias("region_id")).agg(
         F.count(F.lit(1)).alias("n_seen"))
@@ -92,7 +91,7 @@ def ingest(store: Store, pages: DataFrame, run_id: str, now: datetime,
                .join(seen, ["source", "region_id"], "left")
                .select("source", "region_id", "last_page",
                        F.coalesce("n_seen", F.lit(0)).alias("n_seen")))
-    store.replace("crawl_state", save_cursor(state, cursors, stamp), run_id)
+    store.append("crawl_state", save_cursor(state.limit(0), cursors, stamp), run_id)
     stats = _stats(batch, matched, prefix)
     # Which page stopped a failed region: one row each.
     hit = prefix.filter("failed").select("source", "region_id", (F.col("last_page") + 1).alias("page"))

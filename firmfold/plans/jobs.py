@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,28 +53,41 @@ def _steps(lookups: Lookups, now: datetime, revalidate: bool, limit: int | None)
 
 def enrich(store: Store, lookups: Lookups, run_id: str, now: datetime, revalidate: bool = False,
            limit: int | None = None) -> dict[str, dict[str, int]]:
-    """All given steps in their order, with one rewrite of the master table.
+    """All given steps in their order, with one rewrite of what they touch.
 
     A step sees the values its predecessors filled: their outcomes, which are
     slim, are staged and joined to the table on the way.
     """
     lead = store.read("lead")
-    stats, events = {}, None
+    stats, events, patches = {}, None, []
     for name, make, columns, event, count in _steps(lookups, now, revalidate, limit):
         outcome = store.stage(run_id, name, make(lead))
         lead = E.apply_outcome(lead, outcome, columns)
+        patches.append((outcome, columns))
         # Contacts and places emit the same type, so each step is a run part.
         rows = E.outcome_events(outcome, event, _ts(now), f"{run_id}-{name}").withColumn(
             "run_id", F.lit(run_id))
         events = rows if events is None else events.unionByName(rows)
         stats[name] = count(outcome).first().asDict()
     if stats:
-        store.replace("lead", lead, run_id)
-        store.append_events(events, run_id)
+        _patch(store, patches, run_id)
+        store.append("audit_event", events, run_id)
     store.end_run(run_id)
     return stats
 
 
+def _patch(store: Store, patches: list[tuple[DataFrame, list[str]]], run_id: str) -> None:
+    """Apply outcomes in their order to the parts that hold an answered record."""
+    answered = [outcome.filter("answered").select("dedupe_key") for outcome, _ in patches]
+
+    def change(lead: DataFrame) -> DataFrame:
+        for outcome, columns in patches:
+            lead = E.apply_outcome(lead, outcome, columns)
+        return lead
+
+    store.change_lead(reduce(DataFrame.unionByName, answered), change, run_id)
+
+
 @dataclass
 class RefreshSummary:
     ingest: IngestStats
@@ -85,9 +99,9 @@ class RefreshSummary:
 
 def refresh(store: Store, pages: DataFrame, lookups: Lookups, run_id: str, now: datetime,
             regions: list[str] | None = None, enabled: set[str] = frozenset(),
-            rules: RuleSet = DEFAULT_RULES) -> RefreshSummary:
+            rules: RuleSet = DEFAULT_RULES, **ingest_options) -> RefreshSummary:
     """Every enabled source, then the enrichment steps."""
-    got = ingest(store, pages, f"{run_id}-ingest", now, regions=regions, enabled=enabled, rules=rules)
+    got = ingest(store, pages, f"{run_id}-ingest", now, regions=regions, enabled=enabled, rules=rules, **ingest_options)
     done = enrich(store, lookups, f"{run_id}-enrich", now)
     return RefreshSummary(got, done.get("verify", {}).get("valid", 0), done.get("tax", {}).get("checked", 0),
                           done.get("contacts", {}).get("enriched", 0),
@@ -99,8 +113,8 @@ def recategorize(store: Store, run_id: str, now: datetime, rules: RuleSet = DEFA
     outcome = G.recategorize(store.read("lead"), rules, limit)
     if not dry_run:
         outcome = store.stage(run_id, "recategorize", outcome)
-        store.replace("lead", E.apply_outcome(store.read("lead"), outcome, ["categories"]), run_id)
-        store.append_events(E.outcome_events(outcome, "RECATEGORIZED", _ts(now), run_id), run_id)
+        _patch(store, [(outcome, ["categories"])], run_id)
+        store.append("audit_event", E.outcome_events(outcome, "RECATEGORIZED", _ts(now), run_id), run_id)
     stats = G.recategorize_stats(outcome).first().asDict()
     if not dry_run:
         store.end_run(run_id)
@@ -113,30 +127,29 @@ def review(store: Store, decisions: DataFrame, run_id: str, now: datetime) -> in
     wrong = outcome.filter("problem is not null").select("lead_id", "problem").head(5)
     if wrong:
         raise ValueError(f"decisions that do not apply, e.g. {[tuple(w) for w in wrong]}")
-    store.replace("lead", E.apply_outcome(store.read("lead"), outcome, REVIEW_COLUMNS), run_id)
-    store.append_events(E.outcome_events(outcome, "REVIEWED", _ts(now), run_id), run_id)
+    _patch(store, [(outcome, REVIEW_COLUMNS)], run_id)
+    store.append("audit_event", E.outcome_events(outcome, "REVIEWED", _ts(now), run_id), run_id)
     applied = outcome.count()
     store.end_run(run_id)
     return applied
 
 
 def suppress(store: Store, entries: DataFrame, run_id: str, now: datetime) -> None:
-    store.replace("suppression", add_suppression(store.read("suppression"), entries, _ts(now)), run_id)
+    store.append("suppression", add_suppression(store.suppressed().limit(0), entries, _ts(now)), run_id)
 
 
 def _erase(store: Store, doomed: DataFrame, events: DataFrame, run_id: str) -> None:
-    """Delete leads and their events, also from older states, then leave
-    detached events. The caller clears the staged frames when it has read them."""
-    store.replace("lead", G.erase_leads(store.read("lead"), doomed), run_id)
-    store.replace("audit_event", G.erase_events(store.read("audit_event"), doomed), run_id)
-    store.append_events(events, run_id)
-    store.vacuum("lead")
-    store.vacuum("audit_event")
+    """Delete leads and their events, then leave detached events. The caller
+    clears the staged frames when it has read them."""
+    store.change_lead(doomed, lambda lead: G.erase_leads(lead, doomed), run_id)
+    touched = store.read("audit_event").join(doomed.select("lead_id"), "lead_id", "left_semi").select("run_id")
+    store.erase_events(lambda held: G.erase_events(held, doomed), touched, run_id)
+    store.append("audit_event", events, run_id)
 
 
 def purge(store: Store, run_id: str, now: datetime, retention_days: int = G.RETENTION_DAYS,
           dry_run: bool = False) -> dict[str, int]:
-    decided = G.purge_candidates(store.read("lead"), store.read("suppression"), _ts(now), retention_days)
+    decided = G.purge_candidates(store.read("lead"), store.suppressed(), _ts(now), retention_days)
     if not dry_run:
         decided = store.stage(run_id, "purge", decided)
         doomed = decided.filter("reason is not null")
@@ -154,7 +167,7 @@ def dsar_export(store: Store, subjects: DataFrame, path: str, run_id: str, now:
     report = G.dsar_export(store.read("lead"), store.read("audit_event"), subjects)
     G.write_dsar_report(report, path, _ts(now))
     meta = F.to_json(F.struct(F.lit("export").alias("action")))
-    store.append_events(audit_events(report.records, F.col("lead_id"), "DSAR", meta, _ts(now), run_id), run_id)
+    store.append("audit_event", audit_events(report.records, F.col("lead_id"), "DSAR", meta, _ts(now), run_id), run_id)
 
 
 def dsar_erase(store: Store, subjects: DataFrame, run_id: str, now: datetime) -> int:

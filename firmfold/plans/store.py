@@ -1,181 +1,159 @@
-"""Stored tables as versioned parquet folders on shared storage.
-
-A new state of a table is written beside the old one and then named current by
-one row in a ledger, so a reader never sees a half-written table and a lost
-job leaves nothing to repair. Each ledger row carries the run that wrote it: a
-run that is started again skips what it has done already. Staged frames of a
-run are written tables too, so lost executors cost a re-read, not a
-recomputation.
-
-The master table is bucketed and sorted by ``dedupe_key``: joins on the key
-(upsert, patches, erasure) shuffle only the other side.
-
-This is a thin layer over Spark's own reader and writer. Where a table format
-with MERGE is at hand, give the jobs an object with the same methods.
+"""Stored tables as partitioned Parquet folders on shared storage: read, write, swap.
+
+* The master table is cut into ``parts`` by a hash of ``dedupe_key``. A change names the
+  keys it is about; only the parts that hold one of them are read, changed and swapped by
+  Spark's dynamic partition overwrite, so a small batch costs a small rewrite.
+* Cursors, suppressions and events are logs with a partition per run: a run that is started
+  again overwrites its own partition and nothing else. Cursors and suppressions are read as
+  what the log adds up to.
+* An erasure rewrites the event partitions that hold an erased record. Rewritten files have
+  a name of their own (``kept-…``), which a stream over the folder is told to ignore.
+
+All writes are such that doing them again changes nothing: a merge of a record that was
+merged already, a patch that was applied, a deletion of what is gone. So a run that was cut
+off is simply started again, and only one run writes at a time. A swapped or rewritten
+partition keeps a row without a key, as an empty one would not be swapped at all.
+
+What several steps of a run read is staged below ``runs/``; a staged frame counts once its
+write was committed. A run that has ended does nothing when it is started again.
 """
 
 from __future__ import annotations
 
-import hashlib
+from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmfold.schemas import TABLES
+from firmfold.schemas import LEAD_COLUMNS, TABLES
 
-LEDGER = "name string, version bigint, run_id string, buckets int"
+_SWAP = {"partitionOverwriteMode": "dynamic"}
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, parts: int | None = None):
+        """``parts`` counts for a new store; one that is there keeps its own."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._wanted = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # -- ledger ---------------------------------------------------------------
+    # -- files ------------------------------------------------------------------
 
-    def _entries(self, name: str) -> DataFrame | None:
-        try:
-            rows = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-            return rows.filter(F.col("name") == name)
-        except Exception as error:  # nothing was written yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return None
+    def _files(self, path: str):
+        """The path in its file system, whatever that is."""
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+        return there.getFileSystem(self.spark._jsc.hadoopConfiguration()), there
 
-    def _current(self, name: str):
-        """Newest ledger row of a table, or None."""
-        entries = self._entries(name)
-        return None if entries is None else entries.orderBy(F.desc("version")).first()
+    def _exists(self, path: str) -> bool:
+        files, there = self._files(path)
+        return files.exists(there)
 
-    def _record(self, name: str, version: int, run_id: str) -> None:
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(name).alias("name"), F.lit(version).cast("bigint").alias("version"),
-            F.lit(run_id).alias("run_id"), F.lit(self.buckets).alias("buckets"))
-        row.write.mode("append").parquet(f"{self.root}/ledger")
+    def _table(self, name: str, schema: str) -> DataFrame:
+        if not self._exists(name):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
-    def done(self, name: str, run_id: str) -> bool:
-        entries = self._entries(name)
-        return entries is not None and bool(entries.filter(F.col("run_id") == run_id).head(1))
+    def _write(self, rows: DataFrame, name: str, by: str, **options: str) -> None:
+        rows.write.mode("overwrite").options(**_SWAP, **options).partitionBy(by).parquet(f"{self.root}/{name}")
 
-    # -- tables ---------------------------------------------------------------
+    # -- runs -------------------------------------------------------------------
 
-    def _path(self, name: str, version: int, run_id: str = "") -> str:
-        """Folder of a state; with the run in its name, two runs never share one.
+    def ended(self, run_id: str) -> bool:
+        return self._exists(f"ended/{run_id}")
 
-        Events are appended to one folder, so a stream can follow it.
-        """
-        if name == "audit_event":
-            return f"{self.root}/{name}/v{version:08d}"
-        return f"{self.root}/{name}/v{version:08d}-{hashlib.md5(run_id.encode()).hexdigest()[:12]}"
+    def end_run(self, run_id: str) -> None:
+        """All tables of the run are written."""
+        files, there = self._files(f"ended/{run_id}")
+        files.createNewFile(there)
 
-    def _bucketed_name(self, path: str) -> str:
-        return "firmfold_" + hashlib.md5(path.encode()).hexdigest()
+    def stage(self, run_id: str, name: str, frame: DataFrame) -> DataFrame:
+        """Write a frame that several steps read; a run that is started again reads it back."""
+        path = f"runs/{run_id}/{name}"
+        if not self._exists(f"{path}/_SUCCESS"):
+            if self.ended(run_id):  # its frames are gone, and its work is done
+                return self.spark.createDataFrame([], frame.schema)
+            frame.write.mode("overwrite").parquet(f"{self.root}/{path}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.root}/{path}")
 
-    def _read_bucketed(self, path: str, buckets: int) -> DataFrame:
-        name = self._bucketed_name(path)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({TABLES['lead']}) USING parquet "
-            f"CLUSTERED BY (dedupe_key) SORTED BY (dedupe_key) INTO {buckets} BUCKETS "
-            f"LOCATION '{path}'")
-        return self.spark.table(name)
+    def clear_staged(self) -> None:
+        """Remove the staged frames of all runs: an erasure must reach them too. A run that was
+        cut off computes them anew, with the suppressions that hold by then."""
+        files, there = self._files("runs")
+        files.delete(there, True)
 
-    def read(self, name: str) -> DataFrame:
-        entry = self._current(name)
-        if entry is None:
-            return self.spark.createDataFrame([], TABLES[name])
-        path = self._path(name, entry["version"], entry["run_id"])
-        if name == "lead":
-            return self._read_bucketed(path, entry["buckets"])
-        return self.spark.read.schema(TABLES[name]).parquet(path)
+    # -- reading ----------------------------------------------------------------
 
-    def replace(self, name: str, state: DataFrame, run_id: str) -> None:
-        """Make ``state`` the table's content, once per run."""
-        if self.done(name, run_id):
-            return
-        entry = self._current(name)
-        version = (entry["version"] if entry else 0) + 1
-        path = self._path(name, version, run_id)
+    def read(self, name: str) -> DataFrame:
         if name == "lead":
-            if entry is None or entry["buckets"] != self.buckets:
-                # Later states come out of joins with the bucketed table and
-                # are laid out like it already.
-                state = state.repartition(self.buckets, "dedupe_key")
-            (state.write.mode("overwrite").bucketBy(self.buckets, "dedupe_key")
-             .sortBy("dedupe_key").option("path", path).saveAsTable(self._bucketed_name(path)))
-        elif name == "audit_event":
-            state.write.mode("overwrite").partitionBy("run_id").parquet(path)
-        else:
-            state.write.mode("overwrite").parquet(path)
-        now = self._current(name)
-        if (now["version"] if now else 0) != version - 1:
-            raise RuntimeError(f"{name} was changed by run {now['run_id']!r} meanwhile; start {run_id!r} again")
-        self._record(name, version, run_id)
-
-    def append_events(self, events: DataFrame, run_id: str) -> None:
-        """Add a run's events, once. They are a partition of their own, so an
-        attempt that was cut off is replaced and leaves none behind."""
-        if self.done("audit_event/append", run_id):
+            return self._lead().drop("part")
+        rows = self._table(name, TABLES[name] if "run_id" in TABLES[name] else f"{TABLES[name]}, run_id string")
+        if name == "audit_event":
+            return rows.filter("event_id is not null")
+        if name == "crawl_state":
+            return rows.groupBy("source", "region_id").agg(
+                F.max("last_page").alias("last_page"), F.sum("total_seen").alias("total_seen"),
+                F.max("last_run_at").alias("last_run_at"))
+        # The newest reason; kind and date of the first entry.
+        order = F.struct("created_at", "run_id")
+        return rows.groupBy("value").agg(
+            F.min_by("kind", order).alias("kind"), F.max_by("reason", order).alias("reason"), F.min("created_at").alias("created_at"))
+
+    def suppressed(self) -> DataFrame:
+        """The suppression log as it is: what only asks whether a value is listed need not add it up."""
+        return self._table("suppression", f"{TABLES['suppression']}, run_id string").drop("run_id")
+
+    # -- the master table -------------------------------------------------------
+
+    def _lead(self) -> DataFrame:
+        return self._table("lead", f"{TABLES['lead']}, part int").filter("dedupe_key is not null")
+
+    def parts(self) -> int:
+        """Number of parts, fixed with the first write."""
+        if not self._exists("layout/_SUCCESS"):
+            self.spark.range(1).select(F.lit(self._wanted).alias("parts")).write.mode("overwrite").parquet(f"{self.root}/layout")
+        return self.spark.read.parquet(f"{self.root}/layout").first()["parts"]
+
+    def part_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.parts())).cast("int")
+
+    def _touched(self, keys: DataFrame) -> list[int]:
+        """The parts that hold a key: whole numbers, at most ``parts`` of them."""
+        found = keys.filter("dedupe_key is not null").select(self.part_of(F.col("dedupe_key")).alias("part")).distinct()
+        return [r["part"] for r in found.collect()]
+
+    def _held(self, touched: list[int]) -> DataFrame:
+        return self._lead().filter(F.col("part").isin(touched)).drop("part")
+
+    def lead_near(self, keys: DataFrame) -> DataFrame:
+        """The rows of the parts that hold a key of ``keys``; other parts are not read."""
+        return self._held(self._touched(keys))
+
+    def change_lead(self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], run_id: str) -> None:
+        """Swap the parts that hold a key of ``keys`` for what ``change`` makes of their rows."""
+        touched = [] if self.ended(run_id) else self._touched(keys)
+        if not touched:
             return
-        entry = self._current("audit_event")
-        if entry is None:
-            self._record("audit_event", 1, "first")
-        path = self._path("audit_event", entry["version"] if entry else 1)
-        (events.filter(F.col("run_id") == run_id).drop("run_id")
-         .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))
-        self._record("audit_event/append", 1, run_id)
-
-    def vacuum(self, name: str) -> None:
-        """Empty all states but the current one (an erasure must reach them)."""
-        entry = self._current(name)
-        if entry is None:
+        held, part = self._held(touched), self.part_of(F.col("dedupe_key"))
+        marks = self.spark.createDataFrame([(p,) for p in touched], "part int").select(
+            *[F.lit(None).cast(held.schema[n].dataType).alias(n) for n in LEAD_COLUMNS], "part")
+        rows = change(held).select(*LEAD_COLUMNS, part.alias("part")).unionByName(marks)
+        self._write(rows.repartition("part"), "lead", "part")
+
+    # -- logs -------------------------------------------------------------------
+
+    def append(self, name: str, rows: DataFrame, run_id: str) -> None:
+        """Add a run's rows, once: they are a partition of their own."""
+        if not self.ended(run_id):
+            self._write(rows.withColumn("run_id", F.lit(run_id)), name, "run_id")
+
+    def erase_events(self, keep: Callable[[DataFrame], DataFrame], touched: DataFrame, run_id: str) -> None:
+        """Rewrite the partitions of the runs in ``touched`` (run_id) without what ``keep`` leaves out."""
+        if self.ended(run_id):
             return
-        emptied = self._current(f"{name}/emptied")
-        low = emptied["version"] if emptied else 0
-        old = self._entries(name).filter(F.col("version").between(low + 1, entry["version"] - 1)).collect()
-        nothing = self.spark.createDataFrame([], TABLES[name])
-        for row in old:
-            nothing.write.mode("overwrite").parquet(self._path(name, row["version"], row["run_id"]))
-        if old:
-            self._record(f"{name}/emptied", entry["version"] - 1, entry["run_id"])
-
-    # -- staged frames of a run -----------------------------------------------
-
-    def stage(self, run_id: str, name: str, frame: DataFrame) -> DataFrame:
-        """Write a frame that several steps read; a replay reads it back.
-
-        A frame's newest ledger version is odd while it counts. A run that has
-        not ended computes a frame again that an erasure has withdrawn.
-        """
-        label = f"runs/{run_id}/{name}"
-        path = f"{self.root}/{label}"
-        entry = self._current(label)
-        version = entry["version"] if entry else 0
-        if version % 2 == 0 and not (version and self.done(f"ended/{run_id}", run_id)):
-            frame.write.mode("overwrite").parquet(path)
-            self._record(label, version + 1, run_id)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-    def end_run(self, run_id: str) -> None:
-        """All tables of the run are written: its staged frames may be emptied."""
-        if not self.done(f"ended/{run_id}", run_id):
-            self._record(f"ended/{run_id}", 1, run_id)
-
-    def clear_staged(self) -> None:
-        """Withdraw the staged frames of all runs: an erasure must reach them too.
-
-        Frames of ended runs are emptied. A run that was cut off, or is under
-        way, keeps its files, as it may be reading them; started again it
-        computes them anew, with the suppressions that hold by then. A run that
-        will not be started again is given up with :meth:`end_run`.
-        """
-        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-        ended = {r["run_id"] for r in ledger.filter(F.col("name").startswith("ended/")).collect()}
-        staged = (ledger.filter(F.col("name").startswith("runs/")).groupBy("name", "run_id")
-                  .agg(F.max("version").alias("version")).filter("version % 2 = 1"))
-        for row in staged.collect():
-            if row["run_id"] in ended:
-                path = f"{self.root}/{row['name']}"
-                schema = self.spark.read.parquet(path).schema
-                self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-            self._record(row["name"], row["version"] + 1, row["run_id"])
+        runs = touched.select("run_id").distinct()
+        events = self._table("audit_event", TABLES["audit_event"])
+        kept = keep(events.filter("event_id is not null").join(runs, "run_id", "left_semi"))
+        marks = runs.select(*[F.col(n) if n == "run_id" else F.lit(None).cast(events.schema[n].dataType).alias(n)
+                              for n in events.columns])
+        rows = kept.select(events.columns).unionByName(marks)
+        self._write(rows.repartition("run_id"), "audit_event", "run_id", **{"mapreduce.output.basename": "kept"})

@@ -39,7 +39,12 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lead(spark: SparkSession, sf: str) -> DataFrame:
-    """The master table as the jobs have it: written once per query call, then read."""
+    """The master table as a plan: only what a query reads of it is derived."""
+    return _lead(spark, sf)
+
+
+def stored_lead(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as the jobs have it: written, once per query call, then read."""
     path = scratch_dir(spark, "lead")
     _lead(spark, sf).write.parquet(path)
     return spark.read.schema(LEAD).parquet(path)

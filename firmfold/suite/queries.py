@@ -6,7 +6,7 @@ frame, ``ORACLES[name]`` the SQL text; a query without text is checked by tests.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +28,8 @@ from firmfold.operators import review as V
 from firmfold.operators import suppress as U
 from firmfold.operators.audit import audit_rollup as rollup
 from firmfold.operators.audit import ingest_events
+from firmfold.operators.rule_tables import RuleTables, classify_by_rules, codes_by_rules, regions_by_rules
+from firmfold.plans import jobs as J
 from firmfold.plans.ingest import ingest as ingest_job
 from firmfold.plans.store import Store
 from firmfold.session import configure, scratch_dir
@@ -139,6 +141,88 @@ def classify_codes(spark, sf):
     return S.table(spark, sf, "part").select("p_partkey", joined(F.array_distinct(C.classify_by_prefix(
         F.array(code), 8, _PART_RULES, ("small", "mid", "large")))).alias("categories"))
 
+# -- rule tables of any size --------------------------------------------------------
+
+# Rules made of line items: whole words, stems, words of two parts; accents fold away.
+_RULES_SQL = """SELECT concat('cat', cast(l_partkey % 300 AS varchar(20))) AS category, 'name' AS name,
+  l_orderkey * 10 + l_linenumber AS ord, l_linenumber % 3 = 0 OR l_linenumber % 3 = 2 AS whole_word,
+  CASE l_linenumber % 3 WHEN 0 THEN concat(' K', cast(l_partkey % 700 AS varchar(20)))
+    WHEN 1 THEN concat(CASE WHEN l_suppkey % 9 = 0 THEN 'é' ELSE '' END,
+                       substr(md5(cast(l_orderkey AS varchar(20))), 1, 4 + cast(l_linenumber % 2 AS int)))
+    ELSE concat('Building ', cast(l_suppkey % 40 AS varchar(20))) END AS keyword
+FROM {lineitem}"""
+_RULE_TEXTS_SQL = """SELECT c_custkey AS k, CASE WHEN c_custkey % 50 <> 7 THEN
+  concat('Ügyfél k', cast(c_custkey % 900 AS varchar(20)), ' É', md5(cast(c_custkey AS varchar(20))), ' ', c_mktsegment, ' ',
+         cast(c_nationkey AS varchar(20)), ' k', cast(c_custkey % 70 AS varchar(20)), 'x') END AS text FROM {customer}"""
+
+
+def _tables_sql(spark, text, sf, *names):
+    return spark.sql(text.format(**{n: S.at(sf, n) for n in names}))
+
+
+def _rule_tables(spark, sf):
+    categories = _tables_sql(spark, _RULES_SQL, sf, "lineitem")
+    regions = _tables_sql(spark, _REGION_RULES_SQL, sf, "orders")
+    return RuleTables(categories, regions, None, capital="r5")
+
+
+@query(f"""WITH rule AS (SELECT category, trim(strip_accents(lower(keyword))) AS kw, whole_word, ord FROM ({_RULES_SQL.format(lineitem="lineitem")})),
+place AS (SELECT category, min(ord) AS place FROM rule GROUP BY category),
+txt AS (SELECT k, strip_accents(lower(coalesce(text, ''))) AS hay FROM ({_RULE_TEXTS_SQL.format(customer="customer")})),
+kws AS (SELECT DISTINCT kw, whole_word, category FROM rule),
+hit AS (SELECT DISTINCT k, category FROM txt JOIN kws ON CASE WHEN whole_word THEN contains(' ' || hay || ' ', ' ' || kw || ' ')
+  ELSE contains(hay, kw) END)
+SELECT t.k, coalesce(string_agg(h.category, ',' ORDER BY p.place), '') AS categories FROM txt t LEFT JOIN hit h ON h.k = t.k
+  LEFT JOIN place p ON p.category = h.category GROUP BY t.k""")
+def rules_from_tables(spark, sf):
+    texts = _tables_sql(spark, _RULE_TEXTS_SQL, sf, "customer")
+    found = classify_by_rules(texts, _rule_tables(spark, sf), fold_text(F.col("text")))
+    return found.select("k", F.array_join("categories", ",").alias("categories"))
+
+
+_REGION_RULES_SQL = """SELECT concat('r', cast(o_orderkey % 97 AS varchar(20))) AS region_id, 'name' AS name, o_orderkey AS ord,
+  concat('Vár', cast(o_custkey % 2000 AS varchar(20)), CASE WHEN o_custkey % 3 = 0 THEN ' ut' ELSE '' END) AS keyword FROM {orders}"""
+_PLACES_SQL = """SELECT c_custkey AS k, CASE WHEN c_custkey % 40 <> 3 THEN concat(
+  CASE c_custkey % 7 WHEN 0 THEN '1051 ' WHEN 1 THEN '21051 ' WHEN 2 THEN '8900, 1234 ' ELSE '' END,
+  'VÁR', cast(c_custkey AS varchar(20)), CASE WHEN c_custkey % 2 = 0 THEN ' út' ELSE '' END) END AS address FROM {customer}"""
+
+
+@query(rf"""WITH rule AS (SELECT region_id, strip_accents(lower(keyword)) AS kw, ord FROM ({_REGION_RULES_SQL.format(orders="orders")})),
+place AS (SELECT region_id, min(ord) AS place FROM rule GROUP BY region_id),
+kws AS (SELECT DISTINCT kw, region_id FROM rule),
+txt AS (SELECT k, strip_accents(lower(coalesce(address, ''))) AS hay FROM ({_PLACES_SQL.format(customer="customer")})),
+hit AS (SELECT k, arg_min(r.region_id, (CASE WHEN r.region_id = 'r5' THEN 0 ELSE 1 END, place)) AS region_id
+  FROM txt JOIN kws r ON contains(hay, r.kw) JOIN place p ON p.region_id = r.region_id GROUP BY k)
+SELECT t.k, CASE WHEN starts_with(regexp_extract(hay, '(?:^|[^a-zA-Z0-9_])([0-9]{{4}})(?:$|[^a-zA-Z0-9_])', 1), '1') THEN 'r5'
+  ELSE h.region_id END AS region_id FROM txt t LEFT JOIN hit h ON h.k = t.k""")
+def regions_from_tables(spark, sf):
+    places = _tables_sql(spark, _PLACES_SQL, sf, "customer")
+    return regions_by_rules(places, _rule_tables(spark, sf), fold_text(F.col("address"))).select("k", "region_id")
+
+
+_PREFIXES_SQL = """SELECT concat('c', cast(l_suppkey % 50 AS varchar(20))) AS category, l_orderkey * 10 + l_linenumber AS ord,
+  substr(lpad(cast((l_orderkey * 7919 + l_linenumber * 15485863) % 100000000 AS varchar(20)), 8, '0'), 1,
+         cast(4 + l_linenumber % 5 AS int)) AS prefix FROM {lineitem}"""
+_CODES_SQL = """SELECT o_orderkey AS k, lpad(cast((o_orderkey * 7919 + 15485863) % 100000000 AS varchar(20)), 8, '0') AS one,
+  CASE WHEN o_orderkey % 5 > 0 THEN concat('x', lpad(cast((o_custkey * 7919 + 2 * 15485863) % 100000000 AS varchar(20)), 8, '0'), '-7') END AS two
+FROM {orders}"""
+
+
+@query(f"""WITH rule AS (SELECT prefix, category, min(ord) AS ord FROM ({_PREFIXES_SQL.format(lineitem="lineitem")})
+  WHERE category NOT LIKE '%7' GROUP BY 1, 2),
+code AS (SELECT k, 0 AS pos, one AS number FROM ({_CODES_SQL.format(orders="orders")})
+  UNION ALL SELECT k, 1, substr(regexp_replace(two, '[^0-9]', '', 'g'), 1, 8) FROM ({_CODES_SQL.format(orders="orders")}) WHERE two IS NOT NULL),
+starts AS (SELECT k, pos, substr(number, 1, n) AS prefix FROM code, LATERAL (SELECT unnest(range(0, 9)) AS n)),
+hit AS (SELECT k, category, min((pos, ord)) AS place FROM starts JOIN rule USING (prefix) GROUP BY 1, 2)
+SELECT o_orderkey AS k, coalesce(string_agg(category, ',' ORDER BY place), '') AS categories
+FROM orders LEFT JOIN hit ON k = o_orderkey GROUP BY 1""")
+def prefixes_from_tables(spark, sf):
+    prefixes = _tables_sql(spark, _PREFIXES_SQL, sf, "lineitem")
+    known = prefixes.select("category").filter("category not like '%7'")
+    rows = _tables_sql(spark, _CODES_SQL, sf, "orders")
+    found = codes_by_rules(rows, prefixes, known, F.array("one", "two"), 8)
+    return found.select("k", F.array_join("categories", ",").alias("categories"))
+
 
 _CPV = ("CASE p_size % 4 WHEN 0 THEN '90919200-4' WHEN 1 THEN '72500000-0' WHEN 2 THEN '79713000-5' "
         "ELSE '03000000-1' END")
@@ -847,7 +931,7 @@ def candidate_limit(spark, sf):
   count(CASE WHEN {_CONTACT_CANDIDATE} THEN 1 END) AS contact, count(CASE WHEN {_PLACE_CANDIDATE} THEN 1 END) AS places
   FROM lead l""", "lead"))
 def candidates(spark, sf):
-    lead = W.lead(spark, sf)  # a stored table: five narrow scans, no step of its making again
+    lead = W.stored_lead(spark, sf)  # five narrow scans, no step of its making again
     kinds = [("revalidated", E.candidates_vat_check(lead, revalidate=True)), ("vat_check", E.candidates_vat_check(lead)),
              ("tax_check", E.candidates_tax_check(lead)), ("contact", E.candidates_contact(lead)),
              ("places", E.candidates_places(lead))]
@@ -1022,19 +1106,140 @@ def ingest_stream(spark, sf):
     return _stored(Store(spark, f"{root}/store"))
 
 
-@query(O.sql("SELECT type, count(*) AS n_events FROM audit GROUP BY type", "keyed", audit=_AUDIT))
+# A crawl with gaps, saved cursors, one page that is not JSON, and a limit of records per region.
+_GAP, _BAD, _LIMIT = "(source = 'ebeszamolo' AND page % 11 = 6)", "(source = 'ebeszamolo' AND {0} = 'pest' AND page = 3)", 60
+_START = "CASE WHEN source <> 'ebeszamolo' THEN 1 WHEN crawl_region = 'vas' THEN 2 WHEN crawl_region = 'zala' THEN 8 ELSE 1 END"
+_PAGES = f"""SELECT source, crawl_region, page, {_START} AS start_page,
+    count(CASE WHEN k % 29 <> 0 AND NOT {_BAD.format('crawl_region')} THEN 1 END) AS n_rows
+  FROM ({S.raw_business_sql()}) z WHERE NOT {_GAP} GROUP BY source, crawl_region, page"""
+_REACHED = f"""SELECT source, crawl_region, start_page, start_page - 1 + count(CASE WHEN page - rn = start_page - 1 THEN 1 END) AS last_page
+  FROM (SELECT p.*, CASE WHEN n_rows > 0 AND page >= start_page THEN
+    row_number() OVER (PARTITION BY source, crawl_region, n_rows > 0 AND page >= start_page ORDER BY page) END AS rn FROM ({_PAGES}) p) q
+  GROUP BY source, crawl_region, start_page"""
+_FAILED = f"""EXISTS (SELECT 1 FROM ({_PAGES}) b WHERE b.source = r.source AND b.crawl_region = r.crawl_region
+  AND {_BAD.format('b.crawl_region').replace('source', 'b.source').replace('page', 'b.page')} AND b.page = r.last_page + 1)"""
+_CHOSEN = f"""SELECT * EXCLUDE (nth) FROM (SELECT z.*, row_number() OVER (PARTITION BY z.source, z.crawl_region ORDER BY z.page, z.pos, z.k) AS nth
+  FROM ({_LANDED}) z JOIN ({_REACHED}) r ON r.source = z.source AND r.crawl_region = z.crawl_region
+   AND z.page BETWEEN r.start_page AND r.last_page AND NOT {_FAILED}) y WHERE nth <= {_LIMIT}"""
+
+
+@query(O.sql(f"""SELECT (SELECT count(*) FROM flagged) AS fetched, (SELECT count(*) FROM m) AS created,
+  (SELECT count(CASE WHEN NOT suppressed THEN 1 END) FROM flagged) - (SELECT count(*) FROM m) AS merged,
+  (SELECT count(CASE WHEN suppressed THEN 1 END) FROM flagged) AS skipped,
+  (SELECT string_agg(source || '/' || crawl_region || '/' || (last_page + 1), ',') FROM ({_REACHED}) r WHERE {_FAILED}) AS failed,
+  count(CASE WHEN valid THEN 1 END) AS verified, count(CASE WHEN taxed THEN 1 END) AS nav_checked,
+  count(CASE WHEN met AND (email IS NULL OR phone IS NULL) THEN 1 END) AS contacts_enriched,
+  count(CASE WHEN (phone2 IS NULL AND p.phone IS NOT NULL) OR (website IS NULL AND p.website IS NOT NULL)
+    OR (address2 IS NULL AND p.address IS NOT NULL) THEN 1 END) AS places_enriched,
+  count(CASE WHEN is_personal_data THEN 1 END) AS purged, count(CASE WHEN NOT is_personal_data THEN 1 END) AS left_over
+  FROM placed d LEFT JOIN (SELECT name, phone, website, address FROM places) p ON p.name = d.place""",
+             "flagged", "vat_register", "tax_signals", "contacts", "places", raw=_CHOSEN,
+             clean="SELECT * FROM flagged WHERE NOT suppressed", m=O.merged("clean"),
+             looked=f"""SELECT m.*, coalesce(v.valid, false) AS valid, t.core IS NOT NULL AS taxed, c.domain IS NOT NULL AS met,
+               coalesce(m.phone, c.phone) AS phone2, coalesce(m.address, CASE WHEN v.valid THEN v.address END) AS address2
+               FROM m LEFT JOIN vat_register v ON v.core = {O.vat_core('m.vat_number')} LEFT JOIN tax_signals t ON t.core = {O.vat_core('m.vat_number')}
+               LEFT JOIN contacts c ON c.domain = m.domain AND (m.email IS NULL OR m.phone IS NULL)""",
+             placed=f"""SELECT l.*, coalesce(a.name, b.name) AS place FROM looked l
+               LEFT JOIN places a ON a.name = l.legal_name AND (l.phone2 IS NULL OR l.website IS NULL)
+               LEFT JOIN places b ON b.name = {O.company_name('l.legal_name')} AND (l.phone2 IS NULL OR l.website IS NULL)"""))
+def refresh(spark, sf):
+    """A whole cycle over a store: ingest with cursors, gaps, a bad page, a limit and suppressions, four lookups, purge."""
+    root, now = scratch_dir(spark, "refresh"), datetime(1999, 6, 1)
+    source, region, page = F.col("source"), F.col("region_id"), F.col("page")
+    body = F.when(F.expr(_BAD.format("region_id")), F.lit('{"results": [')).otherwise(F.col("body"))
+    _land(spark, sf).filter(~F.expr(_GAP)).withColumn("body", body).write.parquet(f"{root}/pages")
+    store = Store(spark, f"{root}/store")
+    store.append("suppression", S.suppression(spark, sf), "seed")
+    store.append("crawl_state", spark.createDataFrame(
+        [("ebeszamolo", "vas", 2, 9, now), ("ebeszamolo", "zala", 8, 9, now)],
+        "source string, region_id string, last_page int, total_seen bigint, last_run_at timestamp"), "seed")
+    lookups = J.Lookups(W.vat_register(spark, sf), W.tax_signals(spark, sf), W.contacts(spark, sf), W.places(spark, sf))
+    got = J.refresh(store, read_pages(spark, f"{root}/pages"), lookups, "run", now, limit=_LIMIT)
+    gone = J.purge(store, "purge", now + timedelta(days=365))
+    stats, i = got, got.ingest
+    failed = ",".join("/".join(map(str, page)) for page in i.bad_pages) or None
+    row = (i.fetched, i.created, i.merged, i.skipped_suppressed, failed, stats.verified, stats.nav_checked, stats.contacts_enriched,
+           stats.places_enriched, gone["suppressed"] + gone["expired"])
+    counts = spark.createDataFrame([row], """fetched bigint, created bigint, merged bigint, skipped bigint, failed string, verified bigint,
+      nav_checked bigint, contacts_enriched bigint, places_enriched bigint, purged bigint""")
+    return counts.join(store.read("lead").agg(F.count(F.lit(1)).alias("left_over")), F.lit(True))
+
+
+@query(O.sql("""SELECT row_number() OVER (ORDER BY quality_score DESC, lead_id) AS line, lead_id AS "externalId", quality_score AS "qualityScore",
+  13 AS n_fields, (vat_number IS NULL)::INT + (registration_number IS NULL)::INT + (region_id IS NULL)::INT + (email IS NULL)::INT
+  + (phone IS NULL)::INT + (website IS NULL)::INT + (tax_status IS NULL)::INT + (debt_free IS NULL)::INT AS n_nulls
+  FROM lead WHERE quality_score >= 40 AND review_status <> 'REJECTED' AND NOT is_personal_data""", "lead"))
+def export_ndjson(spark, sf):
+    """The export as its files hold it: order of lines, explicit nulls."""
+    path = scratch_dir(spark, "export")
+    X.export_ndjson(W.lead(spark, sf), path, min_quality=40)
+    fields = F.from_json("record", ", ".join(f"{n} string" for n in X.EXPORT_FIELDS))
+    rows = X.read_ndjson(spark, path).select("line", fields.alias("f"), F.size(F.json_object_keys("record")).alias("n_fields"))
+    nulls = [F.col(f"f.{n}").isNull().cast("int") for n in X.EXPORT_FIELDS]
+    return rows.select("line", "f.externalId", F.col("f.qualityScore").cast("int").alias("qualityScore"), "n_fields",
+                       sum(nulls[1:], nulls[0]).alias("n_nulls"))
+
+
+@query(O.sql(f"""SELECT row_number() OVER (ORDER BY l.lead_id, a.created_at, a.event_id) AS line, email AS subject, l.lead_id, type,
+  {O.iso('a.created_at')} AS created_at, count(*) OVER (PARTITION BY l.lead_id) AS trail_events,
+  count(*) FILTER (WHERE false) OVER () AS n_missing FROM lead l JOIN audit a ON a.lead_id = l.lead_id WHERE email IS NOT NULL""", "lead", audit=_AUDIT))
+def write_dsar_report(spark, sf):
+    """The access report of all subjects, read back from its files: the trail's lines with their records."""
+    path, lead = scratch_dir(spark, "dsar"), W.stored_lead(spark, sf)
+    report = G.dsar_export(lead, W.audit_events(spark, sf), lead.filter("email is not null").select("email"))
+    G.write_dsar_report(report, path, W.now())
+    trail = X.read_ndjson(spark, f"{path}/trail").select("line", F.from_json(
+        "record", "subject string, lead_id string, type string, created_at string").alias("e")).select("line", "e.*")
+    records = spark.read.schema("lead_id string, subject string, trail_events bigint").json(f"{path}/records")
+    subjects = spark.read.schema("subject string, lead_count bigint").json(f"{path}/subjects")
+    counted = records.groupBy("subject").agg(F.count(F.lit(1)).alias("n")).join(subjects, "subject", "full")
+    missing = counted.agg(F.count_if(~F.coalesce(F.col("n") == F.col("lead_count"), F.lit(False))).alias("n_missing"))
+    return trail.join(records.drop("subject"), "lead_id", "left").join(missing, F.lit(True))
+
+
+@query(O.sql("""SELECT type AS kind, count(*) AS n FROM audit a WHERE a.lead_id IS NULL
+    OR a.lead_id NOT IN (SELECT lead_id FROM v WHERE reason IS NOT NULL) GROUP BY type
+  UNION ALL SELECT 'PURGED', count(*) FROM v WHERE reason IS NOT NULL HAVING count(*) > 0
+  UNION ALL SELECT 'leads', count(*) FROM v WHERE reason IS NULL""", "lead", "sup", audit=_AUDIT, v=_DECIDED))
+def purge(spark, sf):
+    """The purge as a job over a store: what it leaves of records and events."""
+    store = Store(spark, scratch_dir(spark, "purge"))
+    lead = W.stored_lead(spark, sf)
+    store.change_lead(lead, lambda _: lead, "seed")
+    store.append("audit_event", W.audit_events(spark, sf), "seed")
+    store.append("suppression", S.suppression(spark, sf), "seed")
+    J.purge(store, "run", datetime(1999, 6, 1, 12))
+    events = store.read("audit_event").groupBy(F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return events.unionByName(store.read("lead").agg(F.count(F.lit(1)).alias("n")).select(F.lit("leads").alias("kind"), "n"))
+
+
+@query(O.sql("""SELECT type, count(*) AS n_events, count(CASE WHEN late OR lead_id IS NULL OR lead_id >= '4' THEN 1 END) AS n_held
+  FROM (SELECT a.*, cast(event_id AS bigint) % 5 = 0 AS late FROM audit a) e GROUP BY type""", "keyed", audit=_AUDIT))
 def audit_stream(spark, sf):
-    """Events landed as files, counted by a stream; its last state."""
+    """Events counted by a stream: some are appended, some leads are erased, more events are
+    appended, and the stream goes on from its checkpoint. Beside it what the store holds then."""
     root = scratch_dir(spark, "audit-stream")
-    W.audit_events(spark, sf).write.parquet(f"{root}/events")
-
-    def keep(counts: DataFrame, _: int) -> None:
-        counts.write.mode("overwrite").parquet(f"{root}/counts")
-
-    stream = (stream_counts(spark, f"{root}/events").writeStream.outputMode("complete").foreachBatch(keep)
-              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
-    stream.awaitTermination()
-    return spark.read.parquet(f"{root}/counts")
+    store = Store(spark, f"{root}/store")
+    events = W.audit_events(spark, sf).withColumn("late", F.col("event_id").cast("bigint") % 5 == 0)
+
+    def follow() -> None:
+        counted = stream_counts(spark, f"{root}/store/audit_event").writeStream.outputMode("complete").foreachBatch(
+            lambda counts, _: counts.write.mode("overwrite").parquet(f"{root}/counts"))
+        counted.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    for run in range(3):
+        mine = F.pmod(F.xxhash64("event_id"), F.lit(3)) == run
+        store.append("audit_event", events.filter(~F.col("late") & mine).drop("late"), f"run-{run}")
+    follow()
+    doomed = store.read("audit_event").filter("lead_id < '4'").select("lead_id").distinct()
+    doomed.write.parquet(f"{root}/doomed")
+    doomed = spark.read.parquet(f"{root}/doomed")
+    touched = store.read("audit_event").join(doomed, "lead_id", "left_semi")
+    store.erase_events(lambda held: G.erase_events(held, doomed), touched, "erasure")
+    store.append("audit_event", events.filter("late").drop("late"), "later")
+    follow()
+    held = store.read("audit_event").groupBy("type").agg(F.count(F.lit(1)).alias("n_held"))
+    return spark.read.parquet(f"{root}/counts").join(held, "type", "left").withColumn("n_held", F.coalesce("n_held", F.lit(0)))
 
 
 @query(O.sql("""SELECT l.lead_id, l.type, l.meta FROM (

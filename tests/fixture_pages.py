@@ -4,7 +4,7 @@ import json
 from datetime import datetime
 
 LANDED = datetime(2024, 5, 1, 12, 0, 0)
-VAT_A, VAT_B = "10773381", "10000009"  # both with a right check digit
+VAT_A, VAT_B = "23456787", "10000009"  # both with a right check digit
 
 
 def page(source, region, number, body):
@@ -18,7 +18,7 @@ def results(*records):
 DIRECTORY = [
     page("directory", "budapest", 1, results(
         {"id": 7, "name": " Kék Klíma Kft. ", "email": "INFO@kekklima.hu", "phone": "06 30 111 2233",
-         "website": "www.kekklima.hu", "address": "1132 Budapest, Váci út 4", "vat": "10773381-2-41",
+         "website": "www.kekklima.hu", "address": "1132 Budapest, Váci út 4", "vat": "23456787-2-41",
          "activity": "klíma szerelés"},
         {"id": 8, "name": "  ", "email": "nobody@x.hu"},
         {"name": "Fényes Iroda Bt.", "website": "fenyesiroda.hu", "activity": "takarítás"})),
@@ -30,7 +30,7 @@ DIRECTORY = [
 
 REGISTRY = [
     page("ebeszamolo", "budapest", 1, results(
-        {"id": 1, "companyName": "KÉK KLÍMA KFT", "taxNumber": "HU10773381", "registrationNumber": "01-09-111111",
+        {"id": 1, "companyName": "KÉK KLÍMA KFT", "taxNumber": "HU23456787", "registrationNumber": "02-09-345678",
          "seat": "1132 Budapest", "teaorCode": "43.22", "teaorText": "gépészet, hosszabb leírással együtt"},
         {"id": 2, "companyName": "Őr-Zés Zrt.", "registrationNumber": "01-10-222222", "teaorCode": "8010"})),
     page("mkik", "budapest", 1, results(
@@ -40,7 +40,7 @@ REGISTRY = [
 ]
 
 AWARDS = [page("kozbeszerzes", "budapest", 1, results(
-    {"id": "K1", "supplierName": "Kék Klíma Kft.", "supplierVat": "10773381", "cpvCodes": ["90919200-4"],
+    {"id": "K1", "supplierName": "Kék Klíma Kft.", "supplierVat": "23456787", "cpvCodes": ["90919200-4"],
      "title": "irodaház"}))]
 
 SOLE_TRADERS = [page("evny", "budapest", 1, results(
@@ -49,7 +49,7 @@ SOLE_TRADERS = [page("evny", "budapest", 1, results(
 
 POI = [page("overpass", "budapest", 1, {"elements": [
     {"type": "node", "id": 11, "tags": {"name": "Kék Klíma", "operator": "Kék Csoport", "office": "company",
-                                        "ref:vatin": "HU10773381", "addr:city": "Budapest",
+                                        "ref:vatin": "HU23456787", "addr:city": "Budapest",
                                         "addr:street": "Váci út", "contact:phone": "06 1 222 3344"}},
     {"type": "way", "id": 12, "tags": {"operator": "Magányos Bolt", "shop": "it", "email": "bolt@pelda.hu",
                                        "addr:postcode": "1051"}},

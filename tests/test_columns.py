@@ -66,10 +66,10 @@ def test_contacts_in_first_seen_order(apply):
 
 
 def test_vat_checksum(apply):
-    assert apply(["10773381", "10773381-2-41", "HU10773381", "10773382", "123", "1077338", None],
+    assert apply(["23456787", "23456787-2-41", "HU23456787", "23456788", "123", "1077338", None],
                  I.is_valid_hu_vat) == [True, True, True, False, False, False, False]
-    assert apply(["10773381-2-41", "10773382"], I.vat_core) == ["10773381", None]
-    assert apply(["01-09-111111", "12345678", None], I.is_valid_reg_number) == [True, False, False]
+    assert apply(["23456787-2-41", "23456788"], I.vat_core) == ["23456787", None]
+    assert apply(["02-09-345678", "12345678", None], I.is_valid_reg_number) == [True, False, False]
 
 
 def test_company_name(apply):
@@ -82,14 +82,14 @@ def test_company_name(apply):
 
 
 def test_key_ladder(spark):
-    rows = [("10773381-2-41", "01-09-111111", "x.hu", "A Kft.", "pest"), ("10773382", "01-09-111111", "x.hu", "A", "pest"),
+    rows = [("23456787-2-41", "02-09-345678", "x.hu", "A Kft.", "pest"), ("23456788", "02-09-345678", "x.hu", "A", "pest"),
             (None, "12345678", "X.hu", "A", "pest"), (None, None, None, "Ábra Kft.", "pest"), (None, None, "", "Á", None)]
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
                                   "i int, v string, r string, d string, n string, g string")
     c = F.col
     keys = [r["k"] for r in frame.select("i", I.dedupe_key(c("v"), c("r"), c("d"), c("n"), c("g")).alias("k"))
             .orderBy("i").collect()]
-    assert keys == ["vat:10773381", "reg:0109111111", "domain:x.hu", "name:ábra|pest", "name:á|"]
+    assert keys == ["vat:23456787", "reg:0209345678", "domain:x.hu", "name:ábra|pest", "name:á|"]
 
 
 def test_personal(spark):
@@ -140,8 +140,8 @@ def test_rules_from_tables(spark, apply):
 
 
 def test_quality_score(spark):
-    full = ("e", "p", "w", "d", "a", "r", ["c"], "10773381", "01-09-111111")
-    rows = [full, (None,) * 6 + ([], None, None), (None,) * 6 + ([], "10773382", "01-09-111111"),
+    full = ("e", "p", "w", "d", "a", "r", ["c"], "23456787", "02-09-345678")
+    rows = [full, (None,) * 6 + ([], None, None), (None,) * 6 + ([], "23456788", "02-09-345678"),
             (None, None, None, "d", None, None, ["c"], None, "1")]
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
                                   "i int, email string, phone string, website string, domain string, address string, "

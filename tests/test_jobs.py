@@ -1,6 +1,7 @@
 """Jobs over a store, from landed pages to erasure."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,8 +48,8 @@ def lookups(spark):
          ("gone.hu", "", "a@gone.hu", NOW)],
         "domain string, path string, body string, fetched_at timestamp")
     return jobs.Lookups(
-        parse_vat_register(answers([("10773381", '{"valid":true,"address":"Cím  1"}')])),
-        parse_tax_signals(answers([("10773381", '{"taxStatus":"active","debtFree":false,"employeeCount":4}')])),
+        parse_vat_register(answers([("23456787", '{"valid":true,"address":"Cím  1"}')])),
+        parse_tax_signals(answers([("23456787", '{"taxStatus":"active","debtFree":false,"employeeCount":4}')])),
         merge_contact_pages(contact),
         parse_places(answers([("Magányos Bolt", '{"website":"https://bolt.hu/","phone":" 1 2 "}')])))
 
@@ -58,13 +59,13 @@ def test_ingest_consolidates_all_sources(spark, store, pages):
     stats = ingest(store, pages, "r1", NOW, rules=jobs.DEFAULT_RULES)
     leads = by_key(store)
     assert set(leads) == {
-        "vat:10773381", "domain:fenyesiroda.hu", "reg:0110222222", "name:gödöllői szerver|pest",
+        "vat:23456787", "domain:fenyesiroda.hu", "reg:0110222222", "name:gödöllői szerver|pest",
         "name:magányos bolt|budapest", "domain:tuztarsa.hu", "name:második|budapest"}
-    kek = leads["vat:10773381"]
+    kek = leads["vat:23456787"]
     # The point of interest arrives first, gaps come from later sources.
     assert (kek["legal_name"], kek["source"], kek["brand_name"]) == ("Kék Klíma", "overpass", "Kék Csoport")
     assert kek["email"] == "info@kekklima.hu" and kek["phone"] == "+3612223344"
-    assert kek["registration_number"] == "01-09-111111"
+    assert kek["registration_number"] == "02-09-345678"
     assert kek["categories"] == ["hvac", "cleaning"]
     assert kek["classification_text"].startswith("gépészet")
     assert kek["quality_score"] == 100
@@ -130,7 +131,7 @@ def test_refresh_enriches_and_logs(spark, store, pages):
     summary = jobs.refresh(store, pages, lookups(spark), "r", NOW)
     assert (summary.verified, summary.nav_checked, summary.contacts_enriched, summary.places_enriched) == (1, 1, 0, 1)
     leads = by_key(store)
-    kek, bolt = leads["vat:10773381"], leads["name:magányos bolt|budapest"]
+    kek, bolt = leads["vat:23456787"], leads["name:magányos bolt|budapest"]
     assert kek["tax_status"] == "ACTIVE" and kek["debt_free"] is False and kek["employee_count"] == 4
     assert kek["last_verified_at"] == NOW and kek["address"] == "Budapest, Váci út"
     # The key is frozen although the place brought a site.
@@ -151,26 +152,26 @@ def test_review_recategorize_export(spark, store, pages, tmp_path):
     with pytest.raises(ValueError, match="unknown lead"):
         jobs.review(store, decide([("zzz", "approve", None, 1)]), "bad", NOW)
     with pytest.raises(ValueError, match="unknown action"):
-        jobs.review(store, decide([(ids["vat:10773381"], "maybe", None, 1)]), "bad2", NOW)
-    n = jobs.review(store, decide([(ids["vat:10773381"], "reject", "x", 1), (ids["vat:10773381"], "approve", None, 2),
+        jobs.review(store, decide([(ids["vat:23456787"], "maybe", None, 1)]), "bad2", NOW)
+    n = jobs.review(store, decide([(ids["vat:23456787"], "reject", "x", 1), (ids["vat:23456787"], "approve", None, 2),
                                    (ids["domain:tuztarsa.hu"], "reject", "dup", 1)]), "rev", NOW)
     leads = by_key(store)
-    assert n == 2 and leads["vat:10773381"]["review_status"] == "APPROVED"
+    assert n == 2 and leads["vat:23456787"]["review_status"] == "APPROVED"
     assert leads["domain:tuztarsa.hu"]["review_note"] == "dup"
 
     stats = jobs.recategorize(store, "rc", NOW, dry_run=True)
     assert stats["changed"] == 2 and by_key(store) == leads
     assert jobs.recategorize(store, "rc2", NOW)["changed"] == 2
     # Categories that came from codes only are gone, the score stays.
-    assert by_key(store)["vat:10773381"]["categories"] == ["hvac"]
-    assert by_key(store)["vat:10773381"]["quality_score"] == leads["vat:10773381"]["quality_score"]
+    assert by_key(store)["vat:23456787"]["categories"] == ["hvac"]
+    assert by_key(store)["vat:23456787"]["quality_score"] == leads["vat:23456787"]["quality_score"]
 
     out = str(tmp_path / "export")
     jobs.export(store, out)
     lines = spark.read.text(out).collect()
     assert len(lines) == 7 and '"vatNumber":null' in "".join(r["value"] for r in lines)
     jobs.export(store, out, approved_only=True)
-    assert [r["externalId"] for r in spark.read.json(out).collect()] == [ids["vat:10773381"]]
+    assert [r["externalId"] for r in spark.read.json(out).collect()] == [ids["vat:23456787"]]
 
 
 def test_purge_and_erasure(spark, store, pages, tmp_path):
@@ -185,9 +186,7 @@ def test_purge_and_erasure(spark, store, pages, tmp_path):
     purged = [e for e in events(store) if e[0] == "PURGED"]
     assert len(purged) == 2 and all(e[1] is None and "@" not in e[2] for e in purged)
     # Nothing of the erased rows is left in any file of the store.
-    for folder in ("lead", "runs/r1/batch", "runs/r1/matched", "runs/p1/purge"):
-        files = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "store" / folder))
-        assert files.filter("dedupe_key = 'domain:tuztarsa.hu'").count() == 0
+    assert not list((tmp_path / "store").glob("runs/*"))
     assert not [f for f in (tmp_path / "store").rglob("*.parquet") if b"tuztarsa" in f.read_bytes()
                 and "suppression" not in str(f)]
     # Started again, the purge finds its work done.
@@ -204,22 +203,25 @@ def test_purge_and_erasure(spark, store, pages, tmp_path):
     assert sorted(e["type"] for e in trail) == ["COLLECTED", "MERGED", "MERGED", "MERGED"]
     assert [e[0] for e in events(store)].count("DSAR") == 1
     assert jobs.dsar_erase(store, subject, "d1", NOW) == 1
-    assert "vat:10773381" not in by_key(store)
+    assert "vat:23456787" not in by_key(store)
     # A suppressed subject does not come back, its company's other address does.
     ingest(store, pages, "r2", NOW, full=True)
-    assert by_key(store).get("vat:10773381", {}).get("email") is None
+    assert by_key(store).get("vat:23456787", {}).get("email") is None
     with pytest.raises(Exception, match="not a valid e-mail"):
         jobs.dsar_erase(store, spark.createDataFrame([("nope",)], "email string"), "d2", NOW)
 
 
-def test_key_is_unique_and_table_is_bucketed(spark, store, pages):
+def test_key_is_unique_and_only_near_parts_are_read(spark, tmp_path, pages):
+    store = Store(spark, str(tmp_path / "p"), parts=50)
     ingest(store, pages, "r1", NOW)
     lead = store.read("lead")
     assert lead.columns == LEAD_COLUMNS
     assert lead.groupBy("dedupe_key").count().filter("count > 1").count() == 0
-    joined = lead.join(lead.select("dedupe_key", F.lit(1).alias("one")).hint("merge"), "dedupe_key")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Sort [" not in plan
+    key = lead.filter("dedupe_key = 'vat:23456787'").select("dedupe_key")
+    near = store.lead_near(key)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan or "PartitionFilters: [(part" in plan
+    assert near.filter("dedupe_key = 'vat:23456787'").count() == 1 and near.count() < lead.count()
 
 
 def test_scheduled_cycle(spark, store, pages, tmp_path):
@@ -234,15 +236,15 @@ def test_scheduled_cycle(spark, store, pages, tmp_path):
 
 def test_stop_purge_restart(spark, store, pages, monkeypatch):
     """A run cut off after staging, a purge, the run again: nothing is lost, and what was suppressed meanwhile stays out."""
-    replace = store.replace
+    change = store.change_lead
 
-    def cut_off(name, state, run_id):
+    def cut_off(keys, change, run_id):
         raise RuntimeError("executor lost")
 
-    monkeypatch.setattr(store, "replace", cut_off)
+    monkeypatch.setattr(store, "change_lead", cut_off)
     with pytest.raises(RuntimeError):
         ingest(store, pages, "r1", NOW)
-    monkeypatch.setattr(store, "replace", replace)
+    monkeypatch.setattr(store, "change_lead", change)
     suppress(spark, store, "tuztarsa.hu")
     jobs.purge(store, "p1", NOW)
     stats = ingest(store, pages, "r1", NOW)
@@ -275,36 +277,73 @@ def test_many_pages_points_and_copies(spark, store):
     assert stats.failed_regions == [("mkik", "baranya")] and stats.bad_pages == [("mkik", "baranya", 2)]
 
 
-def test_stale_writer_and_folders(spark, store):
-    entries = spark.createDataFrame([("a.hu", "DOMAIN", "x", NOW)], "value string, kind string, reason string, created_at timestamp")
-
-    class Meanwhile(Store):
-        def _current(self, name):
-            found = super()._current(name)
-            if not getattr(self, "met", False):
-                self.met = True
-                store.replace("suppression", entries, "other")
-            return found
-
-    with pytest.raises(RuntimeError, match="meanwhile"):
-        Meanwhile(spark, store.root).replace("suppression", entries.limit(0), "late")
-    assert store.read("suppression").count() == 1
-
-
-def test_small_patch_keeps_one_file_per_bucket(spark, tmp_path):
-    import glob
-
-    store = Store(spark, str(tmp_path / "s"), buckets=3)
-    rows = [P.page("directory", "pest", 1, P.results(*[{"name": f"Lapos {n} Kft.", "website": f"lap{n}.hu"} for n in range(200)]))]
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        ingest(store, spark.createDataFrame(rows, RAW_PAGES), "r1", NOW)
-        lead = store.read("lead").filter("dedupe_key = 'domain:lap3.hu'").select("lead_id").first()["lead_id"]
-        decision = spark.createDataFrame([(lead, "approve", None, 1)], "lead_id string, action string, note string, ord int")
-        jobs.review(store, decision, "d1", NOW)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-    newest = max(glob.glob(f"{tmp_path}/s/lead/v*"))
-    assert len(glob.glob(f"{newest}/*.parquet")) == 3
+def test_small_batch_swaps_its_parts_only(spark, tmp_path):
+    """A batch of ten keys rewrites ten parts at most; started again, or landed again, it changes no row."""
+    root = tmp_path / "s"
+    store = Store(spark, str(root), parts=64)
+    rows = [P.page("directory", "pest", 1, P.results(*[{"name": f"Lapos {n} Kft.", "website": f"lap{n}.hu"} for n in range(400)]))]
+    ingest(store, spark.createDataFrame(rows, RAW_PAGES), "r1", NOW)
+    assert Store(spark, str(root), parts=7).parts() == 64
+
+    def files():
+        return {p.parent.name: p.name for p in (root / "lead").glob("part=*/*.parquet")}
+
+    before = files()
+    assert len(list((root / "lead").glob("part=*/*.parquet"))) == len(before) == 64
+    ten = [P.page("mkik", "pest", 1, P.results(*[{"companyName": f"Lapos {n} Kft.", "website": f"lap{n}.hu", "email": f"a@lap{n}.hu"}
+                                                for n in range(395, 405)]))]
+    ingest(store, spark.createDataFrame(ten, RAW_PAGES), "r2", NOW)
+    after = files()
+    changed = [p for p in after if after[p] != before[p]]
+    assert 1 <= len(changed) <= 10
+    assert store.read("lead").count() == 405 and store.read("lead").filter("email is not null").count() == 10
+    held = by_key(store)
+    ingest(store, spark.createDataFrame(ten, RAW_PAGES), "r2", NOW)
+    assert files() == after
+    ingest(store, spark.createDataFrame(ten, RAW_PAGES), "r3", NOW, full=True)
+    assert by_key(store) == held
+    one = store.read("lead").filter("dedupe_key = 'domain:lap3.hu'").select("lead_id").first()["lead_id"]
+    now = files()
+    decision = spark.createDataFrame([(one, "approve", None, 1)], "lead_id string, action string, note string, ord int")
+    jobs.review(store, decision, "d1", NOW)
+    assert sum(files()[p] != now[p] for p in now) == 1
     assert store.read("lead").filter("review_status = 'APPROVED'").count() == 1
+
+
+def test_run_cut_off_between_writes(spark, store, pages, monkeypatch):
+    """Whatever was written before the break is written again, and counts once."""
+    append, left = store.append, ["crawl_state", "audit_event"]
+
+    def break_once(name, rows, run_id):
+        append(name, rows, run_id)
+        if left and name == left[-1]:
+            left.pop()
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(store, "append", break_once)
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            ingest(store, pages, "r1", NOW)
+    stats = ingest(store, pages, "r1", NOW)
+    state = {(r["source"], r["region_id"]): (r["last_page"], r["total_seen"]) for r in store.read("crawl_state").collect()}
+    assert state[("directory", "budapest")] == (2, 3) and stats.created == 8
+    log = events(store)
+    assert len(log) == len({r["event_id"] for r in store.read("audit_event").collect()})
+    ingest(store, pages, "r1", NOW)
+    assert events(store) == log
+
+
+def test_erasure_of_events_keeps_the_others(spark, store):
+    made = lambda run, *rows: store.append("audit_event", spark.createDataFrame(
+        [(f"{run}{i}", lead, "MERGED", None, NOW) for i, lead in enumerate(rows)],
+        "event_id string, lead_id string, type string, meta string, created_at timestamp"), run)
+    made("a", "x", "y", None)
+    made("b", "x")
+    made("c", "z")
+    untouched = set(str(p) for p in Path(store.root).glob("audit_event/run_id=c/*"))
+    doomed = spark.createDataFrame([("x",)], "lead_id string")
+    for _ in range(2):
+        touched = store.read("audit_event").join(doomed, "lead_id", "left_semi").select("run_id")
+        store.erase_events(lambda held: jobs.G.erase_events(held, doomed), touched, "e")
+        assert sorted(r["event_id"] for r in store.read("audit_event").collect()) == ["a1", "a2", "c0"]
+    assert untouched == set(str(p) for p in Path(store.root).glob("audit_event/run_id=c/*"))
