@@ -37,9 +37,9 @@ def _category_aggregates(seq: Column, ids: tuple[str, ...]) -> list[Column]:
 def _other_categories(leads: DataFrame, seq: Column, ids: tuple[str, ...]) -> DataFrame:
     """(dedupe_key, _others) for the keys that have ids outside the rule set: each with its first
     appearance. One row per key and id leaves a map task, however many lists a key has."""
-    known = F.array(*[F.lit(i) for i in ids]).cast("array<string>")
-    each = leads.filter(F.size(F.array_except("categories", known)) > 0).select(
-        "dedupe_key", seq.alias("seq"), F.posexplode("categories").alias("at", "id"))
+    # Rows are cut down behind the explode: a filter before it would be planned as a copy of
+    # whatever the lists are made of.
+    each = leads.select("dedupe_key", seq.alias("seq"), F.posexplode_outer("categories").alias("at", "id"))
     if ids:
         each = each.filter(~F.col("id").isin(*ids))
     first = each.filter("id is not null").groupBy("dedupe_key", "id").agg(

@@ -21,29 +21,32 @@ from firmfold.functions.text import js_trim
 _ROW_KEY = "_row_key"
 
 
-def _keys(email: Column, domain: Column) -> list[Column]:
-    return [F.nullif(k, F.lit("")) for k in suppression_keys(email, domain)]
+def _with_key(rows: DataFrame, email: Column, domain: Column) -> DataFrame:
+    """The rows with one text for their keys, null where they have none.
 
-
-def _row_key(email: Column, domain: Column) -> Column:
-    """One text for a record's keys; null where it has none."""
-    by_email, _, by_domain = _keys(email, domain)
-    some = by_email.isNotNull() | by_domain.isNotNull()
-    return F.when(some, F.concat(F.coalesce(by_email, F.lit("")), F.lit("\x01"), F.coalesce(by_domain, F.lit(""))))
+    It passes through an explode of one value: filters on it then stay filters on a column,
+    rather than copies of the expressions that address and site are made of.
+    """
+    by_email, _, by_domain = suppression_keys(email, domain)
+    key = F.concat(F.coalesce(by_email, F.lit("")), F.lit("\x01"), F.coalesce(by_domain, F.lit("")))
+    return rows.select("*", F.explode(F.array(F.nullif(key, F.lit("\x01")))).alias(_ROW_KEY))
 
 
 def _hit_keys(rows: DataFrame, suppression: DataFrame, email: Column, domain: Column) -> DataFrame:
     """The row keys of which any part is listed, whatever the kind of the entry."""
-    held = rows.select(_row_key(email, domain).alias(_ROW_KEY), F.explode(F.array_compact(F.array(*_keys(email, domain)))).alias("value"))
-    listed = suppression.select("value")
-    return held.filter(F.col(_ROW_KEY).isNotNull()).distinct().join(listed, "value", "left_semi").select(_ROW_KEY).distinct()
+    keys = _with_key(rows.select(email.alias("email"), domain.alias("domain")), F.col("email"), F.col("domain"))
+    keys = keys.select(_ROW_KEY).filter(F.col(_ROW_KEY).isNotNull()).distinct()
+    by_email, by_domain = (F.split(_ROW_KEY, "\x01")[k] for k in (0, 1))
+    parts = F.array(by_email, F.get(F.split(by_email, "@"), F.lit(1)), by_domain)
+    held = keys.select(_ROW_KEY, F.explode(parts).alias("value")).filter("value <> ''")
+    return held.join(suppression.select("value"), "value", "left_semi").select(_ROW_KEY).distinct()
 
 
 def _keyed(rows: DataFrame, suppression: DataFrame, email: Column, domain: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records with their row key, records without, and the keys that were hit."""
-    key = _row_key(email, domain)
-    return (rows.filter(key.isNotNull()).withColumn(_ROW_KEY, key), rows.filter(key.isNull()),
-            _hit_keys(rows, suppression, email, domain))
+    key = F.col(_ROW_KEY)
+    marked = _with_key(rows, email, domain)
+    return marked.filter(key.isNotNull()), marked.filter(key.isNull()).drop(_ROW_KEY), _hit_keys(rows, suppression, email, domain)
 
 
 def anti_suppressed(rows: DataFrame, suppression: DataFrame) -> DataFrame:

@@ -172,7 +172,7 @@ txt AS (SELECT k, strip_accents(lower(coalesce(text, ''))) AS hay FROM ({_RULE_T
 kws AS (SELECT DISTINCT kw, whole_word, category FROM rule),
 hit AS (SELECT DISTINCT k, category FROM txt JOIN kws ON CASE WHEN whole_word THEN contains(' ' || hay || ' ', ' ' || kw || ' ')
   ELSE contains(hay, kw) END)
-SELECT t.k, coalesce(string_agg(h.category, ',' ORDER BY p.place), '') AS categories FROM txt t LEFT JOIN hit h ON h.k = t.k
+SELECT t.k, coalesce(string_agg(h.category, ',' ORDER BY p.place, h.category), '') AS categories FROM txt t LEFT JOIN hit h ON h.k = t.k
   LEFT JOIN place p ON p.category = h.category GROUP BY t.k""")
 def rules_from_tables(spark, sf):
     texts = _tables_sql(spark, _RULE_TEXTS_SQL, sf, "customer")
@@ -191,7 +191,7 @@ _PLACES_SQL = """SELECT c_custkey AS k, CASE WHEN c_custkey % 40 <> 3 THEN conca
 place AS (SELECT region_id, min(ord) AS place FROM rule GROUP BY region_id),
 kws AS (SELECT DISTINCT kw, region_id FROM rule),
 txt AS (SELECT k, strip_accents(lower(coalesce(address, ''))) AS hay FROM ({_PLACES_SQL.format(customer="customer")})),
-hit AS (SELECT k, arg_min(r.region_id, (CASE WHEN r.region_id = 'r5' THEN 0 ELSE 1 END, place)) AS region_id
+hit AS (SELECT k, arg_min(r.region_id, (CASE WHEN r.region_id = 'r5' THEN 0 ELSE 1 END, place, r.region_id)) AS region_id
   FROM txt JOIN kws r ON contains(hay, r.kw) JOIN place p ON p.region_id = r.region_id GROUP BY k)
 SELECT t.k, CASE WHEN starts_with(regexp_extract(hay, '(?:^|[^a-zA-Z0-9_])([0-9]{{4}})(?:$|[^a-zA-Z0-9_])', 1), '1') THEN 'r5'
   ELSE h.region_id END AS region_id FROM txt t LEFT JOIN hit h ON h.k = t.k""")
@@ -214,7 +214,7 @@ code AS (SELECT k, 0 AS pos, one AS number FROM ({_CODES_SQL.format(orders="orde
   UNION ALL SELECT k, 1, substr(regexp_replace(two, '[^0-9]', '', 'g'), 1, 8) FROM ({_CODES_SQL.format(orders="orders")}) WHERE two IS NOT NULL),
 starts AS (SELECT k, pos, substr(number, 1, n) AS prefix FROM code, LATERAL (SELECT unnest(range(0, 9)) AS n)),
 hit AS (SELECT k, category, min((pos, ord)) AS place FROM starts JOIN rule USING (prefix) GROUP BY 1, 2)
-SELECT o_orderkey AS k, coalesce(string_agg(category, ',' ORDER BY place), '') AS categories
+SELECT o_orderkey AS k, coalesce(string_agg(category, ',' ORDER BY place, category), '') AS categories
 FROM orders LEFT JOIN hit ON k = o_orderkey GROUP BY 1""")
 def prefixes_from_tables(spark, sf):
     prefixes = _tables_sql(spark, _PREFIXES_SQL, sf, "lineitem")
