@@ -11,21 +11,28 @@ wastes at most its last, partly filled sequence. In each shard:
    most) enter a linear program for the fewest sequences; its whole part is taken and
    the rest filled with the fullest configurations that the remaining pieces allow,
 3. the actual, shorter pieces take the places of their groups,
-4. small pieces go, longest first, where they leave the least room.
+4. all pieces that have no place yet go, longest first, where they leave the least room
+   of the actual rooms,
+5. where rounding up cost more than it won, the shard is packed by step 4 alone.
 
 Defined results: a null or empty text is one piece that holds the end token alone;
 rows with repeated or null ids are packed as separate documents; an empty table
 gives no piece. Only the named columns are read. Token ids equal those of the
-vocabulary's own tokenizer: words of Latin script are looked up in a cache that the
-tokenizer's merges fill, every other text goes through the tokenizer whole.
+vocabulary's own tokenizer: in texts of Latin script, what stands between blanks is
+looked up in a cache that the tokenizer's merges fill, every other text goes through the
+tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import sys
 import unicodedata
 import zlib
+from array import array
 from itertools import combinations_with_replacement
+from types import ModuleType
 from typing import Iterator
 
 import numpy as np
@@ -40,61 +47,79 @@ END_ID = 1
 CAPACITY = 4096
 SHARD_PIECES = 8192
 GROUPS = 20
-_CACHE_WORDS = 400_000
+_CACHE_WORDS, _CACHE_RUNS = 500_000, 250_000
+_CACHE_CHARS = 64
 _LATIN_END = "ɐ"
 
 _PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
+class _Memory(dict):
+    """Ids by text, worked out when first asked for; emptied when full, long texts are not kept."""
+
+    def __init__(self, find, room: int) -> None:
+        self._find, self._room = find, room
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self._find(text)
+        if len(text) <= _CACHE_CHARS:
+            if len(self) >= self._room:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+def _small_letters(kind: str) -> str:
+    """Lower-case forms of the Latin characters of a Unicode kind, for use in a character class."""
+    forms = {c for k in range(ord(_LATIN_END)) for c in chr(k).lower()}
+    return "".join(sorted(re.escape(c) for c in forms if unicodedata.category(c).startswith(kind)))
+
+
 class Encoder:
     """Token ids of a text as little-endian 32-bit numbers."""
 
     def __init__(self, vocabulary: str) -> None:
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
         self._whole = Tokenizer.from_file(path)
-        # Fixed value: the vocabulary's own split of lower-cased text.
-        self._split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self._cache: dict[str, bytes] = {}
+        # Fixed value: the vocabulary's own split of lower-cased text, here for Latin script.
+        letters, numbers = _small_letters("L"), _small_letters("N")
+        self._split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
+        # Beyond Latin script, at separators that are blanks to some libraries only, and where
+        # added tokens may stand, rules differ between libraries.
+        self._foreign = re.compile(rf"[{_LATIN_END}-\U0010FFFF\x1C-\x1F]|<\|").search
         # Visible bytes stand for themselves, the others for code points from 256 on.
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in visible]
         self._bytes = {b: 256 + k for k, b in enumerate(hidden)}
+        self._words = _Memory(self._merged, _CACHE_WORDS)
+        # No word reaches across a blank.
+        self._runs = _Memory(lambda run: b"".join(map(self._words.__getitem__, self._split(run))), _CACHE_RUNS)
 
     def _merged(self, word: str) -> bytes:
         raw = word.encode().decode("latin-1").translate(self._bytes)
-        ids = [token.id for token in self._whole.model.tokenize(raw)]
-        return np.array(ids, dtype="<u4").tobytes()
+        ids = array("I", [token.id for token in self._whole.model.tokenize(raw)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
-        # Beyond Latin script, and where added tokens may stand, rules differ between libraries.
-        if not text:
-            return b""
-        if max(text) >= _LATIN_END or "<|" in text:
+        if self._foreign(text):
             ids = self._whole.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
-        cache = self._cache
-        found = self._split(unicodedata.normalize("NFC", text).lower())
-        for word in set(found):
-            if word not in cache:
-                if len(cache) >= _CACHE_WORDS:
-                    cache.clear()
-                    return self.encode(text) if len(set(found)) < _CACHE_WORDS else b"".join(map(self._merged, found))
-                cache[word] = self._merged(word)
-        return b"".join([cache[word] for word in found])
-
-
-_encoders: dict[str, Encoder] = {}
+        return b"".join(map(self._runs.__getitem__, text.lower().split()))
 
 
 def _encoder(vocabulary: str) -> Encoder:
-    if vocabulary not in _encoders:
+    """The worker process's encoder. Functions reach workers by value, so what is to outlive a task hangs on
+    a module of the process's own; it only saves work, results do not depend on it."""
+    memory = sys.modules.setdefault("_firmfold_worker_memory", ModuleType("_firmfold_worker_memory")).__dict__
+    if vocabulary not in memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+        memory[vocabulary] = Encoder(vocabulary)
+    return memory[vocabulary]
 
 
 def tokenised(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, with_ids: bool = False,
@@ -118,7 +143,7 @@ def tokenised(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
 
 
 def _fewest(sizes: np.ndarray, need: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (as group numbers) with how often each is used; together they meet the need."""
+    """Configurations (as group numbers) with how often each is used; together they meet nearly all of the need."""
     k = len(sizes)
     configs = [c for n in (1, 2, 3) for c in combinations_with_replacement(range(k), n)
                if sum(int(sizes[g]) for g in c) <= capacity]
@@ -147,6 +172,8 @@ def _fewest(sizes: np.ndarray, need: np.ndarray, capacity: int) -> list[tuple[tu
             left -= int(amount) * matrix[:, j].astype(int)
     filled = sizes @ matrix
     for j in np.argsort(-filled, kind="stable"):
+        if filled[j] * 8 < capacity * 7:  # what is left finds its place by its actual length
+            break
         mine = matrix[:, j] > 0
         times = int(min(left[mine] // matrix[mine, j].astype(int)))
         if times > 0:
@@ -155,22 +182,52 @@ def _fewest(sizes: np.ndarray, need: np.ndarray, capacity: int) -> list[tuple[tu
     return [(configs[j], times) for j, times in used.items()]
 
 
-def pack_shard(length: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number (from 0) and offset of every piece of one shard."""
-    sequence, offset = np.full(len(length), -1), np.zeros(len(length), dtype=np.int64)
-    room: list[int] = []
+class _Rooms:
+    """Open sequences of one shard; a bit per room that occurs finds the tightest fit."""
+
+    def __init__(self, length: np.ndarray, capacity: int) -> None:
+        self._length, self._capacity = length.tolist(), capacity
+        self.sequence, self.offset = [-1] * len(length), [0] * len(length)
+        self.room: list[int] = []
+
+    def open(self) -> int:
+        self.room.append(self._capacity)
+        return len(self.room) - 1
+
+    def put(self, item: int, at: int) -> None:
+        self.sequence[item], self.offset[item] = at, self._capacity - self.room[at]
+        self.room[at] -= self._length[item]
+
+    def best_fit(self, items) -> None:
+        """Each of the items where it leaves the least room."""
+        by_room: list[list[int]] = [[] for _ in range(self._capacity + 1)]
+        mask = 0
+        for at, r in enumerate(self.room):
+            by_room[r].append(at)
+            mask |= 1 << r
+        for item in items:
+            need = self._length[item]
+            fits = mask >> need
+            if fits:
+                r = need + (fits & -fits).bit_length() - 1
+                at = by_room[r].pop()
+                if not by_room[r]:
+                    mask ^= 1 << r
+            else:
+                at = self.open()
+            self.put(item, at)
+            r = self.room[at]
+            by_room[r].append(at)
+            mask |= 1 << r
 
-    def put(item: int, at: int) -> None:
-        sequence[item], offset[item] = at, capacity - room[at]
-        room[at] -= int(length[item])
 
+def pack_shard(length: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence number (from 0) and offset of every piece of one shard."""
+    rooms = _Rooms(length, capacity)
     order = np.argsort(-length, kind="stable")
-    whole = order[length[order] == capacity]
     large = order[(length[order] < capacity) & (length[order] * 4 > capacity)]
-    small = order[length[order] * 4 <= capacity]
-    for item in whole:
-        room.append(capacity)
-        put(item, len(room) - 1)
+    for item in order[length[order] == capacity]:
+        rooms.put(item, rooms.open())
     if len(large):
         bounds = np.unique(np.linspace(0, len(large), min(groups, len(large)) + 1).astype(int))
         members = [list(large[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
@@ -178,29 +235,16 @@ def pack_shard(length: np.ndarray, capacity: int = CAPACITY, groups: int = GROUP
         need = np.array([len(m) for m in members])
         for config, times in _fewest(sizes, need, capacity):
             for _ in range(times):
-                room.append(capacity)
+                at = rooms.open()
                 for g in config:
-                    put(members[g].pop(), len(room) - 1)
-    # Open sequences by room left; a bit per room that occurs finds the tightest fit.
-    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    mask = 0
-    for at, r in enumerate(room):
-        by_room[r].append(at)
-        mask |= 1 << r
-    for item in small:
-        fits = mask >> int(length[item])
-        if fits:
-            r = int(length[item]) + (fits & -fits).bit_length() - 1
-            at = by_room[r].pop()
-            if not by_room[r]:
-                mask ^= 1 << r
-        else:
-            room.append(capacity)
-            at = len(room) - 1
-        put(item, at)
-        by_room[room[at]].append(at)
-        mask |= 1 << room[at]
-    return sequence, offset
+                    rooms.put(members[g].pop(), at)
+    rooms.best_fit([item for item in order.tolist() if rooms.sequence[item] < 0])
+    if len(large) and len(rooms.room) > -(-int(length.sum()) // capacity):
+        plain = _Rooms(length, capacity)
+        plain.best_fit(order.tolist())
+        if len(plain.room) < len(rooms.room):
+            rooms = plain
+    return np.array(rooms.sequence, dtype=np.int64), np.array(rooms.offset, dtype=np.int64)
 
 
 def packed(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:

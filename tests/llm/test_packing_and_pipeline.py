@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -41,6 +42,8 @@ def check_pieces(rows, docs, capacity):
 
 def test_encoder_equals_the_tokenizer(sf, llm):
     texts = [r.text for r in llm.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts += ["".join(map(chr, range(0x250))), " ".join(map(chr, range(0x250))), "x".join(map(chr, range(0x20, 0x250))),
+              "ª²½ x²y ½½ 1²3 don't're 's've'll'd'm _'_ ȺȾƁƆƎ ȺȾ", "w" * 5000, "\x1c a\x1fb \x0b\x0c\xa0 c\xadd", "<|startoftext|>a< |b<|"]
     texts += ["I'll don't 'S'T", "İ ΣΑΣ <|endoftext|> x½²٣ _a_b q", "é É ß ŉ \x00\x85", "ǅ 日本 語 ªº¼", "a̕ é"]
     encoder = packing.Encoder(packing.VOCABULARY)
     assert [[*np.frombuffer(encoder.encode(t), "<u4"), 1] for t in texts] == whole_ids(texts)
@@ -71,6 +74,21 @@ def test_shards_pack_tightly(seed):
     assert len(packing.pack_shard(np.array([], dtype=int), 100)[0]) == 0
 
 
+def lengths_between(low, high, n=8192, seed=1):
+    return np.random.default_rng(seed).integers(low, high + 1, n)
+
+
+@pytest.mark.parametrize("lengths", [
+    lengths_between(1, 4096), lengths_between(1400, 2700), lengths_between(1025, 2400),
+    np.clip(np.random.default_rng(2).normal(1500, 300, 8192), 1, 4096).astype(int)], ids=["flat", "halves", "thirds", "bell"])
+def test_never_worse_than_best_fit_decreasing(lengths):
+    sequence, _ = packing.pack_shard(lengths)
+    assert np.bincount(sequence, weights=lengths).max() <= 4096
+    plain = packing._Rooms(lengths, 4096)
+    plain.best_fit(np.argsort(-lengths, kind="stable").tolist())
+    assert len(set(sequence.tolist())) <= len(plain.room)
+
+
 def test_sequences_hold_the_ids(llm, sf):
     docs = llm.read.parquet(f"{sf}/documents.parquet").limit(40)
     docs = docs.filter(docs.doc_id < 60)
@@ -105,7 +123,8 @@ def test_pipeline_by_stages(llm, sf):
 
     told = stage["language_id"](llm, good, sf).cache()
     model = language.train(good)
-    known = {i: t for i, t in kept.items() if (p := language._predicted(t, model))[0] != "und" and p[1] >= 0.3}
+    names, shares = language._predicted(pd.Series(kept.values()), model)
+    known = {i: t for (i, t), name, share in zip(kept.items(), names, shares) if name != "und" and share >= 0.3}
     assert {r.doc_id: r.text for r in told.collect()} == known
 
     single = stage["jaccard_join"](llm, told, sf).cache()
