@@ -4,9 +4,10 @@ The kernel of two texts is the number of byte n-grams of 1 to 4 bytes that both
 (presence, blended over the lengths), divided by the root of the product of their own
 numbers. A bounded sample of labelled texts gives the landmarks and the training rows.
 With landmark kernels K_m and training kernels K_n, one ridge regression per language
-against the rest is solved in the Nyström feature space. Scoring a batch is a product
-of the presence matrix with the landmarks' presence and the weights; as the product is
-associative, landmarks times weights is formed once, and a text costs one row sum.
+against the rest is solved in the Nyström feature space. Scoring a batch of texts is one
+sparse matrix product: the batch's presence matrix, as bins and row starts, times the
+landmarks' presence times the weights. As the product is associative, landmarks times
+weights is formed once for all batches.
 
 N-grams are kept in a table of ``BINS`` bins per length (exact for 1 and 2 bytes,
 hashed beyond). Whole texts are read; training texts are those of at most
@@ -15,7 +16,8 @@ other), at most ``TRAIN_ROWS`` per language, in order of a hash of their id. All
 languages are learnt; beyond ``LANGUAGES`` ones the bound per language shrinks.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; null
-labels are not learnt from; a null id is neither held out nor learnt from; without any
+labels are not learnt from; a null id is neither held out nor learnt from; of several texts
+of one id and label the smallest is learnt from; without any
 labelled row every text is ``und``; repeated rows are scored alike; the smaller
 language code wins a tie; an empty table gives an empty result.
 """
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from firmfold.llm.common import id_remainder, pick
+from firmfold.llm.common import id_remainder, pick, written
 
 LENGTHS = (1, 2, 3, 4)
 BINS = 1 << 16
@@ -41,6 +43,8 @@ LANGUAGES = 64
 RIDGE = 1e-3
 SHARPNESS = 8.0
 UNKNOWN = "und"
+SALTS = 64
+BATCH = 64
 FOLDS = 5
 
 
@@ -85,33 +89,38 @@ class Model:
         for bins, weight in zip(marks, per_mark):
             self.weights[bins] += weight
 
-    def scores(self, text: str) -> np.ndarray:
-        """Of each language a share; together 1."""
-        bins = present(text)
-        value = self.weights[bins].sum(axis=0, dtype=np.float64) / np.sqrt(len(bins) or 1)
-        power = np.exp(SHARPNESS * (value - value.max()))
-        return power / power.sum()
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Of each text a share per language; together 1. Every text has an n-gram."""
+        rows = [present(t) for t in texts]
+        sizes = np.array([len(bins) for bins in rows])
+        starts = np.cumsum(sizes) - sizes
+        value = np.add.reduceat(self.weights[np.concatenate(rows)], starts, axis=0, dtype=np.float64) / np.sqrt(sizes)[:, None]
+        power = np.exp(SHARPNESS * (value - value.max(axis=1, keepdims=True)))
+        return power / power.sum(axis=1, keepdims=True)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model | None:
     """A model from the labelled rows of the learning folds; None without any."""
     able = pick(docs, id=id_col, text=text_col, lang=lang_col).filter(
-        (id_remainder(F.col("id"), FOLDS) != 0) & F.col("lang").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}"))
-        ).withColumn("long", F.length("text") > chars)
+        (id_remainder(F.col("id"), FOLDS) != 0) & F.col("lang").isNotNull())
+    # Texts are looked through once; what is chosen from has none.
+    slim = written(able.filter(F.regexp_like("text", F.lit(r"\p{L}"))).select(
+        "lang", "id", (F.length("text") > chars).alias("long"), F.xxhash64("id").alias("at")), "labelled")
     # Every language is learnt: of many ones fewer texts each, and long texts where it has no short ones.
-    langs = able.groupBy("lang").agg(F.min("long").alias("long"))
+    langs = slim.groupBy("lang").agg(F.min("long").alias("long"))
     rows = max(1, min(rows, rows * LANGUAGES // max(1, langs.count())))
-    known = able.join(langs, ["lang", "long"])
-    # The bound per language applies before rows are moved; only then are texts fetched.
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("at", "id"))
-    slim = known.select("lang", "id", F.xxhash64("id").alias("at"))
-    chosen = slim.withColumn("nth", nth).filter(F.col("nth") <= rows).select("id").collect()
+    known = slim.join(langs, ["lang", "long"]).withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(SALTS)))
+    for group in (["lang", "salt"], ["lang"]):  # the first of each salt, then of these
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy("at", "id"))
+        known = known.withColumn("nth", nth).filter(F.col("nth") <= rows)
+    chosen = known.select("id").distinct().collect()
     if not chosen:
         return None
     # At most LANGUAGES * TRAIN_ROWS ids, or one for each language.
-    ids = docs.sparkSession.createDataFrame([(r["id"],) for r in chosen], "id bigint").distinct()
-    sample = known.join(F.broadcast(ids), "id").select("id", "lang", F.substring("text", 1, chars).alias("text")).dropDuplicates(["id", "lang"])
+    ids = docs.sparkSession.createDataFrame([(r["id"],) for r in chosen], "id bigint")
+    texts = able.filter(F.regexp_like("text", F.lit(r"\p{L}"))).join(F.broadcast(ids), "id")
+    sample = texts.groupBy("id", "lang").agg(F.min(F.substring("text", 1, chars)).alias("text"))
     sample = sample.orderBy(F.xxhash64("id"), "id", "lang").collect()
     return Model([r["text"] for r in sample], [r["lang"] for r in sample])
 
@@ -123,22 +132,24 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        learnt = shared.value
         for batch in batches:
-            found = [_predicted(t, learnt) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "held_out": batch["held_out"],
-                                "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
+            names, shares = _predicted(batch["text"], shared.value)
+            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "held_out": batch["held_out"], "lang_pred": names, "score": shares})
 
     out = rows.mapInPandas(score, "id bigint, held_out boolean, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
 
 
-def _predicted(text: str | None, model: Model | None) -> tuple[str, float]:
-    if model is None or not text or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    shares = model.scores(text)
-    best = int(np.argmax(shares))
-    return model.languages[best], float(shares[best])
+def _predicted(texts: pd.Series, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
+    """Language and share of each text of a batch."""
+    names, shares = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+    able = [k for k, t in enumerate(texts) if model is not None and t and any(map(str.isalpha, t))]
+    for start in range(0, len(able), BATCH):
+        some = able[start:start + BATCH]
+        found = model.scores([texts.iloc[k] for k in some])
+        best = found.argmax(axis=1)
+        names[some], shares[some] = np.array(model.languages, dtype=object)[best], found[np.arange(len(some)), best]
+    return names, shares
 
 
 def keep_known(docs: DataFrame, model: Model | None, least: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -147,7 +158,7 @@ def keep_known(docs: DataFrame, model: Model | None, least: float = 0.3, text_co
 
     def told(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            found = [_predicted(t, shared.value) for t in texts]
-            yield pd.Series([name != UNKNOWN and score >= least for name, score in found], dtype=bool)
+            names, shares = _predicted(texts, shared.value)
+            yield pd.Series((names != UNKNOWN) & (shares >= least), dtype=bool)
 
     return docs.filter(F.pandas_udf(told, "boolean")(F.col(f"`{text_col}`")))

@@ -3,6 +3,8 @@
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
 from firmfold.llm import language, license_scan, toxicity
 
 
@@ -110,3 +112,26 @@ def test_every_language_is_learnt(llm):
     model = language.train(llm.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert set(model.languages) == {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
     assert len(model.languages) > language.LANGUAGES and "long" in model.languages
+
+
+def test_language_batches_equal_kernels(llm):
+    """Scores of a batch are those of the definition: shared n-grams, landmark by landmark."""
+    import numpy as np
+
+    texts = ["der hund und die katze", "le chien et le chat", "the dog and the cat", "der und die und das", "ce n'est pas le chat"]
+    model = language.Model(texts, ["de", "fr", "en", "de", "fr"], landmarks=5)
+    asked = ["die katze", "x", "le chat and the dog " * 50]
+    got = model.scores(asked)
+    for text, shares in zip(asked, got):
+        bins = language.present(text)
+        value = sum(model.weights[b].astype(float) for b in bins) / np.sqrt(len(bins))
+        power = np.exp(language.SHARPNESS * (value - value.max()))
+        assert np.allclose(shares, power / power.sum(), atol=1e-9)
+
+
+def test_language_choice_moves_no_text(llm):
+    """Before the sample is chosen nothing but slim rows is dealt out."""
+    rows = [(k, f"wort{k} " * 200, "de" if k % 3 else "fr") for k in range(300)] + [(7, "anders", "de")]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    one, two = (language.train(docs.orderBy(F.rand(s))) for s in (1, 2))
+    assert (one.weights == two.weights).all()
