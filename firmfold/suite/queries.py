@@ -1128,8 +1128,8 @@ _CHOSEN = f"""SELECT * EXCLUDE (nth) FROM (SELECT z.*, row_number() OVER (PARTIT
   (SELECT count(CASE WHEN suppressed THEN 1 END) FROM flagged) AS skipped,
   (SELECT string_agg(source || '/' || crawl_region || '/' || (last_page + 1), ',') FROM ({_REACHED}) r WHERE {_FAILED}) AS failed,
   count(CASE WHEN valid THEN 1 END) AS verified, count(CASE WHEN taxed THEN 1 END) AS nav_checked,
-  count(CASE WHEN met AND (email IS NULL OR phone IS NULL) THEN 1 END) AS contacts_enriched,
-  count(CASE WHEN (phone2 IS NULL AND p.phone IS NOT NULL) OR (website IS NULL AND p.website IS NOT NULL)
+  count(CASE WHEN met AND (d.email IS NULL OR d.phone IS NULL) THEN 1 END) AS contacts_enriched,
+  count(CASE WHEN (phone2 IS NULL AND p.phone IS NOT NULL) OR (d.website IS NULL AND p.website IS NOT NULL)
     OR (address2 IS NULL AND p.address IS NOT NULL) THEN 1 END) AS places_enriched,
   count(CASE WHEN is_personal_data THEN 1 END) AS purged, count(CASE WHEN NOT is_personal_data THEN 1 END) AS left_over
   FROM placed d LEFT JOIN (SELECT name, phone, website, address FROM places) p ON p.name = d.place""",
