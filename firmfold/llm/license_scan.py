@@ -21,6 +21,7 @@ from bisect import bisect, insort
 from heapq import heapify, heappop, heappush
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,9 +123,9 @@ class Scanner:
                 edits = self._patterns[notice][0]
                 start = last + 1 - end
                 low, high = max(0, start - edits), min(len(flat), start + len(notice) + edits)
-                while low < high and low and not flat[low - 1].isspace():
+                while low < high and low and flat[low - 1] != " ":
                     low += 1
-                while low < high < len(flat) and not flat[high].isspace():
+                while low < high < len(flat) and flat[high] != " ":
                     high -= 1
                 windows.setdefault(notice, set()).add((low, high))
         return windows
@@ -137,11 +138,11 @@ class Scanner:
         any_start = _edits(masks, n, flat[low:high], 0)
         if min(any_start) > edits:
             return None
-        ends = [e for e in range(low + 1, high + 1) if any_start[e - low - 1] <= edits and (e == high or flat[e].isspace())]
+        ends = [e for e in range(low + 1, high + 1) if any_start[e - low - 1] <= edits and (e == high or flat[e] == " ")]
         least = min((any_start[e - low - 1] for e in ends), default=0)
         best = None
         for start in range(low, high - n + edits + 1):
-            if start > low and not flat[start - 1].isspace():
+            if start > low and flat[start - 1] != " ":
                 continue
             row = _edits(masks, n, flat[start:min(high, start + n + edits)], 1)
             mine = min(((row[e - start - 1], start, e) for e in ends if 0 < e - start <= len(row)), default=None)
@@ -172,10 +173,12 @@ class Scanner:
         flat = b" ".join(found).decode("utf-8", "surrogatepass")
         padded = f" {flat} "
         places, base_labels = [], set()
+        blanks = np.flatnonzero(np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 32)
+        before = lambda at: int(np.searchsorted(blanks, at))  # noqa: E731  blanks of the padded text in front of a place
         for phrase, label in self._base.items():
             at = padded.find(f" {phrase} ")
             while at >= 0:
-                places.append(padded.count(" ", 0, at))
+                places.append(before(at))
                 base_labels.add(label)
                 at = padded.find(f" {phrase} ", at + 1)
         spans, best = [], 1.0 if places else 0.0
@@ -187,7 +190,7 @@ class Scanner:
                 continue
             for c in cells:
                 taken.setdefault(c, []).append((start, end, edits))
-            spans.append((self._notices[notice], notice, flat.count(" ", 0, start), flat.count(" ", start, end) + 1, edits))
+            spans.append((self._notices[notice], notice, before(start + 1) - 1, before(end + 1) - before(start + 1) + 1, edits))
             best = max(best, 1 - edits / len(notice))
         labels = base_labels | {s[0] for s in spans}
         return (len(found), len(places), min(places, default=None), max(places, default=None),

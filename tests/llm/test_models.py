@@ -135,3 +135,15 @@ def test_language_choice_moves_no_text(llm):
     docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
     one, two = (language.train(docs.orderBy(F.rand(s))) for s in (1, 2))
     assert (one.weights == two.weights).all()
+
+
+def test_license_words_end_at_blanks_only():
+    """A no-break space is part of a word; many notices in one text are counted in one pass."""
+    scan = license_scan.Scanner().scan
+    assert scan("x\u00a0al rights reserved y")[7] == []
+    assert [s[2:] for s in scan("x\u00a0y al rights reserved z")[7]] == [(1, 3, 1)]
+    n = 4000
+    out = scan("cc by and all rights reserved so " * n)
+    assert out[1:4] == (2 * n, 0, 7 * (n - 1) + 3)
+    exact = [s[2] for s in out[7] if s[1] == "all rights reserved"]
+    assert exact == [7 * k + 3 for k in range(n)]
