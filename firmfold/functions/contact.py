@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmfold.functions.punycode import ascii_host
+from firmfold.functions.punycode import DOTS, NON_ASCII, ascii_host
 from firmfold.functions.text import BLANK_CLASS, empty_to_null, js_trim, let, strip_tags
 
 # One @, no blanks, a dot after it. Nearly all addresses are printable ASCII,
@@ -48,8 +48,17 @@ def norm_phone_hu(c: Column) -> Column:
 
 def url_domain(c: Column) -> Column:
     """Host of a web address without ``www.``; null where there is no dot."""
-    s = F.translate(F.lower(js_trim(c)), "\t\n\r", "")
-    return ascii_host(empty_to_null(F.regexp_extract(s, HOST_IN_URL, 1)))
+    s = F.translate(F.lower(js_trim(c)), f"{DOTS}\t\n\r", "." * len(DOTS))
+
+    def checked(host: Column) -> Column:
+        # Mapping may bring forth what the pattern has seen to: a leading "www.", and what no host may hold.
+        def plain(ascii_: Column) -> Column:
+            rest = F.regexp_replace(ascii_, r"^www\.", "")
+            return F.when(~ascii_.rlike(f"[{_NOT_IN_HOST}]") & rest.contains("."), rest)
+
+        return F.when(host.rlike(NON_ASCII), let(ascii_host(host), plain)).otherwise(host)
+
+    return let(empty_to_null(F.regexp_extract(s, HOST_IN_URL, 1)), checked)
 
 
 def emails_in(text: Column) -> Column:

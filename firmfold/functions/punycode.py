@@ -1,12 +1,23 @@
 """Host names in ASCII form (RFC 3492), as one Column expression.
 
 Browsers and servers agree on the ASCII form of a host, so two spellings of one
-site must meet on it. Hosts that are ASCII already, nearly all of them, never
-reach the encoder: the guarding CASE is evaluated row by row.
+site must meet on it. Labels are mapped before they are encoded: characters that
+stand for another one (full width, half width, mathematical letters) become that
+one, letters followed by combining marks become the composed letter, and invisible
+ones go. Hosts that are ASCII already, nearly all of them, never reach mapping or
+encoder: the guarding CASE is evaluated row by row.
+
+The JVM's own mapping (``java.net.IDN`` through ``try_reflect``) is not used: Catalyst
+takes reflected calls for nondeterministic, so no filter would pass a projection that
+holds a host any more; and it turns sharp s into ss, which is another site.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +29,53 @@ DIGITS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 NON_ASCII = r"[^\x00-\x7F]"
 
+# Dots of other scripts that part labels, and characters that a host is read without.
+DOTS = "\u3002\uff0e\uff61"
+IGNORED = "".join(map(chr, [0xAD, 0x34F, *range(0x180B, 0x1810), 0x200B, 0x2060, 0x2064, *range(0xFE00, 0xFE10), 0xFEFF]))
+
+
+@lru_cache(maxsize=None)
+def _single_forms() -> tuple[str, str]:
+    """Characters that stand for one other character in small letters, and those."""
+    pairs = [(c, form) for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.decomposition(c)
+             and len(form := unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", c).lower())) == 1 and form != c]
+    return "".join(c for c, _ in pairs), "".join(form for _, form in pairs)
+
+
+@lru_cache(maxsize=None)
+def _compositions() -> dict[str, tuple[str, str]]:
+    """By combining mark: the letters that it joins, and the composed ones."""
+    marks: dict[str, list[tuple[str, str]]] = {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        parts = unicodedata.decomposition(c)
+        if parts and not parts.startswith("<") and " " in parts and unicodedata.normalize("NFC", c) == c and c.lower() == c:
+            letter, mark = (chr(int(x, 16)) for x in parts.split())
+            marks.setdefault(mark, []).append((letter, c))
+    return {mark: ("".join(a for a, _ in pairs), "".join(b for _, b in pairs)) for mark, pairs in sorted(marks.items())}
+
+
+def _composed(text: Column) -> Column:
+    """Letters and the marks behind them as one character, mark by mark."""
+    table = _compositions()
+    letters = F.create_map(*[F.lit(x) for mark, (a, _) in table.items() for x in (mark, a)])
+    whole = F.create_map(*[F.lit(x) for mark, (_, b) in table.items() for x in (mark, b)])
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("last"))
+
+    def step(acc: Column, c: Column) -> Column:
+        joined = F.when(acc["last"] != "", F.call_function("translate", acc["last"], F.coalesce(letters[c], F.lit("")),
+                                                           F.coalesce(whole[c], F.lit(""))))
+        return let(joined, lambda j: F.when(j != acc["last"], F.struct(acc["out"].alias("out"), j.alias("last"))).otherwise(
+            F.struct(F.concat(acc["out"], acc["last"]).alias("out"), c.alias("last"))))
+
+    chars = F.filter(F.split(text, ""), lambda x: x != "")
+    return F.aggregate(chars, start, step, lambda acc: F.concat(acc["out"], acc["last"]))
+
+
+def mapped_host(host: Column) -> Column:
+    """Host outside ASCII in the one spelling that is encoded."""
+    have, form = _single_forms()
+    return let(F.translate(host, have + IGNORED, form), lambda h: F.when(h.rlike(r"\p{M}"), _composed(h)).otherwise(h))
+
 
 def _idiv(a: Column, b) -> Column:
     return F.floor(a / b).cast("bigint")
@@ -99,10 +157,10 @@ def _encode_label(label: Column) -> Column:
 
 
 def ascii_host(host: Column) -> Column:
-    """Host with every non-ASCII label in its ``xn--`` form."""
+    """Host, mapped if it is not ASCII, with every non-ASCII label in its ``xn--`` form."""
     def encoded(h: Column) -> Column:
         return F.array_join(F.transform(
             F.split(h, r"\."),
             lambda label: F.when(label.rlike(NON_ASCII), _encode_label(label)).otherwise(label)), ".")
 
-    return let(host, lambda h: F.when(h.rlike(NON_ASCII), encoded(h)).otherwise(h))
+    return let(host, lambda h: F.when(h.rlike(NON_ASCII), let(mapped_host(h), encoded)).otherwise(h))

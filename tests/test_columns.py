@@ -59,6 +59,34 @@ def test_ascii_host_is_rfc_3492(apply, host):
     assert apply([host], K.url_domain) == [host.encode("idna").decode()]
 
 
+def test_spellings_of_one_host_meet(apply):
+    """Decomposed, full-width, half-width and oddly dotted spellings; sharp s and over-long labels stay themselves."""
+    papa, long = "xn--ppa-ela.hu", "\u00e1" * 70
+    cases = {"p\u00e1pa.hu": papa, "pa\u0301pa.hu": papa, "PA\u0301PA.hu": papa, "\uff50\u00e1\uff50\uff41.hu": papa,
+             "p\u00e1pa\u3002hu": papa, "https://\uff57\uff57\uff57\uff0ep\u00e1pa\uff61hu/x": papa, "p\u00e1\u00adpa.hu": papa,
+             "\uff50\uff45\uff4c\uff44\uff41.hu": "pelda.hu", "\uff57\uff57\uff57.hu": None,
+             "p\uff05a.hu": None, "stra\u00dfe.de": "xn--strae-oqa.de",
+             "vie\u0323\u0302t.vn": "vi\u1ec7t.vn".encode("idna").decode(), "\u30cf\u3099.jp": "\u30d0.jp".encode("idna").decode(),
+             "\uff8a\uff9e.jp": "\u30d0.jp".encode("idna").decode(), f"{long}.hu": f"xn--{long.encode('punycode').decode()}.hu"}
+    got = dict(zip(cases, apply(list(cases), K.url_domain)))
+    assert got == cases
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mapping_equals_the_normal_form(apply, seed):
+    """Composed letters of small scripts, spelled apart, come together again."""
+    import random
+    import unicodedata
+
+    draw = random.Random(seed)
+    letters = [c for c in map(chr, range(0xE0, 0x1F00)) if c.islower() and unicodedata.normalize("NFKC", c) == c
+               and len(unicodedata.normalize("NFD", c)) > 1]
+    hosts = ["x" + "".join(draw.choice(letters) for _ in range(draw.randint(1, 6))) + ".hu" for _ in range(60)]
+    want = [f"xn--{h[:-3].encode('punycode').decode()}.hu" for h in hosts]
+    assert apply(hosts, K.url_domain) == want
+    assert apply([unicodedata.normalize("NFD", h) for h in hosts], K.url_domain) == want
+
+
 def test_contacts_in_first_seen_order(apply):
     html = "<p>B@x.hu, a@x.hu <b>b@X.hu</b></p><i>06 30/111-2233</i>; +36 1 234 5678 abc 06 30 111 2233 x 06 12"
     got, = apply([html], K.extract_contacts)
