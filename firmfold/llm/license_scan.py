@@ -1,11 +1,16 @@
-"""License scans: fuzzy search for short notices by pigeonhole seeds.
+"""License scans: fuzzy search for short notices by pigeonhole seeds and bounded-error matching.
 
 Texts are normalised to their words (A-Z as a-z) joined by blanks. A notice of n
 characters may differ by k = n // ``EDIT_EVERY`` edits, whatever its length. Cut into k + 1 pieces, at least
 one piece of any such match is unchanged, so one Aho-Corasick pass over all pieces of
-all notices locates every candidate; around each, bit-parallel edit distances (Myers)
-give the best match on word bounds, its span and its edits. Places of one notice do not
-overlap: the best goes first, then the best in what it leaves free, until none is left.
+all notices locates every candidate. Around each, the regex library matches the notice
+with bounded errors (``{e<=k}``) from every word start, up to a word end, and its
+match gives span and edits. The bound starts at a lower bound of the edits, counted
+in one bit-parallel pass (Myers) over the stretch, and rises until there is a match:
+stretches without any are left at once, and the first match is the best. Places of one
+notice do not overlap: the best goes first, then the best in what it leaves free, before
+and after it, until none is left. Of equally good places the first one counts, and its
+end is the one that the library finds.
 
 The base, exact phrases at word places, is counted separately, and its labels stay.
 
@@ -58,9 +63,8 @@ _SCHEMA = ("id bigint, n_words bigint, n_base bigint, first_word bigint, last_wo
            "n_words: int, edits: int>>")
 
 
-def _edits(masks: dict[str, int], n: int, text: str, fixed: int) -> list[int]:
-    """For each end in the text, the edits between a notice of n characters and the text
-    up to there (fixed is 1), or the best stretch that ends there (0)."""
+def _edits(masks: dict[str, int], n: int, text: str) -> list[int]:
+    """For each end in the text, the edits between a notice of n characters and the best stretch that ends there."""
     full, top = (1 << n) - 1, 1 << (n - 1)
     more, less, edits, out = full, 0, n, []
     for c in text:
@@ -68,7 +72,7 @@ def _edits(masks: dict[str, int], n: int, text: str, fixed: int) -> list[int]:
         across = (((same & more) + more) ^ more) | same
         up, down = less | ~(across | more) & full, more & across
         edits += 1 if up & top else -1 if down & top else 0
-        up, down, held = (up << 1 | fixed) & full, (down << 1) & full, same | less
+        up, down, held = (up << 1) & full, (down << 1) & full, same | less
         more, less = down | ~(held | up) & full, up & held
         out.append(edits)
     return out
@@ -93,6 +97,7 @@ class Scanner:
 
     def __init__(self, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, edit_every: int = EDIT_EVERY) -> None:
         import ahocorasick
+        import regex
 
         self._base, self._notices = base, notices
         # Upper case to lower case; other ASCII characters that are not of a word to blanks.
@@ -103,7 +108,8 @@ class Scanner:
             masks: dict[str, int] = {}
             for k, c in enumerate(notice):
                 masks[c] = masks.get(c, 0) | 1 << k
-            self._patterns[notice] = edits, masks
+            self._patterns[notice] = masks, [
+                regex.compile(f"(?:{regex.escape(notice)}){{e<={k}}}(?![^ ])") for k in range(edits + 1)]
             cuts = [len(notice) * k // (edits + 1) for k in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 seeds.setdefault(notice[a:b], []).append((notice, b))
@@ -120,7 +126,7 @@ class Scanner:
         windows: dict[str, set[tuple[int, int]]] = {}
         for last, places in self._seeds.iter(flat):
             for notice, end in places:
-                edits = self._patterns[notice][0]
+                edits = len(self._patterns[notice][1]) - 1
                 start = last + 1 - end
                 low, high = max(0, start - edits), min(len(flat), start + len(notice) + edits)
                 while low < high and low and flat[low - 1] != " ":
@@ -132,25 +138,20 @@ class Scanner:
 
     def _best(self, notice: str, flat: str, low: int, high: int) -> tuple[int, int, int] | None:
         """(edits, start, end) of the best match within a stretch of words, the first of equal ones."""
-        (edits, masks), n = self._patterns[notice], len(notice)
+        masks, bounded = self._patterns[notice]
+        n, edits = len(notice), len(bounded) - 1
         if high - low < max(1, n - edits):
             return None
-        any_start = _edits(masks, n, flat[low:high], 0)
-        if min(any_start) > edits:
+        by_end = enumerate(_edits(masks, n, flat[low:high]), low + 1)
+        least = min((e for end, e in by_end if end == high or flat[end] == " "), default=n)
+        if least > edits:
             return None
-        ends = [e for e in range(low + 1, high + 1) if any_start[e - low - 1] <= edits and (e == high or flat[e] == " ")]
-        least = min((any_start[e - low - 1] for e in ends), default=0)
-        best = None
-        for start in range(low, high - n + edits + 1):
-            if start > low and flat[start - 1] != " ":
-                continue
-            row = _edits(masks, n, flat[start:min(high, start + n + edits)], 1)
-            mine = min(((row[e - start - 1], start, e) for e in ends if 0 < e - start <= len(row)), default=None)
-            if mine and mine[0] <= edits and (best is None or mine < best):
-                best = mine
-                if best[0] == least:
-                    break
-        return best
+        starts = [at for at in range(low, high - n + edits + 1) if at == low or flat[at - 1] == " "]
+        for pattern in bounded[least:]:
+            for start in starts:
+                if match := pattern.match(flat, start, high):
+                    return sum(match.fuzzy_counts), start, match.end()
+        return None
 
     def _fuzzy(self, flat: str) -> Iterator[tuple[str, int, int, int]]:
         """(notice, start, end, edits) of every match; of overlapping ones of a notice the best."""

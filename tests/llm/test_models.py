@@ -137,6 +137,49 @@ def test_language_choice_moves_no_text(llm):
     assert (one.weights == two.weights).all()
 
 
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_license_edits_equal_brute_force():
+    """Random edits, at both ends and of blanks too: found where plain edit distances allow it, with as many edits."""
+    import random
+
+    draw, seen = random.Random(11), [0, 0]
+    for _ in range(250):
+        notice = draw.choice(list(license_scan.NOTICES))
+        most, text = len(notice) // license_scan.EDIT_EVERY, list(notice)
+        for _ in range(draw.randint(0, most + 2)):
+            at, kind = draw.randrange(len(text)), draw.random()
+            text[at:at + 1] = draw.choice("aex ") if kind < 0.4 else "" if kind < 0.7 else text[at] + draw.choice("aex ")
+        words = f"so it {''.join(text)} is".split()
+        least = min(_distance(notice, " ".join(words[a:b])) for a in range(len(words)) for b in range(a + 1, len(words) + 1))
+        scanner = license_scan.Scanner(base={}, notices={notice: "own"})
+        spans = scanner.scan(" ".join(words))[7]
+        assert [s[4] for s in spans][:1] == ([least] if least <= most else []), (notice, words)
+        for _, _, first, n, edits in spans:
+            assert _distance(notice, " ".join(words[first:first + n])) == edits <= most
+        seen[least <= most] += 1
+    assert min(seen) > 20
+
+
+def test_license_many_equal_notices_take_linear_time():
+    from time import perf_counter
+
+    scan = license_scan.Scanner().scan
+    took = []
+    for n in (1000, 4000):
+        start = perf_counter()
+        assert len([s for s in scan("permission is granted all rights reserved " * n)[7] if s[0] == "reserved"]) == n
+        took.append(perf_counter() - start)
+    assert took[1] < 10 * took[0]
+
+
 def test_license_words_end_at_blanks_only():
     """A no-break space is part of a word; many notices in one text are counted in one pass."""
     scan = license_scan.Scanner().scan
