@@ -158,12 +158,21 @@ def test_embeddings_repeated_and_null_ids(llm):
     assert got == [(0, 0, 0, False), (0, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True)]
 
 
-def test_recall_on_the_table(llm):
-    """Recall against brute force over a whole table of vectors."""
-    frame = llm.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = frame.collect()
-    units = np.array([r.embedding for r in rows], dtype=float)
+@pytest.mark.parametrize("cosine", [0.951, 0.97])
+def test_recall_of_planted_pairs(llm, cosine):
+    """Pairs just above the threshold, planted among a whole table of vectors, against brute force."""
+    table = llm.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    vectors = np.array([r.embedding for r in table.orderBy("vec_id").collect()], dtype=float)
+    draw = np.random.default_rng(int(1000 * cosine))
+    units = vectors[draw.permutation(len(vectors))[:300]]
     units /= np.linalg.norm(units, axis=1, keepdims=True)
-    want = int((units @ units.T >= 0.8).sum()) - len(rows)
-    got = embed_dedup.near_duplicates(frame, cosine=0.8).agg(F.sum("n_links")).first()[0]
-    assert got <= want and got >= 0.5 * want  # far below the similarity the filters are made for
+    aside = draw.standard_normal(units.shape)
+    aside -= (aside * units).sum(axis=1, keepdims=True) * units
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    planted = cosine * units + np.sqrt(1 - cosine ** 2) * aside
+    extra = llm.createDataFrame([(10_000_000 + k, v.tolist()) for k, v in enumerate(planted)], "vec_id bigint, embedding array<double>")
+    frame = table.withColumn("embedding", F.col("embedding").cast("array<double>")).union(extra)
+    everything = np.vstack([vectors / np.linalg.norm(vectors, axis=1, keepdims=True), planted])
+    want = int((everything @ everything.T >= 0.95).sum()) - len(everything)
+    got = embed_dedup.near_duplicates(frame, cosine=0.95).agg(F.sum("n_links")).first()[0]
+    assert 600 <= want and got <= want and got >= 0.9 * want
