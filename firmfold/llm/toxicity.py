@@ -1,21 +1,23 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes ratios.
 
-A text's features are the byte n-grams of 3 to 6 bytes that its lower-cased form, with
+A text's features are the n-grams of 3 to 6 characters that its lower-cased form, with
 single blanks, holds. From a bounded sample of labelled texts, every n-gram gets its
 log-count ratio, smoothed; the ``FEATURES`` with the surest ratios (ratio over its
 standard error) are kept and multiplied by their ratio, and a ridge-penalised logistic
-regression is fitted on them. N-grams are compared exactly, as numbers; a small bit
-table only skips those that no feature can equal.
+regression is fitted on them. N-grams are compared by 64-bit hashes of their characters
+and length; a small bit table only skips those that no feature can equal.
 
 The sample holds at most ``TRAIN_ROWS`` texts per label, of at most ``TRAIN_CHARS``
 characters, in order of a hash of the id, from labelled documents of the learning folds.
-Whole texts are scored.
+It is chosen from slim rows of documents that are there and short enough; every task
+keeps its first ``TRAIN_ROWS`` per label, and only chosen texts are fetched. Whole texts
+are scored.
 
 Defined results: a null text is scored as an empty one, which gets the base rate that
 the intercept gives; a null label is not learnt from, a null id is neither held out nor
-learnt from; without both labels every score is 0; repeated rows are scored alike and
-repeated labels of a document are learnt once each; an empty table gives an empty
-result. Only the named columns are read.
+learnt from; without both labels every score is 0; repeated rows are scored alike; of
+several texts under one id the one with the smallest hash is learnt, once for each of
+its labels; an empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -26,9 +28,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from firmfold.llm.common import id_remainder, pick
+from firmfold.llm.common import id_remainder, pick, written
 
 LENGTHS = (3, 4, 5, 6)
 FEATURES = 4_000
@@ -40,18 +41,20 @@ STEPS = 150
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 _TABLE = 1 << 20
+_FACTOR = np.uint64(0xD1342543DE82EF95)  # odd, so that no character's bits are lost
 
 
 def grams(text: str | None, length: int) -> np.ndarray:
-    """The n-grams of one length as numbers, marked with the length; repeated as in the text."""
-    flat = b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").split()) + b" "
-    raw = np.frombuffer(flat, dtype=np.uint8).astype(np.uint64)
+    """Hashes of the n-grams of one length, repeated as in the text."""
+    flat = f" {' '.join((text or '').lower().split())} "
+    raw = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     if len(raw) < length:
         return np.empty(0, dtype=np.uint64)
     n = len(raw) - length + 1
     code = np.full(n, length, dtype=np.uint64)
     for k in range(length):
-        code = (code << np.uint64(8)) | raw[k:k + n]
+        code *= _FACTOR
+        code += raw[k:k + n]
     return code
 
 
@@ -136,15 +139,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the labelled rows of the learning folds; None without both labels."""
     learnt = pick(labels, id=label_id_col, toxic=label_col).filter(
         (id_remainder(F.col("id"), FOLDS) != HELD_OUT) & F.col("toxic").isin(0, 1)).distinct()
-    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    chosen = learnt.withColumn("nth", nth).filter(F.col("nth") <= rows).drop("nth").collect()
+    texts = pick(docs, id=id_col, text=text_col).filter(F.coalesce(F.length("text"), F.lit(0)) <= chars)
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    slim = learnt.join(texts.select("id", "mark"), "id").groupBy("id", F.col("toxic").cast("int").alias("toxic")).agg(
+        F.min("mark").alias("mark"))
+    slim = written(slim, "toxicity_known")
+    chosen = [r for label in (0, 1) for r in slim.filter(F.col("toxic") == label).orderBy(
+        F.xxhash64("id"), "id").limit(rows).collect()]
     if len({r["toxic"] for r in chosen}) < 2:
         return None
-    # At most 2 * rows pairs, whatever the size of the tables.
-    known = docs.sparkSession.createDataFrame([(r["id"], int(r["toxic"])) for r in chosen], "id bigint, toxic int")
-    texts = pick(docs, id=id_col, text=text_col).filter(F.coalesce(F.length("text"), F.lit(0)) <= chars)
-    sample = texts.join(F.broadcast(known), "id").dropDuplicates(["id", "toxic"]).orderBy(
-        F.xxhash64("id"), "id", "toxic").collect()
+    # At most 2 * rows slim rows, whatever the size of the tables.
+    known = docs.sparkSession.createDataFrame(chosen, slim.schema)
+    sample = texts.join(F.broadcast(known), ["id", "mark"]).groupBy("id", "toxic").agg(
+        F.min("text").alias("text")).orderBy(F.xxhash64("id"), "id", "toxic").collect()
     if len({r["toxic"] for r in sample}) < 2:
         return None
     return Model([r["text"] for r in sample], [r["toxic"] for r in sample])

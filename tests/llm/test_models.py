@@ -49,6 +49,46 @@ def test_toxicity_odd_rows(llm, odd_docs, no_docs):
     assert toxicity.judge(no_docs, model).count() == 0
 
 
+def test_toxicity_sample_is_of_documents_that_are_there(llm):
+    """Labels of absent and of long documents take no place in the sample; texts of one id are told apart by their hash."""
+    docs = llm.createDataFrame([(k, f"word{k % 7} and more of text {k}") for k in range(60)]
+                               + [(100 + k, "long " * 4000) for k in range(50)] + [(1, "another text")], "doc_id bigint, text string")
+    labels = llm.createDataFrame([(k, k % 2) for k in range(60)] + [(100 + k, k % 2) for k in range(50)]
+                                 + [(1000 + k, k % 2) for k in range(3000)], "doc_id bigint, toxic int")
+    learnt = []
+    real = toxicity.Model.__init__
+
+    def noted(self, texts, goals):
+        learnt.append((texts, goals))
+        real(self, texts, goals)
+
+    toxicity.Model.__init__ = noted
+    try:
+        models = [toxicity.train(docs.orderBy(F.rand(s)), labels.orderBy(F.rand(s)), rows=20) for s in (1, 2)]
+    finally:
+        toxicity.Model.__init__ = real
+    able = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert learnt[0] == learnt[1] and models[0].intercept == models[1].intercept
+    for label in (0, 1):
+        assert learnt[0][1].count(label) == min(20, sum(k % 2 == label for k in able))
+    assert all(len(t) < 100 for t in learnt[0][0])
+
+
+def test_toxicity_grams_are_of_characters():
+    """Three characters of any script make one 3-gram; equal n-grams have equal hashes, others do not."""
+    for text in ("abcd", "\u0436\u0437\u0438\u0439", "\u65e5\u672c\u8a9e\u6587", "\U0001F600\U0001F601ab"):
+        assert [len(toxicity.grams(text, n)) for n in (3, 4, 5, 6, 7)] == [4, 3, 2, 1, 0]
+    texts = ["the quick brown fox", "\u0436\u0437\u0438 the quick", "", None, "THE  quick\nbrown"]
+    code_of = {}
+    for text in texts:
+        flat = f" {' '.join((text or '').lower().split())} "
+        for n in toxicity.LENGTHS:
+            want = [flat[k:k + n] for k in range(len(flat) - n + 1)]
+            for gram, code in zip(want, toxicity.grams(text, n).tolist(), strict=True):
+                assert code_of.setdefault(gram, code) == code
+    assert len(set(code_of.values())) == len(code_of)
+
+
 def test_license_base(llm, sf, odd_docs, no_docs):
     docs = llm.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
