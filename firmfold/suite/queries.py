@@ -1067,8 +1067,14 @@ _LANDED = f"""SELECT * REPLACE (
   FROM ({S.raw_business_sql()}) z WHERE k % 29 <> 0"""
 
 _JOB_COLUMNS = ["lead_id", *_MERGED_COLUMNS, "quality_score"]
-_JOB_SQL = O.sql(f"""SELECT sha256(dedupe_key) AS lead_id, {', '.join(_MERGED_COLUMNS)}, {O.joined('categories')} AS categories,
-  {O.score()} AS quality_score FROM merged""", "merged", raw=_LANDED)
+
+
+def _job_sql(landed: str) -> str:
+    return O.sql(f"""SELECT sha256(dedupe_key) AS lead_id, {', '.join(_MERGED_COLUMNS)}, {O.joined('categories')} AS categories,
+      {O.score()} AS quality_score FROM merged""", "merged", raw=landed)
+
+
+_JOB_SQL = _job_sql(_LANDED)
 
 
 def _land(spark, sf) -> DataFrame:
@@ -1096,6 +1102,34 @@ def ingest(spark, sf):
     return _stored(store)
 
 
+_FEW_REGIONS = "zala, pest"
+# Regions are taken in the order of the list: which record comes first depends on it.
+_FEW_LANDED = f"""SELECT * REPLACE (CASE crawl_region WHEN 'zala' THEN 0 ELSE 1 END AS region_ord,
+    seqno + (CASE crawl_region WHEN 'zala' THEN 0 ELSE 1 END - region_ord) * cast(1000000000 AS bigint) AS seqno)
+  FROM ({_LANDED}) y WHERE crawl_region IN ('zala', 'pest')"""
+_PERSONS = f"""SELECT * REPLACE ('evny' AS source, true AS is_personal_data,
+    concat('https://soletraders.example/ev/', k) AS source_url,
+    'sole-trader register, personal data' AS source_license) FROM ({_FEW_LANDED}) x WHERE source = 'ebeszamolo'"""
+
+
+@query(f"""SELECT 'default' AS run, * FROM ({_job_sql(_FEW_LANDED)}) a
+  UNION ALL SELECT 'persons' AS run, * FROM ({_job_sql(_PERSONS)}) b""")
+def gated_ingest(spark, sf):
+    """Runs over listed regions where a register of persons has landed too: it is read only where it is enabled."""
+    root = scratch_dir(spark, "gated")
+    landed = _land(spark, sf)
+    persons = _page_rows(spark, sf, "evny", _register_record("name")).filter(F.col("region_id").startswith("ebeszamolo"))
+    persons = persons.withColumn("region_id", F.substring_index("region_id", "/", -1)).withColumn("fetched_at", W.now())
+    landed.unionByName(persons).write.parquet(f"{root}/pages")
+    out = []
+    for run, sources, enabled in (("default", None, set()), ("persons", ["evny"], {"evny"})):
+        store = Store(spark, f"{root}/{run}")
+        ingest_job(store, read_pages(spark, f"{root}/pages"), run, datetime(1999, 6, 1), sources=sources,
+                   regions=P.region_expand(_FEW_REGIONS), enabled=enabled, all_pages=True)
+        out.append(_stored(store).select(F.lit(run).alias("run"), "*"))
+    return out[0].unionByName(out[1])
+
+
 @query(_JOB_SQL)
 def ingest_stream(spark, sf):
     """The same result by Structured Streaming over the landing folder."""
