@@ -51,6 +51,11 @@ def _pieces(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)))
 
 
+def _shuffled(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of which no side goes through the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _runs(text: Column, length: int) -> Column:
     """The distinct runs of a length; none where the text is shorter."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
@@ -156,9 +161,9 @@ def codes_by_rules(rows: DataFrame, prefixes: DataFrame, known: DataFrame | None
     each = keyed.select(*_KEY, F.posexplode("_numbers").alias("at", "number")).groupBy(*_KEY, "number").agg(F.min("at").alias("at"))
     starts = each.select("number").distinct().select("number", F.explode(F.transform(
         F.sequence(F.lit(0), F.length("number")), lambda n: F.substring(F.col("number"), F.lit(1), n))).alias("prefix"))
-    found = starts.join(usable, "prefix").groupBy("number").agg(
+    found = _shuffled(starts, usable, "prefix").groupBy("number").agg(
         F.sort_array(F.collect_list(F.struct("ord", "category"))).alias("named"))
-    lists = each.join(found, "number").groupBy(*_KEY).agg(
+    lists = _shuffled(each, found, "number").groupBy(*_KEY).agg(
         F.sort_array(F.collect_list(F.struct("at", F.col("named.category").alias("ids")))).alias("_lists"))
     ids = F.coalesce(F.array_distinct(F.flatten("_lists.ids")), F.array().cast("array<string>"))
-    return keyed.join(lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_numbers", "_lists")
+    return _shuffled(keyed, lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_numbers", "_lists")

@@ -96,3 +96,26 @@ def test_no_rule_is_collected(spark, texts, monkeypatch):
     monkeypatch.setattr(Frame, "collect", lambda self: pytest.fail("rules went through the driver"))
     frame = classify_by_rules(texts, default_tables(spark), fold_text(F.col("text")), "c")
     assert "c" in frame.columns
+
+
+def large_broadcasts(frame):
+    """Hashed broadcasts of sides that take lists apart or group what was taken apart."""
+    lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange HashedRelation" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            under = []
+            for x in lines[i + 1:]:
+                if len(x) - len(x.lstrip(" :+-")) <= depth:
+                    break
+                under.append(x)
+            found += [line] if any("Generate" in x for x in under) else []
+    return found
+
+
+def test_no_growing_side_is_broadcast(spark):
+    """Small as the tables are here: their files say little about what is made of them."""
+    prefixes = spark.createDataFrame([("0", "small", 1)], "prefix string, category string, ord int")
+    rows = spark.createDataFrame([(1, ["02"])], "i int, codes array<string>")
+    assert large_broadcasts(codes_by_rules(rows, prefixes, None, F.col("codes"), 4, "c")) == []
