@@ -5,12 +5,17 @@ other characters) occurs in one of the text's pieces. So keywords are matched wi
 *vocabulary*, the distinct pieces of all texts, which grows far slower than the texts:
 
 * a whole word's piece equals a piece of the vocabulary: an equi-join;
-* a stem's piece lies inside one: both are cut into runs of up to ``GRAM`` characters and
-  joined on the stem's rarest run, then tested.
+* a stem's piece lies inside one: of up to ``GRAM`` characters it equals a run of as many; a
+  longer one is joined on its rarest run of ``GRAM``, then tested.
 
 What is left is an equi-join of the texts' pieces with the matched pieces. Keywords of one
 piece are decided by it; others are tested on the text. Texts are told apart by two 64-bit
-hashes of their content, so equal texts are classified once, and no row needs an id.
+hashes of their content, so equal texts are classified once, and no row needs an id. A
+keyword's rules travel as one list; they are taken apart where a text's lists meet.
+
+Joins whose sides both follow the data are hinted to shuffle: their sizes are estimated from
+compressed files and before lists are taken apart, and a side that was planned as a broadcast
+stays one, however large it turns out to be.
 
 The results equal those of :mod:`firmfold.functions.classify` for the same rules; small
 fixed rule sets stay expressions there. Blanks around whole words are cut.
@@ -27,7 +32,7 @@ from firmfold.functions.classify import POSTCODE
 from firmfold.functions.text import fold_text, js_trim
 
 PIECE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
-GRAM = 3
+GRAM = 8
 _KEY = ["_h1", "_h2"]
 
 
@@ -56,19 +61,23 @@ def _shuffled(left: DataFrame, right: DataFrame, on: str | list[str], how: str =
     return left.join(right.hint("merge"), on, how)
 
 
-def _runs(text: Column, length: int) -> Column:
+def _runs(text: Column, length: Column) -> Column:
     """The distinct runs of a length; none where the text is shorter."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
     return F.when(F.length(text) >= length, F.array_distinct(F.transform(
-        starts, lambda i: F.substring(text, i, F.lit(length))))).otherwise(F.array().cast("array<string>"))
+        starts, lambda i: F.substring(text, i, length)))).otherwise(F.array().cast("array<string>"))
 
 
 def _keywords(rules: DataFrame) -> DataFrame:
     """(keyword, whole, piece, equal, decides) of the rules (keyword, whole), each once."""
     folded = fold_text(F.col("keyword"))
-    rows = rules.select(F.when(F.col("whole"), js_trim(folded)).otherwise(folded).alias("keyword"), "whole")
+    # Each value is made once per distinct keyword: it passes through an explode of one value,
+    # so that filters on it are not planned as copies of it, on every rule.
+    rows = rules.select("keyword", "whole").distinct().select(
+        F.explode(F.array(F.when(F.col("whole"), js_trim(folded)).otherwise(folded))).alias("keyword"), "whole")
     longest = F.array_max(F.transform(_pieces(F.col("keyword")), lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
-    rows = rows.filter(js_trim(F.col("keyword")) != "").distinct().withColumn("piece", longest["piece"])
+    rows = rows.filter(js_trim(F.col("keyword")) != "").distinct().select(
+        "keyword", "whole", F.explode(F.array(longest["piece"])).alias("piece"))
     # A whole word's letters and digits stand between other characters; its signs need not.
     equal = F.col("whole") & F.col("piece").rlike(r"^[\p{L}\p{N}]")
     decides = (F.col("piece") == F.col("keyword")) & (equal | ~F.col("whole"))
@@ -81,16 +90,21 @@ def _matched_pieces(vocabulary: DataFrame, keywords: DataFrame) -> DataFrame:
     equal = keywords.filter("equal").withColumn("token", F.col("piece")).select(names)
     inner = keywords.filter(~F.col("equal"))
     parts = inner.select("piece").distinct()
-    every = F.flatten(F.array(*[_runs(F.col("token"), n) for n in range(1, GRAM + 1)]))
-    held = vocabulary.select("token", F.explode(every).alias("run"))
-    own = F.coalesce(*[F.when(F.length("piece") >= n, _runs(F.col("piece"), n)) for n in range(GRAM, 0, -1)])
-    wanted = parts.select("piece", F.explode(own).alias("run"))
+    long = F.length("piece") > GRAM
+    # One row, of at most GRAM numbers: only runs of a length that a stem has are made.
+    lengths = parts.agg(F.collect_set(F.least(F.length("piece"), F.lit(GRAM))).alias("lengths"))
+    every = F.flatten(F.transform("lengths", lambda n: _runs(F.col("token"), n)))
+    held = vocabulary.select("token").crossJoin(lengths).select("token", F.explode(every).alias("run"))
+    wanted = parts.filter(long).select("piece", F.explode(_runs(F.col("piece"), F.lit(GRAM))).alias("run"))
     # A run that no text holds rules its stem out: the inner join drops it, so it must be counted as none.
-    counts = held.join(wanted.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    rarest = wanted.join(counts, "run", "left").groupBy("piece").agg(
+    counts = _shuffled(held, wanted.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    rarest = _shuffled(wanted, counts, "run", "left").groupBy("piece").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run"))).alias("best"))
-    found = held.join(rarest.select("piece", F.col("best.run").alias("run")), "run").filter(F.col("token").contains(F.col("piece")))
-    return equal.unionByName(found.select("token", "piece").distinct().join(inner, "piece").select(names))
+    sought = parts.filter(~long).select("piece", F.col("piece").alias("run")).unionByName(
+        rarest.select("piece", F.col("best.run").alias("run")))
+    # A piece is sought by one run, and a token holds a run once: each pair is found once.
+    found = _shuffled(held, sought, "run").filter(F.col("token").contains(F.col("piece"))).select("token", "piece")
+    return equal.unionByName(_shuffled(found, inner, "piece").select(names))
 
 
 def keyword_hits(texts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -101,12 +115,12 @@ def keyword_hits(texts: DataFrame, rules: DataFrame) -> DataFrame:
     keywords = _keywords(rules)
     tokens = texts.select(*_KEY, F.explode(_pieces(F.col("hay"))).alias("token")).distinct()
     matched = _matched_pieces(tokens.select("token").distinct(), keywords)
-    hits = tokens.join(matched, "token")
+    hits = _shuffled(tokens, matched, "token")
     sure = hits.filter("decides").select(*_KEY, "keyword", "whole")
     asked = hits.filter(~F.col("decides")).select(*_KEY, "keyword", "whole").distinct()
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.col("keyword"), F.lit(r"\E(?![\p{L}\p{N}])"))
     holds = F.col("hay").contains(F.col("keyword")) & (~F.col("whole") | F.regexp_like(F.col("hay"), pattern))
-    tested = asked.join(texts.dropDuplicates(_KEY), _KEY).filter(holds).select(*_KEY, "keyword", "whole")
+    tested = _shuffled(asked, texts.dropDuplicates(_KEY), _KEY).filter(holds).select(*_KEY, "keyword", "whole")
     return sure.unionByName(tested).distinct()
 
 
@@ -115,34 +129,41 @@ def _ranked(rules: DataFrame, group: list[str]) -> DataFrame:
     return rules.join(rules.groupBy(*group).agg(F.min("ord").alias("place")), group)
 
 
-def _hit_rules(rows: DataFrame, hay: Column, rules: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """The rows with their content key, and (key, place, id) of what each content names."""
+def _hit_rules(rows: DataFrame, hay: Column, rules: DataFrame, id_col: str, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with their content key, and (key, place, id) of what each content names.
+
+    A frequent keyword stands in many rules, and a text holds many keywords of one id: lists
+    of rules are shuffled to the text, and only there is a row made of each.
+    """
     keyed = rows.withColumn("_hay", F.coalesce(hay, F.lit(""))).select("*", *_content_key(F.col("_hay")))
     texts = keyed.select(*_KEY, F.col("_hay").alias("hay")).filter("hay <> ''")
-    names = rules.select(F.col(id_col).alias("id"), "place", "whole", F.when(F.col("whole"), js_trim(fold_text(F.col("keyword"))))
+    ranked = _ranked(rules, group)
+    names = ranked.select(F.col(id_col).alias("id"), "place", "whole", F.when(F.col("whole"), js_trim(fold_text(F.col("keyword"))))
                          .otherwise(fold_text(F.col("keyword"))).alias("keyword")).distinct()
-    hits = keyword_hits(texts, rules).join(names, ["keyword", "whole"])
-    return keyed.drop("_hay"), hits.groupBy(*_KEY, "id").agg(F.min("place").alias("place"))
+    lists = names.groupBy("keyword", "whole").agg(F.collect_list(F.struct("place", "id")).alias("named"))
+    hits = _shuffled(keyword_hits(texts, rules), lists, ["keyword", "whole"]).select(*_KEY, "named").repartition(*_KEY)
+    each = hits.select(*_KEY, F.explode("named").alias("named")).select(*_KEY, "named.id", "named.place")
+    return keyed.drop("_hay"), each.groupBy(*_KEY, "id").agg(F.min("place").alias("place"))
 
 
 def classify_by_rules(rows: DataFrame, tables: RuleTables, hay: Column, out: str = "categories") -> DataFrame:
     """The rows with the ids of all categories whose keywords their folded text holds, in rule order."""
-    rules = _ranked(tables.categories.withColumn("whole", F.col("whole_word").cast("boolean")), ["category", "name"])
-    keyed, hits = _hit_rules(rows, hay, rules, "category")
+    rules = tables.categories.withColumn("whole", F.col("whole_word").cast("boolean"))
+    keyed, hits = _hit_rules(rows, hay, rules, "category", ["category", "name"])
     lists = hits.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("_ids"))
     ids = F.coalesce(F.col("_ids.id"), F.array().cast("array<string>"))
-    return keyed.join(lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_ids")
+    return _shuffled(keyed, lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_ids")
 
 
 def regions_by_rules(rows: DataFrame, tables: RuleTables, hay: Column, out: str = "region_id") -> DataFrame:
     """The rows with the region of a folded address: 1xxx postcode, capital by name, then rule order."""
-    rules = _ranked(tables.regions.withColumn("whole", F.lit(False)), ["region_id", "name"])
-    keyed, hits = _hit_rules(rows.withColumn("_place", hay), F.col("_place"), rules, "region_id")
+    rules = tables.regions.withColumn("whole", F.lit(False))
+    keyed, hits = _hit_rules(rows.withColumn("_place", hay), F.col("_place"), rules, "region_id", ["region_id", "name"])
     order = F.struct((F.col("id") != tables.capital).alias("later"), F.col("place"), F.col("id"))
     first = hits.groupBy(*_KEY).agg(F.min(order).alias("_first"))
     coded = F.regexp_extract("_place", POSTCODE, 1).startswith("1")
     region = F.when(coded, F.lit(tables.capital)).otherwise(F.col("_first.id"))
-    return keyed.join(first, _KEY, "left").withColumn(out, region).drop(*_KEY, "_first", "_place")
+    return _shuffled(keyed, first, _KEY, "left").withColumn(out, region).drop(*_KEY, "_first", "_place")
 
 
 def codes_by_rules(rows: DataFrame, prefixes: DataFrame, known: DataFrame | None, codes: Column, digits: int,

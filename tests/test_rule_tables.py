@@ -114,8 +114,24 @@ def large_broadcasts(frame):
     return found
 
 
-def test_no_growing_side_is_broadcast(spark):
+def test_no_growing_side_is_broadcast(spark, texts):
     """Small as the tables are here: their files say little about what is made of them."""
+    hay, tables = fold_text(F.col("text")), default_tables(spark)
+    assert large_broadcasts(classify_by_rules(texts, tables, hay, "c")) == []
+    assert large_broadcasts(regions_by_rules(texts, tables, hay, "r")) == []
     prefixes = spark.createDataFrame([("0", "small", 1)], "prefix string, category string, ord int")
     rows = spark.createDataFrame([(1, ["02"])], "i int, codes array<string>")
     assert large_broadcasts(codes_by_rules(rows, prefixes, None, F.col("codes"), 4, "c")) == []
+
+
+def test_stems_around_the_length_of_runs(spark):
+    """Stems as long as a run, longer and shorter; one keyword of several ids; an id found by several keywords."""
+    stems = ["abcdefgh", "abcdefghi", "bcdefghijk", "h", "hij", "zzzzzzzzz", "abcdefgi", "hij"]
+    cats = [(f"c{i % 5}", "n", i, w, False) for i, w in enumerate(stems)] + [("c9", "n", None, "hij", False)]
+    tables = RuleTables(spark.createDataFrame(cats, CATEGORY_RULES), spark.createDataFrame([], REGION_RULES))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(["xabcdefghijkl", "abcdefgh", "hi", "zzzzzzzz", "ijh"])], "i int, text string")
+    place = {c: min((o for d, _, o, *_ in cats if d == c and o is not None), default=-1) for c, *_ in cats}
+    got = classify_by_rules(rows, tables, fold_text(F.col("text")), "c")
+    for r in got.collect():
+        want = {c for c, _, _, w, _ in cats if w in r["text"]}
+        assert r["c"] == sorted(want, key=lambda c: (place[c], c)), r
