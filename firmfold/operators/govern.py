@@ -109,15 +109,18 @@ def dsar_documents(report: AccessReport) -> DataFrame:
 
 def write_dsar_report(report: AccessReport, path: str, generated_at: Column) -> None:
     """Three folders of JSON lines, of one shape at every size: subjects, records,
-    and the trails in order of record and time."""
+    and the trails in order of record and time.
+
+    The trail is derived once: the records' counts are those of the lines that were written.
+    """
     def write(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
 
-    docs = dsar_documents(report)
-    write(docs.groupBy("subject").agg(F.count(F.lit(1)).alias("lead_count"))
-          .withColumn("generated_at", iso_timestamp(generated_at)), "subjects")
-    write(docs, "records")
     write(report.trail.orderBy("lead_id", "at", "event_id").drop("at", "event_id"), "trail")
+    written = report.trail.sparkSession.read.schema("lead_id string").json(f"{path}/trail")
+    write(dsar_documents(AccessReport(report.records, written)), "records")
+    write(report.records.groupBy("subject").agg(F.count(F.lit(1)).alias("lead_count"))
+          .withColumn("generated_at", iso_timestamp(generated_at)), "subjects")
 
 
 def recategorize(lead: DataFrame, rules: RuleSet | RuleTables = DEFAULT_RULES, limit: int | None = None) -> DataFrame:

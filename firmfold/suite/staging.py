@@ -101,14 +101,20 @@ FROM ({checked}) c
 """
 
 
-def raw_business_sql(customer: str = "customer", supplier: str = "supplier") -> str:
-    base = _BASE.format(customer=customer, supplier=supplier)
+# A million of these rows fit a file of few megabytes, which few tasks would read: Spark deals the
+# slim rows out before any text is made of them.
+_SPREAD = "SELECT /*+ REPARTITION({n}, source, k, nk) */ * FROM ({base}) s"
+
+
+def raw_business_sql(customer: str = "customer", supplier: str = "supplier", base: str = _BASE) -> str:
+    base = base.format(customer=customer, supplier=supplier)
     return _RAW.format(checked=_CHECKED.format(digits=_DIGITS.format(base=base)))
 
 
 def raw_business(spark: SparkSession, sf: str) -> DataFrame:
     """The staged records; ``classification_text`` as a parser composes it."""
-    rows = spark.sql(raw_business_sql(at(sf, "customer"), at(sf, "supplier")))
+    spread = _SPREAD.format(n=spark.conf.get("spark.sql.shuffle.partitions"), base=_BASE)
+    rows = spark.sql(raw_business_sql(at(sf, "customer"), at(sf, "supplier"), spread))
     text = F.concat_ws(" ", F.coalesce("activity", F.lit("")), F.trim("legal_name"))
     return rows.withColumn("classification_text", F.trim(text))
 

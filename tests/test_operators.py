@@ -256,6 +256,28 @@ def test_access_report_has_one_shape(spark, tmp_path):
     assert (subject["subject"], subject["lead_count"], subject["generated_at"]) == ("a@x.hu", 2, "2024-06-01T00:00:00.000Z")
 
 
+def test_access_report_derives_its_trail_once(spark, tmp_path, monkeypatch):
+    """Only the trail's own folder is written from the events; the counts are those of its lines."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    types = ["subject", "lead_id", "type", "meta", "created_at", "at", "event_id"]
+    spark.createDataFrame([("a@x.hu", f"l{i % 3}", "MERGED", "{}", "t", i, f"e{i}") for i in range(7)],
+                          ", ".join(f"{n} {'int' if n == 'at' else 'string'}" for n in types)).write.parquet(str(tmp_path / "events"))
+    records = spark.createDataFrame([("a@x.hu", f"l{i}") for i in range(4)], "subject string, lead_id string")
+    json, read = DataFrameWriter.json, {}
+
+    def spied(self, path, *args, **kw):
+        read[path.rsplit("/", 1)[1]] = any("/events/" in f for f in self._df.inputFiles())
+        return json(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "json", spied)
+    G.write_dsar_report(G.AccessReport(records, spark.read.parquet(str(tmp_path / "events"))), str(tmp_path / "r"), now())
+    assert read == {"trail": True, "records": False, "subjects": False}
+    counts = {r["lead_id"]: r["trail_events"] for r in spark.read.json(str(tmp_path / "r" / "records")).collect()}
+    assert counts == {"l0": 3, "l1": 2, "l2": 2, "l3": 0}
+    subject, = spark.read.json(str(tmp_path / "r" / "subjects")).collect()
+    assert (subject["subject"], subject["lead_count"]) == ("a@x.hu", 4)
+
+
 def test_region_expand():
     assert P.region_expand(" pest, zala,") == ["pest", "zala"] and len(P.region_expand("all")) == 20
     with pytest.raises(ValueError):
