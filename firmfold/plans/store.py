@@ -12,7 +12,9 @@
 All writes are such that doing them again changes nothing: a merge of a record that was
 merged already, a patch that was applied, a deletion of what is gone. So a run that was cut
 off is simply started again, and only one run writes at a time. A swapped or rewritten
-partition keeps a row without a key, as an empty one would not be swapped at all.
+partition keeps a row without a key, as an empty one would not be swapped at all. Its rows are
+rebalanced by partition: few files of a small one, but a large one is cut among many tasks, so
+that a run that holds most of all events is not rewritten by one.
 
 What several steps of a run read is staged below ``runs/``; a staged frame counts once its
 write was committed. A run that has ended does nothing when it is started again.
@@ -137,7 +139,7 @@ class Store:
         marks = self.spark.createDataFrame([(p,) for p in touched], "part int").select(
             *[F.lit(None).cast(held.schema[n].dataType).alias(n) for n in LEAD_COLUMNS], "part")
         rows = change(held).select(*LEAD_COLUMNS, part.alias("part")).unionByName(marks)
-        self._write(rows.repartition("part"), "lead", "part")
+        self._write(rows.hint("rebalance", "part"), "lead", "part")
 
     # -- logs -------------------------------------------------------------------
 
@@ -156,4 +158,4 @@ class Store:
         marks = runs.select(*[F.col(n) if n == "run_id" else F.lit(None).cast(events.schema[n].dataType).alias(n)
                               for n in events.columns])
         rows = kept.select(events.columns).unionByName(marks)
-        self._write(rows.repartition("run_id"), "audit_event", "run_id", **{"mapreduce.output.basename": "kept"})
+        self._write(rows.hint("rebalance", "run_id"), "audit_event", "run_id", **{"mapreduce.output.basename": "kept"})

@@ -347,3 +347,22 @@ def test_erasure_of_events_keeps_the_others(spark, store):
         store.erase_events(lambda held: jobs.G.erase_events(held, doomed), touched, "e")
         assert sorted(r["event_id"] for r in store.read("audit_event").collect()) == ["a1", "a2", "c0"]
     assert untouched == set(str(p) for p in Path(store.root).glob("audit_event/run_id=c/*"))
+
+
+def test_erasure_cuts_a_large_run_among_tasks(spark, store):
+    """The events of one run are not rewritten by one task, nor the leads of one part."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        rows = spark.range(40000).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("event_id"), F.sha2((F.col("id") % 9000).cast("string"), 256).alias("lead_id"),
+            F.lit("MERGED").alias("type"), F.lit(None).cast("string").alias("meta"), F.lit(NOW).alias("created_at"))
+        store.append("audit_event", rows.repartition(4), "a")
+        doomed = rows.limit(1).select("lead_id")
+        gone = store.read("audit_event").join(doomed, "lead_id", "left_semi")
+        want = 40000 - gone.count()
+        store.erase_events(lambda held: jobs.G.erase_events(held, doomed), gone.select("run_id"), "e")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert store.read("audit_event").count() == want
+    files = [p for p in Path(store.root).glob("audit_event/run_id=a/*.parquet")]
+    assert len(files) > 1 and all(p.name.startswith("kept") for p in files)
