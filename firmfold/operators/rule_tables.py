@@ -9,8 +9,8 @@ other characters) occurs in one of the text's pieces. So keywords are matched wi
   longer one is joined on its rarest run of ``GRAM``, then tested.
 
 What is left is an equi-join of the texts' pieces with the matched pieces. Keywords of one
-piece are decided by it; others are tested on the text. Texts are told apart by two 64-bit
-hashes of their content, so equal texts are classified once, and no row needs an id. A
+piece are decided by it; others are tested on the text. Texts are told apart by a 64-bit and
+a 32-bit hash of their content, so equal texts are classified once, and no row needs an id. A
 keyword's rules travel as one list; they are taken apart where a text's lists meet.
 
 Joins whose sides both follow the data are hinted to shuffle: their sizes are estimated from
@@ -25,14 +25,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmfold.functions.classify import POSTCODE
 from firmfold.functions.text import fold_text, js_trim
+from firmfold.session import staged
 
 PIECE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 GRAM = 8
+# The last digits of a number that one window sorts, and how many characters below the surrogates a code uses.
+STEP, UNITS = 4, 55_000
 _KEY = ["_h1", "_h2"]
 
 
@@ -49,7 +52,7 @@ class RuleTables:
 
 
 def _content_key(content: Column) -> list[Column]:
-    return [F.xxhash64(content).alias(_KEY[0]), F.xxhash64(F.lit(1), content).alias(_KEY[1])]
+    return [F.xxhash64(content).alias(_KEY[0]), F.hash(content).alias(_KEY[1])]
 
 
 def _pieces(text: Column) -> Column:
@@ -166,25 +169,83 @@ def regions_by_rules(rows: DataFrame, tables: RuleTables, hay: Column, out: str
     return _shuffled(keyed, first, _KEY, "left").withColumn(out, region).drop(*_KEY, "_first", "_place")
 
 
+def _coded(categories: DataFrame) -> DataFrame:
+    """(category, n, code): the categories in their order, each with a short text that sorts as it does."""
+    last = Window.orderBy(F.col("category").asc_nulls_first())
+    numbered = categories.select("category").distinct().select("category", (F.row_number().over(last) - 1).alias("n"))
+    unit = lambda n: F.decode(F.unhex(F.lpad(F.hex(n + 1), 4, "0")), "UTF-16BE")
+    high = F.when(F.count(F.lit(1)).over(Window.partitionBy()) > UNITS, unit(F.floor(F.col("n") / UNITS))).otherwise("")
+    return staged(numbered.select("category", "n", F.concat(high, unit(F.col("n") % UNITS)).alias("code")), "codes")
+
+
+def _decoded(codes: Column, names: Column, width: Column) -> Column:
+    """The names of codes that stand side by side, each once."""
+    units = F.split(codes, "")
+    pairs = F.transform(F.sequence(F.lit(1), F.floor(F.size(units) / 2).cast("int")), lambda i: F.substring(codes, 2 * i - 1, F.lit(2)))
+    place = lambda c: F.ascii(c) - 1 + F.when(width > 1, (F.ascii(c) - 1) * (UNITS - 1) + F.ascii(F.substring(c, 2, 1)) - 1).otherwise(0)
+    each = F.array_distinct(F.when(width > 1, pairs).otherwise(units))
+    return F.when(F.length(codes) > 0, F.transform(each, lambda c: F.get(names, place(c)))).otherwise(F.array().cast("array<string>"))
+
+
+def _along_prefixes(numbers: DataFrame, rules: DataFrame, width: int) -> DataFrame:
+    """(text, named): what the rules (text, ord, code) say of each number (text), in order of ``ord``.
+
+    Sorted, a prefix stands before the numbers that begin with it. So numbers and prefixes of
+    one head, which is all but the last ``STEP`` digits, lie in one window, and the prefix of a
+    length that counts is the last one met: lists are read where they are, none is shuffled to
+    each number. A head has 11,111 texts at most. Prefixes no longer than a head are met by the
+    heads first, which are few.
+    """
+    if width <= STEP:
+        starts = numbers.select("text", F.explode(F.transform(
+            F.sequence(F.lit(0), F.length("text")), lambda n: F.substring(F.col("text"), F.lit(1), n))).alias("prefix"))
+        found = _shuffled(starts, rules.withColumnRenamed("text", "prefix"), "prefix")
+        return found.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("ord", "code"))).alias("named"))
+    low = width - STEP
+    head = F.substring("text", 1, low)
+    above = _along_prefixes(numbers.select(head.alias("text")).distinct(), rules.filter(F.length("text") <= low), low)
+    above = above.select("text", F.inline("named")).groupBy("text", "code").agg(F.min(F.struct("ord")).alias("first"))
+    entries = rules.filter(F.length("text") > low).select("text", "ord", "code").unionByName(
+        above.select("text", "first.ord", "code")).withColumn("asked", F.lit(False))
+    none = [F.lit(None).cast(rules.schema[n].dataType).alias(n) for n in ("ord", "code")]
+    rows = entries.unionByName(numbers.select("text", *none, F.lit(True).alias("asked"))).repartition(head)
+    rows = rows.groupBy(head.alias("head"), "text").agg(
+        F.sort_array(F.collect_list(F.when(F.col("code").isNotNull(), F.struct("ord", "code")))).alias("own"), F.max("asked").alias("asked"))
+    before = Window.partitionBy("head").orderBy("text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A text that is shorter than a head is its own head.
+    lengths = range(low, width + 1)
+    rows = rows.select("text", "asked", *[
+        F.last(F.when(F.greatest(F.length("text"), F.lit(low)) == n, F.struct("text", "own")), ignorenulls=True).over(before).alias(f"of_{n}")
+        for n in lengths]).filter("asked")
+    fits = [F.when(F.col(f"of_{n}.text") == F.substring("text", 1, n), F.col(f"of_{n}.own")) for n in lengths]
+    empty = F.array().cast(rows.schema[f"of_{low}"].dataType["own"].dataType)
+    return rows.select("text", F.sort_array(F.concat(*[F.coalesce(f, empty) for f in fits])).alias("named"))
+
+
 def codes_by_rules(rows: DataFrame, prefixes: DataFrame, known: DataFrame | None, codes: Column, digits: int,
                    out: str = "categories") -> DataFrame:
     """The rows with the categories of their codes: code order first, then rule order.
 
-    One equi-join on (prefix) for all prefix lengths: a number has a key per length, up to
-    ``digits``. ``prefixes``: prefix, category, ord; ``known``: the categories that count.
+    ``prefixes``: prefix, category, ord; ``known``: the categories that count. Only numbers of
+    up to ``digits`` digits occur, so no other prefix is read further. What travels to a row is
+    a text of about a character per category; names are looked up at the end.
     """
     number = lambda c: F.substring(F.regexp_replace(c, "[^0-9]", ""), 1, digits)
     numbers = F.transform(F.filter(codes, lambda c: c.isNotNull()), number)
     keyed = rows.withColumn("_numbers", F.coalesce(numbers, F.array().cast("array<string>"))).select(
         "*", *_content_key(F.col("_numbers")))
-    usable = prefixes.join(known.select("category").distinct(), "category", "left_semi") if known is not None else prefixes
-    usable = usable.groupBy("prefix", "category").agg(F.min("ord").alias("ord"))
-    each = keyed.select(*_KEY, F.posexplode("_numbers").alias("at", "number")).groupBy(*_KEY, "number").agg(F.min("at").alias("at"))
-    starts = each.select("number").distinct().select("number", F.explode(F.transform(
-        F.sequence(F.lit(0), F.length("number")), lambda n: F.substring(F.col("number"), F.lit(1), n))).alias("prefix"))
-    found = _shuffled(starts, usable, "prefix").groupBy("number").agg(
-        F.sort_array(F.collect_list(F.struct("ord", "category"))).alias("named"))
-    lists = _shuffled(each, found, "number").groupBy(*_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("at", F.col("named.category").alias("ids")))).alias("_lists"))
-    ids = F.coalesce(F.array_distinct(F.flatten("_lists.ids")), F.array().cast("array<string>"))
-    return _shuffled(keyed, lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_numbers", "_lists")
+    coded = _coded(prefixes if known is None else known.filter("category is not null"))
+    can_fit = F.col("prefix").rlike(rf"^[0-9]{{0,{digits}}}\z")
+    usable = prefixes.filter(can_fit).alias("p").join(coded.alias("c"), F.col("p.category").eqNullSafe(F.col("c.category"))).groupBy(
+        F.col("prefix").alias("text"), "code").agg(F.min("ord").alias("ord"))
+    contents = keyed.select(*_KEY, "_numbers").distinct()
+    each = contents.select(*_KEY, F.posexplode(F.array_distinct("_numbers")).alias("at", "text"))
+    named = _along_prefixes(each.select("text").distinct(), usable, digits).filter(F.size("named") > 0)
+    found = named.select("text", F.array_join(F.array_distinct("named.code"), "").alias("codes"))
+    # A content has a row per number at most: it is collected where its rows meet, not before.
+    lists = _shuffled(each, found, "text").select(*_KEY, "at", "codes").repartition(*_KEY).groupBy(*_KEY).agg(
+        F.sort_array(F.collect_list(F.struct("at", "codes"))).alias("_lists"))
+    names = coded.agg(F.sort_array(F.collect_list(F.struct("n", "category"))).alias("_names"), F.max(F.length("code")).alias("_width"))
+    ids = _decoded(F.coalesce(F.array_join("_lists.codes", ""), F.lit("")), F.col("_names.category"), F.col("_width"))
+    return _shuffled(keyed, lists, _KEY, "left").crossJoin(names).withColumn(out, ids).drop(
+        *_KEY, "_numbers", "_lists", "_names", "_width")

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; every one may be changed on a live session.
 SETTINGS = {
@@ -68,3 +68,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         context.setCheckpointDir(own)
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """The frame, written to a scratch folder and read again: made once, its size known to the planner."""
+    path = scratch_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -8,6 +8,7 @@ from firmfold.functions.rules import DEFAULT_RULES, PrefixRule, load_rules
 from firmfold.functions.text import fold_text
 from firmfold.operators.govern import recategorize
 from firmfold.operators.normalize import normalize_businesses
+from firmfold.operators import rule_tables
 from firmfold.operators.rule_tables import RuleTables, classify_by_rules, codes_by_rules, regions_by_rules
 from firmfold.schemas import LEAD, RAW
 
@@ -135,3 +136,69 @@ def test_stems_around_the_length_of_runs(spark):
     for r in got.collect():
         want = {c for c, _, _, w, _ in cats if w in r["text"]}
         assert r["c"] == sorted(want, key=lambda c: (place[c], c)), r
+
+
+def shuffled_bytes(frame):
+    """Bytes of all rows that a run of the frame hands to its shuffles, before they are compressed."""
+    frame.collect()
+    plans, found, seen = [frame._jdf.queryExecution().executedPlan()], 0, set()
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "ShuffleExchangeExec" and plan.id() not in seen:
+                seen.add(plan.id())
+                found += plan.metrics().apply("dataSize").value()
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return found
+
+
+def codes_by_hand(lists, rules, known, digits):
+    """Every code's hits in order of (ord, category), nulls first; each category once."""
+    best = {}
+    for p, c, o in rules:
+        if p is not None and (known is None or c in known):
+            have = best.get((p, c))
+            best[p, c] = o if have is None else have if o is None else min(o, have)
+    rank = lambda x: (x is not None, x if x is not None else 0)
+    out = []
+    for codes in lists:
+        got = []
+        for code in codes or []:
+            n = "".join(x for x in code or "" if x in "0123456789")[:digits] if code is not None else None
+            hits = [] if n is None else [(o, c) for (p, c), o in best.items() if n.startswith(p) and len(p) <= digits]
+            got += [c for _, c in sorted(hits, key=lambda h: (rank(h[0]), (h[1] is not None, h[1] or "")))]
+        out.append(list(dict.fromkeys(got)))
+    return out
+
+
+@pytest.mark.parametrize("digits,units,known", [(8, None, None), (8, 3, True), (11, 3, None), (5, None, True), (3, None, True)])
+def test_codes_of_any_length(spark, monkeypatch, digits, units, known):
+    """More categories than one character tells apart, several heads above each other, null ranks and categories."""
+    if units:
+        monkeypatch.setattr(rule_tables, "UNITS", units)
+    numbers = [str((i * 7919 + 13) % 10 ** (1 + i % 11)).zfill(1 + i % 11) for i in range(150)] + [""]
+    rules = [(n[:k], f"c{(i + k) % 8}", None if (i + k) % 9 == 0 else (i * 37 + k) % 50)
+             for i, n in enumerate(numbers) for k in (0, 1, 2, 4, 5, 7, 8, 9, 11) if (i + k) % 3 and (k or i < 4)]
+    rules += [("1", None, 4), (None, "c1", 1), ("12x", "c2", 0), ("1\n", "c3", 0), ("4", "c4", None), ("4", "c4", 3)]
+    lists = [[numbers[i], numbers[(i * 7) % 151], numbers[i]] for i in range(151)] + [None, [], [None, "1-2.3"]]
+    wanted = [None, "c1", "c2", "c3", "c4", "c5", "none"] if known else None
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, codes array<string>")
+    table = spark.createDataFrame(rules, "prefix string, category string, ord int")
+    listed = spark.createDataFrame([(c,) for c in wanted], "category string") if known else None
+    got = codes_by_rules(rows, table, listed, F.col("codes"), digits, "c").select("i", "c").orderBy("i").collect()
+    assert [r["c"] for r in got] == codes_by_hand(lists, rules, wanted and {c for c in wanted if c}, digits)
+    assert codes_by_rules(rows, table.filter("false"), None, F.col("codes"), digits, "c").filter("size(c) > 0").count() == 0
+
+
+def test_codes_ship_no_lists_of_rules(spark):
+    """Numbers that share prefixes of many categories: the lists stay with the prefixes."""
+    rules = spark.range(10 * 60).selectExpr("repeat(cast(id % 10 as string), 3) prefix", "concat('category ', id div 10) category", "cast(id * 7 % 601 as int) ord")
+    rows = spark.range(9000).selectExpr("id i", "array(concat(repeat(cast(id % 10 as string), 4), lpad(id, 4, '0'))) codes")
+    frame = codes_by_rules(rows, rules, None, F.col("codes"), 8)
+    assert shuffled_bytes(frame) < 9_000 * 500
+    assert {len(r["categories"]) for r in frame.collect()} == {60}
