@@ -5,17 +5,21 @@ other characters) occurs in one of the text's pieces. So keywords are matched wi
 *vocabulary*, the distinct pieces of all texts, which grows far slower than the texts:
 
 * a whole word's piece equals a piece of the vocabulary: an equi-join;
-* a stem's piece lies inside one: of up to ``GRAM`` characters it equals a run of as many; a
-  longer one is joined on its rarest run of ``GRAM``, then tested.
+* a stem's piece lies inside one: a stem of up to ``GRAM`` characters begins one of its ends;
+  what is longer is joined on its rarest run of ``GRAM``, then tested.
 
 What is left is an equi-join of the texts' pieces with the matched pieces. Keywords of one
 piece are decided by it; others are tested on the text. Texts are told apart by a 64-bit and
-a 32-bit hash of their content, so equal texts are classified once, and no row needs an id. A
-keyword's rules travel as one list; they are taken apart where a text's lists meet.
+a 32-bit hash of their content, so equal texts are classified once, and no row needs an id.
+
+Groups of rules (a category and its name) are numbered in rule order. What a keyword names is
+a set of numbers, kept as bits; unions of sets travel from ends to pieces to texts, so what is
+shuffled does not grow with the rules that a text meets. Rules are read when an operator is
+called: numbers and sets are staged, so that the planner knows their size.
 
 Joins whose sides both follow the data are hinted to shuffle: their sizes are estimated from
 compressed files and before lists are taken apart, and a side that was planned as a broadcast
-stays one, however large it turns out to be.
+stays one, however large it turns out to be. Every task gets the ids of all groups, in one row.
 
 The results equal those of :mod:`firmfold.functions.classify` for the same rules; small
 fixed rule sets stay expressions there. Blanks around whole words are cut.
@@ -36,7 +40,9 @@ PIECE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 GRAM = 8
 # The last digits of a number that one window sorts, and how many characters below the surrogates a code uses.
 STEP, UNITS = 4, 55_000
-_KEY = ["_h1", "_h2"]
+# A row of a set holds this many words of 64 numbers.
+WORDS = 8
+_KEY, _TOKEN, _WORDS = ["_h1", "_h2"], ["_t1", "_t2"], [f"_b{i}" for i in range(WORDS)]
 
 
 @dataclass(frozen=True)
@@ -51,8 +57,8 @@ class RuleTables:
     category_ids = ()
 
 
-def _content_key(content: Column) -> list[Column]:
-    return [F.xxhash64(content).alias(_KEY[0]), F.hash(content).alias(_KEY[1])]
+def _content_key(content: Column, names: list[str] = _KEY) -> list[Column]:
+    return [F.xxhash64(content).alias(names[0]), F.hash(content).alias(names[1])]
 
 
 def _pieces(text: Column) -> Column:
@@ -71,20 +77,62 @@ def _runs(text: Column, length: Column) -> Column:
         starts, lambda i: F.substring(text, i, length)))).otherwise(F.array().cast("array<string>"))
 
 
-def _keywords(rules: DataFrame) -> DataFrame:
-    """(keyword, whole, piece, equal, decides) of the rules (keyword, whole), each once."""
+def _set(number: Column) -> list[Column]:
+    """(chunk, words) of the set of one number."""
+    place = number % (64 * WORDS)
+    word = F.floor(place / 64)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    return [F.floor(number / (64 * WORDS)).alias("chunk"),
+            *[F.when(word == i, bit).otherwise(F.lit(0).cast("bigint")).alias(c) for i, c in enumerate(_WORDS)]]
+
+
+def _union(rows: DataFrame, *by: str) -> DataFrame:
+    """The union of the sets of equal keys, a row per chunk."""
+    return rows.groupBy(*by, "chunk").agg(*[F.bit_or(c).alias(c) for c in _WORDS])
+
+
+def _groups(rules: DataFrame, id_col: str, group: list[str]) -> DataFrame:
+    """(group, place, id, n): the groups of rules, numbered by where their first rule stands."""
+    places = rules.groupBy(*group).agg(F.min("ord").alias("place")).dropna(subset=group).withColumn("id", F.col(id_col))
+    order = Window.orderBy(F.col("place").asc_nulls_first(), "id", *group)
+    return staged(places.withColumn("n", F.row_number().over(order) - 1), "groups")
+
+
+def _keywords(rules: DataFrame, groups: DataFrame, group: list[str]) -> DataFrame:
+    """(keyword, whole, piece, equal, decides, chunk, words): the groups that each keyword names."""
+    rules = rules.select(*group, "keyword", "whole").filter("keyword is not null and whole is not null")
+    numbers = rules.join(groups.select(*group, "n"), group)
     folded = fold_text(F.col("keyword"))
     # Each value is made once per distinct keyword: it passes through an explode of one value,
     # so that filters on it are not planned as copies of it, on every rule.
-    rows = rules.select("keyword", "whole").distinct().select(
-        F.explode(F.array(F.when(F.col("whole"), js_trim(folded)).otherwise(folded))).alias("keyword"), "whole")
+    rows = _union(numbers.select("keyword", "whole", *_set(F.col("n"))), "keyword", "whole").select(
+        F.explode(F.array(F.when(F.col("whole"), js_trim(folded)).otherwise(folded))).alias("keyword"), "whole", "chunk", *_WORDS)
     longest = F.array_max(F.transform(_pieces(F.col("keyword")), lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
-    rows = rows.filter(js_trim(F.col("keyword")) != "").distinct().select(
-        "keyword", "whole", F.explode(F.array(longest["piece"])).alias("piece"))
+    rows = _union(rows.filter(js_trim(F.col("keyword")) != ""), "keyword", "whole").select(
+        "*", F.explode(F.array(longest["piece"])).alias("piece"))
     # A whole word's letters and digits stand between other characters; its signs need not.
     equal = F.col("whole") & F.col("piece").rlike(r"^[\p{L}\p{N}]")
     decides = (F.col("piece") == F.col("keyword")) & (equal | ~F.col("whole"))
-    return rows.withColumns({"equal": equal, "decides": decides})
+    return staged(rows.withColumns({"equal": equal, "decides": decides}), "keywords")
+
+
+def _stem_sets(vocabulary: DataFrame, stems: DataFrame) -> DataFrame:
+    """(token's key, chunk, words) of the stems (piece, chunk, words) of up to ``GRAM`` characters in a token.
+
+    A token holds a stem where one of its ends begins with it. Ends are cut to the longest stem,
+    so that many tokens share them: each distinct one meets the stems once, and the union of
+    what it holds is what travels to the tokens.
+    """
+    # One row, of at most GRAM numbers.
+    lengths = stems.agg(F.collect_set(F.length("piece")).alias("lengths"))
+    starts = F.sequence(F.lit(1), F.length("token") - F.array_min("lengths") + 1)
+    ends = F.when(F.length("token") >= F.array_min("lengths"), F.array_distinct(F.transform(
+        starts, lambda i: F.substring(F.col("token"), i, F.array_max("lengths")))))
+    pairs = vocabulary.crossJoin(lengths).select(*_TOKEN, F.explode(ends).alias("end"))
+    begins = F.transform(F.filter("lengths", lambda n: n <= F.length("end")), lambda n: F.substring(F.col("end"), F.lit(1), n))
+    pieces = pairs.select("end").distinct().crossJoin(lengths).select("end", F.explode(begins).alias("piece"))
+    held = _union(_shuffled(pieces, stems, "piece"), "end")
+    return _union(_shuffled(pairs, held, "end"), *_TOKEN)
 
 
 def _matched_pieces(vocabulary: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -110,63 +158,74 @@ def _matched_pieces(vocabulary: DataFrame, keywords: DataFrame) -> DataFrame:
     return equal.unionByName(_shuffled(found, inner, "piece").select(names))
 
 
-def keyword_hits(texts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(``_h1``, ``_h2``, keyword, whole) of every keyword in every distinct text.
+def _hit_sets(texts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(``_h1``, ``_h2``, chunk, words) of the keywords in every distinct text; a text has several rows.
 
-    ``texts``: folded ``hay`` with its key; ``rules``: keyword, whole.
+    ``texts``: folded ``hay`` with its key.
     """
-    keywords = _keywords(rules)
-    tokens = texts.select(*_KEY, F.explode(_pieces(F.col("hay"))).alias("token")).distinct()
-    matched = _matched_pieces(tokens.select("token").distinct(), keywords)
-    hits = _shuffled(tokens, matched, "token")
-    sure = hits.filter("decides").select(*_KEY, "keyword", "whole")
-    asked = hits.filter(~F.col("decides")).select(*_KEY, "keyword", "whole").distinct()
-    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.col("keyword"), F.lit(r"\E(?![\p{L}\p{N}])"))
-    holds = F.col("hay").contains(F.col("keyword")) & (~F.col("whole") | F.regexp_like(F.col("hay"), pattern))
-    tested = _shuffled(asked, texts.dropDuplicates(_KEY), _KEY).filter(holds).select(*_KEY, "keyword", "whole")
-    return sure.unionByName(tested).distinct()
-
-
-def _ranked(rules: DataFrame, group: list[str]) -> DataFrame:
-    """The rules with the place of their group: where its first rule stands."""
-    return rules.join(rules.groupBy(*group).agg(F.min("ord").alias("place")), group)
-
-
-def _hit_rules(rows: DataFrame, hay: Column, rules: DataFrame, id_col: str, group: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows with their content key, and (key, place, id) of what each content names.
-
-    A frequent keyword stands in many rules, and a text holds many keywords of one id: lists
-    of rules are shuffled to the text, and only there is a row made of each.
+    sets = keywords.select("keyword", "whole", "chunk", *_WORDS)
+    plain = ~F.col("whole") & F.col("decides") & (F.length("piece") <= GRAM)
+    others = keywords.filter(~plain).select("keyword", "whole", "piece", "equal", "decides").distinct()
+    pieces = texts.select(*_KEY, F.explode(_pieces(F.col("hay"))).alias("token"))
+    vocabulary = pieces.select("token").distinct().select("token", *_content_key(F.col("token"), _TOKEN))
+    tokens = pieces.select(*_KEY, *_content_key(F.col("token"), _TOKEN)).distinct()
+    matched = _matched_pieces(vocabulary, others).select(*_content_key(F.col("token"), _TOKEN), "keyword", "whole", "decides")
+    sure = _shuffled(matched.filter("decides"), sets, ["keyword", "whole"]).select(*_TOKEN, "chunk", *_WORDS)
+    of_token = _stem_sets(vocabulary, keywords.filter(plain).select("piece", "chunk", *_WORDS)).unionByName(sure)
+    named = _shuffled(tokens, of_token, _TOKEN).select(*_KEY, "chunk", *_WORDS)
+    # Other keywords are tested on the text, to which they travel as one list of each token.
+    lists = matched.filter(~F.col("decides")).groupBy(*_TOKEN).agg(F.collect_list(F.struct("keyword", "whole")).alias("asked"))
+    asked = _shuffled(_shuffled(tokens, lists, _TOKEN).select(*_KEY, "asked"), texts.dropDuplicates(_KEY), _KEY)
+    pattern = lambda k: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), k, F.lit(r"\E(?![\p{L}\p{N}])"))
+    holds = lambda a: F.col("hay").contains(a["keyword"]) & (~a["whole"] | F.regexp_like(F.col("hay"), pattern(a["keyword"])))
+    tested = asked.select(*_KEY, F.inline(F.filter("asked", holds))).distinct()
+    return named.unionByName(_shuffled(tested, sets, ["keyword", "whole"]).select(*_KEY, "chunk", *_WORDS))
+
+
+def _named(held: Column, groups: Column) -> Column:
+    """The ids of sets, in order: an id stands at the least place of its groups."""
+    of_word = lambda h, i: F.filter(
+        F.slice(groups, (h["chunk"] * (64 * WORDS) + 64 * i + 1).cast("int"), F.lit(64)), lambda g, at: F.bit_get(h[_WORDS[i]], at) == 1)
+    found = F.flatten(F.transform(held, lambda h: F.concat(*[of_word(h, i) for i in range(WORDS)])))
+    # A group without a place comes first, but does not place its id.
+    placed = lambda f: F.filter(f, lambda g: g["place"].isNotNull())["id"]
+    others = lambda f: F.filter(f, lambda g: g["place"].isNull())["id"]
+    ids = lambda f: F.when(F.get(f, F.lit(0))["place"].isNull(), F.concat(
+        F.array_except(others(f), placed(f)), F.array_distinct(placed(f)))).otherwise(F.array_distinct(f["id"]))
+    return F.when(held.isNotNull(), F.get(F.transform(F.array(found), ids), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def _with_ids(rows: DataFrame, hay: Column, rules: DataFrame, id_col: str, group: list[str]) -> DataFrame:
+    """The rows with ``_ids``, the ids that their text names, in rule order.
+
+    A frequent keyword stands in many rules, and a text holds many keywords of one id: what
+    travels to the text is sets of numbers, as bits, and ids stand there only at the end.
     """
     keyed = rows.withColumn("_hay", F.coalesce(hay, F.lit(""))).select("*", *_content_key(F.col("_hay")))
     texts = keyed.select(*_KEY, F.col("_hay").alias("hay")).filter("hay <> ''")
-    ranked = _ranked(rules, group)
-    names = ranked.select(F.col(id_col).alias("id"), "place", "whole", F.when(F.col("whole"), js_trim(fold_text(F.col("keyword"))))
-                         .otherwise(fold_text(F.col("keyword"))).alias("keyword")).distinct()
-    lists = names.groupBy("keyword", "whole").agg(F.collect_list(F.struct("place", "id")).alias("named"))
-    hits = _shuffled(keyword_hits(texts, rules), lists, ["keyword", "whole"]).select(*_KEY, "named").repartition(*_KEY)
-    each = hits.select(*_KEY, F.explode("named").alias("named")).select(*_KEY, "named.id", "named.place")
-    return keyed.drop("_hay"), each.groupBy(*_KEY, "id").agg(F.min("place").alias("place"))
+    groups = _groups(rules, id_col, group)
+    hits = _union(_hit_sets(texts, _keywords(rules, groups, group)).repartition(*_KEY), *_KEY)
+    held = hits.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("chunk", *_WORDS))).alias("_held"))
+    # One row, of all groups: numbers become ids when no list has to be sorted or shuffled any more.
+    listed = groups.agg(F.sort_array(F.collect_list(F.struct("n", "place", "id"))).alias("_groups"))
+    return _shuffled(keyed.drop("_hay"), held, _KEY, "left").crossJoin(listed).withColumn(
+        "_ids", _named(F.col("_held"), F.col("_groups"))).drop(*_KEY, "_held", "_groups")
 
 
 def classify_by_rules(rows: DataFrame, tables: RuleTables, hay: Column, out: str = "categories") -> DataFrame:
     """The rows with the ids of all categories whose keywords their folded text holds, in rule order."""
     rules = tables.categories.withColumn("whole", F.col("whole_word").cast("boolean"))
-    keyed, hits = _hit_rules(rows, hay, rules, "category", ["category", "name"])
-    lists = hits.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("_ids"))
-    ids = F.coalesce(F.col("_ids.id"), F.array().cast("array<string>"))
-    return _shuffled(keyed, lists, _KEY, "left").withColumn(out, ids).drop(*_KEY, "_ids")
+    found = _with_ids(rows, hay, rules, "category", ["category", "name"])
+    return found.withColumn(out, F.col("_ids")).drop("_ids")
 
 
 def regions_by_rules(rows: DataFrame, tables: RuleTables, hay: Column, out: str = "region_id") -> DataFrame:
     """The rows with the region of a folded address: 1xxx postcode, capital by name, then rule order."""
     rules = tables.regions.withColumn("whole", F.lit(False))
-    keyed, hits = _hit_rules(rows.withColumn("_place", hay), F.col("_place"), rules, "region_id", ["region_id", "name"])
-    order = F.struct((F.col("id") != tables.capital).alias("later"), F.col("place"), F.col("id"))
-    first = hits.groupBy(*_KEY).agg(F.min(order).alias("_first"))
+    found = _with_ids(rows.withColumn("_place", hay), F.col("_place"), rules, "region_id", ["region_id", "name"])
     coded = F.regexp_extract("_place", POSTCODE, 1).startswith("1")
-    region = F.when(coded, F.lit(tables.capital)).otherwise(F.col("_first.id"))
-    return _shuffled(keyed, first, _KEY, "left").withColumn(out, region).drop(*_KEY, "_first", "_place")
+    capital = F.coalesce(coded, F.lit(False)) | F.array_contains("_ids", tables.capital)
+    return found.withColumn(out, F.when(capital, F.lit(tables.capital)).otherwise(F.get("_ids", F.lit(0)))).drop("_ids", "_place")
 
 
 def _coded(categories: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Rules by join give what the same rules give as expressions."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +204,46 @@ def test_codes_ship_no_lists_of_rules(spark):
     frame = codes_by_rules(rows, rules, None, F.col("codes"), 8)
     assert shuffled_bytes(frame) < 9_000 * 500
     assert {len(r["categories"]) for r in frame.collect()} == {60}
+
+
+def test_more_groups_than_a_row_of_bits_holds(spark):
+    """600 groups of 550 ids, some without a place; stems, long stems, words and keywords of two parts."""
+    words = [f"k{i}" for i in range(40)] + [f"long stem {i}" for i in range(5)] + [f"abcdefgh{i}" for i in range(40)] + ["&", "c++"]
+    cats = [(f"c{i % 550}", f"n{i}", None if i % 11 == 0 else (i * 389) % 601, words[i % len(words)], i % 4 == 0) for i in range(600)]
+    cats += [("c3", "n3", 1000, words[1], False), (None, "n", 1, "k1", False), ("c4", None, 1, "k1", False), ("c5", "n5", 5, "k7", None)]
+    tables = RuleTables(spark.createDataFrame(cats, CATEGORY_RULES), spark.createDataFrame(
+        [(c, n, o, k) for c, n, o, k, _ in cats], REGION_RULES), capital="c77")
+    texts = ["k1 k22x", "xabcdefgh1", "abcdefgh23 c++", "a long stem 3", "k7&k8", "", "none", " ".join(words), " ".join(words[:30])] * 2
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    place = {}
+    for c, n, o, _, _ in cats:
+        if c is not None and n is not None:
+            have = place.get((c, n))
+            place[c, n] = o if have is None else have if o is None else min(have, o)
+
+    def by_hand(text, stems):
+        hit = {}
+        for c, n, _, k, whole in cats:
+            inside = k in text and (stems or not whole or bool(re.search(rf"(?<![a-z0-9]){re.escape(k)}(?![a-z0-9])", text)))
+            if (c, n) in place and (stems or whole is not None) and inside:
+                hit.setdefault(c, []).append(place[c, n])
+        order = {c: min((p for p in ps if p is not None), default=-1) for c, ps in hit.items()}
+        return sorted(order, key=lambda c: (order[c], c))
+
+    got = classify_by_rules(rows, tables, fold_text(F.col("text")), "c")
+    got = regions_by_rules(got, tables, fold_text(F.col("text")), "r").orderBy("i").collect()
+    for r in got:
+        assert r["c"] == by_hand(r["text"], False), r["text"]
+        ids = by_hand(r["text"], True)
+        assert r["r"] == ("c77" if "c77" in ids else ids[0] if ids else None), r["text"]
+    assert max(len(r["c"]) for r in got) > 500
+
+
+def test_texts_ship_no_lists_of_rules(spark):
+    """Texts that hold many keywords of many categories: what travels is unions."""
+    rules = spark.range(300 * 60).selectExpr("concat('category ', id div 300) category", "'n' name", "cast(id as int) ord",
+                                             "concat('s', lpad(id % 300, 3, '0')) keyword", "false whole_word")
+    rows = spark.range(1500).selectExpr("id i", "array_join(transform(sequence(0, 11), j -> concat('s', lpad((id * 7 + j * 23) % 300, 3, '0'))), '') text")
+    frame = classify_by_rules(rows, RuleTables(rules, spark.createDataFrame([], REGION_RULES)), F.col("text"))
+    assert shuffled_bytes(frame) < 5_000_000
+    assert {len(r["categories"]) for r in frame.collect()} == {60}
