@@ -173,12 +173,14 @@ def _hit_sets(texts: DataFrame, keywords: DataFrame) -> DataFrame:
     sure = _shuffled(matched.filter("decides"), sets, ["keyword", "whole"]).select(*_TOKEN, "chunk", *_WORDS)
     of_token = _stem_sets(vocabulary, keywords.filter(plain).select("piece", "chunk", *_WORDS)).unionByName(sure)
     named = _shuffled(tokens, of_token, _TOKEN).select(*_KEY, "chunk", *_WORDS)
-    # Other keywords are tested on the text, to which they travel as one list of each token.
-    lists = matched.filter(~F.col("decides")).groupBy(*_TOKEN).agg(F.collect_list(F.struct("keyword", "whole")).alias("asked"))
-    asked = _shuffled(_shuffled(tokens, lists, _TOKEN).select(*_KEY, "asked"), texts.dropDuplicates(_KEY), _KEY)
+    # Other keywords are tested on the text, to which they travel as lists of each token. A list is
+    # made by one column more than it is joined on, so that the join has shuffles of its own, which
+    # can be split where a token stands in most texts.
+    lists = matched.filter(~F.col("decides")).groupBy(*_TOKEN, "whole").agg(F.collect_list("keyword").alias("asked"))
+    asked = _shuffled(_shuffled(tokens, lists, _TOKEN).select(*_KEY, "whole", "asked"), texts.dropDuplicates(_KEY), _KEY)
     pattern = lambda k: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), k, F.lit(r"\E(?![\p{L}\p{N}])"))
-    holds = lambda a: F.col("hay").contains(a["keyword"]) & (~a["whole"] | F.regexp_like(F.col("hay"), pattern(a["keyword"])))
-    tested = asked.select(*_KEY, F.inline(F.filter("asked", holds))).distinct()
+    holds = lambda k: F.col("hay").contains(k) & (~F.col("whole") | F.regexp_like(F.col("hay"), pattern(k)))
+    tested = asked.select(*_KEY, F.explode(F.filter("asked", holds)).alias("keyword"), "whole").distinct()
     return named.unionByName(_shuffled(tested, sets, ["keyword", "whole"]).select(*_KEY, "chunk", *_WORDS))
 
 

@@ -247,3 +247,17 @@ def test_texts_ship_no_lists_of_rules(spark):
     frame = classify_by_rules(rows, RuleTables(rules, spark.createDataFrame([], REGION_RULES)), F.col("text"))
     assert shuffled_bytes(frame) < 5_000_000
     assert {len(r["categories"]) for r in frame.collect()} == {60}
+
+
+def test_hot_tokens_can_be_split(spark, texts):
+    """A token that stands in most texts: AQE splits a join only where both of its sides come from a shuffle of its own."""
+    plans, sides = [classify_by_rules(texts, default_tables(spark), F.col("text"))._jdf.queryExecution().executedPlan()], []
+    while plans:
+        plan = plans.pop()
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.getClass().getSimpleName() == "SortMergeJoinExec" and "_t1" in plan.leftKeys().toString():
+            sides += [c.children().apply(0).getClass().getSimpleName() for c in children]
+        plans += children
+    assert len(sides) == 4 and set(sides) == {"ShuffleExchangeExec"}
